@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontam, fertility, mixing, secret_scan, urls
+from . import decontam, fertility, mixing, secret_scan, simhash, tokens, urls
 from .common import read
 
 
 def queries() -> dict:
     docs = lambda s, d: read(s, d, "documents")
     return {
+        "op1_simhash": lambda s, d: simhash.digests(docs(s, d)),
         "op3_fertility": lambda s, d: fertility.digests(docs(s, d)),
+        "op6_tokens": lambda s, d: tokens.digests(docs(s, d)),
         "op7_mixing": lambda s, d: mixing.digests(docs(s, d)),
         "op8_urls": lambda s, d: urls.digests(read(s, d, "pages")),
         "op9_secrets": lambda s, d: secret_scan.digests(docs(s, d)),
