@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, fertility, mixing, secret_scan, simhash, tokens, urls
+from . import decontam, fertility, mixing, pii, quality, secret_scan, simhash, substring, tokens, urls
 from .common import read
 
 
@@ -10,7 +10,10 @@ def queries() -> dict:
     docs = lambda s, d: read(s, d, "documents")
     return {
         "op1_simhash": lambda s, d: simhash.digests(docs(s, d)),
+        "op2_pii": lambda s, d: pii.digests(docs(s, d)),
         "op3_fertility": lambda s, d: fertility.digests(docs(s, d)),
+        "op4_quality": lambda s, d: quality.digests(docs(s, d), read(s, d, "labels")),
+        "op5_substring": lambda s, d: substring.digests(docs(s, d)),
         "op6_tokens": lambda s, d: tokens.digests(docs(s, d)),
         "op7_mixing": lambda s, d: mixing.digests(docs(s, d)),
         "op8_urls": lambda s, d: urls.digests(read(s, d, "pages")),
@@ -20,4 +23,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": mixing.DIGEST_SQL, "op10_decontam": decontam.DIGEST_SQL}
+    return {"op5_substring": substring.DIGEST_SQL, "op7_mixing": mixing.DIGEST_SQL, "op10_decontam": decontam.DIGEST_SQL}
