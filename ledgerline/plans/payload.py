@@ -1,0 +1,44 @@
+"""What a dashboard reads: series, concentrations and findings from the cube."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import scalars as S
+
+#: measure -> (column, how it is shown)
+MEASURES = {"loan_count": "integer", "loan_upb": "cents", "average_current_loan_balance": "cents_value", "security_count": "integer", "security_upb": "cents", "30_plus_count": "value", "90_plus_count": "value"}
+
+
+def numeric(kind: str):
+    if kind == "integer":
+        return F.col("numerator").cast("double")
+    if kind == "cents":
+        return F.round(F.col("numerator").cast("double") / 100, 2)
+    return F.round(F.col("value") / 100, 6) if kind == "cents_value" else F.round("value", 10)
+
+
+def series(cube: DataFrame, view: str, measures: dict[str, str] = MEASURES) -> DataFrame:
+    """One row for each month that has every measure."""
+    rows = cube.where(F.col("correction_view") == view).where(F.col("component").isin(*measures) & F.col("report_period").rlike("^[0-9]{4}-[0-9]{2}$") & F.col("released"))
+    wide = rows.groupBy("report_period").agg(*(F.max(F.when(F.col("component") == m, numeric(k))).alias(m) for m, k in measures.items()))
+    return wide.na.drop()
+
+
+def concentration(cube: DataFrame, n: int = 10, cue: float = 0.5) -> DataFrame:
+    """Share of the largest members by dimension in the last month, largest first, flagged from ``cue`` on."""
+    rows = cube.where(F.col("component").rlike(f"_top_{n}_upb$"))
+    last = rows.agg(F.max("report_period").alias("report_period"))
+    out = rows.join(F.broadcast(last), "report_period")  # one row
+    return out.select("report_period", F.regexp_replace("dimension", "_summary$", "").alias("dimension"), F.round("value", 10).alias("share"), (F.col("value") >= cue).alias("concentrated")).orderBy(F.col("share").desc(), "dimension")
+
+
+def findings(monthly: DataFrame) -> DataFrame:
+    """Each month against the one before, with the months of peak and trough (the first, on ties).
+
+    ``monthly``: report_period, upb."""
+    order = Window.orderBy("report_period")  # one row per month
+    top = monthly.agg(F.max_by("report_period", F.struct("upb", -S.month_index(F.col("report_period")))).alias("peak"), F.min_by("report_period", F.struct("upb", S.month_index(F.col("report_period")))).alias("trough"))
+    out = monthly.withColumn("change", F.round(S.percent_change(F.col("upb"), F.lag("upb").over(order)), 10))
+    return out.join(F.broadcast(top)).select("report_period", "upb", "change", (F.col("report_period") == F.col("peak")).alias("peak"), (F.col("report_period") == F.col("trough")).alias("trough"))
