@@ -130,7 +130,7 @@ class SuffixAutomaton:
             if w in nexts[v]:
                 v = nexts[v][w]
                 matched += 1
-            while size[link[v]] >= width:
+            while v and size[link[v]] >= width:
                 v = link[v]
                 matched = min(matched, size[v])
             if i >= width - 1:
