@@ -267,11 +267,18 @@ def loan_segments(loans: DataFrame, only=None) -> DataFrame | None:
     return _segment_rows(seg, "latest", "loan-period")
 
 
+def loan_base(loans: DataFrame, only=None) -> DataFrame | None:
+    """Totals and segments: two aggregations over the loans. What is derived from them needs no loan again."""
+    of_totals = {c for c, _, _ in LOAN_WEIGHTED.values()} | {"current_outstanding_balance_population", "loan_balance_distribution", "correction_restatement_volume", "deferred_upb_share"}
+    totals = loan_totals(loan_partials(loans, ("report_period",)), only) if only is None or set(only) & of_totals else None
+    return union([totals, loan_segments(loans, only)])
+
+
 def loan_cube(loans: DataFrame, only=None) -> DataFrame | None:
-    totals = loan_totals(loan_partials(loans, ("report_period",)), only) if only is None or set(only) & ({c for c, _, _ in LOAN_WEIGHTED.values()} | {"current_outstanding_balance_population", "loan_balance_distribution", "correction_restatement_volume", "deferred_upb_share"}) else None
-    seg = loan_segments(loans, only)
-    tops = top_n(seg) if seg is not None and (only is None or set(only) & {"state_composition", "counterparty_composition"}) else None
-    return union([totals, seg, tops])
+    """Base and summaries of compositions. Asked for compositions alone, both come from one exchange."""
+    wanted = tuple(c for c in dict.fromkeys(COMPOSITIONS.values()) if only is None or c in only)
+    tops = top_n(loan_segments(loans, wanted), whole=True) if wanted else None
+    return union([loan_base(loans, only), tops])
 
 
 COMPOSITIONS = {"state": "state_composition", "seller": "counterparty_composition", "servicer": "counterparty_composition"}
@@ -281,10 +288,10 @@ def _compositions(cube: DataFrame) -> DataFrame:
     return cube.where(F.col("contract_id").isin(*set(COMPOSITIONS.values())) & F.col("dimension").isin(*COMPOSITIONS))
 
 
-def top_n(cube: DataFrame, n: int = TOP_N) -> DataFrame:
-    """The ``n`` largest members against the others, for states, sellers and servicers."""
+def top_n(cube: DataFrame, n: int = TOP_N, whole: bool = False) -> DataFrame:
+    """The ``n`` largest members against the others, for states, sellers and servicers; ``whole``: ``cube`` has nothing else."""
     place = F.row_number().over(Window.partitionBy("report_period", "dimension", "component").orderBy(F.col("numerator").desc(), "member"))
-    ranked = _compositions(cube).withColumn("top", place <= n)
+    ranked = (cube if whole else _compositions(cube)).withColumn("top", place <= n)
     top = F.col("top")
     both = ranked.groupBy("contract_id", "report_period", "correction_view", "grain", "dimension", "component").agg(
         F.max("denominator").alias("denominator"),

@@ -27,13 +27,16 @@ def conform(securities: DataFrame, loans: DataFrame, key: tuple[str, ...] = ("re
 
 
 def build_metrics(securities: Mapping[str, DataFrame], loans: DataFrame, issuance: DataFrame, groups, manifests: DataFrame, join_counts: DataFrame, expected: DataFrame) -> DataFrame:
-    """All released contracts in one cube. The loan and security facts are scanned once for each family of metrics."""
-    loan = cube.loan_cube(loans)
-    security = [cube.security_cube(f, v) for v, f in securities.items()]
+    """All released contracts in one cube.
+
+    What other metrics are derived from is kept (in memory, on disk beyond): aggregates with a few rows for each
+    month and member, so that loans are scanned twice (totals, segments) and securities three times a view."""
+    loan = cube.loan_base(loans).persist()
+    security = [cube.security_cube(f, v).persist() for v, f in securities.items()]
     issued = cube.issuance(issuance, groups)
     return cube.union(
         [
-            loan, *security, issued, cube.trust(manifests), cube.join_coverage(join_counts), cube.file_completeness(expected),
+            loan, cube.top_n(loan), *security, issued, cube.trust(manifests), cube.join_coverage(join_counts), cube.file_completeness(expected),
             cube.hhi(loan), cube.threshold_rates(loan), cube.modification_rate(loan), cube.issuance_share(cube.union([issued, *security])),
             *(transitions.transition_cube(loans, v) for v in C.VIEWS),
         ]

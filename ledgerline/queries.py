@@ -65,7 +65,7 @@ def metric(spark: SparkSession, sf_dir: str, contracts: tuple[str, ...] | None =
         frames.append(cube.trust(manifests(spark, sf_dir), contracts))
     for name, (derive, needs) in DERIVED.items():
         if wants(name):
-            frames.append(derive(cube.loan_cube(bindings.loans(spark, sf_dir), needs)))
+            frames.append(derive(cube.loan_base(bindings.loans(spark, sf_dir), needs)))
     if wants("new_issuance_share_ending_book"):
         book = cube.security_cube(views(spark, sf_dir)["latest"], "latest", ("current_outstanding_balance_population",))
         frames.append(cube.issuance_share(cube.union([cube.issuance(bindings.securities(spark, sf_dir), bindings.product_group(), ("issuance_volume",)), book])))

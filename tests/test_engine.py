@@ -257,3 +257,17 @@ def test_plans_push_down_and_prune(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double,o_orderdate:timestamp>" in plan.replace("...", "") or "o_custkey" not in plan
     assert C.KEY[0] == "contract_id"
+
+
+def test_whole_build_verifies(spark, tmp_path):
+    from ledgerline import queries
+    from ledgerline.plans import bindings, engine
+
+    sf = "/root/testdata/sf0.001"
+    loans, views = bindings.loans(spark, sf), queries.views(spark, sf)
+    counts = queries.joined(spark, sf).groupBy("join_reason").agg(F.count("*").alias("row_count"))
+    engine.build_metrics(views, loans, bindings.securities(spark, sf), bindings.product_group(), queries.manifests(spark, sf), counts, queries.completeness(spark, sf)).coalesce(4).write.parquet(str(tmp_path / "cube"))
+    built = spark.read.parquet(str(tmp_path / "cube"))
+    checks = engine.verify_metrics(built, loans, views)
+    assert {n for n in ("contract_set", "repeated_keys", "segment_sums", "summaries", "weighted", "thresholds", "cohort_sums") if checks[n].limit(1).count()} == set()
+    assert built.select("contract_id").distinct().count() == 38 and engine.dashboard(built)["components"] == built.count()
