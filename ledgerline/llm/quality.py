@@ -31,8 +31,10 @@ TRAIN_ROWS = 6000
 TRAIN_CHARS = 60_000
 SEED = 7
 REACH = 0.7
+#: A document goes below this probability of good quality, or from that probability of being toxic on.
+LEAST_QUALITY, MOST_TOXIC = 0.5, 0.35
 MAX_FEATURES = 4000
-_STRIP = b".,;:!?\"'()[]"
+_STRIP = b".,;:!?\"'()[]#*$%&|"
 
 
 def tokens(text: bytes) -> set[bytes]:
@@ -52,7 +54,7 @@ def proportions(text: bytes) -> list[float]:
     ]
 
 
-def fit(rows: list[tuple[bytes, int]], steps: int = 400, ridge: float = 3.0) -> dict | None:
+def fit(rows: list[tuple[bytes, int]], steps: int = 400, ridge: float = 0.3) -> dict | None:
     """Logistic regression on proportions and on tokens whose frequency differs most between the classes."""
     y = np.array([v for _, v in rows], dtype=float)
     if len(set(y)) < 2:
@@ -66,9 +68,10 @@ def fit(rows: list[tuple[bytes, int]], steps: int = 400, ridge: float = 3.0) ->
     for token in seen[0].keys() | seen[1].keys():
         a, b = seen[1][token], seen[0][token]
         if a + b >= 8:
-            z = (math.log((a + 0.5) / (n1 - a + 0.5)) - math.log((b + 0.5) / (n0 - b + 0.5))) / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-            if abs(z) > 4:
-                ranked.append((-abs(z), token))
+            share = (a + b) / (n0 + n1)
+            gain = 2 * sum(x * math.log(x / (share * n)) for x, n in ((a, n1), (b, n0)) if x)  # likelihood ratio of two rates against one
+            if gain > 16:
+                ranked.append((-gain, token))
     chosen = {token: i for i, (_, token) in enumerate(sorted(ranked)[:MAX_FEATURES])}
     dense = np.array([proportions(t) for t, _ in rows])
     row = np.array([i for i, s in enumerate(found) for t in s if t in chosen], dtype=np.int64)
@@ -182,7 +185,7 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
         others = (F.col("s") - _sigmoid(F.col(head)) + k * F.col("host_mean")) / (F.col("n") - 1 + k)
         move = F.least(F.greatest(_logit(others) - _logit(F.lit(mean)), F.lit(-REACH)), F.lit(REACH))
         out = out.withColumn(f"p_{head}", F.round(_sigmoid(F.col(head) + move), 6)).drop("h", "p", "n", "s", "host_mean")
-    return out.select("doc_id", "p_quality", "p_toxic", ((F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5)).alias("kept"))
+    return out.select("doc_id", "p_quality", "p_toxic", ((F.col("p_quality") >= LEAST_QUALITY) & (F.col("p_toxic") < MOST_TOXIC)).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
