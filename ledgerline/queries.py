@@ -397,6 +397,94 @@ def findings(spark, sf_dir) -> DataFrame:
 FINDINGS_SQL = f"WITH {bindings.SECURITY_CTE}, m AS (SELECT report_period, CAST(sum(issuance_cents) AS BIGINT) AS upb FROM sec GROUP BY 1) SELECT report_period, upb, round(CAST(upb AS DOUBLE) / lag(upb) OVER (ORDER BY report_period) - 1, 10) AS change, report_period = (SELECT report_period FROM m ORDER BY upb DESC, report_period LIMIT 1) AS peak, report_period = (SELECT report_period FROM m ORDER BY upb, report_period LIMIT 1) AS trough FROM m"
 
 
+def raw_lines(spark, sf_dir) -> DataFrame:
+    """Delimited lines of two record types and uneven widths, in files by user."""
+    e = table(spark, sf_dir, "events")
+    extra = F.when(F.col("event_id") % 10 == 0, "|x").when(F.col("event_id") % 15 == 0, "|").otherwise("")
+    return e.select(F.concat(F.lit("f"), (F.col("user_id") % 7).cast("string")).alias("file"), F.concat(F.col("event_type"), F.lit("|"), F.col("user_id").cast("string"), extra).alias("value"))
+
+
+PROFILE_SQL = """WITH l AS (SELECT 'f' || CAST(user_id % 7 AS VARCHAR) AS file, event_type AS record_type, 2 + CASE WHEN event_id % 10 = 0 OR event_id % 15 = 0 THEN 1 ELSE 0 END AS width FROM events)
+SELECT file, record_type, CAST(width AS INT) AS width, count(*) AS rows FROM l GROUP BY 1, 2, 3"""
+
+
+def family_match(spark, sf_dir) -> DataFrame:
+    """Families and months from file names, and why a name is not taken."""
+    names = table(spark, sf_dir, "orders").select(F.concat(F.when(F.col("o_orderkey") % 5 == 0, "XX").when(F.col("o_orderkey") % 2 == 0, "IS").otherwise("LL"), F.lit("_"), F.date_format("o_orderdate", "yyyyMM"), F.when(F.col("o_orderkey") % 9 == 0, ".txt").otherwise(".zip")).alias("file")).distinct()
+    families = {"issuance": r"^IS_((?:19|20)\d{2})(0[1-9]|1[0-2])\.zip$", "loans": r"^LL_((?:19|20)\d{2})(0[1-9]|1[0-2])\.zip$"}
+    family, period = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, pattern in families.items():
+        family = F.when(F.col("file").rlike(pattern), name).otherwise(family)
+        period = F.when(F.col("file").rlike(pattern), F.concat(F.regexp_extract("file", pattern, 1), F.lit("-"), F.regexp_extract("file", pattern, 2))).otherwise(period)
+    return names.select("file", family.alias("family"), period.alias("report_period"), F.when(family.isNull(), "no family matches").alias("blocker"))
+
+
+FAMILY_SQL = """WITH n AS (SELECT DISTINCT CASE WHEN o_orderkey % 5 = 0 THEN 'XX' WHEN o_orderkey % 2 = 0 THEN 'IS' ELSE 'LL' END || '_' || strftime(o_orderdate, '%Y%m') || CASE WHEN o_orderkey % 9 = 0 THEN '.txt' ELSE '.zip' END AS file FROM orders),
+f AS (SELECT file, CASE WHEN file LIKE 'IS%.zip' THEN 'issuance' WHEN file LIKE 'LL%.zip' THEN 'loans' END AS family FROM n)
+SELECT file, family, CASE WHEN family IS NOT NULL THEN substr(file, 4, 4) || '-' || substr(file, 8, 2) END AS report_period, CASE WHEN family IS NULL THEN 'no family matches' END AS blocker FROM f"""
+
+
+def header_hashes(spark, sf_dir) -> DataFrame:
+    """Hashes of ordered headers, one for each nation's variant."""
+    n = table(spark, sf_dir, "nation")
+    columns = F.when(F.col("n_nationkey") % 3 == 0, F.array(F.lit("Prefix"), F.lit("Status"))).otherwise(F.array(F.lit("Prefix"), F.col("n_name"), F.lit("UPB")))
+    return n.select("n_nationkey", F.size(columns).alias("width"), population.header_hash(columns).alias("header_sha256"), S.record_hash(F.col("n_name"), F.when(F.col("n_nationkey") > 5, F.col("n_regionkey"))).alias("record_sha256"))
+
+
+HEADER_SQL = "SELECT n_nationkey, CAST(CASE WHEN n_nationkey % 3 = 0 THEN 2 ELSE 3 END AS INT) AS width, sha256(CASE WHEN n_nationkey % 3 = 0 THEN 'Prefix|Status' ELSE 'Prefix|' || n_name || '|UPB' END) AS header_sha256, sha256(n_name || chr(31) || coalesce(CAST(CASE WHEN n_nationkey > 5 THEN n_regionkey END AS VARCHAR), '')) AS record_sha256 FROM nation"
+
+
+def stale_sources(spark, sf_dir) -> DataFrame:
+    """Loan files to build again: another row count, or built under another fingerprint."""
+    from .plans.release import stale
+
+    now = bindings.loans(spark, sf_dir).groupBy("source_file", "report_period").agg(F.count("*").alias("rows")).select(F.concat_ws("/", "report_period", "source_file").alias("source_file"), F.lit("c").alias("checksum"), "rows")
+    built = now.withColumn("rows", F.when(F.col("rows") % 5 == 0, F.col("rows") + 1).otherwise(F.col("rows"))).withColumn("fingerprint", F.when(F.col("source_file").endswith("F3"), "old").otherwise("new"))
+    return stale(now, built, "new").select("source_file", "rows")
+
+
+STALE_SQL = f"WITH {bindings.LOAN_CTE}, n AS (SELECT report_period || '/' || source_file AS source_file, count(*) AS rows FROM loan GROUP BY report_period, source_file, 1) SELECT source_file, rows FROM n WHERE rows % 5 = 0 OR source_file LIKE '%F3'"
+
+
+def constant_columns(spark, sf_dir) -> DataFrame:
+    """Columns that are not constant within a month and file, so cannot move into the path."""
+    from .plans.release import constant_columns as varying
+
+    loans = bindings.loans(spark, sf_dir).select(F.concat_ws("/", "report_period", "source_file").alias("part"), "as_of_timestamp", "prefix", "report_period")
+    return varying(loans, "part", ["as_of_timestamp", "prefix", "report_period"])
+
+
+CONSTANT_SQL = f"WITH {bindings.LOAN_CTE} SELECT report_period || '/' || source_file AS part, count(DISTINCT as_of_timestamp) AS as_of_timestamp, count(DISTINCT prefix) AS prefix, count(DISTINCT report_period) AS report_period FROM loan GROUP BY report_period || '/' || source_file HAVING count(DISTINCT as_of_timestamp) > 1 OR count(DISTINCT prefix) > 1 OR count(DISTINCT report_period) > 1"
+
+
+def fingerprint(spark, sf_dir) -> DataFrame:
+    """The order-free fingerprint of a cube."""
+    return verify.snapshot(metric(spark, sf_dir, ("issuance_volume",))).select("rows", F.col("fingerprint").cast("string").alias("fingerprint"))
+
+
+FINGERPRINT_SQL = f"SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', contract_id, component, report_period, correction_view, grain, dimension, member, numerator, coalesce(denominator, ''), CAST(observations AS VARCHAR))), 1, 8) AS BIGINT)) AS VARCHAR) AS fingerprint FROM ({cube_sql.contract_sql('issuance_volume')})"
+
+
+def event_windows(spark, sf_dir) -> DataFrame:
+    """The streaming windows, over the whole table as a batch."""
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum(F.col("value").cast("decimal(20,4)")).cast("double"), 4).alias("total"))
+    return out.select(F.date_format("w.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", "total")
+
+
+EVENT_WINDOWS_SQL = "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(CAST(sum(CAST(value AS DECIMAL(20,4))) AS DOUBLE), 4) AS total FROM events GROUP BY 1, 2"
+
+
+def event_sessions(spark, sf_dir) -> DataFrame:
+    """Sessions of each user, cut at half an hour without events."""
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = e.groupBy(F.session_window("ts", "30 minutes").alias("s"), "user_id").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
+    return out.select("user_id", "n", "first_event")
+
+
+EVENT_SESSIONS_SQL = "WITH a AS (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS cut FROM events), b AS (SELECT *, sum(cut) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM a) SELECT user_id, count(*) AS n, min(event_id) AS first_event FROM b GROUP BY user_id, s"
+
+
 def _check(of: Callable[[SparkSession, str], DataFrame]) -> Query:
     """Counts the rows that break an invariant."""
     return lambda s, d: of(s, d).agg(F.count("*").alias("broken"))
@@ -465,6 +553,14 @@ def queries() -> dict[str, Query]:
         "payload_series": series,
         "payload_concentration": concentration,
         "payload_findings": findings,
+        "record_profile": lambda s, d: population.profile(raw_lines(s, d)),
+        "family_match": family_match,
+        "header_hashes": header_hashes,
+        "stale_sources": stale_sources,
+        "constant_columns": constant_columns,
+        "cube_fingerprint": fingerprint,
+        "event_windows": event_windows,
+        "event_sessions": event_sessions,
     }
     for contract in verify.CONTRACTS:
         out[f"metric_{contract}"] = lambda s, d, c=contract: as_text(metric(s, d, (c,)))
@@ -502,6 +598,14 @@ def oracle_sql() -> dict[str, str]:
         "payload_series": SERIES_SQL,
         "payload_concentration": CONCENTRATION_SQL,
         "payload_findings": FINDINGS_SQL,
+        "record_profile": PROFILE_SQL,
+        "family_match": FAMILY_SQL,
+        "header_hashes": HEADER_SQL,
+        "stale_sources": STALE_SQL,
+        "constant_columns": CONSTANT_SQL,
+        "cube_fingerprint": FINGERPRINT_SQL,
+        "event_windows": EVENT_WINDOWS_SQL,
+        "event_sessions": EVENT_SESSIONS_SQL,
     }
     for contract in verify.CONTRACTS:
         if contract in ("delinquency_roll_cure", "new_delinquency_redefault"):
