@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-import re
 import uuid
 from pathlib import Path
 
@@ -29,7 +28,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bounded, shared_dir, stage
+from .common import shared_dir, stage
 
 VOCABULARIES = "/opt/tokenizers"
 END = 50256
@@ -40,13 +39,7 @@ ROUNDS = 6
 
 
 class Tokenizer:
-    """``encode`` of the byte-level BPE, as little-endian 16-bit ids, equal to encoding the whole text.
-
-    The vocabulary's pattern starts a new piece at a space before a non-space, so a text cut at single spaces
-    can be encoded piece by piece, and repeated pieces come from a bounded cache. Texts with white space on
-    both sides of a space, or at the end after other white space, are encoded whole."""
-
-    ODD = re.compile(r"\s \s|\s $|  ")
+    """The byte-level BPE; ``encode`` gives little-endian 16-bit ids."""
 
     def __init__(self, path: str = VOCABULARIES):
         import public_tokenizers
@@ -54,18 +47,9 @@ class Tokenizer:
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, (Path(path) / "byte_bpe_50k.tiktoken").read_bytes().splitlines())}
         self.bpe = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.pieces = Bounded(self._encode, 250_000)
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.bpe.encode_ordinary(text), "<u2").tobytes()
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.ODD.search(text):
-            return self._encode(text)
-        first, *rest = text.split(" ")
-        return self.pieces[first] + b"".join(map(self.pieces.__getitem__, [" " + x for x in rest]))
+        return self.bpe.encode_to_numpy(text).astype("<u2").tobytes() if text else b""
 
     def decode(self, ids: bytes) -> str:
         return self.bpe.decode(np.frombuffer(ids, "<u2").tolist())
