@@ -1,17 +1,18 @@
 """Token ids in training order, as fixed-stride binary shards.
 
-The documents' tokens, each document followed by an end token, are one stream in the order of the input's
-files and rows; every ``length`` tokens make a sequence. A keyed Feistel permutation with cycle-walking
-gives sequence s its slot among all N; ranges of slots go to partitions, which write shards of
-``slots_per_shard`` sequences of ``length`` 16-bit ids. Slot t lies at byte ``t % slots_per_shard * length * 2``
-of shard ``t // slots_per_shard``, so a reader resumes at any slot.
-
-A first pass counts tokens by input split, from which each split's place in the stream follows; the second
-cuts the stream and deals it out. Nothing depends on how splits are grouped into tasks, so retries and
-reruns over the same files write the same bytes.
-
-Cases: null or empty text is its end token only; the last sequence is padded with the end token; repeated
-rows are written each; without documents there is no sequence and no shard.
+The documents of each input split, each followed by an end token, are one stream in the file's order; every
+``length`` tokens make a sequence, the last of a split padded. A byte-level vocabulary never has more tokens
+than bytes, so byte counts by split bound each split's sequences without encoding anything: sequence i of a
+split is number start + i in a domain of known size. A keyed Feistel permutation with cycle-walking moves the
+numbers over the domain; ranges of images go to partitions, which write one shard each, in order of images,
+at a stride of ``length`` 16-bit ids. A sequence's global slot is the rank of its image: the sequences of the
+shards before, which the index counts, plus its place. A reader resumes at any slot from index and stride.
+
+Texts are encoded once. Nothing depends on how splits are grouped into tasks, so retries and reruns over the
+same files write the same bytes.
+
+Cases: null or empty text is its end token only; repeated rows are written each; without documents there is
+no sequence and no shard.
 """
 
 from __future__ import annotations
@@ -28,12 +29,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, stage
+from .common import shared_dir, small, stage
 
 VOCABULARIES = "/opt/tokenizers"
 END = 50256
 LENGTH = 1024
-SLOTS_PER_SHARD = 8192
+#: Numbers of the domain in one shard; a third to a half of them are sequences.
+NUMBERS_PER_SHARD = 16384
 KEY = 0x5EED
 ROUNDS = 6
 
@@ -104,16 +106,21 @@ def _runs(batches, make):
 class Shard:
     """The shard being written, under a name of its own until it is whole: a lost or doubled attempt leaves no half shard."""
 
-    def __init__(self, store, base: str):
-        self.store, self.base, self.number, self.stream = store, base, None, None
+    def __init__(self, store, base: str, length: int):
+        self.store, self.base, self.length, self.number, self.stream = store, base, length, None, None
+        self.end = np.array([END], "<u2").tobytes()
 
-    def write(self, number: int, data: bytes) -> None:
+    def write(self, number: int, body: bytes) -> tuple[int, int, str]:
+        """Place in the shard, tokens and hash of one sequence."""
         if number != self.number:
             self.close()
-            self.number, self.name = number, f"{self.base}/shard-{number:08d}.bin"
+            self.number, self.place, self.name = number, 0, f"{self.base}/shard-{number:08d}.bin"
             self.partial = f"{self.name}.{uuid.uuid4().hex}"
             self.stream = self.store.open_output_stream(self.partial)
-        self.stream.write(data)
+        n = len(body) // 2
+        self.stream.write(body + self.end * (self.length - n))
+        self.place += 1
+        return self.place - 1, n, hashlib.sha256(body).hexdigest()
 
     def close(self) -> None:
         if self.stream is not None:
@@ -122,95 +129,94 @@ class Shard:
             self.stream = None
 
 
-def materialise(docs: DataFrame, out: str | None = None, length: int = LENGTH, slots_per_shard: int = SLOTS_PER_SHARD, key: int = KEY, vocabularies: str = VOCABULARIES) -> tuple[DataFrame, str]:
+INDEX = "shard long, place long, sequence long, byte_offset long, n_tokens long, doc_ids array<long>, sha256 string"
+
+
+def materialise(docs: DataFrame, out: str | None = None, length: int = LENGTH, numbers_per_shard: int = NUMBERS_PER_SHARD, key: int = KEY, vocabularies: str = VOCABULARIES) -> tuple[DataFrame, str]:
     """Writes the shards below ``out`` (by default in the shared folder); returns one row per sequence, and ``out``.
 
     Columns: slot, sequence, shard, byte_offset, n_tokens (without padding), doc_ids (in order), sha256."""
     spark = docs.sparkSession
     out = out or f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     placed = _placed(docs.withColumn("doc_id", F.col("doc_id").cast("long")) if dict(docs.dtypes)["doc_id"] != "bigint" else docs)
+    most = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1)
+    bounds = placed.groupBy("split").agg(F.ceil(most / length).alias("n")).collect()  # one row for each input split
+    starts, domain = {}, 0
+    for split, n in sorted((r["split"], r["n"]) for r in bounds):
+        starts[split], domain = domain, domain + n
+    shards = -(-domain // numbers_per_shard)
+    shared = spark.sparkContext.broadcast(starts)
 
     def make():
         return Tokenizer(vocabularies)
 
-    def count(batches):
-        n: dict[str, int] = {}
-        for split, _, coded in _runs(batches, make):
-            n[split] = n.get(split, 0) + sum(map(len, coded)) // 2
-        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["split", "n"])
-
-    counted = placed.mapInArrow(count, "split string, n long").groupBy("split").agg(F.sum("n").alias("n")).collect()  # one row for each input split
-    starts, total = {}, 0
-    for split, n in sorted((r["split"], r["n"]) for r in counted):
-        starts[split], total = total, total + n
-    n_sequences = -(-total // length)
-    shards = -(-n_sequences // slots_per_shard)
-    shared = spark.sparkContext.broadcast(starts)
-
     def deal(batches):
         at: dict[str, int] = {}
         for split, ids, coded in _runs(batches, make):
-            slots, offsets, payload, owners = [], [], [], []
-            position = at.get(split, shared.value[split])
+            numbers, offsets, payload, owners = [], [], [], []
+            start, position = shared.value[split], at.get(split, 0)
             for doc, tokens in zip(ids, coded):
                 i, n = 0, len(tokens) // 2
                 while i < n:
                     sequence, offset = divmod(position, length)
                     take = min(n - i, length - offset)
-                    slots.append(sequence)
+                    numbers.append(start + sequence)
                     offsets.append(offset)
                     payload.append(tokens[2 * i : 2 * (i + take)])
                     owners.append(doc)
                     i, position = i + take, position + take
             at[split] = position
-            sequences = np.array(slots, np.int64)
-            for i in range(0, len(slots), 20_000):
+            sequences = np.array(numbers, np.int64)
+            for i in range(0, len(numbers), 20_000):
                 part = slice(i, i + 20_000)
-                slot = permuted(sequences[part], n_sequences, key)
-                yield pa.RecordBatch.from_arrays([pa.array(slot // slots_per_shard), pa.array(slot), pa.array(sequences[part]), pa.array(offsets[part], pa.int32()), pa.array(owners[part], pa.int64()), pa.array(payload[part], pa.binary())], ["shard", "slot", "sequence", "at", "doc_id", "ids"])
+                image = permuted(sequences[part], domain, key)
+                yield pa.RecordBatch.from_arrays([pa.array(image // numbers_per_shard), pa.array(image), pa.array(sequences[part]), pa.array(offsets[part], pa.int32()), pa.array(owners[part], pa.int64()), pa.array(payload[part], pa.binary())], ["shard", "image", "sequence", "at", "doc_id", "ids"])
 
-    dealt = placed.mapInArrow(deal, "shard long, slot long, sequence long, at int, doc_id long, ids binary")
+    dealt = placed.mapInArrow(deal, "shard long, image long, sequence long, at int, doc_id long, ids binary")
     parts = max(1, min(shards, 200_000))
-    ranged = dealt.repartitionById(parts, F.floor(F.col("shard") * parts / max(1, shards)).cast("int")).sortWithinPartitions("slot", "at")
+    ranged = dealt.repartitionById(parts, F.floor(F.col("shard") * parts / max(1, shards)).cast("int")).sortWithinPartitions("image", "at")
 
     def write(batches):
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(out)
         store.create_dir(base, recursive=True)
-        shard = Shard(store, base)
-        slot, held, end = -1, [], np.array([END], "<u2").tobytes()
+        file = Shard(store, base, length)
+        names = INDEX.replace(",", "").split()[::2]
 
         def rows(done):
-            slots, seqs, owners, sizes, sums = [], [], [], [], []
-            for t, fragments in done:
-                body = b"".join(f[2] for f in fragments)
-                shard.write(t // slots_per_shard, body + end * (length - len(body) // 2))
-                slots.append(t)
-                seqs.append(fragments[0][0])
-                owners.append(list(dict.fromkeys(f[1] for f in fragments if f[1] is not None)))
-                sizes.append(len(body) // 2)
-                sums.append(hashlib.sha256(body).hexdigest())
-            t = np.array(slots, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(t), pa.array(seqs, pa.int64()), pa.array(t // slots_per_shard), pa.array(t % slots_per_shard * length * 2), pa.array(sizes, pa.int64()), pa.array(owners, pa.list_(pa.int64())), pa.array(sums, pa.string())], ["slot", "sequence", "shard", "byte_offset", "n_tokens", "doc_ids", "sha256"])
-
+            made = [(shard, *file.write(shard, b"".join(f[2] for f in fragments)), fragments) for shard, fragments in done]
+            columns = [
+                pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[4][0][0] for m in made], pa.int64()), pa.array([m[1] * length * 2 for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64()),
+                pa.array([list(dict.fromkeys(f[1] for f in m[4] if f[1] is not None)) for m in made], pa.list_(pa.int64())), pa.array([m[3] for m in made], pa.string()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        image, shard, held = -1, -1, []
         for batch in batches:
             done = []
-            for t, s, doc, ids in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("slot", "sequence", "doc_id", "ids"))):
-                if t != slot:
+            for of, t, s, doc, ids in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("shard", "image", "sequence", "doc_id", "ids"))):
+                if t != image:
                     if held:
-                        done.append((slot, held))
-                    slot, held = t, []
+                        done.append((shard, held))
+                    image, shard, held = t, of, []
                 held.append((s, doc, ids))
             if done:
                 yield rows(done)
         if held:
-            yield rows([(slot, held)])
-        shard.close()
+            yield rows([(shard, held)])
+        file.close()
 
-    written = stage(ranged.mapInArrow(write, "slot long, sequence long, shard long, byte_offset long, n_tokens long, doc_ids array<long>, sha256 string"), "tokens-index")
-    _describe(out, {"sequences": n_sequences, "tokens": total, "length": length, "slots_per_shard": slots_per_shard, "shards": shards, "key": key, "end": END, "dtype": "<u2"})
-    return written, out
+    written = stage(ranged.mapInArrow(write, INDEX), "tokens-index")
+    counts = sorted((r["shard"], r["count"]) for r in written.groupBy("shard").count().collect())  # one row for each shard
+    before, sofar = [], 0
+    for shard, n in counts:
+        before.append((shard, sofar))
+        sofar += n
+    _describe(out, {"sequences": sofar, "length": length, "shards": counts, "key": key, "end": END, "dtype": "<u2"})
+    offsets = small(spark.createDataFrame(before, "shard long, before long"))
+    slots = written.join(offsets, "shard").select((F.col("before") + F.col("place")).alias("slot"), "sequence", "shard", "byte_offset", "n_tokens", "doc_ids", "sha256")
+    return slots, out
 
 
 def _describe(out: str, facts: dict) -> None:
@@ -228,13 +234,13 @@ def read_slots(out: str, start: int, n: int) -> np.ndarray:
 
     store, base = fs.FileSystem.from_uri(out)
     facts = json.loads(store.open_input_stream(f"{base}/index.json").read())
-    length, per = facts["length"], facts["slots_per_shard"]
-    rows = []
-    while n > 0 and start < facts["sequences"]:
-        take = min(n, per - start % per, facts["sequences"] - start)
-        with store.open_input_file(f"{base}/shard-{start // per:08d}.bin") as f:
-            rows.append(np.frombuffer(f.read_at(take * length * 2, start % per * length * 2), facts["dtype"]).reshape(take, length))
-        start, n = start + take, n - take
+    length, first, rows = facts["length"], 0, []
+    for shard, size in facts["shards"]:
+        low, high = max(start, first), min(start + n, first + size)
+        if low < high:
+            with store.open_input_file(f"{base}/shard-{shard:08d}.bin") as f:
+                rows.append(np.frombuffer(f.read_at((high - low) * length * 2, (low - first) * length * 2), facts["dtype"]).reshape(-1, length))
+        first += size
     return np.concatenate(rows) if rows else np.zeros((0, length), facts["dtype"])
 
 
