@@ -35,9 +35,8 @@ from .common import Bounded, stage
 WIDTH = 13
 ANCHOR = 5
 SHARD_WORDS = 100_000
-#: Rows that a task reduces at once, and bytes of spans that a broadcast may hold.
+#: Rows that a task reduces at once.
 COMBINE_ROWS = 2_000_000
-BROADCAST_BYTES = 64 << 20
 
 
 def _hasher():
@@ -307,9 +306,9 @@ def reduced(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept: the words that stay, joined by single spaces."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spans = repeated_windows(docs)
-    by_doc = stage(spans.groupBy("doc").agg(F.collect_list(F.struct("text_key", "a", "b")).alias("spans")), "substring-by-doc")
-    size = by_doc.agg(F.sum(F.size("spans") * 16 + 32)).first()[0] or 0
-    joined = docs.join(F.broadcast(by_doc) if size <= BROADCAST_BYTES else by_doc, docs["doc_id"] == by_doc["doc"], "left").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("key"), "spans")
+    # Always dealt out by doc_id: a broadcast up to some size would make small inputs cheaper than large ones foretell.
+    by_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("text_key", "a", "b")).alias("spans"))
+    joined = docs.join(by_doc, docs["doc_id"] == by_doc["doc"], "left").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("key"), "spans")
 
     def run(batches):
         for batch in batches:
