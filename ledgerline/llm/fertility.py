@@ -1,6 +1,6 @@
 """Quality rules by tokeniser fertility.
 
-Each word is encoded by two public vocabularies as it stands in running text (after a space): a byte-level
+The words of a text, joined by single spaces, are encoded by two public vocabularies: a byte-level
 BPE gives characters per token and the entropy of the document's tokens, a BPE with byte fallback gives the
 share of tokens that are single bytes. For each language (or, where that is null, script) robust quantiles
 over all documents make a band for each measure; documents outside a band are rejected.
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Bounded, annotate, small, stage
+from .common import annotate, small, stage
 
 VOCABULARIES = "/opt/tokenizers"
 MEASURES = ("chars_per_token", "byte_share", "entropy")
@@ -34,7 +34,9 @@ _SPACES, _SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 
 
 class Vocabularies:
-    """Word -> (ids under the byte-level BPE, tokens under the other, of these single bytes)."""
+    """Encodes running text: words joined by single spaces, a space before the first."""
+
+    BLOCK = 4000
 
     def __init__(self, path: str = VOCABULARIES):
         import public_tokenizers
@@ -46,10 +48,21 @@ class Vocabularies:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=str(Path(path) / "piece_bpe_32k.model"))
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
 
-    def __call__(self, word: bytes) -> tuple:
-        text = word.decode("utf-8", "replace")
-        ids = self.pieces.encode(text)
-        return tuple(self.bpe.encode_ordinary(" " + text)), len(ids), int(self.is_byte[ids].sum())
+    def counts(self, words: list[bytes]) -> tuple[np.ndarray, int, int]:
+        """How often each id of the byte-level BPE occurs; tokens under the other vocabulary; single bytes among these.
+
+        Words are encoded in blocks, as no token crosses a space."""
+        times, n, n_bytes = np.zeros(0, np.int64), 0, 0
+        for i in range(0, len(words), self.BLOCK):
+            text = b" ".join(words[i : i + self.BLOCK]).decode("utf-8", "replace")
+            found = np.bincount(self.bpe.encode_to_numpy(" " + text))
+            if len(found) > len(times):
+                times, found = found, times
+            times[: len(found)] += found
+            ids = self.pieces.encode(text, num_threads=1)
+            n += len(ids)
+            n_bytes += int(self.is_byte[ids].sum())
+        return times, n, n_bytes
 
 
 def repeated_words(ids: np.ndarray, width: int = 5) -> int:
@@ -62,11 +75,11 @@ def repeated_words(ids: np.ndarray, width: int = 5) -> int:
     mixed ^= mixed >> np.uint64(29)
     for j in range(width):
         h = h * np.uint64(0xBF58476D1CE4E5B9) + mixed[j : j + n]
-    _, first, inverse, counts = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-    twice = counts[inverse] > 1
-    if not twice.any():
+    ordered = np.sort(h)
+    if not (ordered[1:] == ordered[:-1]).any():
         return 0
-    at = np.flatnonzero(twice)
+    _, first, inverse, counts = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+    at = np.flatnonzero(counts[inverse] > 1)
     same = np.ones(len(at), bool)
     for j in range(width):
         same &= ids[at + j] == ids[first[inverse[at]] + j]
@@ -109,20 +122,14 @@ def measure(text: bytes | None, vocabulary) -> tuple:
     text = text or b""
     ws = text.split()
     n_chars = len(text.translate(None, _SPACES).decode("utf-8", "replace"))
-    place: dict = {}
-    ids = np.fromiter((place.setdefault(w, len(place)) for w in ws), np.int64, len(ws))
-    times = np.bincount(ids, minlength=len(place)) if len(ws) else np.zeros(0, np.int64)
-    coded = [vocabulary[w] for w in place]
-    sizes = np.fromiter((len(c[0]) for c in coded), np.int64, len(coded))
-    tokens = int(sizes @ times)
-    flat = np.fromiter((t for c in coded for t in c[0]), np.int64, int(sizes.sum()))
-    hist = np.bincount(flat, weights=np.repeat(times, sizes)) if len(flat) else np.zeros(0)
-    p = hist[hist > 0] / max(1, tokens)
-    pieces = int(np.fromiter((c[1] for c in coded), np.int64, len(coded)) @ times)
-    bytes_ = int(np.fromiter((c[2] for c in coded), np.int64, len(coded)) @ times)
+    place = {w: i for i, w in enumerate(dict.fromkeys(ws))}
+    ids = np.fromiter(map(place.__getitem__, ws), np.int64, len(ws))
+    times, pieces, single = vocabulary.counts(ws)
+    tokens = int(times.sum())
+    p = times[times > 0] / max(1, tokens)
     return (
         len(ws), n_chars, len(text) - len(text.translate(None, _SYMBOLS)), duplicate_lines(text), repeated_words(ids), tokens,
-        n_chars / tokens if tokens else 0.0, bytes_ / pieces if pieces else 0.0, float(-(p * np.log2(p)).sum()) if len(p) else 0.0, script(text),
+        n_chars / tokens if tokens else 0.0, single / pieces if pieces else 0.0, float(-(p * np.log2(p)).sum()) if len(p) else 0.0, script(text),
     )
 
 
@@ -130,7 +137,7 @@ def measures(docs: DataFrame, vocabularies: str = VOCABULARIES) -> DataFrame:
     """The columns of ``docs`` and the measures of each text."""
 
     def make():
-        vocabulary = Bounded(Vocabularies(vocabularies), 200_000)
+        vocabulary = Vocabularies(vocabularies)
         kinds = [pa.int64()] * 6 + [pa.float64()] * 3 + [pa.string()]
 
         def run(texts):
