@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from .common import annotate, small, stage
 
-TRAIN_ROWS = 6000
+TRAIN_ROWS = 3000
 TRAIN_CHARS = 60_000
 SEED = 7
 REACH = 0.7
