@@ -24,8 +24,11 @@ result.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +37,8 @@ from .common import Bounded, stage
 
 WIDTH = 13
 ANCHOR = 5
-SHARD_WORDS = 100_000
+#: A shard of more words (or a group of more rows) is not built.
+SHARD_WORDS, SHARD_ROWS = 100_000, 200_000
 #: Rows that a task reduces at once.
 COMBINE_ROWS = 2_000_000
 
@@ -211,27 +215,51 @@ def _reduced(hs: list[np.ndarray], ds: list[np.ndarray]):
         yield pa.RecordBatch.from_arrays([pa.array(h[cut[:-1]]), pa.array(d[cut[:-1]]), more], ["h", "doc", "more"])
 
 
+_PASSAGE = "h long, passage binary, doc long, text_key long, start int, n int"
+
+
 def passages(docs: DataFrame) -> DataFrame:
-    """h, passage, and parallel arrays docs, texts (keys), starts: one row for each passage that a task has."""
+    """h, passage (words of all windows with that anchor, joined), doc, text_key, start (first window), n (windows)."""
     shared = shared_anchors(docs)
-    joined = docs.join(shared, docs["doc_id"] == shared["owner"]).select("doc_id", "text", F.xxhash64("text").alias("key"), "anchors")
+    joined = docs.where("text is not null").join(shared, docs["doc_id"] == shared["owner"]).select("doc_id", "text", F.xxhash64("text").alias("key"), "anchors")
 
     def run(batches):
         hashed = _hasher()
         for batch in batches:
-            found: dict = {}
-            for doc, text, key, wanted in zip(*(_column(batch, c).to_pylist() for c in ("doc_id", "text", "key")), _column(batch, "anchors")):
-                ws = text.encode().split()
+            hs, ps, starts, ns, rows = [], [], [], [], []
+            for text, wanted in zip(_column(batch, "text").cast(pa.binary()).to_pylist(), _column(batch, "anchors")):
+                ws = text.split()
                 h, first, last = anchors(ws, hashed)
-                for i in np.flatnonzero(np.isin(h, wanted.values.to_numpy())):
-                    a = int(first[i])
-                    found.setdefault((int(h[i]), b" ".join(ws[a : last[i] + WIDTH])), []).append((doc, key, a))
-            for some in _chunks(found.items(), 20_000):
-                owners = [o for _, o in some]
-                lists = [pa.array([[x[k] for x in o] for o in owners], pa.list_(t)) for k, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.int32()))]
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in some], pa.int64()), pa.array([k[1] for k, _ in some], pa.binary()), *lists], ["h", "passage", "docs", "texts", "starts"])
+                at = np.flatnonzero(np.isin(h, wanted.values.to_numpy()))
+                joined_text = b" ".join(ws)
+                begin = np.r_[0, np.cumsum(np.fromiter(map(len, ws), np.int64, len(ws)) + 1)]
+                ps += [joined_text[x:y] for x, y in zip(begin[first[at]].tolist(), (begin[last[at] + WIDTH] - 1).tolist())]
+                hs.append(h[at])
+                starts.append(first[at])
+                ns.append(last[at] - first[at] + 1)
+                rows.append(len(at))
+            h, start, n = np.concatenate(hs), np.concatenate(starts).astype(np.int32), np.concatenate(ns).astype(np.int32)
+            doc, key = (np.repeat(_column(batch, c).to_numpy(), rows) for c in ("doc_id", "key"))
+            for i in range(0, len(h), 50_000):
+                part = slice(i, i + 50_000)
+                yield pa.RecordBatch.from_arrays([pa.array(h[part]), pa.array(ps[part], pa.binary()), *(pa.array(c[part]) for c in (doc, key, start, n))], ["h", "passage", "doc", "text_key", "start", "n"])
+
+    return joined.mapInArrow(run, _PASSAGE)
+
+
+_SPANS = "doc long, text_key long, a int, b int, words binary"
+
 
-    return joined.mapInArrow(run, "h long, passage binary, docs array<long>, texts array<long>, starts array<int>")
+def _spans_batch(doc, key, a, b, words=None) -> pa.RecordBatch:
+    words = pa.nulls(len(doc), pa.binary()) if words is None else pa.array(words, pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), words], ["doc", "text_key", "a", "b", "words"])
+
+
+def _windows(rows):
+    """Every window of (passage, doc, text key, start) by itself."""
+    for some in _chunks(((doc, key, start + i, b" ".join(ws[i : i + WIDTH])) for p, doc, key, start in rows for ws in (p.split(b" "),) for i in range(len(ws) - WIDTH + 1)), 20_000):
+        doc, key, at, words = zip(*some)
+        yield _spans_batch(doc, key, at, at, words)
 
 
 def _chunks(items, n):
@@ -245,53 +273,71 @@ def _chunks(items, n):
         yield some
 
 
-_SPANS = "doc long, text_key long, a int, b int, words binary"
-
-
-def _spans_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc", "text_key", "a", "b", "words"])
+def _lists(table: pa.Table):
+    return zip(*(table.column(c).to_pylist() for c in ("passage", "doc", "text_key", "start")))
+
+
+def _solved(table: pa.Table):
+    """Spans from whole shards, in rows sorted by anchor and passage."""
+    h, doc, key, start, n = (table.column(c).to_numpy() for c in ("h", "doc", "text_key", "start", "n"))
+    passage = table.column("passage").combine_chunks()
+    other = np.r_[True, h[1:] != h[:-1]]
+    first = np.flatnonzero(other)
+    group = np.cumsum(other) - 1
+    fresh = other.copy()
+    fresh[1:] |= pc.not_equal(passage[1:], passage[:-1]).to_numpy(zero_copy_only=False)
+    one = (np.add.reduceat(fresh.astype(np.int64), first) == 1)[group]
+    # A shard of one passage: its automaton is a line, and every window's least id is the passage's.
+    hit = np.flatnonzero(one & (doc > np.minimum.reduceat(doc, first)[group]))
+    yield _spans_batch(doc[hit], key[hit], start[hit], start[hit] + n[hit] - 1)
+    rest = np.flatnonzero(~one)
+    if not len(rest):
+        return
+    some, out, shard, current = table.take(rest), [], {}, None
+    for g, (p, d, k, at) in zip([*group[rest].tolist(), -1], chain(_lists(some), [(b"", 0, 0, 0)])):
+        if g != current:
+            if sum(x.count(b" ") + 1 for x in shard) > SHARD_WORDS:
+                yield from _windows((q, *o) for q, owners in shard.items() for o in owners)
+            elif shard:
+                out += covered(shard)
+            current, shard = g, {}
+            if len(out) > 20_000:
+                yield _spans_batch(*zip(*out))
+                out = []
+        shard.setdefault(p, []).append((d, k, at))
+    if out:
+        yield _spans_batch(*zip(*out))
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """doc, text_key, a, b: windows a..b of that text that also start in a document with a smaller doc_id."""
-    dealt = passages(docs).repartition("h").sortWithinPartitions("h")
+    dealt = passages(docs).repartition("h").sortWithinPartitions("h", "passage")
 
     def run(batches):
-        current, shard, n, large, out = None, {}, 0, False, []
-
-        def windows(held):
-            for p, owners in held.items():
-                ws = p.split(b" ")
-                for i in range(len(ws) - WIDTH + 1):
-                    w = b" ".join(ws[i : i + WIDTH])
-                    for doc, text, start in owners:
-                        yield (doc, text, start + i, start + i, w)
-
-        def close():
-            return [(*s, None) for s in covered(shard)] if shard and not large else []
-
+        held, large = None, None
         for batch in batches:
-            for h, p, ds, ts, ss in zip(*(_column(batch, c).to_pylist() for c in ("h", "passage", "docs", "texts", "starts"))):
-                if h != current:
-                    out += close()
-                    current, shard, n, large = h, {}, 0, False
-                owners = zip(ds, ts, ss)
-                if large:
-                    out += windows({p: list(owners)})
-                else:
-                    if p not in shard:
-                        n += p.count(b" ") + 1
-                    shard.setdefault(p, []).extend(owners)
-                    if n > SHARD_WORDS:
-                        out += windows(shard)
-                        shard, large = {}, True
-                if len(out) > 20_000:
-                    yield _spans_batch(out)
-                    out = []
-        out += close()
-        if out:
-            yield _spans_batch(out)
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table]).combine_chunks()
+            h = table.column("h").to_numpy()
+            if large is not None:
+                own = int((h == large).argmin()) if (h != large).any() else len(h)
+                yield from _windows(_lists(table.slice(0, own)))
+                table, h = table.slice(own), h[own:]
+                if not len(h):
+                    held = None
+                    continue
+                large = None
+            change = np.flatnonzero(h[1:] != h[:-1])
+            whole = int(change[-1]) + 1 if len(change) else 0
+            if whole:
+                yield from _solved(table.slice(0, whole))
+            held = table.slice(whole)
+            if len(held) > SHARD_ROWS:  # too many rows for one shard: window by window, for all of it
+                yield from _windows(_lists(held))
+                held, large = None, int(h[-1])
+        if held is not None and len(held):
+            yield from _solved(held)
 
     found = stage(dealt.mapInArrow(run, _SPANS), "substring-spans")
     single = found.where("words is not null")

@@ -263,9 +263,10 @@ def plain_substring(rows):
     return out
 
 
-@pytest.mark.parametrize("shard,rows", [(100_000, 2_000_000), (60, 50)])
-def test_substring(spark, docs, shard, rows, monkeypatch):
+@pytest.mark.parametrize("shard,group,rows", [(100_000, 200_000, 2_000_000), (60, 200_000, 50), (100_000, 1, 50)])
+def test_substring(spark, docs, shard, group, rows, monkeypatch):
     monkeypatch.setattr(substring, "SHARD_WORDS", shard)
+    monkeypatch.setattr(substring, "SHARD_ROWS", group)
     monkeypatch.setattr(substring, "COMBINE_ROWS", rows)
     found = by_id(substring.digests(docs))
     assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in found.items()} == plain_substring(list(enumerate(TEXTS)))
@@ -274,9 +275,9 @@ def test_substring(spark, docs, shard, rows, monkeypatch):
 def test_substring_repeated_ids(spark):
     """Rows of one doc_id don't reduce each other; rows without one are left alone."""
     text = " ".join(f"x{i}" for i in range(30))
-    df = spark.createDataFrame([(5, text), (5, text), (5, "pre " + text), (None, text), (7, "new " + text)], "doc_id long, text string")
+    df = spark.createDataFrame([(5, text), (5, text), (5, "pre " + text), (5, None), (None, text), (7, "new " + text)], "doc_id long, text string")
     rows = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in substring.digests(df).collect())
-    assert rows == [("5", 30, 0), ("5", 30, 0), ("5", 31, 0), ("7", 31, 30), ("None", 30, 0)]
+    assert rows == [("5", 0, 0), ("5", 30, 0), ("5", 30, 0), ("5", 31, 0), ("7", 31, 30), ("None", 30, 0)]
 
 
 def test_suffix_automaton():
