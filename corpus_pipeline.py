@@ -1,6 +1,6 @@
 """A training corpus from ``documents``, in five stages; part of subpackage ``llm``.
 
-Each stage reads what its predecessor wrote: quality classifier, SimHash near-dedup, benchmark
+Each stage reads what its predecessor wrote: quality classifier, near-dedup by shingle similarity, benchmark
 decontamination, mixing to target weights, token ids in training order. All but the last return the columns
 of documents; the last returns one row for each sequence of the shards it writes.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontam, mixing, quality, simhash, tokens
+from ledgerline.llm import decontam, mixing, near_dedup, quality, tokens
 from ledgerline.llm.common import read, stage
 
 
@@ -18,7 +18,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_first(docs)
+    return near_dedup.keep_first(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
