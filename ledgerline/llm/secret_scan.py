@@ -3,7 +3,7 @@
 Tokens of 20 and more characters with letters and digits get the narrowest encoding whose alphabet holds
 them. Three tests ask whether such a token could be drawn uniformly from that alphabet: chi-squared over
 equal classes of symbols, runs above and below the middle of the alphabet, and serial correlation at lag
-one; the smallest p-value, times three, is the token's p. Random tokens have near uniform p, ordinary ones
+one, each over all of the token; the smallest p-value, times three, is the token's p. Random tokens have near uniform p, ordinary ones
 small p. Over all documents, by encoding and length band, the share of random tokens is estimated from
 p > 1/2, and the least threshold is taken at which the expected share of ordinary tokens among those above
 it stays under ``rate``.
@@ -125,7 +125,7 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[dict]:
         if found is None:
             continue
         k, places = found
-        p = randomness(places[:4096], len(ENCODINGS[k][1])) if len(places) <= 4096 else min(randomness(places[i : i + 4096], len(ENCODINGS[k][1])) for i in range(0, len(places) - 4095, 4096))
+        p = randomness(places, len(ENCODINGS[k][1]))
         out.append({"start": m.start(), "end": m.end(), "group": k * 8 + band(len(token)), "bin": min(P_BINS - 1, int(p * P_BINS))})
     return out
 
