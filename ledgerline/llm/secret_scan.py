@@ -1,7 +1,9 @@
 """Secret scan: three fixed patterns, and random-looking strings found by a battery of randomness tests.
 
-Tokens of 20 and more characters with letters and digits get the narrowest encoding whose alphabet holds
-them. Three tests ask whether such a token could be drawn uniformly from that alphabet: chi-squared over
+Tokens of 20 and more characters, of digits or letters alone too, get the narrowest encoding whose alphabet
+holds them. A token that none holds (one of + and / beside one of - and _) is split at + and / and, once more,
+at - and _, and each part of 20 and more characters is tested; parts of the two splits may overlap, and so
+may the spans found. Three tests ask whether such a token could be drawn uniformly from that alphabet: chi-squared over
 equal classes of symbols, runs above and below the middle of the alphabet, and serial correlation at lag
 one, each over all of the token; the smallest p-value, times three, is the token's p. Random tokens have near uniform p, ordinary ones
 small p. Over all documents, by encoding and length band, the share of random tokens is estimated from
@@ -32,14 +34,19 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: What the randomness tests look at.
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Parts of tokens that fit no alphabet.
+PARTS = (re.compile(r"[A-Za-z0-9_-]{20,}={0,2}"), re.compile(r"[A-Za-z0-9+/]{20,}={0,2}"))
 
 ENCODINGS = (
     ("digits", "0123456789"),
     ("hex", "0123456789abcdef"),
     ("HEX", "0123456789ABCDEF"),
+    ("lower", "abcdefghijklmnopqrstuvwxyz"),
+    ("UPPER", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("base36", "0123456789abcdefghijklmnopqrstuvwxyz"),
     ("BASE36", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("letters", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base62", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
@@ -112,21 +119,25 @@ def band(n: int) -> int:
     return sum(n >= x for x in (28, 40, 64, 128))
 
 
+def pieces(token: str) -> list[tuple[int, int, int, list[int]]]:
+    """What is tested of a token: start, end, encoding and places; its parts if no alphabet holds all of it."""
+    found = encoding(token)
+    if found is not None:
+        return [(0, len(token), *found)]
+    spans = sorted({m.span() for pattern in PARTS for m in pattern.finditer(token)})
+    return [(a, b, *encoding(token[a:b])) for a, b in spans]
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[dict]:
-    """Tokens outside the base spans with letters and digits: start, end, group (encoding and band), bin of p."""
+    """Tokens outside the base spans: start, end, group (encoding and band), bin of p."""
     out = []
     for m in TOKEN.finditer(text):
-        token = m[0]
-        if not (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)):
-            continue
-        if any(s < m.end() and m.start() < e for s, _, e in taken):
-            continue
-        found = encoding(token)
-        if found is None:
-            continue
-        k, places = found
-        p = randomness(places, len(ENCODINGS[k][1]))
-        out.append({"start": m.start(), "end": m.end(), "group": k * 8 + band(len(token)), "bin": min(P_BINS - 1, int(p * P_BINS))})
+        for a, b, k, places in pieces(m[0]):
+            start, end = m.start() + a, m.start() + b
+            if any(s < end and start < e for s, _, e in taken):
+                continue
+            p = randomness(places, len(ENCODINGS[k][1]))
+            out.append({"start": start, "end": end, "group": k * 8 + band(end - start), "bin": min(P_BINS - 1, int(p * P_BINS))})
     return out
 
 
