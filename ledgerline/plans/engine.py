@@ -65,7 +65,7 @@ def verify_metrics(built: DataFrame, loans: DataFrame, securities: Mapping[str,
 
 def dashboard(built: DataFrame) -> dict[str, Any]:
     """Series of both views and concentrations, as plain values; one row per month and dimension."""
-    out: dict[str, Any] = {v: [r.asDict() for r in product.series(built, v).orderBy("report_period").collect()] for v in ("latest",)}
+    out: dict[str, Any] = {v: product.complete([r.asDict() for r in product.series(built, v).orderBy("report_period").collect()]) for v in ("latest",)}
     out["concentration"] = [r.asDict() for r in product.concentration(built).collect()]
     out["components"] = built.agg(F.count("*")).first()[0]
     return out

@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 
 #: measure -> (column, how it is shown)
-MEASURES = {"loan_count": "integer", "loan_upb": "cents", "average_current_loan_balance": "cents_value", "security_count": "integer", "security_upb": "cents", "30_plus_count": "value", "90_plus_count": "value"}
+MEASURES = {
+    "loan_count": "integer", "loan_upb": "cents", "average_current_loan_balance": "cents_value", "security_count": "integer", "security_upb": "cents",
+    "30_plus_count": "value", "60_plus_count": "value", "90_plus_count": "value", "modification_count_rate": "value", "loan_correction_count": "integer",
+}
+#: The eight without which a month is not complete.
+REQUIRED = tuple(m for m in MEASURES if not m.startswith("security_"))
+#: The contracts that have them.
+CONTRACTS = ("current_outstanding_balance_population", "loan_balance_distribution", "delinquency_threshold_rates", "modification_rate", "correction_restatement_volume")
 
 
 def numeric(kind: str):
@@ -19,11 +26,18 @@ def numeric(kind: str):
     return F.round(F.col("value") / 100, 6) if kind == "cents_value" else F.round("value", 10)
 
 
-def series(cube: DataFrame, view: str, measures: dict[str, str] = MEASURES) -> DataFrame:
-    """One row for each month that has every measure."""
+def series(cube: DataFrame, view: str, measures: dict[str, str] = MEASURES, required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """One row for each month that has every required measure."""
     rows = cube.where(F.col("correction_view") == view).where(F.col("component").isin(*measures) & F.col("report_period").rlike("^[0-9]{4}-[0-9]{2}$") & F.col("released"))
     wide = rows.groupBy("report_period").agg(*(F.max(F.when(F.col("component") == m, numeric(k))).alias(m) for m, k in measures.items()))
-    return wide.na.drop()
+    return wide.na.drop(subset=list(required))
+
+
+def complete(rows: list[dict]) -> list[dict]:
+    """``rows``, at least two of them: a change needs a month before."""
+    if len(rows) < 2:
+        raise ValueError("the cube does not hold two complete months")
+    return rows
 
 
 def concentration(cube: DataFrame, n: int = 10, cue: float = 0.5) -> DataFrame:

@@ -357,11 +357,19 @@ printf('%.2f%%', CAST(p_size AS DOUBLE) / 50 * 100) AS share_text, CASE WHEN p_p
 
 
 def series(spark, sf_dir) -> DataFrame:
-    """Payload series: months in which all measures exist, one column each."""
+    """Payload series of seven measures, those of its SQL; ``series_complete`` has all."""
     rows = metric(spark, sf_dir, ("current_outstanding_balance_population", "loan_balance_distribution", "delinquency_threshold_rates"))
-    from .plans.payload import series as pivoted
+    from .plans.payload import MEASURES, series as pivoted
 
-    return pivoted(rows, "latest")
+    seven = {m: k for m, k in MEASURES.items() if m not in ("60_plus_count", "modification_count_rate", "loan_correction_count")}
+    return pivoted(rows, "latest", seven, tuple(seven))
+
+
+def series_complete(spark, sf_dir) -> DataFrame:
+    """Payload series: months in which all eight required measures exist, one column for each measure."""
+    from .plans.payload import CONTRACTS, series as pivoted
+
+    return pivoted(metric(spark, sf_dir, CONTRACTS), "latest")
 
 
 SERIES_SQL = (
@@ -370,6 +378,15 @@ SERIES_SQL = (
     "SELECT report_period, CAST(l.n AS DOUBLE) AS loan_count, round(l.u / 100.0, 2) AS loan_upb, round(CAST(l.u AS DOUBLE) / l.n / 100, 6) AS average_current_loan_balance, CAST(s.n AS DOUBLE) AS security_count, round(s.u / 100.0, 2) AS security_upb, d30 AS \"30_plus_count\", d90 AS \"90_plus_count\" FROM l JOIN s USING (report_period)"
 )
 
+SERIES_COMPLETE_SQL = (
+    "WITH " + ", ".join([bindings.SECURITY_CTE, bindings.LOAN_CTE, cube_sql._LOAN_ACTIVE, cube_sql._VIEWS])
+    + ", l AS (SELECT report_period, count(*) AS n, sum(current_upb_cents) AS u, " + ", ".join(f"round(CAST(count(CASE WHEN days_delinquent >= {d} THEN 1 END) AS DOUBLE) / nullif(count(days_delinquent), 0), 10) AS d{d}" for d in (30, 60, 90))
+    + ", round(CAST(count(CASE WHEN trim(coalesce(modification_program, '')) <> '' THEN 1 END) AS DOUBLE) / count(*), 10) AS m FROM act GROUP BY 1), "
+    "k AS (SELECT report_period, CAST(count(CASE WHEN correction_indicator <> 'N' THEN 1 END) AS DOUBLE) AS k FROM loan GROUP BY 1), "
+    f"s AS (SELECT report_period, CAST(count(CASE WHEN {cube_sql._ACTIVE_SEC} THEN 1 END) AS DOUBLE) AS n, round(sum(CASE WHEN {cube_sql._ACTIVE_SEC} THEN current_upb_cents ELSE 0 END) / 100.0, 2) AS u FROM late GROUP BY 1) "
+    "SELECT report_period, CAST(l.n AS DOUBLE) AS loan_count, round(l.u / 100.0, 2) AS loan_upb, round(CAST(l.u AS DOUBLE) / l.n / 100, 6) AS average_current_loan_balance, s.n AS security_count, s.u AS security_upb, d30 AS \"30_plus_count\", d60 AS \"60_plus_count\", d90 AS \"90_plus_count\", m AS modification_count_rate, k AS loan_correction_count FROM l JOIN k USING (report_period) LEFT JOIN s USING (report_period) WHERE d30 IS NOT NULL"
+)
+
 
 def concentration(spark, sf_dir) -> DataFrame:
     """Dimensions by the share of their ten largest members in the last month, with a cue at one half."""
@@ -551,6 +568,7 @@ def queries() -> dict[str, Query]:
         "log_latest": latest_log,
         "leak_scan": leak_scan,
         "payload_series": series,
+        "payload_series_complete": series_complete,
         "payload_concentration": concentration,
         "payload_findings": findings,
         "record_profile": lambda s, d: population.profile(raw_lines(s, d)),
@@ -596,6 +614,7 @@ def oracle_sql() -> dict[str, str]:
         "log_latest": LATEST_LOG_SQL,
         "leak_scan": LEAK_SQL,
         "payload_series": SERIES_SQL,
+        "payload_series_complete": SERIES_COMPLETE_SQL,
         "payload_concentration": CONCENTRATION_SQL,
         "payload_findings": FINDINGS_SQL,
         "record_profile": PROFILE_SQL,
