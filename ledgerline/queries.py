@@ -324,14 +324,17 @@ def latest_log(spark, sf_dir) -> DataFrame:
 LATEST_LOG_SQL = "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events WHERE event_type IN ('click', 'error')) WHERE k = 1"
 
 
-def leak_scan(spark, sf_dir) -> DataFrame:
-    tokens = table(spark, sf_dir, "customer").where("c_custkey % 100 = 0").select(F.regexp_extract("c_name", "([0-9]+)", 1).alias("token"))
+def leak_scan(spark, sf_dir, sampled: bool = True) -> DataFrame:
+    """Files that contain a token of a customer; ``sampled``: of each hundredth customer, as in its SQL."""
+    tokens = table(spark, sf_dir, "customer").where("c_custkey % 100 = 0" if sampled else "true").select(F.regexp_extract("c_name", "([0-9]+)", 1).alias("token"))
     files = table(spark, sf_dir, "supplier").select(F.concat(F.lit("file-"), F.col("s_suppkey").cast("string")).alias("path"), F.col("s_name").alias("value"))
     return verify.leaked(tokens, files.withColumn("value", F.translate("value", "#", " ")))
 
 
 LEAK_SQL = "WITH t AS (SELECT DISTINCT regexp_extract(c_name, '([0-9]+)', 1) AS token FROM customer WHERE c_custkey % 100 = 0) SELECT 'file-' || CAST(s_suppkey AS VARCHAR) AS path, token FROM supplier JOIN t ON regexp_extract(s_name, '([0-9]+)', 1) = token"
 
+LEAK_ALL_SQL = "WITH t AS (SELECT DISTINCT regexp_extract(c_name, '([0-9]+)', 1) AS token FROM customer) SELECT 'file-' || CAST(s_suppkey AS VARCHAR) AS path, token FROM supplier JOIN t ON length(token) >= 5 AND contains(translate(s_name, '#', ' '), token)"
+
 
 def set_difference(spark, sf_dir) -> DataFrame:
     """Expected months without a package, and packages outside the expected months."""
@@ -567,6 +570,7 @@ def queries() -> dict[str, Query]:
         "audit_latest": audit,
         "log_latest": latest_log,
         "leak_scan": leak_scan,
+        "leak_scan_all": lambda s, d: leak_scan(s, d, sampled=False),
         "payload_series": series,
         "payload_series_complete": series_complete,
         "payload_concentration": concentration,
@@ -613,6 +617,7 @@ def oracle_sql() -> dict[str, str]:
         "audit_latest": "SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 50",
         "log_latest": LATEST_LOG_SQL,
         "leak_scan": LEAK_SQL,
+        "leak_scan_all": LEAK_ALL_SQL,
         "payload_series": SERIES_SQL,
         "payload_series_complete": SERIES_COMPLETE_SQL,
         "payload_concentration": CONCENTRATION_SQL,
