@@ -64,8 +64,10 @@ def verify_metrics(built: DataFrame, loans: DataFrame, securities: Mapping[str,
 
 
 def dashboard(built: DataFrame) -> dict[str, Any]:
-    """Series of both views and concentrations, as plain values; one row per month and dimension."""
+    """Series of the latest view and concentrations with HHI, as plain values; one row per month and dimension.
+
+    Loan metrics exist in the latest view only, so that no month of the original one is complete."""
     out: dict[str, Any] = {v: product.complete([r.asDict() for r in product.series(built, v).orderBy("report_period").collect()]) for v in ("latest",)}
-    out["concentration"] = [r.asDict() for r in product.concentration(built).collect()]
+    out["concentration"] = [r.asDict() for r in product.with_hhi(product.concentration(built), built).collect()]
     out["components"] = built.agg(F.count("*")).first()[0]
     return out

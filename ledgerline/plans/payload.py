@@ -48,6 +48,13 @@ def concentration(cube: DataFrame, n: int = 10, cue: float = 0.5) -> DataFrame:
     return out.select("report_period", F.regexp_replace("dimension", "_summary$", "").alias("dimension"), F.round("value", 10).alias("share"), (F.col("value") >= cue).alias("concentrated")).orderBy(F.col("share").desc(), "dimension")
 
 
+def with_hhi(ranked: DataFrame, cube: DataFrame) -> DataFrame:
+    """``ranked`` (of ``concentration``) with the sum of squared balance shares of all members, null where the cube has none."""
+    rows = cube.where((F.col("contract_id") == "hhi_concentration") & F.col("component").endswith("_upb_hhi"))
+    found = rows.select("report_period", F.regexp_replace("component", "_upb_hhi$", "").alias("dimension"), F.round("value", 10).alias("hhi"))
+    return ranked.join(found, ["report_period", "dimension"], "left").orderBy(F.col("share").desc(), "dimension")
+
+
 def findings(monthly: DataFrame) -> DataFrame:
     """Each month against the one before, with the months of peak and trough (the first, on ties).
 

@@ -33,3 +33,13 @@ def test_two_complete_months_are_needed():
 def test_rates_are_cited_as_shares():
     found = assistant.facts({"latest": [{"report_period": "2024-01", "modification_count_rate": 0.125, "security_upb": None}]})
     assert [f["text"] for f in found.values()] == ["12.50%"]
+
+
+def test_concentrations_have_their_hhi(spark):
+    rows = queries.metric(spark, SF, ("state_composition", "counterparty_composition", "hhi_concentration")).cache()
+    month = rows.agg({"report_period": "max"}).first()[0]
+    found = {r.dimension: r.hhi for r in payload.with_hhi(payload.concentration(rows), rows).collect()}
+    assert set(found) == {"state", "seller", "servicer"}
+    for dimension, hhi in found.items():
+        members = [int(r.numerator) for r in rows.where(f"component = '{dimension}_upb' and report_period = '{month}' and dimension = '{dimension}'").collect()]
+        assert members and hhi == pytest.approx(sum((m / sum(members)) ** 2 for m in members), abs=1e-9)
