@@ -7,64 +7,113 @@ shards. Instead the reference is cut into shards by content, and each passage me
 match it:
 
 1. Every window of ``WIDTH`` words has one anchor, the least hash among its runs of ``ANCHOR`` words; equal
-   windows have equal anchors. Anchors that two documents share are found by one grouping, after each task
-   has reduced its documents to one row for each anchor.
-2. Documents with shared anchors emit, for each, the passage of all windows that it anchors.
-3. A shard is the set of distinct passages of one anchor. Its automaton's states carry the least doc_id of
-   their occurrences; streaming each passage through it gives the least doc_id of every window. Shards above
-   ``SHARD_WORDS`` words are not built: their windows are grouped one by one.
+   windows have equal anchors. Each task counts its documents by anchor and group of doc_ids; anchors of one
+   document only are forgotten, the others return to the groups that hold them.
+2. There, next to its anchors, each text gives for every such anchor the passage of all windows that it
+   anchors. A task sends a passage once, with the list of places that hold it.
+3. A shard is some anchors with all their distinct passages. Its automaton's states carry the least doc_id of
+   their occurrences; streaming each passage through it gives the least doc_id of every window.
 4. Each document loses the words of its covered windows.
 
-Hashes only route: windows are compared word by word.
+Anchors of more than ``HOT`` documents are dealt by window instead of whole: a window's words go to as many
+shards as its places need, the places to one of them each. So a shard holds at most ``SHARD_WORDS`` words plus
+the passages of one anchor of at most ``HOT`` documents. Hashes only route: automata compare words.
 
 Cases: null or empty text has no words; texts under ``WIDTH`` words lose nothing; rows with null doc_id are
-neither reference nor reduced; rows of one doc_id do not reduce each other; an empty table gives an empty
-result.
+neither reference nor reduced; rows of one doc_id do not reduce each other; very long texts are hashed in
+pieces of ``PIECE`` bytes; an empty table gives an empty result; extra columns play no part.
 """
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Bounded, stage
-
 WIDTH = 13
 ANCHOR = 5
-#: A shard of more words (or a group of more rows) is not built.
-SHARD_WORDS, SHARD_ROWS = 100_000, 200_000
-#: Rows that a task reduces at once.
-COMBINE_ROWS = 2_000_000
-
-
-def _hasher():
-    import xxhash
-
-    return Bounded(xxhash.xxh64_intdigest, 400_000)
-
-
-def anchors(ws: list[bytes], hashed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, last window) for each run of windows with one anchor; windows are numbered by first word."""
-    n = len(ws) - WIDTH + 1
+#: Words of one automaton, give or take an anchor.
+SHARD_WORDS = 20_000
+#: Documents that share an anchor beyond which it is dealt by window.
+HOT = 1 << 14
+#: doc_ids of one group: 2 ** GROUP_BITS.
+GROUP_BITS = 12
+#: Rows that a task reduces at once; bytes that it hashes at once.
+COMBINE_ROWS, PIECE = 2_000_000, 1 << 20
+
+_RNG = np.random.default_rng(13)
+_VALUES = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2 ** 64, at least ``n``."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        inverse = np.uint64(pow(_BASE, -1, 1 << 64))
+        _POWERS[:] = [np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, b, np.uint64))]) for b in (np.uint64(_BASE), inverse)]
+    return _POWERS[0], _POWERS[1]
+
+
+def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each word of the texts data[bounds[i]:bounds[i + 1]]."""
+    parts, low, n = [], int(bounds[0]), int(bounds[-1])
+    while low < n:
+        high = min(low + PIECE, n)
+        while high < n:  # on to the next space
+            gap = np.flatnonzero(_SPACE[data[high : high + 4096]])
+            high = min(high + 4096, n) if not len(gap) else high + int(gap[0])
+            if len(gap):
+                break
+        piece = data[low:high]
+        inside = ~_SPACE[piece]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        ends = inside.copy()
+        ends[:-1] &= ~inside[1:]
+        cuts = bounds[np.searchsorted(bounds, low, "right") : np.searchsorted(bounds, high)] - low  # texts that start inside
+        begins[cuts] = inside[cuts]
+        ends[cuts - 1] = inside[cuts - 1]
+        start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        power, inverse = _powers(max(PIECE + 4096, len(piece)))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[piece] * power[: len(piece)])])
+        h = (total[end] - total[start]) * inverse[start]
+        h ^= h >> np.uint64(32)
+        parts.append((start + low, end + low, h * np.uint64(0x94D049BB133111EB)))
+        low = high
+    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
+def anchors(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first window, last window) for each run of windows of one text with one anchor.
+
+    ``h`` and ``text`` give each word's hash and text; windows are numbered by their first word."""
+    n = len(h) - WIDTH + 1
+    none = np.zeros(0, np.int64)
     if n < 1:
-        none = np.zeros(0, np.int64)
         return none, none, none
-    h = np.fromiter(map(hashed.__getitem__, ws), np.uint64, len(ws))
-    m = len(ws) - ANCHOR + 1
-    g = np.zeros(m, np.uint64)
+    g = np.zeros(len(h) - ANCHOR + 1, np.uint64)
     for j in range(ANCHOR):
-        g = (g ^ h[j : j + m]) * np.uint64(0x9E3779B97F4A7C15)
+        g = (g ^ h[j : j + len(g)]) * np.uint64(_BASE)
         g ^= g >> np.uint64(29)
     g = (g * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(16)
-    at = np.lib.stride_tricks.sliding_window_view(g, WIDTH - ANCHOR + 1).argmin(axis=1) + np.arange(n)
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return g[at[first]].astype(np.int64), first, np.r_[first[1:], n] - 1
+    # Least of WIDTH - ANCHOR + 1 runs: by doubling, then two overlapping powers of two.
+    span, width = 1, WIDTH - ANCHOR + 1
+    while 2 * span <= width:
+        g = np.minimum(g[: len(g) - span], g[span:])
+        span *= 2
+    least = np.minimum(g[:n], g[width - span : width - span + n])
+    whole = text[:n] == text[WIDTH - 1 :]
+    first = whole.copy()
+    first[1:] &= (least[1:] != least[:-1]) | ~whole[:-1] | (text[1:n] != text[: n - 1])
+    last = whole.copy()
+    last[:-1] &= first[1:] | ~whole[1:]
+    at = np.flatnonzero(first)
+    return least[at].astype(np.int64), at, np.flatnonzero(last)
 
 
 class SuffixAutomaton:
@@ -141,239 +190,331 @@ class SuffixAutomaton:
         return out
 
 
-def covered(shard: dict[bytes, list[tuple[int, int, int]]]) -> list[tuple[int, int, int, int]]:
-    """(doc, text key, first window, last window) that a smaller doc_id covers, for the passages of one anchor.
+def _column(batch, name):
+    return batch.column(batch.schema.get_field_index(name))
 
-    ``shard``: passage -> (doc, text key, number of its first window)."""
-    split = {p: p.split(b" ") for p in shard}
-    least = {p: min(d for d, _, _ in owners) for p, owners in shard.items()}
-    if len(shard) > 1:
-        automaton = SuffixAutomaton()
-        for p, ws in split.items():
-            automaton.add(ws, least[p])
-        automaton.finish()
-        lows = {p: np.array(automaton.stream(ws, WIDTH), np.int64) for p, ws in split.items()}
-    else:
-        lows = {p: np.full(len(ws) - WIDTH + 1, least[p]) for p, ws in split.items()}
-    out = []
-    for p, owners in shard.items():
-        low = lows[p]
-        top, n = int(low.max()), len(low)
-        for doc, text, start in owners:
-            if doc > top:
-                out.append((doc, text, start, start + n - 1))
-                continue
-            edge = np.flatnonzero(np.diff(np.r_[False, low < doc, False].astype(np.int8)))
-            out += [(doc, text, start + int(a), start + int(b) - 1) for a, b in zip(edge[::2], edge[1::2])]
-    return out
 
+def _texts(column) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and bounds of a column of binary texts without nulls."""
+    column = column.cast(pa.large_binary())
+    bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), bounds
 
-def _column(batch, name):
-    return batch.column(batch.schema.get_field_index(name))
 
+def _slices(bounds: np.ndarray):
+    """Ranges of texts of about ``PIECE`` bytes together."""
+    i, n = 0, len(bounds) - 1
+    while i < n:
+        j = min(n, max(i + 1, int(np.searchsorted(bounds, bounds[i] + PIECE, "right")) - 1))
+        yield i, j
+        i = j
 
-def shared_anchors(docs: DataFrame) -> DataFrame:
-    """doc_id, anchors: those of its anchors that another document has, too."""
 
-    def run(batches):
-        hashed = _hasher()
-        hs, ds, n = [], [], 0
+def anchor_counts(docs: DataFrame) -> DataFrame:
+    """h, group, n: documents of the group with that anchor, once for each task (or flush) that saw some."""
 
+    def run(batches):
+        hs, gs, n = [], [], 0
         for batch in batches:
-            for doc, text in zip(_column(batch, "doc_id").to_pylist(), _column(batch, "text").cast(pa.binary()).to_pylist()):
-                h = np.unique(anchors(text.split(), hashed)[0])
+            group = _column(batch, "group").to_numpy()
+            data, bounds = _texts(_column(batch, "text"))
+            for i, j in _slices(bounds):
+                start, _, h = words(data, bounds[i : j + 1])
+                text = np.searchsorted(bounds[i : j + 1], start, "right") - 1
+                h, first, _ = anchors(h, text)
+                h, of = _distinct(h, text[first])
                 hs.append(h)
-                ds.append(np.full(len(h), doc, np.int64))
+                gs.append(group[i:j][of])
                 n += len(h)
             if n >= COMBINE_ROWS:
-                yield from _reduced(hs, ds)
-                hs, ds, n = [], [], 0
+                yield from _counted(hs, gs)
+                hs, gs, n = [], [], 0
         if n:
-            yield from _reduced(hs, ds)
-
-    rows = docs.where("doc_id is not null and text is not null").mapInArrow(run, "h long, doc long, more array<long>")
-    twice = (F.count("*").over(Window.partitionBy("h")) > 1) | F.col("more").isNotNull()
-    rows = rows.withColumn("twice", twice).where("twice")
-    rows = rows.select("h", F.explode(F.concat(F.array("doc"), F.coalesce("more", F.array().cast("array<long>")))).alias("owner"))
-    return rows.groupBy("owner").agg(F.collect_list("h").alias("anchors"))
-
-
-def _reduced(hs: list[np.ndarray], ds: list[np.ndarray]):
-    """One row for each anchor: its first document, and the others if it has some."""
-    h, d = np.concatenate(hs), np.concatenate(ds)
-    order = np.lexsort((d, h))
-    h, d = h[order], d[order]
-    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-    bounds = np.r_[first, len(h)]
+            yield from _counted(hs, gs)
+
+    return docs.mapInArrow(run, "h long, group long, n int")
+
+
+def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((a, b))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
+def _counted(hs: list[np.ndarray], gs: list[np.ndarray]):
+    h, g = np.concatenate(hs), np.concatenate(gs)
+    order = np.lexsort((g, h))
+    h, g = h[order], g[order]
+    first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])])
+    n = np.diff(np.r_[first, len(h)]).astype(np.int32)
     for i in range(0, len(first), 50_000):
-        cut = bounds[i : i + 50_001]
-        inner = np.ones(cut[-1] - cut[0], bool)
-        inner[cut[:-1] - cut[0]] = False
-        sizes = np.diff(cut) - 1
-        offsets = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32(), mask=np.r_[sizes == 0, False])
-        more = pa.ListArray.from_arrays(offsets, pa.array(d[cut[0] : cut[-1]][inner]))
-        yield pa.RecordBatch.from_arrays([pa.array(h[cut[:-1]]), pa.array(d[cut[:-1]]), more], ["h", "doc", "more"])
+        part = first[i : i + 50_000]
+        yield pa.RecordBatch.from_arrays([pa.array(h[part]), pa.array(g[part]), pa.array(n[i : i + 50_000])], ["h", "group", "n"])
 
 
-_PASSAGE = "h long, passage binary, doc long, text_key long, start int, n int"
+def shared_anchors(docs: DataFrame) -> DataFrame:
+    """group, h, copies: the anchors of each group that more than one document has; how many shards hold one of its windows."""
+
+    def run(batches):
+        columns = [[], [], []]
+        for batch in batches:
+            for held, column in zip(columns, batch.columns):
+                held.append(column.to_numpy())
+        if not columns[0]:
+            return
+        h, g, n = map(np.concatenate, columns)
+        order = np.lexsort((g, h))
+        h, g, n = h[order], g[order], n[order].astype(np.int64)
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        documents = np.repeat(np.add.reduceat(n, first), np.diff(np.r_[first, len(h)]))
+        keep = np.flatnonzero((documents > 1) & np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])])
+        copies = ((documents[keep] - 1) // HOT + 1).astype(np.int32)
+        for i in range(0, len(keep), 50_000):
+            part = keep[i : i + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(g[part]), pa.array(h[part]), pa.array(copies[i : i + 50_000])], ["group", "h", "copies"])
+
+    return anchor_counts(docs).repartition("h").mapInArrow(run, "group long, h long, copies int")
+
+
+_PASSAGES = "shard long, copy int, passage binary, low long, docs array<long>, keys array<long>, starts array<int>"
+_NAMES = ["shard", "copy", "passage", "low", "docs", "keys", "starts"]
+
+
+class _Sent:
+    """Passages of one task, each once for its shard, with the places that hold it."""
+
+    def __init__(self):
+        self.places: dict[tuple, list] = {}
+        self.windows: dict[tuple, tuple] = {}
+        self.n = 0
+
+    def add(self, shard: int, copy: int, passage: bytes, doc: int, key: int, start: int) -> None:
+        self.places.setdefault((shard, copy, passage), []).append((doc, key, start))
+        self.n += 1
+
+    def refer(self, shard: int, copies: int, window: bytes, doc: int) -> None:
+        """All copies of the shard learn of the window."""
+        low, _ = self.windows.get((shard, window), (doc, copies))
+        self.windows[shard, window] = min(low, doc), copies
+
+    def flush(self):
+        items = [(*at, min(p[0] for p in held), held) for at, held in self.places.items()]
+        items += [(shard, copy, window, low, []) for (shard, window), (low, copies) in self.windows.items() for copy in range(copies)]
+        for i in range(0, len(items), 20_000):
+            *keys, held = zip(*items[i : i + 20_000])
+            sizes = pa.array(np.r_[0, np.cumsum([len(h) for h in held])].astype(np.int32))
+            flat = [[p[c] for h in held for p in h] for c in range(3)]
+            columns = [pa.array(c, kind) for c, kind in zip(keys, (pa.int64(), pa.int32(), pa.binary(), pa.int64()))]
+            columns += [pa.ListArray.from_arrays(sizes, pa.array(c, kind)) for c, kind in zip(flat, (pa.int64(), pa.int64(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, _NAMES)
+        self.__init__()
 
 
 def passages(docs: DataFrame) -> DataFrame:
-    """h, passage (words of all windows with that anchor, joined), doc, text_key, start (first window), n (windows)."""
-    shared = shared_anchors(docs)
-    joined = docs.where("text is not null").join(shared, docs["doc_id"] == shared["owner"]).select("doc_id", "text", F.xxhash64("text").alias("key"), "anchors")
+    """shard, copy, passage (words of all windows with one anchor, joined), low (least doc_id), docs, keys, starts (its places)."""
+    none = lambda kind: F.lit(None).cast(kind)
+    lists = shared_anchors(docs).select("group", F.lit(0).alias("tag"), "h", "copies", none("long").alias("doc_id"), none("long").alias("key"), none("binary").alias("text"))
+    texts = docs.select("group", F.lit(1).alias("tag"), none("long").alias("h"), none("int").alias("copies"), "doc_id", "key", "text")
+    met = lists.unionByName(texts).repartition("group").sortWithinPartitions("group", "tag")
 
     def run(batches):
-        hashed = _hasher()
+        sent, known = _Sent(), _Known()
         for batch in batches:
-            hs, ps, starts, ns, rows = [], [], [], [], []
-            for text, wanted in zip(_column(batch, "text").cast(pa.binary()).to_pylist(), _column(batch, "anchors")):
-                ws = text.split()
-                h, first, last = anchors(ws, hashed)
-                at = np.flatnonzero(np.isin(h, wanted.values.to_numpy()))
-                joined_text = b" ".join(ws)
-                begin = np.r_[0, np.cumsum(np.fromiter(map(len, ws), np.int64, len(ws)) + 1)]
-                ps += [joined_text[x:y] for x, y in zip(begin[first[at]].tolist(), (begin[last[at] + WIDTH] - 1).tolist())]
-                hs.append(h[at])
-                starts.append(first[at])
-                ns.append(last[at] - first[at] + 1)
-                rows.append(len(at))
-            h, start, n = np.concatenate(hs), np.concatenate(starts).astype(np.int32), np.concatenate(ns).astype(np.int32)
-            doc, key = (np.repeat(_column(batch, c).to_numpy(), rows) for c in ("doc_id", "key"))
-            for i in range(0, len(h), 50_000):
-                part = slice(i, i + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(h[part]), pa.array(ps[part], pa.binary()), *(pa.array(c[part]) for c in (doc, key, start, n))], ["h", "passage", "doc", "text_key", "start", "n"])
-
-    return joined.mapInArrow(run, _PASSAGE)
-
-
-_SPANS = "doc long, text_key long, a int, b int, words binary"
-
-
-def _spans_batch(doc, key, a, b, words=None) -> pa.RecordBatch:
-    words = pa.nulls(len(doc), pa.binary()) if words is None else pa.array(words, pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), words], ["doc", "text_key", "a", "b", "words"])
-
-
-def _windows(rows):
-    """Every window of (passage, doc, text key, start) by itself."""
-    for some in _chunks(((doc, key, start + i, b" ".join(ws[i : i + WIDTH])) for p, doc, key, start in rows for ws in (p.split(b" "),) for i in range(len(ws) - WIDTH + 1)), 20_000):
-        doc, key, at, words = zip(*some)
-        yield _spans_batch(doc, key, at, at, words)
-
-
-def _chunks(items, n):
-    some = []
-    for x in items:
-        some.append(x)
-        if len(some) == n:
-            yield some
-            some = []
-    if some:
-        yield some
-
-
-def _lists(table: pa.Table):
-    return zip(*(table.column(c).to_pylist() for c in ("passage", "doc", "text_key", "start")))
-
-
-def _solved(table: pa.Table):
-    """Spans from whole shards, in rows sorted by anchor and passage."""
-    h, doc, key, start, n = (table.column(c).to_numpy() for c in ("h", "doc", "text_key", "start", "n"))
-    passage = table.column("passage").combine_chunks()
-    other = np.r_[True, h[1:] != h[:-1]]
-    first = np.flatnonzero(other)
-    group = np.cumsum(other) - 1
-    fresh = other.copy()
-    fresh[1:] |= pc.not_equal(passage[1:], passage[:-1]).to_numpy(zero_copy_only=False)
-    one = (np.add.reduceat(fresh.astype(np.int64), first) == 1)[group]
-    # A shard of one passage: its automaton is a line, and every window's least id is the passage's.
-    hit = np.flatnonzero(one & (doc > np.minimum.reduceat(doc, first)[group]))
-    yield _spans_batch(doc[hit], key[hit], start[hit], start[hit] + n[hit] - 1)
-    rest = np.flatnonzero(~one)
-    if not len(rest):
-        return
-    some, out, shard, current = table.take(rest), [], {}, None
-    for g, (p, d, k, at) in zip([*group[rest].tolist(), -1], chain(_lists(some), [(b"", 0, 0, 0)])):
-        if g != current:
-            if sum(x.count(b" ") + 1 for x in shard) > SHARD_WORDS:
-                yield from _windows((q, *o) for q, owners in shard.items() for o in owners)
-            elif shard:
-                out += covered(shard)
-            current, shard = g, {}
-            if len(out) > 20_000:
-                yield _spans_batch(*zip(*out))
-                out = []
-        shard.setdefault(p, []).append((d, k, at))
-    if out:
-        yield _spans_batch(*zip(*out))
+            tag = _column(batch, "tag").to_numpy()
+            group = _column(batch, "group").to_numpy()
+            edges = np.flatnonzero(np.r_[True, (tag[1:] != tag[:-1]) | (group[1:] != group[:-1])])
+            for a, b in zip(edges.tolist(), np.r_[edges[1:], len(tag)].tolist()):
+                part = batch.slice(a, b - a)
+                if not tag[a]:
+                    known.add(group[a], _column(part, "h").to_numpy(), _column(part, "copies").to_numpy())
+                elif known.of(group[a]):
+                    _send(part, known, sent)
+                    if sent.n >= COMBINE_ROWS // 10:
+                        yield from sent.flush()
+        yield from sent.flush()
+
+    return met.mapInArrow(run, _PASSAGES)
+
+
+class _Known:
+    """The shared anchors of the group at hand, which come before its texts."""
+
+    def __init__(self):
+        self.group, self.parts, self.h, self.copies = None, [], np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def add(self, group, h, copies) -> None:
+        if group != self.group:
+            self.group, self.parts = group, []
+        self.parts.append((h, copies))
+
+    def of(self, group) -> bool:
+        if group != self.group:
+            return False
+        if self.parts:
+            h, copies = map(np.concatenate, zip(*self.parts))
+            order = np.argsort(h)
+            self.h, self.copies, self.parts = h[order], copies[order], []
+        return True
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``h`` are shared, and in how many copies."""
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        hit = np.flatnonzero(self.h[at] == h)
+        return hit, self.copies[at[hit]]
+
+
+def _send(part, known: _Known, sent: _Sent) -> None:
+    import xxhash
+
+    doc_ids, keys = _column(part, "doc_id").to_numpy(), _column(part, "key").to_numpy()
+    data, bounds = _texts(_column(part, "text"))
+    for i, j in _slices(bounds):
+        base = int(bounds[i])
+        raw = data[base : int(bounds[j])].tobytes()
+        start, end, h = words(data, bounds[i : j + 1])
+        text = np.searchsorted(bounds[i : j + 1], start, "right") - 1
+        h, first, last = anchors(h, text)
+        hit, copies = known.find(h)
+        if not len(hit):
+            continue
+        opens = np.r_[0, np.flatnonzero(text[1:] != text[:-1]) + 1]
+        number = first[hit] - opens[np.searchsorted(opens, first[hit], "right") - 1]  # of its window in its own text
+        irregular = np.ones(len(start), np.int64)
+        irregular[:-1] = (start[1:] != end[:-1] + 1) | (data[end[:-1]] != 32)
+        irregular = np.r_[0, np.cumsum(irregular)]
+        until = last[hit] + WIDTH - 1
+        plain = irregular[until] == irregular[first[hit]]
+        of = text[first[hit]]
+        rows = zip(h[hit].tolist(), copies.tolist(), plain.tolist(), (start[first[hit]] - base).tolist(), (end[until] - base).tolist(), doc_ids[i:j][of].tolist(), keys[i:j][of].tolist(), number.tolist())
+        for anchor, n, clean, a, b, doc, key, at in rows:
+            passage = raw[a:b] if clean else b" ".join(raw[a:b].split())
+            if n == 1:
+                sent.add(anchor, 0, passage, doc, key, at)
+                continue
+            ws, mine = passage.split(b" "), xxhash.xxh64_intdigest(f"{doc}:{key}") % n
+            for k in range(len(ws) - WIDTH + 1):
+                window = b" ".join(ws[k : k + WIDTH])
+                shard = xxhash.xxh64_intdigest(window) >> 1
+                sent.add(shard, mine, window, doc, key, at + k)
+                sent.refer(shard, n, window, doc)
+
+
+_SPANS = "doc long, key long, a int, b int"
+
+
+class _Shard:
+    """Distinct passages, the least doc_id of each and the places that hold it."""
+
+    def __init__(self):
+        self.low: dict[bytes, int] = {}
+        self.places: dict[bytes, list] = {}
+        self.size = 0
+
+    def add(self, passage: bytes, low: int, places: tuple) -> None:
+        if passage not in self.low:
+            self.low[passage], self.places[passage] = low, []
+            self.size += passage.count(b" ") + 1
+        elif low < self.low[passage]:
+            self.low[passage] = low
+        self.places[passage].append(places)
+
+    def spans(self):
+        """doc, key, a, b: windows a..b of that text that a smaller doc_id has, too."""
+        split = {p: p.split(b" ") for p in self.low}
+        automaton = SuffixAutomaton()
+        for p, ws in split.items():
+            automaton.add(ws, self.low[p])
+        automaton.finish()
+        out = [[], [], [], []]
+        for p, ws in split.items():
+            lows = automaton.stream(ws, WIDTH)
+            top, bottom, n = max(lows), min(lows), len(lows)
+            docs, keys, starts = (np.concatenate(c) if len(c) > 1 else c[0] for c in zip(*self.places[p]))
+            whole = np.flatnonzero(docs > top)
+            for held, column in zip(out, (docs[whole], keys[whole], starts[whole], starts[whole] + n - 1)):
+                held.append(column)
+            rest = np.flatnonzero((docs > bottom) & (docs <= top))
+            if len(rest):
+                lows = np.array(lows)
+                for doc, key, start in zip(docs[rest].tolist(), keys[rest].tolist(), starts[rest].tolist()):
+                    edge = np.flatnonzero(np.diff(np.r_[False, lows < doc, False].astype(np.int8)))
+                    k = len(edge) // 2
+                    for held, column in zip(out, (np.full(k, doc), np.full(k, key), start + edge[::2], start + edge[1::2] - 1)):
+                        held.append(column)
+        columns = [np.concatenate(c) for c in out]
+        self.__init__()
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2].astype(np.int32)), pa.array(columns[3].astype(np.int32))], ["doc", "key", "a", "b"])
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """doc, text_key, a, b: windows a..b of that text that also start in a document with a smaller doc_id."""
-    dealt = passages(docs).repartition("h").sortWithinPartitions("h", "passage")
+    """doc, key, a, b: windows a..b of that text that also start in a document with a smaller doc_id."""
+    dealt = passages(docs).repartition("shard", "copy").sortWithinPartitions("shard", "copy")
 
     def run(batches):
-        held, large = None, None
+        at, shard = None, _Shard()
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if held is not None:
-                table = pa.concat_tables([held, table]).combine_chunks()
-            h = table.column("h").to_numpy()
-            if large is not None:
-                own = int((h == large).argmin()) if (h != large).any() else len(h)
-                yield from _windows(_lists(table.slice(0, own)))
-                table, h = table.slice(own), h[own:]
-                if not len(h):
-                    held = None
-                    continue
-                large = None
-            change = np.flatnonzero(h[1:] != h[:-1])
-            whole = int(change[-1]) + 1 if len(change) else 0
-            if whole:
-                yield from _solved(table.slice(0, whole))
-            held = table.slice(whole)
-            if len(held) > SHARD_ROWS:  # too many rows for one shard: window by window, for all of it
-                yield from _windows(_lists(held))
-                held, large = None, int(h[-1])
-        if held is not None and len(held):
-            yield from _solved(held)
-
-    found = stage(dealt.mapInArrow(run, _SPANS), "substring-spans")
-    single = found.where("words is not null")
-    spans = found.where("words is null").drop("words")
-    if single.limit(1).count():
-        least = single.groupBy("words").agg(F.min("doc").alias("low"))
-        spans = spans.unionByName(single.join(least, "words").where("doc > low").select("doc", "text_key", "a", "b"))
-    return spans
+            keys = zip(*(_column(batch, c).to_pylist() for c in ("shard", "copy")))
+            ps, lows = _column(batch, "passage").to_pylist(), _column(batch, "low").to_pylist()
+            lists = [_column(batch, c) for c in ("docs", "keys", "starts")]
+            cut = lists[0].offsets.to_numpy()
+            docs_, texts, starts = (c.values.to_numpy() for c in lists)
+            for i, own in enumerate(keys):
+                if own != at:
+                    if shard.size >= SHARD_WORDS or (at is not None and own[1] != at[1]):
+                        yield from shard.spans()
+                    at = own
+                part = slice(cut[i], cut[i + 1])
+                shard.add(ps[i], lows[i], (docs_[part], texts[part], starts[part]))
+        if shard.size:
+            yield from shard.spans()
+
+    return dealt.mapInArrow(run, _SPANS)
 
 
 def reduced(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept: the words that stay, joined by single spaces."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spans = repeated_windows(docs)
-    # Always dealt out by doc_id: a broadcast up to some size would make small inputs cheaper than large ones foretell.
-    by_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("text_key", "a", "b")).alias("spans"))
-    joined = docs.join(by_doc, docs["doc_id"] == by_doc["doc"], "left").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("key"), "spans")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    docs = docs.withColumn("key", F.xxhash64("text")).withColumn("group", F.shiftright("doc_id", GROUP_BITS))
+    spans = repeated_windows(docs.where("doc_id is not null")).select(F.col("doc").alias("doc_id"), "key", F.lit(0).alias("tag"), "a", "b", F.lit(None).cast("binary").alias("text"))
+    texts = docs.select("doc_id", "key", F.lit(1).alias("tag"), F.lit(None).cast("int").alias("a"), F.lit(None).cast("int").alias("b"), "text")
+    met = spans.unionByName(texts).repartition("doc_id", "key").sortWithinPartitions("doc_id", "key", "tag")
 
     def run(batches):
+        at, held = None, []
         for batch in batches:
-            texts, keys, spans = _column(batch, "text").cast(pa.binary()).to_pylist(), _column(batch, "key").to_pylist(), _column(batch, "spans").to_pylist()
-            n_words, n_removed, kept = [], [], []
-            for text, key, found in zip(texts, keys, spans):
-                ws = text.split()
-                edge = np.zeros(len(ws) + 1, np.int64)
-                for s in found or ():
-                    if s["text_key"] == key:
-                        edge[s["a"]] += 1
-                        edge[min(len(ws), s["b"] + WIDTH)] -= 1
-                gone = edge.cumsum()[: len(ws)] > 0
-                n_words.append(len(ws))
-                n_removed.append(int(gone.sum()))
-                kept.append(b" ".join(ws if not n_removed[-1] else [ws[i] for i in np.flatnonzero(~gone)]))
-            yield pa.RecordBatch.from_arrays([_column(batch, "doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
-
-    return joined.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]))
+            tags = _column(batch, "tag").to_numpy()
+            ids, keys, texts = (_column(batch, c) for c in ("doc_id", "key", "text"))
+            a, b = (_column(batch, c).fill_null(0).to_numpy() for c in ("a", "b"))
+            done, before = [], 0
+            for i in [*np.flatnonzero(tags).tolist(), len(tags)]:
+                if i > before:  # spans before row i, of one document or of several without text
+                    own = (ids[i - 1].as_py(), keys[i - 1].as_py())
+                    held = [*held, (a[before:i], b[before:i])] if own == at else [(a[before:i], b[before:i])]
+                    at = own
+                if i < len(tags):
+                    own = (ids[i].as_py(), keys[i].as_py())
+                    done.append((own[0], *_without(texts[i].as_py(), held if own == at else [])))
+                before = i + 1
+            if done:
+                columns = list(zip(*done))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+
+    return met.mapInArrow(run, T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]))
+
+
+def _without(text: bytes, spans: list) -> tuple[int, int, bytes]:
+    """Number of words, number removed, and the others joined."""
+    ws = text.split()
+    edge = np.zeros(len(ws) + 1, np.int64)
+    for a, b in spans:
+        np.add.at(edge, a, 1)
+        np.add.at(edge, np.minimum(len(ws), b + WIDTH), -1)
+    gone = edge.cumsum()[: len(ws)] > 0
+    n = int(gone.sum())
+    return len(ws), n, b" ".join(ws if not n else [ws[i] for i in np.flatnonzero(~gone)])
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -263,10 +263,10 @@ def plain_substring(rows):
     return out
 
 
-@pytest.mark.parametrize("shard,group,rows", [(100_000, 200_000, 2_000_000), (60, 200_000, 50), (100_000, 1, 50)])
-def test_substring(spark, docs, shard, group, rows, monkeypatch):
+@pytest.mark.parametrize("shard,hot,rows", [(20_000, 1 << 14, 2_000_000), (60, 1 << 14, 50), (20_000, 1, 50), (20, 2, 2_000_000)])
+def test_substring(spark, docs, shard, hot, rows, monkeypatch):
     monkeypatch.setattr(substring, "SHARD_WORDS", shard)
-    monkeypatch.setattr(substring, "SHARD_ROWS", group)
+    monkeypatch.setattr(substring, "HOT", hot)
     monkeypatch.setattr(substring, "COMBINE_ROWS", rows)
     found = by_id(substring.digests(docs))
     assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in found.items()} == plain_substring(list(enumerate(TEXTS)))
@@ -280,6 +280,24 @@ def test_substring_repeated_ids(spark):
     assert rows == [("5", 0, 0), ("5", 30, 0), ("5", 30, 0), ("5", 31, 0), ("7", 31, 30), ("None", 30, 0)]
 
 
+@pytest.mark.parametrize("piece", [1, 7, 64, 1 << 20])
+def test_words_and_anchors(piece, monkeypatch):
+    """Words by their bounds, in pieces of any size; equal windows of any texts have equal anchors."""
+    monkeypatch.setattr(substring, "PIECE", piece)
+    texts = [(t or "").encode() for t in TEXTS]
+    data, bounds = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    start, end, h = substring.words(data, bounds)
+    assert [data[a:b].tobytes() for a, b in zip(start, end)] == [w for t in texts for w in t.split()]
+    of = np.searchsorted(bounds, start, "right") - 1
+    seen, windows = {}, 0
+    for anchor, a, b in zip(*substring.anchors(h, of)):
+        assert of[a] == of[b + substring.WIDTH - 1]
+        for i in range(a, b + 1):
+            assert seen.setdefault(tuple(h[i : i + substring.WIDTH]), anchor) == anchor
+            windows += 1
+    assert windows == sum(max(0, len(t.split()) - substring.WIDTH + 1) for t in texts)
+
+
 def test_suffix_automaton():
     rng = np.random.default_rng(6)
     texts = [[f"{x}".encode() for x in rng.integers(0, 3, 60)] for _ in range(8)]
