@@ -2,17 +2,23 @@
 
 Every run of ``window`` consecutive words of a benchmark item is a pattern (an item with fewer words
 is one pattern). Patterns of one length m form a table: blocks of two consecutive words give a shift,
-the distance that no pattern end can lie in; where the shift is zero, the bucket of that suffix block
-(sub-divided by each pattern's first word) names the patterns that are then compared word by word.
+the distance that no pattern end can lie in; where the shift is zero, the bucket of that suffix block and
+the pattern's first word names the places of the benchmark text that are then compared word by word.
 
-Cases: null or empty text has no words and is never hit; items with null id or without words are left
-out; repeated item rows count once; repeated document rows are judged each by themselves; an empty
-benchmark hits nothing. Extra columns pass through ``annotate_hits`` untouched.
+A broadcast holds the benchmark's words once and is bounded by their number (``MAX_WORDS``); its tables are
+built once in each worker process. A larger benchmark is searched in as many passes as it takes, and an item
+of more words is cut into parts that overlap by ``window`` - 1 words.
+
+Cases: null or empty text has no words and is never hit; items without words are left out; an item whose id
+is null hits words, but is not among the items listed or counted; repeated item rows count once; repeated
+document rows are judged each by themselves; texts of any length are searched whole; an empty benchmark hits
+nothing. Extra columns pass through ``annotate_hits`` untouched, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections import defaultdict
 
 import pyarrow as pa
@@ -23,8 +29,8 @@ from pyspark.sql import types as T
 from .common import annotate, fresh, stage
 
 WINDOW = 10
-#: Benchmark text that one broadcast holds; a larger benchmark is searched in as many passes as it takes.
-PATTERN_BYTES = 32 << 20
+#: Benchmark words that one broadcast holds.
+MAX_WORDS = 400_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -35,60 +41,70 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 class WuManber:
-    """Patterns (tuples of words) of one length, each with a payload."""
-
-    def __init__(self, patterns: dict[tuple, object]):
-        self.m = m = len(next(iter(patterns)))
-        self.two = m >= 2
-        self.far = m - 1 if self.two else 1
-        self.shift: dict = {}
-        self.buckets: dict = defaultdict(lambda: defaultdict(list))
-        for p, payload in patterns.items():
-            blocks = [a + b" " + b for a, b in zip(p, p[1:])] if self.two else list(p)
-            for distance, block in enumerate(reversed(blocks)):
-                self.shift[block] = min(self.shift.get(block, self.far), distance)
-            self.buckets[blocks[-1]][p[0]].append((list(p), payload))
-        self.buckets = {k: dict(v) for k, v in self.buckets.items()}
+    """Patterns of one length, each the place of its first word in the benchmark's words."""
+
+    def __init__(self, text: list[bytes], starts: list[int], m: int):
+        self.text, self.m, self.two = text, m, m >= 2
+        self.far = max(1, m - 1)
+        self.shift: dict[bytes, int] = {}
+        self.buckets: dict[bytes, list[int]] = defaultdict(list)
+        for start in starts:
+            for distance in range(self.far):
+                block = self._block(text, start + m - 1 - distance)
+                if self.shift.get(block, self.far) > distance:
+                    self.shift[block] = distance
+            self.buckets[self._bucket(text, start)].append(start)
+        self.buckets.default_factory = None
+
+    def _block(self, ws: list[bytes], end: int) -> bytes:
+        return ws[end - 1] + b" " + ws[end] if self.two else ws[end]
+
+    def _bucket(self, ws: list[bytes], start: int) -> bytes:
+        return ws[start] + b" " + self._block(ws, start + self.m - 1)
 
     def find(self, ws: list[bytes]):
-        """(start, payload) of each occurrence, overlaps included."""
-        m, far, shift, two, buckets = self.m, self.far, self.shift.get, self.two, self.buckets
+        """(start, places of equal patterns) of each occurrence, overlaps included."""
+        m, far, shift, two, buckets, text = self.m, self.far, self.shift.get, self.two, self.buckets.get, self.text
         i, n = m - 1, len(ws)
         while i < n:
-            block = ws[i - 1] + b" " + ws[i] if two else ws[i]
-            step = shift(block, far)
+            step = shift(ws[i - 1] + b" " + ws[i] if two else ws[i], far)
             if step:
                 i += step
                 continue
             start = i - m + 1
-            for p, payload in buckets[block].get(ws[start], ()):
-                if ws[start : i + 1] == p:
-                    yield start, payload
+            window = ws[start : i + 1]
+            equal = [p for p in buckets(self._bucket(ws, start), ()) if text[p : p + m] == window]
+            if equal:
+                yield start, equal
             i += 1
 
 
-def build(items: list[tuple], window: int = WINDOW) -> list[WuManber]:
-    """One table for each pattern length; ``items`` are (id, text bytes)."""
-    by_length: dict[int, dict] = defaultdict(lambda: defaultdict(set))
-    for item, text in items:
+class Benchmark:
+    """The words of all items in one list, and a table for each pattern length; ``items`` are (id or None, words)."""
+
+    def __init__(self, items: list[tuple], window: int = WINDOW):
+        self.text: list[bytes] = []
+        self.owner: list = []
+        same: dict[bytes, bytes] = {}
+        by_length: dict[int, list[int]] = defaultdict(list)
+        for item, ws in items:
+            m = min(window, len(ws))
+            if m:
+                by_length[m] += range(len(self.text), len(self.text) + len(ws) - m + 1)
+                self.text += [same.setdefault(w, w) for w in ws]
+                self.owner += [item] * len(ws)
+        self.tables = [WuManber(self.text, starts, m) for m, starts in sorted(by_length.items())]
+
+    def search(self, text: bytes | None) -> tuple[int, list[int], set[str]]:
+        """Number of words, flat sorted [start, end) intervals of hit words, ids of items found."""
         ws = words(text)
-        if item is None or not ws:
-            continue
-        m = min(window, len(ws))
-        for i in range(len(ws) - m + 1):
-            by_length[m][tuple(ws[i : i + m])].add(str(item))
-    return [WuManber(dict(patterns)) for _, patterns in sorted(by_length.items())]
-
-
-def search(tables: list[WuManber], text: bytes | None) -> tuple[int, list[int], set[str]]:
-    """Number of words, flat sorted [start, end) intervals of hit words, ids of items found."""
-    ws = words(text)
-    marks, found = [], set()
-    for table in tables:
-        for start, payload in table.find(ws):
-            marks.append((start, start + table.m))
-            found |= payload
-    return len(ws), _merged(marks), found
+        marks, found = [], set()
+        for table in self.tables:
+            for start, places in table.find(ws):
+                marks.append((start, start + table.m))
+                found.update(self.owner[p] for p in places)
+        found.discard(None)
+        return len(ws), _merged(marks), found
 
 
 def _merged(marks: list[tuple[int, int]]) -> list[int]:
@@ -105,35 +121,65 @@ HIT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit
 _ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("intervals", pa.list_(pa.int32()))])
 
 
-def annotate_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_bytes: int = PATTERN_BYTES) -> tuple[DataFrame, str]:
+def parts(items: DataFrame, window: int, max_words: int) -> DataFrame:
+    """item, ws (words, at most ``max_words``): items of more words in parts that share ``window`` - 1 words, so each window is in one."""
+
+    def run(batches):
+        for batch in batches:
+            ids, out = [], []
+            for item, text in zip(*(c.to_pylist() for c in batch.columns)):
+                ws = words(text)
+                for i in range(0, max(1, len(ws) - window + 1), max(1, max_words - window + 1)):
+                    ids.append(item)
+                    out.append(ws[i : i + max(window, max_words)])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.list_(pa.binary()))], ["item", "ws"])
+
+    texts = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).where("text is not null")
+    return texts.mapInArrow(run, "item string, ws array<binary>").where("size(ws) > 0")
+
+
+#: The tables last used in this worker process, by the broadcast's name.
+_BUILT: dict[str, Benchmark] = {}
+
+
+def _built(name: str, shared, window: int) -> Benchmark:
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Benchmark(shared.value, window)
+    return _BUILT[name]
+
+
+def annotate_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> tuple[DataFrame, str]:
     """``docs`` with a struct column of n_words, n_hit, items (sorted strings), intervals; and that column's name.
 
-    The benchmark's size is checked first. Up to ``max_bytes`` of text go to the executors at once; beyond
-    that, shards of the items by hash are searched one after the other, each pass adding to the last."""
+    The benchmark's words are counted first. Up to ``max_words`` go to the executors at once; beyond that,
+    ranges of its parts are searched one after the other, each pass adding to the last."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).where("item is not null and text is not null")
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = max(1, -(-total // max_bytes))
+    cut = stage(parts(benchmark, window, max_words), "decontam-items")
+    total = cut.agg(F.sum(F.size("ws"))).first()[0] or 0
+    # Shards by hash hold half the bound on average, so that chance leaves none above it by much.
+    shards = 1 if total <= max_words else -(-2 * total // max_words)
     name = fresh(docs, "hit")
     out = docs
     for k in range(shards):
-        part = items if shards == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(shards)) == k)
-        shared = spark.sparkContext.broadcast([(r.item, bytes(r.text)) for r in part.collect()])
-        earlier = name if k else None
-        out = _pass(out, shared, window, name, earlier)
+        part = cut if shards == 1 else cut.where(F.pmod(F.xxhash64("item", "ws"), F.lit(shards)) == k)
+        shared = spark.sparkContext.broadcast([(r.item, [bytes(w) for w in r.ws]) for r in part.collect()])
+        out = _pass(out, shared, window, name, name if k else None)
         if k + 1 < shards:
             out = stage(out, "decontam")
     return out, name
 
 
 def _pass(docs: DataFrame, shared, window: int, name: str, earlier: str | None) -> DataFrame:
+    key = uuid.uuid4().hex
+
     def make():
-        tables = build(shared.value, window)
+        tables = _built(key, shared, window)
 
         def run(texts: list) -> list[pa.Array]:
             rows = []
             for text in texts:
-                n, flat, found = search(tables, text)
+                n, flat, found = tables.search(text)
                 rows.append({"n_words": n, "n_hit": sum(flat[1::2]) - sum(flat[::2]), "items": sorted(found), "intervals": flat})
             return [pa.array(rows, _ARROW)]
 
@@ -188,14 +234,14 @@ WITH d AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
 ), bw AS (
   SELECT DISTINCT item_id, least(10, len(w)) AS m, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0 AND item_id IS NOT NULL)
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)
 ), lens AS (SELECT DISTINCT m FROM bw),
 dw AS (
   SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS g
   FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, lens WHERE len(w) >= m)
 ), occ AS (SELECT doc_id, item_id, i, dw.m AS m FROM dw JOIN bw ON dw.g = bw.g AND dw.m = bw.m),
 hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM occ) GROUP BY doc_id),
-its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY doc_id)
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN its USING (doc_id)

@@ -5,9 +5,14 @@ words. A source is clamped at ``max_epochs`` times its own words; the excess is
 weight, again and again until none is above. A source whose target is e times its size takes each document
 floor(e) times, and the documents that come first in a seeded order once more, up to the rest of the target.
 
-Cases: null text counts 0 words; null source is a source; a source without words has target 0; rows with
-the same doc_id and size share their place in the seeded order and are taken alike; an empty table gives an
-empty mix. Extra columns pass through ``take`` untouched.
+The seeded order is that of a hash over id, size, text and, if there are any, the other columns, so rows that
+share their place are equal. Where the rest of a target ends among equal rows, as many of them are taken as
+nearest fit; these rows are counted and made again from one of them, so that no task has to number them.
+
+Cases: null text counts 0 words; null source is a source; a source without words has target 0; repeated rows,
+with or without an id, are taken one by one; ties in the order are equal rows; texts of any length count whole;
+an empty table gives an empty mix. Extra columns pass through ``take`` untouched, whatever their names (columns
+of map type have no hash: convert them before).
 """
 
 from __future__ import annotations
@@ -20,11 +25,16 @@ from .common import fresh, small, stage, word_count
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 20240
+#: Equal rows that one task makes again.
+CHUNK = 100_000
 
 
-def _key(doc_id, size, seed: int):
-    """A seeded place in the order of documents: 32 hex digits."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("|"), size.cast("string")))
+def _key(docs: DataFrame, seed: int):
+    """A seeded place in the order of documents: 32 hex digits, more if there are columns beyond those of the digests."""
+    text = F.coalesce("text", F.lit(""))
+    place = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.md5(text)))
+    others = sorted(c for c in docs.columns if c not in ("doc_id", "text", "source"))
+    return F.concat(place, F.lower(F.lpad(F.hex(F.xxhash64(*(F.col(f"`{c}`") for c in others))), 16, "0"))) if others else place
 
 
 def water_level(sources: DataFrame, total: float) -> float:
@@ -41,10 +51,9 @@ def water_level(sources: DataFrame, total: float) -> float:
 
 
 def source_plan(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, budget: float = 1.0, seed: int = SEED) -> DataFrame:
-    """One row per source: source, source_size, target, whole (repetitions of each document), cut (documents whose
-    key is at most ``cut`` are taken once more)."""
-    sized = docs.select("source", word_count(F.col("text")).alias("size"), "doc_id").select("source", "size", _key(F.col("doc_id"), F.col("size"), seed).alias("key"))
-    sized = stage(sized, "mix-sizes")
+    """One row per source: source, source_size, target, whole (repetitions of each document), cut and at_cut (documents
+    whose key is under ``cut`` are taken once more, and ``at_cut`` of those whose key is ``cut``)."""
+    sized = stage(docs.select("source", word_count(F.col("text")).alias("size"), _key(docs, seed).alias("key")), "mix-sizes")
     # Ranks by ranges of sources, so that no task needs all of them.
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size")).repartitionByRange(8, F.col("source").asc_nulls_last())
     totals = stage(totals.withColumn("part", F.spark_partition_id()), "mix-sources")
@@ -66,38 +75,46 @@ def source_plan(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS,
 
 
 def _with_cut(plan: DataFrame, sized: DataFrame) -> DataFrame:
-    """Words by source and first 16 bits of the key are summed before any ordering; only the bucket in which the
-    rest of a target ends is ordered by document."""
-    sums = sized.groupBy("source", F.substring("key", 1, 4).alias("bucket")).agg(F.sum("size").alias("words"))
-    order = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("words").over(order), F.lit(0)))
-    p, s = plan.alias("p"), sums.alias("s")
-    edge = small(p).join(s, p["source"].eqNullSafe(s["source"]) & (s["before"] <= p["rest"]) & (p["rest"] < s["before"] + s["words"]) & (p["rest"] > 0)).select(p["source"].alias("source"), "rest", "bucket", "before")
-    edge = stage(edge, "mix-edges")
-    e, z = edge.alias("e"), sized.alias("z")
-    inside = z.join(small(e), e["source"].eqNullSafe(z["source"]) & (F.substring(z["key"], 1, 4) == e["bucket"])).select(e["source"].alias("source"), "key", "size", "rest", "before")
+    """Words by source and two digits of the key are summed before any ordering, then by two more digits within the
+    range where the rest of a target ends; only there are documents ordered, so no task sees a source's documents."""
+    edge = plan.where("rest > 0").select("source", "rest", F.lit("").alias("bucket"), F.lit(0).cast("long").alias("before"))
+    for width in (2, 4):
+        e, z = stage(edge, "mix-edges").alias("e"), sized.alias("z")
+        inside = z.join(small(e), e["source"].eqNullSafe(z["source"]) & z["key"].startswith(e["bucket"]))
+        sums = inside.groupBy(e["source"].alias("source"), "rest", "before", F.substring(z["key"], 1, width).alias("bucket")).agg(F.sum("size").alias("words"))
+        order = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("before", F.col("before") + F.coalesce(F.sum("words").over(order), F.lit(0)))
+        edge = sums.where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words"))).select("source", "rest", "bucket", "before")
+    e, z = stage(edge, "mix-edges").alias("e"), sized.alias("z")
+    inside = z.join(small(e), e["source"].eqNullSafe(z["source"]) & z["key"].startswith(e["bucket"]))
+    keys = inside.groupBy(e["source"].alias("source"), "rest", "before", "bucket", "key", "size").agg(F.count("*").alias("n"))
     running = Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    inside = inside.withColumn("sofar", F.col("before") + F.coalesce(F.sum("size").over(running), F.lit(0)))
-    last = inside.groupBy("source").agg(F.max(F.when(F.col("sofar") + F.col("size") / 2 <= F.col("rest"), F.col("key"))).alias("last"))
-    e, k = edge.alias("e"), last.alias("k")
-    cuts = e.join(small(k), e["source"].eqNullSafe(k["source"]), "left").select(e["source"].alias("source"), F.coalesce("last", "bucket").alias("cut"))
-    p, c = plan.alias("p"), cuts.alias("c")
-    joined = p.join(small(c), p["source"].eqNullSafe(c["source"]), "left")
+    sofar = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(running), F.lit(0))
+    # Of n equal rows those are taken whose middle lies within the rest.
+    fit = F.when(F.col("size") > 0, F.floor((F.col("rest") - F.col("sofar")) / F.col("size") + 0.5)).otherwise(F.when(F.col("sofar") <= F.col("rest"), F.col("n")).otherwise(0))
+    keys = keys.withColumn("sofar", sofar).withColumn("fit", F.least(F.greatest(fit, F.lit(0)), "n").cast("long"))
+    last = keys.groupBy("source", "bucket").agg(F.max(F.when(F.col("fit") > 0, F.struct("key", "fit"))).alias("last"))
+    cuts = last.select(F.col("source").alias("cut_source"), F.coalesce(F.col("last.key"), F.col("bucket")).alias("cut"), F.coalesce(F.col("last.fit"), F.lit(0)).alias("at_cut"))
+    joined = plan.join(small(stage(cuts, "mix-cuts")), F.col("source").eqNullSafe(F.col("cut_source")), "left")
     # No edge: nothing is left of the target, or (by rounding) all of the source is wanted once more.
-    cut = F.coalesce(F.col("cut"), F.when((F.col("rest") > 0) & (F.col("rest") >= F.col("source_size")), F.lit("g")).otherwise(F.lit("")))
-    return stage(joined.select(p["source"].alias("source"), "source_size", "target", "whole", cut.alias("cut")), "mix-plan")
+    cut = F.coalesce("cut", F.when((F.col("rest") > 0) & (F.col("rest") >= F.col("source_size")), F.lit("g")).otherwise(F.lit("")))
+    return stage(joined.select("source", "source_size", "target", "whole", cut.alias("cut"), F.coalesce("at_cut", F.lit(0)).cast("long").alias("at_cut")), "mix-plan")
 
 
 def mix(docs: DataFrame, seed: int = SEED, **options) -> tuple[DataFrame, str]:
     """``docs`` with a struct column of size, source_size, target, copies, taken; and that column's name."""
     plan = source_plan(docs, seed=seed, **options)
-    name, size = fresh(docs, "mix"), fresh(docs, "mix_size")
-    d, p = docs.withColumn(size, word_count(F.col("text"))).alias("d"), plan.alias("p")
-    copies = (F.col("p.whole") + (_key(F.col("d.doc_id"), F.col(f"d.{size}"), seed) <= F.col("p.cut")).cast("long")).alias("copies")
-    n = F.col(f"d.{size}")
-    struct = F.struct(n.alias("size"), F.col("p.source_size").alias("source_size"), F.col("p.target").alias("target"), copies, (n * copies).alias("taken"))
-    joined = d.join(small(p), F.col("d.source").eqNullSafe(F.col("p.source")), "left")
-    return joined.select(*(F.col(f"d.`{c}`") for c in docs.columns), struct.alias(name)), name
+    name = fresh(docs, "mix")
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), _key(docs, seed).alias("key"))
+    joined = row.join(small(plan), F.col("row.source").eqNullSafe(F.col("source")), "left")
+    clear = joined.where("key != cut").select("row", "source_size", "target", (F.col("whole") + (F.col("key") < F.col("cut")).cast("long")).alias("copies"))
+    equal = joined.where("key = cut").groupBy("source", "key").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("row", "source_size", "target", "whole", "at_cut")))
+    equal = equal.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / CHUNK)))).repartition("key", "chunk")
+    equal = equal.withColumn("i", F.explode(F.sequence(F.col("chunk") * CHUNK + 1, F.least("n", (F.col("chunk") + 1) * CHUNK))))
+    equal = equal.select("row", "source_size", "target", (F.col("whole") + (F.col("i") <= F.col("at_cut")).cast("long")).alias("copies"))
+    both = clear.unionByName(equal).withColumn("size", word_count(F.col("row.text")))
+    struct = F.struct("size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    return both.select(*(F.col("row")[c].alias(c) for c in docs.columns), struct.alias(name)), name
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -115,7 +132,7 @@ def take(docs: DataFrame) -> DataFrame:
 
 DIGEST_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+  SELECT doc_id, source, coalesce(text, '') AS text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
 ), s AS (
   SELECT source, sum(size) AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM d GROUP BY source
 ), o AS (
@@ -127,7 +144,7 @@ WITH d AS (
 t AS (SELECT source, source_size, round(least(CAST(cap AS DOUBLE), level * weight), 6) AS target FROM o, l),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size + 1e-12) ELSE 0 END AS whole FROM t),
 m AS (
-  SELECT d.doc_id, size, source_size, target, whole, target - whole * source_size AS rest, md5('{SEED}|' || coalesce(CAST(d.doc_id AS VARCHAR), '') || '|' || size) AS key, d.source
+  SELECT d.doc_id, size, source_size, target, whole, target - whole * source_size AS rest, md5('{SEED}|' || coalesce(CAST(d.doc_id AS VARCHAR), '') || '|' || md5(d.text)) AS key, d.source
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 ), r AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sofar FROM m)
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(size * (whole + CASE WHEN rest > 0 AND sofar + size / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r

@@ -392,6 +392,25 @@ def test_water_filling_clamps(spark):
     assert found[1].taken == 30 and found[3].target == 0
 
 
+@pytest.mark.parametrize("chunk", [mixing.CHUNK, 7])
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: 7, lambda i: i // 50])
+def test_mixing_of_equal_rows(spark, ids, chunk, monkeypatch):
+    """Rows that share id and text are taken one by one: each source comes within a document of its target."""
+    monkeypatch.setattr(mixing, "CHUNK", chunk)
+    rows = [(ids(i), "w " * 50, "abc"[i % 3], i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int")
+    sources, target = plain_mix([(i, t, s) for i, t, s, _ in rows])
+    taken = dict.fromkeys(sources, 0)
+    out, m = mixing.mix(df)
+    found = out.select("source", "extra", F.col(m)["taken"].alias("taken")).collect()
+    for r in found:
+        taken[r.source] += r.taken
+    assert len(found) == 300 and sum(r.extra for r in found) == 150
+    assert all(abs(taken[s] - target[s]) <= 50 for s in taken)
+    again = mixing.mix(df.repartition(5))[0].select("source", "extra", F.col(m)["taken"].alias("taken")).collect()
+    assert sorted(again) == sorted(found)
+
+
 # ---- 8
 
 
@@ -485,22 +504,22 @@ def plain_decontam(text, items):
     for item, t in items:
         v = pattern.findall(lower(t))
         m = min(10, len(v))
-        if item is None or not m:
+        if not m:
             continue
         grams = {tuple(v[i : i + m]) for i in range(len(v) - m + 1)}
         for i in range(len(w) - m + 1):
             if tuple(w[i : i + m]) in grams:
                 hit |= set(range(i, i + m))
-                found.add(str(item))
+                found |= {str(item)} - {"None"}
     return len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit)
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 150])
+@pytest.mark.parametrize("limit", [1 << 20, 40, 12])
 def test_decontam(spark, docs, limit):
     passage = TEXTS[8].split()
-    items = [(1, " ".join(passage[:25])), (12, " ".join(passage[10:22]).upper()), (3, "same Same, same"), (4, "a-b"), (5, "!!"), (6, None), (None, "one"), (7, "one"), (7, "tail"), (100, "\u00e9\u00e8"), (9, " ".join(passage[30:39]))]
+    items = [(1, " ".join(passage[:25])), (12, " ".join(passage[10:22]).upper()), (3, "same Same, same"), (4, "a-b"), (5, "!!"), (6, None), (None, "one"), (None, " ".join(passage[5:17])), (7, "one"), (7, "same text again"), (7, "tail"), (100, "\u00e9\u00e8"), (9, " ".join(passage[30:39]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    out, hit = decontam.annotate_hits(docs.select("doc_id", "text"), bench, max_bytes=limit)
+    out, hit = decontam.annotate_hits(docs.select("doc_id", "text"), bench, max_words=limit)
     h = F.col(hit)
     found = {r.doc_id: (r.n, r.k, len(r.items), decontam.items_digest(r.items), r.k > 0) for r in out.select("doc_id", h["n_words"].alias("n"), h["n_hit"].alias("k"), h["items"].alias("items")).collect()}
     for i, t in enumerate(TEXTS):
@@ -513,9 +532,11 @@ def test_wu_manber_against_scan():
     rng = np.random.default_rng(10)
     ws = [f"{x}".encode() for x in rng.integers(0, 4, 400)]
     for m in (1, 2, 3, 6):
-        patterns = {tuple(f"{x}".encode() for x in rng.integers(0, 4, m)): k for k in range(20)}
-        found = sorted(decontam.WuManber(patterns).find(ws))
-        assert found == sorted((i, v) for i in range(len(ws) - m + 1) for p, v in patterns.items() if tuple(ws[i : i + m]) == p)
+        text = [f"{x}".encode() for x in rng.integers(0, 4, 40)]
+        starts = list(range(0, 41 - m, 3))
+        found = sorted(decontam.WuManber(text, starts, m).find(ws))
+        equal = [(i, [p for p in starts if text[p : p + m] == ws[i : i + m]]) for i in range(len(ws) - m + 1)]
+        assert found == [(i, places) for i, places in equal if places]
 
 
 # ---- empty tables
