@@ -1,17 +1,21 @@
 """Quality classifier with hierarchical empirical Bayes over sites.
 
-Two logistic models (good quality, toxic) are fitted on the driver to at most ``max_rows`` labelled
-documents of at most ``max_chars`` characters, taken in a seeded hash order. Features are proportions of
-the text and the presence of selected words and word beginnings. Every document is scored; the scores are
-summed by host and by path below it, between-site variances give prior strengths by moments, and posterior
-means shrink paths toward their host and hosts toward the global mean. A document's log-odds move by its
-path's posterior (without the document itself) against the global mean, by at most ``REACH``.
+Two logistic models (good quality, toxic) are fitted to at most ``max_rows`` labelled documents, taken in a
+seeded hash order, whole texts of any length. Features are proportions of the text and the presence of selected
+words and word beginnings; these are selected from grouped counts over the sample, and the driver, which does
+the fitting, gets numbers only: proportions and places of selected features. Every document is scored; the
+scores are summed by host and by path below it, between-site variances give prior strengths by moments, and
+posterior means shrink paths toward their host and hosts toward the global mean. A document's log-odds move by
+its host's evidence against the global mean and its path's (without the document itself) against its host's,
+each times the share of the variance of single documents that lies between sites of that level: what the site
+says of one document.
 
 Documents have no URL here: ``source`` stands for the host and ``lang`` for the path below it.
 
 Cases: null or empty text scores as a text without words; null host or path are a site of their own;
-repeated rows are judged each; labels are read once per (doc_id, values); without both classes among the
-labels a model says nothing and rejects nothing; an empty table gives an empty result.
+repeated rows are judged each; labels are read once per (doc_id, values); ties in the hash order are broken by
+id, labels and text; without both classes among the labels a model says nothing and rejects nothing; an empty
+table gives an empty result; ``keep_good`` passes extra columns through, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,9 +32,7 @@ from pyspark.sql import types as T
 from .common import annotate, small, stage
 
 TRAIN_ROWS = 3000
-TRAIN_CHARS = 60_000
 SEED = 7
-REACH = 0.7
 #: A document goes below this probability of good quality, or from that probability of being toxic on.
 LEAST_QUALITY, MOST_TOXIC = 0.5, 0.35
 MAX_FEATURES = 4000
@@ -54,32 +56,34 @@ def proportions(text: bytes) -> list[float]:
     ]
 
 
-def fit(rows: list[tuple[bytes, int]], steps: int = 400, ridge: float = 0.3) -> dict | None:
-    """Logistic regression on proportions and on tokens whose frequency differs most between the classes."""
-    y = np.array([v for _, v in rows], dtype=float)
-    if len(set(y)) < 2:
-        return None
-    found = [tokens(t) for t, _ in rows]
-    seen: list[Counter] = [Counter(), Counter()]
-    for s, v in zip(found, y):
-        seen[int(v)].update(s)
+HEADS = ("quality", "toxic")
+_SAMPLE = T.StructType([T.StructField("tokens", T.ArrayType(T.BinaryType())), T.StructField("dense", T.ArrayType(T.DoubleType()))])
+
+
+def _make_sample():
+    def run(texts):
+        return [pa.array([sorted(tokens(t or b"")) for t in texts], pa.list_(pa.binary())), pa.array([proportions(t or b"") for t in texts], pa.list_(pa.float64()))]
+
+    return run
+
+
+def selected(sample: DataFrame, head: str, n0: int, n1: int) -> list[bytes]:
+    """The tokens whose frequency differs most between the classes: by the likelihood ratio of two rates against one."""
+    ones, zeros = F.count(F.when(F.col(head) == 1, 1)), F.count(F.when(F.col(head) == 0, 1))
+    counts = sample.select(F.explode("tokens").alias("token"), head).groupBy("token").agg(ones.alias("a"), zeros.alias("b")).where("a + b >= 8")
+    share = (F.col("a") + F.col("b")) / (n0 + n1)
+    part = lambda x, n: F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / (share * n))).otherwise(0.0)
+    gain = F.round(2 * (part("a", n1) + part("b", n0)), 6)
+    return [bytes(r.token) for r in counts.withColumn("gain", gain).where("gain > 16").orderBy(F.desc("gain"), "token").limit(MAX_FEATURES).collect()]
+
+
+def fit(dense: np.ndarray, places: list[np.ndarray], names: list[bytes], y: np.ndarray, steps: int = 400, ridge: float = 0.3) -> dict:
+    """Logistic regression on proportions and on which of the tokens ``names`` (by place) a document has."""
     n0, n1 = float((y == 0).sum()), float(y.sum())
-    ranked = []
-    for token in seen[0].keys() | seen[1].keys():
-        a, b = seen[1][token], seen[0][token]
-        if a + b >= 8:
-            share = (a + b) / (n0 + n1)
-            gain = 2 * sum(x * math.log(x / (share * n)) for x, n in ((a, n1), (b, n0)) if x)  # likelihood ratio of two rates against one
-            if gain > 16:
-                ranked.append((-gain, token))
-    chosen = {token: i for i, (_, token) in enumerate(sorted(ranked)[:MAX_FEATURES])}
-    dense = np.array([proportions(t) for t, _ in rows])
-    row = np.array([i for i, s in enumerate(found) for t in s if t in chosen], dtype=np.int64)
-    col = np.array([chosen[t] for s in found for t in s if t in chosen], dtype=np.int64)
-    w, d, bias = np.zeros(len(chosen)), np.zeros(dense.shape[1]), math.log(n1 / n0)
+    row, col = np.repeat(np.arange(len(y)), [len(p) for p in places]), np.concatenate([*places, np.zeros(0, np.int64)]).astype(np.int64)
+    w, d, b = np.zeros(len(names)), np.zeros(dense.shape[1]), np.array([math.log(n1 / n0)])
     # Adam on the mean loss with a ridge: few features, so whole batches.
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (w, d, np.zeros(1))]
-    b = np.array([bias])
     for k in range(1, steps + 1):
         z = b[0] + dense @ d + np.bincount(row, weights=w[col], minlength=len(y))
         e = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y
@@ -88,7 +92,7 @@ def fit(rows: list[tuple[bytes, int]], steps: int = 400, ridge: float = 0.3) ->
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             x -= 0.1 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-8)
-    return {"bias": float(b[0]), "dense": d.tolist(), "tokens": {t: float(w[i]) for t, i in chosen.items()}}
+    return {"bias": float(b[0]), "dense": d.tolist(), "tokens": dict(zip(names, w.tolist()))}
 
 
 def log_odds(model: dict | None, text: bytes, found: set[bytes], dense: list[float]) -> float:
@@ -98,12 +102,30 @@ def log_odds(model: dict | None, text: bytes, found: set[bytes], dense: list[flo
     return model["bias"] + sum(a * b for a, b in zip(model["dense"], dense)) + sum(weight(t, 0.0) for t in found)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS, max_chars: int = TRAIN_CHARS, seed: int = SEED) -> dict:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS, seed: int = SEED) -> dict:
     """Models for ``quality`` and ``toxic``. The bounded sample is drawn from the labels before any text is read."""
-    chosen = labels.select("doc_id", "quality", "toxic").where("doc_id is not null").distinct().orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "quality", "toxic").limit(2 * max_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.length("text") <= max_chars)
-    rows = rows.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "text").limit(max_rows).select(F.col("text").cast("binary").alias("text"), "quality", "toxic").collect()
-    return {head: fit([(bytes(r.text), int(r[head])) for r in rows if r[head] is not None]) for head in ("quality", "toxic")}
+    chosen = labels.select("doc_id", *HEADS).where("doc_id is not null").distinct().orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", *HEADS).limit(2 * max_rows)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", *HEADS, "text").limit(max_rows)
+    sample = stage(annotate(rows, "text", _make_sample, _SAMPLE).drop("text"), "quality-sample")
+    models: dict = {}
+    for head in HEADS:
+        known = sample.where(F.col(head).isin(0, 1))
+        classes = {r[0]: r[1] for r in known.groupBy(head).count().collect()}
+        if len(classes) < 2:
+            models[head] = None
+            continue
+        names = selected(known, head, classes[0], classes[1])
+        table = {t: i for i, t in enumerate(names)}
+
+        def places(batches, table=table):
+            for batch in batches:
+                columns = {c: batch.column(batch.schema.get_field_index(c)) for c in ("dense", "y", "tokens")}
+                found = [[table[t] for t in ts if t in table] for ts in columns["tokens"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([columns["y"], columns["dense"], pa.array(found, pa.list_(pa.int32()))], ["y", "dense", "places"])
+
+        rows = known.select(F.col(head).cast("double").alias("y"), "dense", "tokens").mapInArrow(places, "y double, dense array<double>, places array<int>").toArrow()
+        models[head] = fit(np.array(rows["dense"].to_pylist()), [np.array(p, np.int64) for p in rows["places"].to_pylist()], names, rows["y"].to_numpy())
+    return models
 
 
 def scores(docs: DataFrame, models: dict) -> DataFrame:
@@ -158,8 +180,9 @@ def strength(sites: DataFrame, parent: str | None) -> tuple[float, float]:
     return mean, min(1e6, max(1.0, noise / spread))
 
 
-def posteriors(scored: DataFrame, head: str) -> tuple[DataFrame, float, float]:
-    """Paths with n, s and the shrunk host mean; the global mean; the strength of the host as prior of its paths."""
+def posteriors(scored: DataFrame, head: str) -> tuple[DataFrame, float, float, float]:
+    """Paths with n, s and the shrunk host mean; the global mean; the strengths of the global mean as prior of hosts
+    and of the host as prior of its paths: the variance within sites over that between them."""
     p = _sigmoid(F.col(head))
     paths = stage(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(p).alias("s"), F.sum(p * p).alias("ss")), f"quality-{head}")
     hosts = paths.groupBy("host").agg(*(F.sum(c).alias(c) for c in ("n", "s", "ss")))
@@ -167,7 +190,7 @@ def posteriors(scored: DataFrame, head: str) -> tuple[DataFrame, float, float]:
     mean, k_host = strength(hosts, None)
     h = hosts.select(F.col("host").alias("parent"), F.col("n").alias("parent_n"), F.col("s").alias("parent_s"), ((F.col("s") + k_host * mean) / (F.col("n") + k_host)).alias("host_mean"))
     joined = stage(paths.join(small(h), F.col("host").eqNullSafe(F.col("parent")), "left").drop("parent"), f"quality-{head}-paths")
-    return joined, mean, strength(joined, "host")[1]
+    return joined, mean, k_host, strength(joined, "host")[1]
 
 
 def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", **options) -> DataFrame:
@@ -175,15 +198,15 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
     models = train(docs, labels, **options)
     scored = stage(scores(docs.select("doc_id", "text", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path")), models), "quality-scores")
     out = scored
-    for head in ("quality", "toxic"):
+    for head in HEADS:
         if models[head] is None:
             out = out.withColumn(f"p_{head}", F.lit(1.0 if head == "quality" else 0.0))
             continue
-        sites, mean, k = posteriors(scored, head)
+        sites, mean, k_host, k = posteriors(scored, head)
         sites = sites.select(F.col("host").alias("h"), F.col("path").alias("p"), "n", "s", "host_mean")
         out = out.join(small(sites), F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")), "left")
         others = (F.col("s") - _sigmoid(F.col(head)) + k * F.col("host_mean")) / (F.col("n") - 1 + k)
-        move = F.least(F.greatest(_logit(others) - _logit(F.lit(mean)), F.lit(-REACH)), F.lit(REACH))
+        move = (_logit(F.col("host_mean")) - _logit(F.lit(mean))) / (1 + k_host) + (_logit(others) - _logit(F.col("host_mean"))) / (1 + k)
         out = out.withColumn(f"p_{head}", F.round(_sigmoid(F.col(head) + move), 6)).drop("h", "p", "n", "s", "host_mean")
     return out.select("doc_id", "p_quality", "p_toxic", ((F.col("p_quality") >= LEAST_QUALITY) & (F.col("p_toxic") < MOST_TOXIC)).alias("kept"))
 
