@@ -2,12 +2,16 @@
 
 The words of a text, joined by single spaces, are encoded by two public vocabularies: a byte-level
 BPE gives characters per token and the entropy of the document's tokens, a BPE with byte fallback gives the
-share of tokens that are single bytes. For each language (or, where that is null, script) robust quantiles
-over all documents make a band for each measure; documents outside a band are rejected.
-
-Cases: null or empty text has no words, so it fails the base rule; documents with under ``MIN_TOKENS``
-tokens are not judged by bands; languages with under ``MIN_DOCS`` judged documents use the bands of all;
-repeated rows are measured each; an empty table gives an empty result.
+share of tokens that are single bytes. Documents are compared with those of their language (or, where that is
+null, script) and of about their length, as entropy grows with the number of tokens: for each language and
+power of two of tokens, quantiles over all documents make a band for each measure. Quantiles of few documents
+are drawn toward those of the language, and these toward those of all, as if ``PRIOR`` documents said the
+latter. Documents outside a band are rejected.
+
+Cases: null or empty text has no words, so it fails the base rule; a language or length with few documents has
+nearly the bands of its language or of all; repeated rows are measured each; ties don't matter to quantiles;
+very long texts are encoded in blocks of ``Vocabularies.BLOCK`` words; an empty table gives an empty result;
+other columns play no part.
 """
 
 from __future__ import annotations
@@ -28,8 +32,9 @@ VOCABULARIES = "/opt/tokenizers"
 MEASURES = ("chars_per_token", "byte_share", "entropy")
 #: A band reaches this many times the distance between median and outer octile beyond that octile, at least the given width.
 REACH = 3.0
-LEAST = {"chars_per_token": 0.25, "byte_share": 0.05, "entropy": 0.5}
-MIN_TOKENS, MIN_DOCS = 50, 30
+LEAST = {"chars_per_token": 0.1, "byte_share": 0.02, "entropy": 0.1}
+#: Documents that the quantiles of all weigh in those of a language, or those of a language in those of a length.
+PRIOR = 30
 _SPACES, _SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 
 
@@ -150,33 +155,37 @@ def measures(docs: DataFrame, vocabularies: str = VOCABULARIES) -> DataFrame:
 
 
 def bands(seen: DataFrame) -> DataFrame:
-    """group (null for all documents), then low and high of each measure, from all documents with enough tokens."""
-    judged = seen.where(F.col("n_tokens") >= MIN_TOKENS)
+    """group, bin, then low and high of each measure, from all documents with columns group, bin and the measures."""
+
+    def quantiles(*by: str, name: str) -> DataFrame:
+        q = lambda m: F.percentile_approx(m, F.array(F.lit(0.125), F.lit(0.5), F.lit(0.875)), 10_000)
+        return stage(seen.groupBy(*by).agg(F.count("*").alias(f"n_{name}"), *(q(m).alias(f"{m}_{name}") for m in MEASURES)), f"fertility-{name}")
+
+    def drawn(n: str, own, toward):
+        return F.zip_with(own, toward, lambda q, p: (F.col(n) * q + PRIOR * p) / (F.col(n) + PRIOR))
+
+    out = small(quantiles("group", name="language")).join(quantiles("group", "bin", name="length"), "group").crossJoin(F.broadcast(quantiles(name="all")))  # one row of all
     columns = []
     for m in MEASURES:
-        q = F.percentile_approx(m, F.array(F.lit(0.125), F.lit(0.5), F.lit(0.875)), 10_000)
+        q = drawn("n_length", F.col(f"{m}_length"), drawn("n_language", F.col(f"{m}_language"), F.col(f"{m}_all")))
         for side, outer, sign in (("low", 0, -1), ("high", 2, 1)):
             reach = F.greatest(F.abs(q[outer] - q[1]) * REACH, F.lit(LEAST[m]))
             columns.append((q[outer] + sign * reach).alias(f"{m}_{side}"))
-    by_group = judged.groupBy("group").agg(F.count("*").alias("n"), *columns).where((F.col("n") >= MIN_DOCS) & F.col("group").isNotNull())
-    of_all = judged.agg(F.count("*").alias("n"), *columns).withColumn("group", F.lit(None).cast("string"))
-    return by_group.unionByName(of_all)
+    return out.select("group", "bin", *columns)
 
 
 def rules(docs: DataFrame, vocabularies: str = VOCABULARIES) -> DataFrame:
     """doc_id, the base counts, base_failed, the measures, kept."""
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     seen = measures(docs.select("doc_id", "text", lang.alias("language")), vocabularies).drop("text")
-    seen = stage(seen.withColumn("group", F.coalesce(F.concat(F.lit("lang:"), "language"), F.concat(F.lit("script:"), "script"))), "fertility")
-    table = stage(bands(seen), "fertility-bands")
-    whole = table.where("group is null").first()
-    out = seen.join(small(table.where("group is not null").drop("n")), "group", "left")
+    group = F.coalesce(F.concat(F.lit("lang:"), "language"), F.concat(F.lit("script:"), "script"))
+    seen = stage(seen.withColumn("group", group).withColumn("bin", F.floor(F.log2(F.col("n_tokens") + 1.0)).cast("int")), "fertility")
+    out = seen.join(small(stage(bands(seen), "fertility-bands")), ["group", "bin"], "left")
     inside = F.lit(True)
     for m in MEASURES:
-        low, high = (F.coalesce(f"{m}_{side}", F.lit(whole[f"{m}_{side}"]).cast("double")) for side in ("low", "high"))
-        inside = inside & F.coalesce(F.col(m).between(low, high), F.lit(True))
+        inside = inside & F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ((F.col("n_tokens") < MIN_TOKENS) | inside))
+    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & inside)
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Each operator against a plain version of its contract, on small tables with every odd case."""
 
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -120,10 +121,28 @@ def test_bit_sliced_distances():
         assert (bits == (np.bitwise_count(a ^ b) <= radius)).all()
 
 
-def test_keep_first(spark, docs):
-    kept = {r.doc_id for r in simhash.keep_first(docs.withColumn("gone", F.lit(1))).collect()}
-    found = by_id(simhash.near_duplicates(docs))
-    assert kept == {i for i, r in found.items() if r.component_id == i}
+@pytest.mark.parametrize("blocks", range(6, 11))
+def test_tables_find_all_prints_within_the_radius(blocks):
+    """Whatever 4 bits differ, the prints agree on all blocks of some table; keys grow with the number of prints."""
+    found = next(t for n in range(64) if (t := simhash.tables(1 << n)) and len(t) == len(list(itertools.combinations(range(blocks), 4))))
+    covered = [sum(((1 << w) - 1) << o for o, w in own) for own in found]
+    rng = np.random.default_rng(blocks)
+    for _ in range(500):
+        bits = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+        assert any(not bits & c for c in covered)
+    assert all(o + w <= 64 for own in found for o, w in own)
+
+
+def test_spread_join(spark, monkeypatch):
+    """By broadcast or dealt out, a join gives the same rows, hot keys included."""
+    from ledgerline.llm import common
+
+    many = spark.createDataFrame([(i % 3 if i % 2 else None, i) for i in range(90)] + [(7, i) for i in range(200)], "k long, v long")
+    one = spark.createDataFrame([(0, "a"), (1, "b"), (7, "c"), (9, "d")], "k long, name string")
+    want = sorted(many.join(one, "k").select("k", "v", "name").collect())
+    assert sorted(common.spread_join(many, one, "k").select("k", "v", "name").collect()) == want
+    monkeypatch.setattr(common, "SMALL_ROWS", 1)
+    assert sorted(common.spread_join(many, one, "k", hot_rows=10).select("k", "v", "name").collect()) == want
 
 
 # ---- 2
@@ -235,14 +254,59 @@ def test_quality(spark):
     assert right / len(held_out) > 0.97 and len(found) == 292
     kept = {r.doc_id for r in quality.keep_good(df.withColumn("gone", F.lit(2)), lab).collect()}
     assert kept == {i for i, k in found.items() if k}
+    # A very long labelled text is in the sample like any other.
+    long = spark.createDataFrame([(5000 + 2 * i, ("vile scum " if i % 2 else "fair word ") * 40_000) for i in range(6)], "doc_id long, text string")
+    sample = quality.train(df.select("doc_id", "text").unionByName(long), lab.unionByName(spark.createDataFrame([(5000 + 2 * i, 1, i % 2) for i in range(6)], "doc_id long, quality int, toxic int")))
+    assert {b"vile", b"scum", b"fair"} & set(sample["toxic"]["tokens"])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.judge(df, none).where("not kept").count() == 0
 
 
+def plain_posteriors(rows):
+    """Log-odds of (host, path, log-odds) after site evidence, in plain Python."""
+    p = [1 / (1 + np.exp(-z)) for _, _, z in rows]
+
+    def moments(sites, centers):
+        n, s, ss = (np.array([f(v) for v in sites.values()]) for f in (len, sum, lambda v: sum(x * x for x in v)))
+        within, between = (ss - s * s / n).sum(), (n * (s / n - np.array([centers[k] for k in sites])) ** 2).sum()
+        noise = within / max(1, n.sum() - len(n))
+        spread = max(1e-6, (between - (len(n) - 1) * noise) / max(1e-9, n.sum() - (n * n).sum() / n.sum())) if len(n) > 1 else 1e-6
+        return min(1e6, max(1.0, noise / spread))
+
+    hosts, paths = {}, {}
+    for (h, q, _), x in zip(rows, p):
+        hosts.setdefault(h, []).append(x)
+        paths.setdefault((h, q), []).append(x)
+    mean = sum(p) / len(p)
+    k_host = moments(hosts, dict.fromkeys(hosts, mean))
+    k = moments(paths, {(h, q): sum(hosts[h]) / len(hosts[h]) for h, q in paths})
+    host = {h: (sum(v) + k_host * mean) / (len(v) + k_host) for h, v in hosts.items()}
+    logit = lambda x: np.log(x / (1 - x))
+    out = []
+    for (h, q, z), x in zip(rows, p):
+        v = paths[h, q]
+        others = (sum(v) - x + k * host[h]) / (len(v) - 1 + k)
+        out.append(z + (logit(host[h]) - logit(mean)) / (1 + k_host) + (logit(others) - logit(host[h])) / (1 + k))
+    return out
+
+
+def test_quality_against_plain_posteriors(spark, monkeypatch):
+    """Given the classifier's log-odds, each document's probability is that of a plain computation."""
+    rng = np.random.default_rng(12)
+    rows = [(f"h{i % 7}" if i % 5 else None, f"p{i % 3}", float(rng.normal((i % 7) / 2 - 1, 1))) for i in range(400)]
+    scored = spark.createDataFrame([(i, *r, 0.0) for i, r in enumerate(rows)], "doc_id long, source string, lang string, quality double, toxic double").withColumn("text", F.lit("x"))
+    monkeypatch.setattr(quality, "train", lambda *a, **k: {"quality": {}, "toxic": None})
+    monkeypatch.setattr(quality, "scores", lambda df, models: scored.select("doc_id", F.col("source").alias("host"), F.col("lang").alias("path"), "quality", "toxic"))
+    found = by_id(quality.judge(scored, None))
+    want = [1 / (1 + np.exp(-z)) for z in plain_posteriors(rows)]
+    assert [found[i].p_quality for i in range(400)] == pytest.approx(want, abs=2e-6)
+    assert all(found[i].kept == (found[i].p_quality >= quality.LEAST_QUALITY) for i in range(400))
+
+
 def test_sparse_sites_shrink(spark):
     rows = [("h1", "p1", 5.0)] * 400 + [("h2", "p1", -5.0)] * 400 + [("h3", "p1", -5.0)]
     scored = spark.createDataFrame(rows, "host string, path string, quality double")
-    sites, mean, k = quality.posteriors(scored, "quality")
+    sites, mean, k_host, k = quality.posteriors(scored, "quality")
     by = {r.host: r.host_mean for r in sites.collect()}
     assert by["h1"] > 0.9 and by["h2"] < 0.1 and by["h2"] < by["h3"] < mean + 0.05 and k >= 1
 
@@ -315,29 +379,51 @@ def test_suffix_automaton():
 
 
 def test_tokens_round_trip(spark, docs, tmp_path):
-    docs.write.parquet(str(tmp_path / "docs"))
-    stored = spark.read.parquet(str(tmp_path / "docs"))
-    found, out = tokens.materialise(stored, f"file://{tmp_path}/t", length=64, numbers_per_shard=50)
-    rows = sorted(found.collect(), key=lambda r: r.sequence)
+    more = docs.withColumn("slot", F.lit("x")).unionByName(docs.where("doc_id in (8, 15)").withColumn("slot", F.lit("y"))).unionByName(docs.where("doc_id = 15").select(F.lit(None).cast("long").alias("doc_id"), "text", "lang", "source", F.lit("z").alias("slot")))
+    found, out = tokens.materialise(more, f"file://{tmp_path}/t", length=64, sequences_per_shard=50)
+    rows = sorted(found.collect(), key=lambda r: r.slot)
     n = len(rows)
-    assert sorted(r.slot for r in rows) == list(range(n)) and [r.slot for r in rows] != list(range(n))
-    t = tokens.Tokenizer()
-    assert sum(r.n_tokens for r in rows) == sum(len(t.bpe.encode_ordinary(x or "")) + 1 for x in TEXTS)
+    assert [r.slot for r in rows] == list(range(n)) and len({r.shard for r in rows}) > 5
     data = tokens.read_slots(out, 0, n)
-    stream = np.concatenate([data[r.slot][: r.n_tokens] for r in rows])
-    cuts = np.flatnonzero(stream == tokens.END)
-    whole = sorted(np.array(t.bpe.encode_ordinary(x or ""), "<u2").tobytes() for x in TEXTS)
-    assert sorted(stream[a:b].tobytes() for a, b in zip(np.r_[0, cuts[:-1] + 1], cuts)) == whole
-    before = -1
-    for r in sorted(rows, key=lambda r: r.slot):
+    t = tokens.Tokenizer()
+    coded = lambda x: [*t.bpe.encode_ordinary(x or ""), tokens.END]
+    texts = [(r.doc_id, coded(r.text)) for r in more.collect()]
+    parts: dict = {}
+    for r in rows:
         assert hashlib.sha256(data[r.slot][: r.n_tokens].tobytes()).hexdigest() == r.sha256 and (data[r.slot][r.n_tokens :] == tokens.END).all()
-        assert r.shard >= before
-        before = r.shard
+        at = 0
+        for p in r.pieces:
+            parts.setdefault((p.doc_id, p.start), []).append(data[r.slot][at : at + p.n].tolist())
+            at += p.n
+        assert at == r.n_tokens
+    # Every token of every row is in exactly one place: a document's parts, by id and first token, as often as its rows.
+    want: dict = {}
+    for doc, ids in texts:
+        for start in {s for d, s in parts if d == doc}:
+            length = len(parts[doc, start][0])
+            want.setdefault((doc, start), []).append(ids[start : start + length])
+    assert sum(len(p) for ps in parts.values() for p in ps) == sum(len(ids) for _, ids in texts)
+    assert all(sorted(map(tuple, parts[at])) == sorted(tuple(p) for p in want[at] if p) for at in parts if at[0] not in (8, 15, None))
+    whole = [p for (d, s), ps in sorted(parts.items(), key=str) if d == 16 for p in ps]
+    assert sorted(x for p in whole for x in p) == sorted(dict(texts)[16])
+    # Packing leaves at most one padded sequence in each shard; the order is mixed.
+    assert sum(r.n_tokens < 64 for r in rows) <= len({r.shard for r in rows})
+    order = [p.start for r in rows for p in r.pieces if p.doc_id == 16]
+    assert order != sorted(order)
     assert (tokens.read_slots(out, 25, 30) == data[25:55]).all() and tokens.read_slots(out, n, 5).shape == (0, 64)
-    # The same files give the same shards, however they are split into tasks.
-    again = {r.slot: (r.sequence, r.sha256) for r in tokens.materialise(stored, f"file://{tmp_path}/u", length=64, numbers_per_shard=50)[0].collect()}
-    assert again == {r.slot: (r.sequence, r.sha256) for r in rows}
-    assert tokens.materialise(docs, f"file://{tmp_path}/v", length=64)[0].agg(F.sum("n_tokens")).first()[0] == len(stream)
+
+
+def test_tokens_do_not_depend_on_splits(spark, docs, tmp_path):
+    """Files read in splits of any size and rows in any order give the same shards."""
+    docs.repartition(2).write.parquet(str(tmp_path / "docs"))
+    made = []
+    for k, size in enumerate(("128m", "2k", None)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size or "128m")
+        df = spark.read.parquet(str(tmp_path / "docs")) if size else docs.repartition(7)
+        found, out = tokens.materialise(df, f"file://{tmp_path}/t{k}", length=64, sequences_per_shard=50)
+        made.append((sorted((r.slot, r.shard, r.sha256) for r in found.collect()), tokens.read_slots(out, 0, 10_000).tobytes()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    assert made[0] == made[1] == made[2]
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 4097])
