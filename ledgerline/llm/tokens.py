@@ -1,18 +1,19 @@
 """Token ids in training order, as fixed-stride binary shards.
 
-The documents of each input split, each followed by an end token, are one stream in the file's order; every
-``length`` tokens make a sequence, the last of a split padded. A byte-level vocabulary never has more tokens
-than bytes, so byte counts by split bound each split's sequences without encoding anything: sequence i of a
-split is number start + i in a domain of known size. A keyed Feistel permutation with cycle-walking moves the
-numbers over the domain; ranges of images go to partitions, which write one shard each, in order of images,
-at a stride of ``length`` 16-bit ids. A sequence's global slot is the rank of its image: the sequences of the
-shards before, which the index counts, plus its place. A reader resumes at any slot from index and stride.
-
-Texts are encoded once. Nothing depends on how splits are grouped into tasks, so retries and reruns over the
-same files write the same bytes.
-
-Cases: null or empty text is its end token only; repeated rows are written each; without documents there is
-no sequence and no shard.
+A document's tokens and an end token are cut into whole sequences of ``length`` and a rest. Part i of a document
+is number h * parts + i of a domain, h a hash of its id and text, ``parts`` a bound on the parts of any document
+(a byte-level vocabulary never has more tokens than bytes). A keyed Feistel permutation with cycle-walking moves
+the numbers over the domain; ranges of images go to partitions, which write shards in order of images, at a
+stride of ``length`` 16-bit ids. A whole sequence is written as it comes, rests are packed one after the other
+into sequences of their shard, the last of which is padded. A sequence's global slot is its rank: the sequences of
+the shards before, which the index counts, plus its place. A reader resumes at any slot from index and stride.
+
+Texts are encoded once. Nothing depends on the order of rows, on input splits or on how tasks are grouped, so
+retries and reruns write the same bytes.
+
+Cases: null or empty text is its end token only; null doc_id is an id like any other; repeated rows are written
+each, next to each other; different documents with one number keep the order of their hashes; very long texts are
+encoded whole; without documents there is no sequence and no shard; other columns play no part.
 """
 
 from __future__ import annotations
@@ -25,8 +26,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shared_dir, small, stage
@@ -34,8 +34,10 @@ from .common import shared_dir, small, stage
 VOCABULARIES = "/opt/tokenizers"
 END = 50256
 LENGTH = 1024
-#: Numbers of the domain in one shard; a third to a half of them are sequences.
-NUMBERS_PER_SHARD = 16384
+#: Sequences of one shard if every byte were a token; mostly it holds a third to a half of these.
+SEQUENCES_PER_SHARD = 16384
+#: Shards whose places in the order are counted together.
+SHARDS_PER_GROUP = 4096
 KEY = 0x5EED
 ROUNDS = 6
 
@@ -80,101 +82,95 @@ def permuted(values: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, split (file and start of the block): rows of a split come in the file's order."""
-    columns = ["doc_id", "text", F.concat_ws("|", "_metadata.file_path", F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")).alias("split")]
-    try:
-        return docs.select(*columns)
-    except AnalysisException:
-        return stage(docs.select("doc_id", "text"), "tokens-input").select(*columns)
-
-
-def _runs(batches, make):
-    """(split, doc ids, encoded tokens with end) for each run of rows of one split."""
-    tokenizer, end = make(), np.array([END], "<u2").tobytes()
-    for batch in batches:
-        ids, texts, splits = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "text", "split"))
-        start = 0
-        while start < len(splits):
-            stop = start
-            while stop < len(splits) and splits[stop] == splits[start]:
-                stop += 1
-            yield splits[start], ids[start:stop], [tokenizer.encode(t) + end for t in texts[start:stop]]
-            start = stop
-
-
 class Shard:
     """The shard being written, under a name of its own until it is whole: a lost or doubled attempt leaves no half shard."""
 
     def __init__(self, store, base: str, length: int):
-        self.store, self.base, self.length, self.number, self.stream = store, base, length, None, None
+        self.store, self.base, self.length, self.number = store, base, length, None
         self.end = np.array([END], "<u2").tobytes()
+        self.rows: list[tuple] = []
 
-    def write(self, number: int, body: bytes) -> tuple[int, int, str]:
-        """Place in the shard, tokens and hash of one sequence."""
+    def add(self, number: int, doc, start: int, ids: bytes) -> None:
+        """One part of a document; parts shorter than a sequence are held until they fill one."""
         if number != self.number:
             self.close()
-            self.number, self.place, self.name = number, 0, f"{self.base}/shard-{number:08d}.bin"
+            self.number, self.place, self.name, self.held, self.pieces = number, 0, f"{self.base}/shard-{number:08d}.bin", b"", []
             self.partial = f"{self.name}.{uuid.uuid4().hex}"
             self.stream = self.store.open_output_stream(self.partial)
+        if len(ids) == 2 * self.length:
+            self._write(ids, [(doc, start, self.length)])
+            return
+        while ids:
+            n = min(len(ids), 2 * self.length - len(self.held)) // 2
+            self.held += ids[: 2 * n]
+            self.pieces.append((doc, start, n))
+            ids, start = ids[2 * n :], start + n
+            if len(self.held) == 2 * self.length:
+                self._flush()
+
+    def _flush(self) -> None:
+        self._write(self.held, self.pieces)
+        self.held, self.pieces = b"", []
+
+    def _write(self, body: bytes, pieces: list[tuple]) -> None:
         n = len(body) // 2
         self.stream.write(body + self.end * (self.length - n))
+        self.rows.append((self.number, self.place, self.place * self.length * 2, n, [dict(zip(("doc_id", "start", "n"), p)) for p in pieces], hashlib.sha256(body).hexdigest()))
         self.place += 1
-        return self.place - 1, n, hashlib.sha256(body).hexdigest()
 
     def close(self) -> None:
-        if self.stream is not None:
+        if self.number is not None:
+            if self.held:
+                self._flush()
             self.stream.close()
             self.store.move(self.partial, self.name)
-            self.stream = None
+            self.number = None
+
+    def taken(self) -> pa.RecordBatch:
+        """The index rows since the last call."""
+        columns = list(zip(*self.rows)) or [[]] * 6
+        self.rows = []
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64())])), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["shard", "place", "byte_offset", "n_tokens", "pieces", "sha256"])
 
 
-INDEX = "shard long, place long, sequence long, byte_offset long, n_tokens long, doc_ids array<long>, sha256 string"
+INDEX = "shard long, place long, byte_offset long, n_tokens long, pieces array<struct<doc_id:long,start:long,n:long>>, sha256 string"
 
 
-def materialise(docs: DataFrame, out: str | None = None, length: int = LENGTH, numbers_per_shard: int = NUMBERS_PER_SHARD, key: int = KEY, vocabularies: str = VOCABULARIES) -> tuple[DataFrame, str]:
+def materialise(docs: DataFrame, out: str | None = None, length: int = LENGTH, sequences_per_shard: int = SEQUENCES_PER_SHARD, key: int = KEY, vocabularies: str = VOCABULARIES) -> tuple[DataFrame, str]:
     """Writes the shards below ``out`` (by default in the shared folder); returns one row per sequence, and ``out``.
 
-    Columns: slot, sequence, shard, byte_offset, n_tokens (without padding), doc_ids (in order), sha256."""
+    Columns: slot, shard, byte_offset, n_tokens (without padding), pieces (of which documents' tokens it consists, in
+    order: doc_id, first token, number of tokens), sha256."""
     spark = docs.sparkSession
     out = out or f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    placed = _placed(docs.withColumn("doc_id", F.col("doc_id").cast("long")) if dict(docs.dtypes)["doc_id"] != "bigint" else docs)
-    most = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1)
-    bounds = placed.groupBy("split").agg(F.ceil(most / length).alias("n")).collect()  # one row for each input split
-    starts, domain = {}, 0
-    for split, n in sorted((r["split"], r["n"]) for r in bounds):
-        starts[split], domain = domain, domain + n
-    shards = -(-domain // numbers_per_shard)
-    shared = spark.sparkContext.broadcast(starts)
-
-    def make():
-        return Tokenizer(vocabularies)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("hash", F.xxhash64("doc_id", "text"))
+    n = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    bound, longest = docs.agg(F.sum(F.ceil(n / length)), F.max(n)).first()
+    parts = (longest or 1) // length + 1
+    hashes = (1 << 62) // parts
+    domain = hashes * parts
+    shards = max(1, -(-(bound or 0) // sequences_per_shard))
+    per_shard = -(-domain // shards)
 
     def deal(batches):
-        at: dict[str, int] = {}
-        for split, ids, coded in _runs(batches, make):
-            numbers, offsets, payload, owners = [], [], [], []
-            start, position = shared.value[split], at.get(split, 0)
-            for doc, tokens in zip(ids, coded):
-                i, n = 0, len(tokens) // 2
-                while i < n:
-                    sequence, offset = divmod(position, length)
-                    take = min(n - i, length - offset)
-                    numbers.append(start + sequence)
-                    offsets.append(offset)
-                    payload.append(tokens[2 * i : 2 * (i + take)])
-                    owners.append(doc)
-                    i, position = i + take, position + take
-            at[split] = position
-            sequences = np.array(numbers, np.int64)
-            for i in range(0, len(numbers), 20_000):
-                part = slice(i, i + 20_000)
-                image = permuted(sequences[part], domain, key)
-                yield pa.RecordBatch.from_arrays([pa.array(image // numbers_per_shard), pa.array(image), pa.array(sequences[part]), pa.array(offsets[part], pa.int32()), pa.array(owners[part], pa.int64()), pa.array(payload[part], pa.binary())], ["shard", "image", "sequence", "at", "doc_id", "ids"])
-
-    dealt = placed.mapInArrow(deal, "shard long, image long, sequence long, at int, doc_id long, ids binary")
-    parts = max(1, min(shards, 200_000))
-    ranged = dealt.repartitionById(parts, F.floor(F.col("shard") * parts / max(1, shards)).cast("int")).sortWithinPartitions("image", "at")
+        tokenizer, end = Tokenizer(vocabularies), np.array([END], "<u2").tobytes()
+        for batch in batches:
+            ids, texts, h = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text", "hash"))
+            coded = [tokenizer.encode(t) + end for t in texts.to_pylist()]
+            counts = np.array([-(-len(c) // (2 * length)) for c in coded], np.int64)
+            doc, first = np.repeat(np.arange(len(coded)), counts), np.repeat(np.cumsum(counts) - counts, counts)
+            part = np.arange(len(doc)) - first
+            h = h.to_numpy()
+            image = permuted((h.view(np.uint64)[doc] % np.uint64(hashes)) * np.uint64(parts) + part.astype(np.uint64), domain, key)
+            for i in range(0, len(doc), 20_000):
+                d, p, own = doc[i : i + 20_000], part[i : i + 20_000], image[i : i + 20_000]
+                body = [coded[x][2 * length * y : 2 * length * (y + 1)] for x, y in zip(d.tolist(), p.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(own // per_shard), pa.array(own), pa.array(h[d]), ids.take(pa.array(d)), pa.array(p * length), pa.array(body, pa.binary())], ["shard", "image", "hash", "doc_id", "start", "ids"])
+
+    dealt = docs.mapInArrow(deal, "shard long, image long, hash long, doc_id long, start long, ids binary")
+    tasks = max(1, min(shards, 200_000))
+    ranged = dealt.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int")).sortWithinPartitions("image", "hash")
 
     def write(batches):
         from pyarrow import fs
@@ -182,40 +178,24 @@ def materialise(docs: DataFrame, out: str | None = None, length: int = LENGTH, n
         store, base = fs.FileSystem.from_uri(out)
         store.create_dir(base, recursive=True)
         file = Shard(store, base, length)
-        names = INDEX.replace(",", "").split()[::2]
-
-        def rows(done):
-            made = [(shard, *file.write(shard, b"".join(f[2] for f in fragments)), fragments) for shard, fragments in done]
-            columns = [
-                pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[4][0][0] for m in made], pa.int64()), pa.array([m[1] * length * 2 for m in made], pa.int64()), pa.array([m[2] for m in made], pa.int64()),
-                pa.array([list(dict.fromkeys(f[1] for f in m[4] if f[1] is not None)) for m in made], pa.list_(pa.int64())), pa.array([m[3] for m in made], pa.string()),
-            ]
-            return pa.RecordBatch.from_arrays(columns, names)
-
-        image, shard, held = -1, -1, []
         for batch in batches:
-            done = []
-            for of, t, s, doc, ids in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("shard", "image", "sequence", "doc_id", "ids"))):
-                if t != image:
-                    if held:
-                        done.append((shard, held))
-                    image, shard, held = t, of, []
-                held.append((s, doc, ids))
-            if done:
-                yield rows(done)
-        if held:
-            yield rows([(shard, held)])
+            for row in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("shard", "doc_id", "start", "ids"))):
+                file.add(*row)
+            yield file.taken()
         file.close()
+        yield file.taken()
 
     written = stage(ranged.mapInArrow(write, INDEX), "tokens-index")
-    counts = sorted((r["shard"], r["count"]) for r in written.groupBy("shard").count().collect())  # one row for each shard
-    before, sofar = [], 0
-    for shard, n in counts:
-        before.append((shard, sofar))
-        sofar += n
-    _describe(out, {"sequences": sofar, "length": length, "shards": counts, "key": key, "end": END, "dtype": "<u2"})
-    offsets = small(spark.createDataFrame(before, "shard long, before long"))
-    slots = written.join(offsets, "shard").select((F.col("before") + F.col("place")).alias("slot"), "sequence", "shard", "byte_offset", "n_tokens", "doc_ids", "sha256")
+    counts = stage(written.groupBy("shard").count().withColumn("group", F.floor(F.col("shard") / SHARDS_PER_GROUP)), "tokens-counts")
+    groups = counts.groupBy("group").agg(F.sum("count").alias("n"))
+    earlier = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # A row for each SHARDS_PER_GROUP shards, so the window without partitions sees few.
+    groups = groups.select("group", earlier(Window.orderBy("group"), "n").alias("sofar"))
+    index = counts.join(small(groups), "group").select("shard", "count", (F.col("sofar") + earlier(Window.partitionBy("group").orderBy("shard"), "count")).alias("before"))
+    index.write.parquet(f"{out}/index")
+    index = spark.read.schema(index.schema).parquet(f"{out}/index")
+    _describe(out, {"sequences": index.agg(F.sum("count")).first()[0] or 0, "length": length, "key": key, "end": END, "dtype": "<u2"})
+    slots = written.join(small(index), "shard").select((F.col("before") + F.col("place")).alias("slot"), "shard", "byte_offset", "n_tokens", "pieces", "sha256")
     return slots, out
 
 
@@ -224,23 +204,24 @@ def _describe(out: str, facts: dict) -> None:
 
     store, base = fs.FileSystem.from_uri(out)
     store.create_dir(base, recursive=True)
-    with store.open_output_stream(f"{base}/index.json") as f:
+    with store.open_output_stream(f"{base}/facts.json") as f:
         f.write(json.dumps(facts).encode())
 
 
 def read_slots(out: str, start: int, n: int) -> np.ndarray:
     """Sequences of slots start..start+n-1, one row each, read at their byte offsets."""
-    from pyarrow import fs
+    from pyarrow import dataset, fs
 
     store, base = fs.FileSystem.from_uri(out)
-    facts = json.loads(store.open_input_stream(f"{base}/index.json").read())
-    length, first, rows = facts["length"], 0, []
-    for shard, size in facts["shards"]:
+    facts = json.loads(store.open_input_stream(f"{base}/facts.json").read())
+    length, rows = facts["length"], []
+    field = dataset.field
+    index = dataset.dataset(f"{base}/index", filesystem=store, format="parquet", schema=pa.schema([("shard", pa.int64()), ("count", pa.int64()), ("before", pa.int64())]))
+    met = index.to_table(filter=(field("before") < start + n) & (field("before") + field("count") > start)).sort_by("before")
+    for shard, size, first in zip(*(c.to_pylist() for c in met.columns)):
         low, high = max(start, first), min(start + n, first + size)
-        if low < high:
-            with store.open_input_file(f"{base}/shard-{shard:08d}.bin") as f:
-                rows.append(np.frombuffer(f.read_at((high - low) * length * 2, (low - first) * length * 2), facts["dtype"]).reshape(-1, length))
-        first += size
+        with store.open_input_file(f"{base}/shard-{shard:08d}.bin") as f:
+            rows.append(np.frombuffer(f.read_at((high - low) * length * 2, (low - first) * length * 2), facts["dtype"]).reshape(-1, length))
     return np.concatenate(rows) if rows else np.zeros((0, length), facts["dtype"])
 
 
