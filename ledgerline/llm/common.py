@@ -36,11 +36,36 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+#: Rows that are broadcast at most; all such rows are narrow.
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if a count shows at most ``max_rows`` rows; else unchanged, for a shuffled join."""
+    max_rows = SMALL_ROWS if max_rows is None else max_rows
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+#: Rows of one key that a join leaves in one task.
+HOT_ROWS = 20_000
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, rows: int | None = None, hot_rows: int | None = None) -> DataFrame:
+    """``many`` inner-joined with ``one`` (a row for each ``key``): by broadcast if ``one`` is small; else the rows of
+    a key with more than ``hot_rows`` are dealt to several tasks, each with a copy of that key's row of ``one``.
+
+    ``rows`` bounds the rows of ``one`` where that is known; else they are counted."""
+    hot_rows = hot_rows or HOT_ROWS
+    if (one.limit(SMALL_ROWS + 1).count() if rows is None else rows) <= SMALL_ROWS:
+        return many.join(F.broadcast(one), key)
+    copies = F.ceil(F.col("count") / hot_rows).cast("int").alias("copies")
+    hot = small(stage(many.groupBy(key).count().where(F.col("count") > hot_rows).select(key, copies), "hot"))
+    n = F.coalesce("copies", F.lit(1))
+    dealt = many.join(hot, key, "left").withColumn("deal", F.pmod(F.xxhash64(*many.columns), n)).drop("copies")
+    copied = one.join(hot, key, "left").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))).drop("copies")
+    return dealt.join(copied, [key, "deal"]).drop("deal")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or with underscores added until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -1,16 +1,19 @@
 """Near-duplicates by SimHash fingerprints compared bit-sliced.
 
-A fingerprint has 64 bits from the XXH64 values of 4-word shingles. Two within 4 differing bits agree
-wholly on at least two of six blocks of bits, so each of the 15 pairs of blocks makes a table of buckets,
-and only fingerprints of one bucket are compared. A bucket's fingerprints are kept as 64 bit planes;
-distances of many are counted at once by carry-save adders on whole words, plane after plane, and a block
-of lanes is abandoned once all of them exceed the radius. Buckets above ``CHUNK`` fingerprints are split
-into chunks, and pairs of chunks are compared in tasks of their own. Each task returns a spanning forest
-of the links it finds, not the links; components come from alternating large-star and small-star steps.
+A fingerprint has 64 bits from the XXH64 values of 4-word shingles, cut into blocks of bits. Two within ``radius``
+differing bits agree wholly on all but ``radius`` of the blocks, so each choice of so many blocks makes a table
+of buckets, and only fingerprints of one bucket are compared. There are as many blocks as keep buckets small for
+the number of fingerprints at hand (``tables``): the comparisons grow little faster than the fingerprints.
+A bucket's fingerprints are kept as 64 bit planes; distances of many are counted at once by carry-save adders on
+whole words, eight planes at a time, and a block of lanes is abandoned once all of them exceed the radius. Buckets
+above ``CHUNK`` fingerprints are split into chunks, and pairs of chunks are compared in tasks of their own. Each
+task returns a spanning forest of the links it finds, not the links; components come from alternating large-star
+and small-star steps. Joins with a fingerprint or node of very many rows deal these to several tasks.
 
 Cases: null or empty text has fingerprint zero and is linked like any other; equal texts share their
 fingerprint before anything is compared; rows with null doc_id get their component and never name it;
-repeated rows are returned each; an empty table gives an empty result.
+repeated rows are returned each; very long texts are hashed whole, their bits counted in pieces; distances equal
+to the radius are links; an empty table gives an empty result; other columns play no part.
 """
 
 from __future__ import annotations
@@ -23,14 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import annotate, small, stage
+from .common import annotate, small, spread_join, stage
 
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
-#: Offsets and widths of the six blocks.
-BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 CHUNK = 8192
+#: Fingerprints of a bucket that are expected at most, were they random.
+BUCKET = 64
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -74,19 +77,31 @@ def planes(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.packbits(lanes, axis=0, bitorder="little").T).view(np.uint64)
 
 
-def within(differences, shape, radius: int = RADIUS, check: int = 8) -> np.ndarray | None:
+def _add(a, b, c):
+    """Carry-save adder: sum and carry of three planes."""
+    half = a ^ b
+    return half ^ c, (a & b) | (half & c)
+
+
+def within(differences, shape, radius: int = RADIUS) -> np.ndarray | None:
     """Words whose bits are set where at most ``radius`` (under 8) of 64 difference planes have a one; None once no lane can."""
     one, two, four, over = (np.zeros(shape, np.uint64) for _ in range(4))
-    bits = [one, two, four]
-    for k, carry in enumerate(differences, 1):
-        for counter in bits:
-            carry, counter[...] = counter & carry, counter ^ carry
+    planes_ = iter(differences)
+    for _ in range(8):
+        fours = []
+        for _ in range(2):
+            twos = []
+            for _ in range(2):
+                one, carry = _add(one, next(planes_), next(planes_))
+                twos.append(carry)
+            two, carry = _add(two, *twos)
+            fours.append(carry)
+        four, carry = _add(four, *fours)
         over |= carry
-        if k % check == 0:
-            alive = ~(over | _exceeds(one, two, four, radius))
-            if not alive.any():
-                return None
-    return ~(over | _exceeds(one, two, four, radius))
+        alive = ~(over | _exceeds(one, two, four, radius))
+        if not alive.any():
+            return None
+    return alive
 
 
 def _exceeds(one, two, four, radius):
@@ -186,11 +201,26 @@ def forest(values: np.ndarray, group: np.ndarray, side: np.ndarray) -> tuple[np.
     return values[linked], values[label[linked]]
 
 
+def tables(n: int, radius: int = RADIUS) -> list[list[tuple[int, int]]]:
+    """For ``n`` fingerprints, the blocks (offset, width) of each table: two within the radius agree on all of one table's.
+
+    More blocks make more tables of longer keys; the fewest are taken whose keys hold ``BUCKET`` random ones or fewer."""
+    for blocks in range(radius + 2, 2 * radius + 5):
+        edges = [64 * i // blocks for i in range(blocks + 1)]
+        found = [[(edges[i], edges[i + 1] - edges[i]) for i in own] for own in combinations(range(blocks), blocks - radius)]
+        if n >> min(sum(w for _, w in own) for own in found) <= BUCKET:
+            break
+    return found
+
+
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Spanning links (x, y) between the distinct fingerprints in column fp of ``prints``."""
-    assert radius < len(BLOCKS) - 1, "two within the radius must agree on two blocks"
-    block = [F.shiftrightunsigned("fp", o).bitwiseAND((1 << n) - 1) for o, n in BLOCKS]
-    keys = [F.lit(k << 22).cast("long").bitwiseOR(F.shiftleft(block[i], 11)).bitwiseOR(block[j]) for k, (i, j) in enumerate(combinations(range(6), 2))]
+    keys = []
+    for k, own in enumerate(tables(prints.count(), radius)):
+        key = F.lit(k).cast("long")
+        for offset, width in own:
+            key = F.shiftleft(key, width).bitwiseOR(F.shiftrightunsigned("fp", offset).bitwiseAND((1 << width) - 1))
+        keys.append(key)
     rows = prints.select("fp", F.explode(F.array(*keys)).alias("key"))
     hot = stage(rows.groupBy("key").count().where(F.col("count") > CHUNK).select("key", F.ceil(F.col("count") / CHUNK).cast("long").alias("chunks")), "simhash-hot")
     n = F.coalesce("chunks", F.lit(1))
@@ -230,18 +260,18 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(x, root) for each node of ``edges`` (x, y) but the roots; root is the least node of its component."""
     edges = stage(edges.where("x != y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "components")
-    before = None
+    before, rows = None, 2 * edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.join(least, "x").where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
+        large = spread_join(both, least, "x", rows).where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
         least = large.groupBy("x").agg(F.min("y").alias("m"))
-        small_star = large.join(least, "x").select(F.explode(F.array(F.struct(F.col("y").alias("x"), F.col("m").alias("y")), F.struct("x", F.col("m").alias("y")))).alias("e")).select("e.x", "e.y").where("x != y").distinct()
+        small_star = spread_join(large, least, "x", rows).select(F.explode(F.array(F.struct(F.col("y").alias("x"), F.col("m").alias("y")), F.struct("x", F.col("m").alias("y")))).alias("e")).select("e.x", "e.y").where("x != y").distinct()
         edges = stage(small_star, "components")
         state = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("x", "y").cast("decimal(38,0)")), F.lit(0))).first()
         if state == before or not state[0]:
             return edges.select("x", F.col("y").alias("root"))
-        before = state
+        before, rows = state, 2 * state[0]
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -251,15 +281,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     roots = components(links(distinct, radius)).withColumnRenamed("x", "fp")
     rooted = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = stage(spread_join(rooted, stage(least, "simhash-least"), "root").select("fp", "component_id"), "simhash-named")
+    return spread_join(prints, named, "fp").select("doc_id", "fp", "component_id")
 
 
 def digests(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` but those whose component has a smaller doc_id; null doc_ids stay."""
-    gone = stage(near_duplicates(docs).where("doc_id != component_id").select(F.col("doc_id").alias("gone")), "simhash-gone")
-    return docs.join(small(gone), docs["doc_id"] == gone["gone"], "left_anti")
