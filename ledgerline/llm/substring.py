@@ -10,7 +10,7 @@ match it:
    windows have equal anchors. Each task counts its documents by anchor and group of doc_ids; anchors of one
    document only are forgotten, the others return to the groups that hold them.
 2. There, next to its anchors, each text gives for every such anchor the passage of all windows that it
-   anchors. A task sends a passage once, with the list of places that hold it.
+   anchors.
 3. A shard is some anchors with all their distinct passages. Its automaton's states carry the least doc_id of
    their occurrences; streaming each passage through it gives the least doc_id of every window.
 4. Each document loses the words of its covered windows.
@@ -26,6 +26,8 @@ pieces of ``PIECE`` bytes; an empty table gives an empty result; extra columns p
 
 from __future__ import annotations
 
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -116,60 +118,60 @@ def anchors(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return least[at].astype(np.int64), at, np.flatnonzero(last)
 
 
+#: More than any doc_id.
+_NONE = 1 << 63
+
+
 class SuffixAutomaton:
     """Of several word sequences; each state knows the least id of a sequence in which its words occur."""
 
     def __init__(self):
         self.next: list[dict] = [{}]
-        self.link, self.size, self.low = [-1], [0], [None]
+        self.link, self.size, self.low = [-1], [0], [_NONE]
 
     def add(self, ws: list[bytes], doc: int) -> None:
-        last, low = 0, self.low
+        nexts, link, size, low = self.next, self.link, self.size, self.low
+        last = 0
         for w in ws:
-            last = self._extend(last, w)
-            if low[last] is None or doc < low[last]:
-                low[last] = doc
-
-    def _state(self, size: int, edges: dict, link: int) -> int:
-        self.next.append(edges)
-        self.link.append(link)
-        self.size.append(size)
-        self.low.append(None)
-        return len(self.size) - 1
+            q = nexts[last].get(w)
+            if q is not None:
+                last = q if size[q] == size[last] + 1 else self._split(last, w, q)
+                if doc < low[last]:
+                    low[last] = doc
+                continue
+            new, p = len(size), last
+            nexts.append({})
+            link.append(0)
+            size.append(size[last] + 1)
+            low.append(doc)
+            while p != -1:
+                q = nexts[p].setdefault(w, new)
+                if q != new:
+                    link[new] = q if size[q] == size[p] + 1 else self._split(p, w, q)
+                    break
+                p = link[p]
+            last = new
 
     def _split(self, p: int, w: bytes, q: int) -> int:
         """A state for the shorter words of ``q`` that are reached from ``p``."""
         nexts, link = self.next, self.link
-        copy = self._state(self.size[p] + 1, dict(nexts[q]), link[q])
-        self.low[copy] = self.low[q]
+        copy = len(self.size)
+        nexts.append(dict(nexts[q]))
+        link.append(link[q])
+        self.size.append(self.size[p] + 1)
+        self.low.append(self.low[q])
         link[q] = copy
         while p != -1 and nexts[p].get(w) == q:
             nexts[p][w] = copy
             p = link[p]
         return copy
 
-    def _extend(self, last: int, w: bytes) -> int:
-        nexts, link, size = self.next, self.link, self.size
-        q = nexts[last].get(w)
-        if q is not None:
-            return q if size[q] == size[last] + 1 else self._split(last, w, q)
-        new = self._state(size[last] + 1, {}, 0)
-        p = last
-        while p != -1 and w not in nexts[p]:
-            nexts[p][w] = new
-            p = link[p]
-        if p != -1:
-            q = nexts[p][w]
-            link[new] = q if size[q] == size[p] + 1 else self._split(p, w, q)
-        return new
-
     def finish(self) -> None:
         """Least ids reach all suffixes, longest states first."""
         low, link = self.low, self.link
-        for v in sorted(range(1, len(low)), key=self.size.__getitem__, reverse=True):
-            u = link[v]
-            if u > 0 and low[v] is not None and (low[u] is None or low[v] < low[u]):
-                low[u] = low[v]
+        for v in np.argsort(self.size, kind="stable")[:0:-1].tolist():
+            if low[v] < low[link[v]]:
+                low[link[v]] = low[v]
 
     def stream(self, ws: list[bytes], width: int) -> list[int | None]:
         """For each window of ``width`` words, the least id with that window, from the matching statistics of ``ws``."""
@@ -211,6 +213,29 @@ def _slices(bounds: np.ndarray):
         i = j
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with each text compressed by itself, to be shuffled; ``_unpacked`` reverses it."""
+
+    def run(batches):
+        codec = pa.Codec("zstd", compression_level=1)
+        for batch in batches:
+            texts = [len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in _column(batch, "text").to_pylist()]
+            i = batch.schema.get_field_index("text")
+            yield batch.set_column(i, "text", pa.array(texts, pa.binary()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _sizes(column) -> np.ndarray:
+    """Bytes of each text before it was packed."""
+    return np.array([int.from_bytes(t[:8], "little") for t in column.to_pylist()], np.int64)
+
+
+def _unpacked(column) -> list[bytes]:
+    codec = pa.Codec("zstd")
+    return [codec.decompress(t[8:], int.from_bytes(t[:8], "little"), asbytes=True) for t in column.to_pylist()]
+
+
 def anchor_counts(docs: DataFrame) -> DataFrame:
     """h, group, n: documents of the group with that anchor, once for each task (or flush) that saw some."""
 
@@ -279,49 +304,40 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
     return anchor_counts(docs).repartition("h").mapInArrow(run, "group long, h long, copies int")
 
 
-_PASSAGES = "shard long, copy int, passage binary, low long, docs array<long>, keys array<long>, starts array<int>"
-_NAMES = ["shard", "copy", "passage", "low", "docs", "keys", "starts"]
+_PASSAGES = "shard long, copy int, passage binary, doc long, key long, start int"
+_NAMES = ["shard", "copy", "passage", "doc", "key", "start"]
 
 
-class _Sent:
-    """Passages of one task, each once for its shard, with the places that hold it."""
+def _rows(shard, copy, passage, doc, key, start) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(copy, pa.int32()), pa.array(passage, pa.binary()), pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(start, pa.int32())], _NAMES)
 
-    def __init__(self):
-        self.places: dict[tuple, list] = {}
-        self.windows: dict[tuple, tuple] = {}
-        self.n = 0
 
-    def add(self, shard: int, copy: int, passage: bytes, doc: int, key: int, start: int) -> None:
-        self.places.setdefault((shard, copy, passage), []).append((doc, key, start))
-        self.n += 1
+class _Windows:
+    """Windows of hot anchors that a task has seen, each with its least doc_id: reference for all copies of its shard."""
+
+    def __init__(self):
+        self.low: dict[tuple, int] = {}
 
-    def refer(self, shard: int, copies: int, window: bytes, doc: int) -> None:
-        """All copies of the shard learn of the window."""
-        low, _ = self.windows.get((shard, window), (doc, copies))
-        self.windows[shard, window] = min(low, doc), copies
+    def add(self, shard: int, copies: int, window: bytes, doc: int) -> None:
+        at = (shard, copies, window)
+        self.low[at] = min(doc, self.low.get(at, doc))
 
     def flush(self):
-        items = [(*at, min(p[0] for p in held), held) for at, held in self.places.items()]
-        items += [(shard, copy, window, low, []) for (shard, window), (low, copies) in self.windows.items() for copy in range(copies)]
-        for i in range(0, len(items), 20_000):
-            *keys, held = zip(*items[i : i + 20_000])
-            sizes = pa.array(np.r_[0, np.cumsum([len(h) for h in held])].astype(np.int32))
-            flat = [[p[c] for h in held for p in h] for c in range(3)]
-            columns = [pa.array(c, kind) for c, kind in zip(keys, (pa.int64(), pa.int32(), pa.binary(), pa.int64()))]
-            columns += [pa.ListArray.from_arrays(sizes, pa.array(c, kind)) for c, kind in zip(flat, (pa.int64(), pa.int64(), pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, _NAMES)
-        self.__init__()
+        rows = ((shard, copy, window, low) for (shard, copies, window), low in self.low.items() for copy in range(copies))
+        while some := list(islice(rows, 20_000)):
+            yield _rows(*zip(*some), [None] * len(some), [None] * len(some))
+        self.low.clear()
 
 
 def passages(docs: DataFrame) -> DataFrame:
-    """shard, copy, passage (words of all windows with one anchor, joined), low (least doc_id), docs, keys, starts (its places)."""
+    """shard, copy, passage (words of all windows with one anchor, joined) and its place: doc, key, start (null: reference only)."""
     none = lambda kind: F.lit(None).cast(kind)
     lists = shared_anchors(docs).select("group", F.lit(0).alias("tag"), "h", "copies", none("long").alias("doc_id"), none("long").alias("key"), none("binary").alias("text"))
-    texts = docs.select("group", F.lit(1).alias("tag"), none("long").alias("h"), none("int").alias("copies"), "doc_id", "key", "text")
+    texts = _packed(docs).select("group", F.lit(1).alias("tag"), none("long").alias("h"), none("int").alias("copies"), "doc_id", "key", "text")
     met = lists.unionByName(texts).repartition("group").sortWithinPartitions("group", "tag")
 
     def run(batches):
-        sent, known = _Sent(), _Known()
+        hot, known = _Windows(), _Known()
         for batch in batches:
             tag = _column(batch, "tag").to_numpy()
             group = _column(batch, "group").to_numpy()
@@ -331,10 +347,10 @@ def passages(docs: DataFrame) -> DataFrame:
                 if not tag[a]:
                     known.add(group[a], _column(part, "h").to_numpy(), _column(part, "copies").to_numpy())
                 elif known.of(group[a]):
-                    _send(part, known, sent)
-                    if sent.n >= COMBINE_ROWS // 10:
-                        yield from sent.flush()
-        yield from sent.flush()
+                    yield from _sent(part, known, hot)
+                    if len(hot.low) >= COMBINE_ROWS // 20:
+                        yield from hot.flush()
+        yield from hot.flush()
 
     return met.mapInArrow(run, _PASSAGES)
 
@@ -366,40 +382,43 @@ class _Known:
         return hit, self.copies[at[hit]]
 
 
-def _send(part, known: _Known, sent: _Sent) -> None:
+def _sent(part, known: _Known, hot: _Windows):
+    """Rows of the passages of some texts of the known group; windows of hot anchors go to ``hot``, too."""
     import xxhash
 
-    doc_ids, keys = _column(part, "doc_id").to_numpy(), _column(part, "key").to_numpy()
-    data, bounds = _texts(_column(part, "text"))
-    for i, j in _slices(bounds):
-        base = int(bounds[i])
-        raw = data[base : int(bounds[j])].tobytes()
-        start, end, h = words(data, bounds[i : j + 1])
-        text = np.searchsorted(bounds[i : j + 1], start, "right") - 1
+    doc_ids, keys, packed = _column(part, "doc_id").to_numpy(), _column(part, "key").to_numpy(), _column(part, "text")
+    for i, j in _slices(np.r_[0, np.cumsum(_sizes(packed))]):
+        texts = _unpacked(packed.slice(i, j - i))
+        raw, bounds = b"".join(texts), np.r_[0, np.cumsum([len(t) for t in texts])]
+        data = np.frombuffer(raw, np.uint8)
+        start, end, h = words(data, bounds)
+        text = np.searchsorted(bounds, start, "right") - 1
         h, first, last = anchors(h, text)
         hit, copies = known.find(h)
         if not len(hit):
             continue
+        h, first, until = h[hit], first[hit], last[hit] + WIDTH - 1
         opens = np.r_[0, np.flatnonzero(text[1:] != text[:-1]) + 1]
-        number = first[hit] - opens[np.searchsorted(opens, first[hit], "right") - 1]  # of its window in its own text
+        number = first - opens[np.searchsorted(opens, first, "right") - 1]  # of its first window in its own text
         irregular = np.ones(len(start), np.int64)
         irregular[:-1] = (start[1:] != end[:-1] + 1) | (data[end[:-1]] != 32)
         irregular = np.r_[0, np.cumsum(irregular)]
-        until = last[hit] + WIDTH - 1
-        plain = irregular[until] == irregular[first[hit]]
-        of = text[first[hit]]
-        rows = zip(h[hit].tolist(), copies.tolist(), plain.tolist(), (start[first[hit]] - base).tolist(), (end[until] - base).tolist(), doc_ids[i:j][of].tolist(), keys[i:j][of].tolist(), number.tolist())
-        for anchor, n, clean, a, b, doc, key, at in rows:
-            passage = raw[a:b] if clean else b" ".join(raw[a:b].split())
-            if n == 1:
-                sent.add(anchor, 0, passage, doc, key, at)
-                continue
-            ws, mine = passage.split(b" "), xxhash.xxh64_intdigest(f"{doc}:{key}") % n
-            for k in range(len(ws) - WIDTH + 1):
-                window = b" ".join(ws[k : k + WIDTH])
+        plain = irregular[until] == irregular[first]
+        passage = [raw[a:b] if clean else b" ".join(raw[a:b].split()) for a, b, clean in zip(start[first].tolist(), end[until].tolist(), plain.tolist())]
+        doc, key = doc_ids[i:j][text[first]], keys[i:j][text[first]]
+        cold = np.flatnonzero(copies == 1)
+        yield _rows(h[cold], np.zeros(len(cold), np.int32), passage if len(cold) == len(h) else [passage[k] for k in cold.tolist()], doc[cold], key[cold], number[cold])
+        rows = []
+        for k in np.flatnonzero(copies > 1).tolist():
+            n, d, ws = int(copies[k]), int(doc[k]), passage[k].split(b" ")
+            mine = xxhash.xxh64_intdigest(f"{d}:{key[k]}") % n
+            for at in range(len(ws) - WIDTH + 1):
+                window = b" ".join(ws[at : at + WIDTH])
                 shard = xxhash.xxh64_intdigest(window) >> 1
-                sent.add(shard, mine, window, doc, key, at + k)
-                sent.refer(shard, n, window, doc)
+                rows.append((shard, mine, window, d, int(key[k]), int(number[k]) + at))
+                hot.add(shard, n, window, d)
+        for at in range(0, len(rows), 20_000):
+            yield _rows(*zip(*rows[at : at + 20_000]))
 
 
 _SPANS = "doc long, key long, a int, b int"
@@ -413,13 +432,15 @@ class _Shard:
         self.places: dict[bytes, list] = {}
         self.size = 0
 
-    def add(self, passage: bytes, low: int, places: tuple) -> None:
-        if passage not in self.low:
-            self.low[passage], self.places[passage] = low, []
+    def add(self, passage: bytes, doc: int, key: int | None, start: int | None) -> None:
+        low = self.low.get(passage)
+        if low is None:
+            self.low[passage], self.places[passage] = doc, []
             self.size += passage.count(b" ") + 1
-        elif low < self.low[passage]:
-            self.low[passage] = low
-        self.places[passage].append(places)
+        elif doc < low:
+            self.low[passage] = doc
+        if start is not None:
+            self.places[passage].append((doc, key, start))
 
     def spans(self):
         """doc, key, a, b: windows a..b of that text that a smaller doc_id has, too."""
@@ -432,7 +453,9 @@ class _Shard:
         for p, ws in split.items():
             lows = automaton.stream(ws, WIDTH)
             top, bottom, n = max(lows), min(lows), len(lows)
-            docs, keys, starts = (np.concatenate(c) if len(c) > 1 else c[0] for c in zip(*self.places[p]))
+            if not self.places[p]:
+                continue
+            docs, keys, starts = np.array(self.places[p], np.int64).T
             whole = np.flatnonzero(docs > top)
             for held, column in zip(out, (docs[whole], keys[whole], starts[whole], starts[whole] + n - 1)):
                 held.append(column)
@@ -444,7 +467,7 @@ class _Shard:
                     k = len(edge) // 2
                     for held, column in zip(out, (np.full(k, doc), np.full(k, key), start + edge[::2], start + edge[1::2] - 1)):
                         held.append(column)
-        columns = [np.concatenate(c) for c in out]
+        columns = [np.concatenate([*c, np.zeros(0, np.int64)]) for c in out]
         self.__init__()
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2].astype(np.int32)), pa.array(columns[3].astype(np.int32))], ["doc", "key", "a", "b"])
 
@@ -456,18 +479,12 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     def run(batches):
         at, shard = None, _Shard()
         for batch in batches:
-            keys = zip(*(_column(batch, c).to_pylist() for c in ("shard", "copy")))
-            ps, lows = _column(batch, "passage").to_pylist(), _column(batch, "low").to_pylist()
-            lists = [_column(batch, c) for c in ("docs", "keys", "starts")]
-            cut = lists[0].offsets.to_numpy()
-            docs_, texts, starts = (c.values.to_numpy() for c in lists)
-            for i, own in enumerate(keys):
+            for *own, passage, doc, key, start in zip(*(_column(batch, c).to_pylist() for c in _NAMES)):
                 if own != at:
                     if shard.size >= SHARD_WORDS or (at is not None and own[1] != at[1]):
                         yield from shard.spans()
                     at = own
-                part = slice(cut[i], cut[i + 1])
-                shard.add(ps[i], lows[i], (docs_[part], texts[part], starts[part]))
+                shard.add(passage, doc, key, start)
         if shard.size:
             yield from shard.spans()
 
@@ -479,7 +496,7 @@ def reduced(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     docs = docs.withColumn("key", F.xxhash64("text")).withColumn("group", F.shiftright("doc_id", GROUP_BITS))
     spans = repeated_windows(docs.where("doc_id is not null")).select(F.col("doc").alias("doc_id"), "key", F.lit(0).alias("tag"), "a", "b", F.lit(None).cast("binary").alias("text"))
-    texts = docs.select("doc_id", "key", F.lit(1).alias("tag"), F.lit(None).cast("int").alias("a"), F.lit(None).cast("int").alias("b"), "text")
+    texts = _packed(docs).select("doc_id", "key", F.lit(1).alias("tag"), F.lit(None).cast("int").alias("a"), F.lit(None).cast("int").alias("b"), "text")
     met = spans.unionByName(texts).repartition("doc_id", "key").sortWithinPartitions("doc_id", "key", "tag")
 
     def run(batches):
@@ -496,7 +513,7 @@ def reduced(docs: DataFrame) -> DataFrame:
                     at = own
                 if i < len(tags):
                     own = (ids[i].as_py(), keys[i].as_py())
-                    done.append((own[0], *_without(texts[i].as_py(), held if own == at else [])))
+                    done.append((own[0], *_without(_unpacked(texts.slice(i, 1))[0], held if own == at else [])))
                 before = i + 1
             if done:
                 columns = list(zip(*done))
