@@ -27,7 +27,9 @@ def parse_scaled(raw: Column, scale: int) -> Column:
 
 
 def is_scaled(raw: Column, scale: int) -> Column:
-    return F.trim(raw).rlike(rf"^(-?[0-9]*(\.[0-9]{{0,{scale}}})?)?$")
+    """Decimal text of at most ``scale`` places that fits a bigint once scaled (so at most 18 digits, leading zeros aside)."""
+    text = F.trim(raw)
+    return text.rlike(rf"^(-?[0-9]*(\.[0-9]{{0,{scale}}})?)?$") & text.rlike(rf"^-?0*[0-9]{{0,{18 - scale}}}(\.|$)")
 
 
 def parse_integer(raw: Column) -> Column:
@@ -36,7 +38,8 @@ def parse_integer(raw: Column) -> Column:
 
 
 def is_integer(raw: Column) -> Column:
-    return F.trim(raw).rlike(r"^([+-]?[0-9]+)?$")
+    """Integer text that fits a bigint: at most 18 digits, leading zeros aside."""
+    return F.trim(raw).rlike(r"^([+-]?0*[0-9]{1,18})?$")
 
 
 def is_month(text: Column) -> Column:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 TYPES = ("text", "integer", "decimal", "enum", "date", "timestamp")
 DATE_FORMATS = {"MMCCYY": "MMyyyy", "MMDDCCYY": "MMddyyyy"}
-#: One letter for each status, for the packed form.
-STATUS_CODES = {"valid": "V", "null": "0", "not_applicable": "N", "not_available": "A", "error": "?"}
+#: One letter for each status, for the packed form.
+STATUS_CODES = {"valid": "V", "null": "0", "not_available": "N", "not_applicable": "A", "error": "?"}
 
 
 class RuleError(ValueError):
@@ -99,7 +99,7 @@ def packed(fields: list[Column]) -> Column:
     if not fields:
         return F.lit("-")
     codes = F.create_map(*(F.lit(x) for k, v in STATUS_CODES.items() for x in (k, v)))
-    return F.concat(*(F.coalesce(F.element_at(codes, f["status"]), F.lit("A")) for f in fields))
+    return F.concat(*(F.coalesce(F.element_at(codes, f["status"]), F.lit("?")) for f in fields))
 
 
 def normalised(rule: Mapping[str, Any], value: Column) -> Column:

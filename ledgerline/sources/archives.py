@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import os
 import re
+import uuid
 import zipfile
 from collections.abc import Mapping
 from typing import Any
@@ -20,23 +22,54 @@ _BATCH = 20_000
 
 
 def zip_lines(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
-    """Lines of one-member ZIP files, read as a stream in the executors; a file that cannot be read gives one row
-    with ``error``. Each archive is one task's work, as its deflate stream cannot be split."""
-    # Only paths go through Spark's file listing; bytes stay with the task that inflates them.
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
+    """Lines of one-member ZIP files, inflated as a stream in the executors; a file that cannot be read gives one row
+    with ``error``. Each archive is one task's work, as its deflate stream cannot be split.
 
-    def run(batches):
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield from _batched(_lines(name, content))
+    Where executors can open the store themselves, only paths go through Spark and each archive is read as it is
+    inflated; in a store that only Spark reads, archives come with their bytes, one to a batch."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    if _reachable(path):
+        return files.select("path").mapInArrow(_streamed, LINES)
+    return files.select("path", "content").mapInArrow(_held, LINES)
 
-    return files.mapInArrow(run, LINES)
 
+def _reachable(path: str) -> bool:
+    from pyarrow import fs
 
-def _lines(path: str, content: bytes):
+    try:
+        store, at = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{os.path.abspath(path)}")
+        return store.get_file_info(at).type != fs.FileType.NotFound
+    except (ValueError, OSError):
+        return False
+
+
+def _streamed(batches):
+    from pyarrow import fs
+
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            store, at = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+            with store.open_input_file(at) as f:
+                yield from _batched(_lines(path, f))
+
+
+def _held(batches):
+    for batch in batches:
+        for i in range(len(batch)):
+            yield from _batched(_lines(batch.column(0)[i].as_py(), pa.BufferReader(batch.column(1)[i].as_buffer())))
+
+
+def stored(frame: DataFrame, work: str) -> DataFrame:
+    """``frame`` written below ``work`` and read again, for what is read several times."""
+    path = f"{work}/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _lines(path: str, source):
     name = path.rsplit("/", 1)[-1]
     try:
-        archive = zipfile.ZipFile(io.BytesIO(content))
+        archive = zipfile.ZipFile(source)
         members = archive.infolist()
         if len(members) != 1:
             yield name, None, None, None, f"expected one member, found {len(members)}"
@@ -47,8 +80,8 @@ def _lines(path: str, content: bytes):
         with archive.open(members[0]) as raw:
             for n, line in enumerate(io.TextIOWrapper(raw, "utf-8-sig", newline=""), 1):
                 yield name, members[0].filename, n, line.rstrip("\r\n"), None
-    except (zipfile.BadZipFile, UnicodeDecodeError, OSError) as e:
-        yield name, None, None, None, f"{type(e).__name__}: cannot be read"
+    except (zipfile.BadZipFile, ValueError, OSError) as e:  # ValueError: text that is not UTF-8, seeks beyond a cut file
+        yield name, None, None, None, f"{'UnicodeDecodeError' if isinstance(e, UnicodeDecodeError) else 'BadZipFile'}: cannot be read"
 
 
 def _batched(rows):
@@ -107,26 +140,37 @@ def aliased(cells_: Column, header: Column, names: list[str]) -> Column:
     return out
 
 
+def matched(files: DataFrame, families) -> DataFrame:
+    """``files`` plus the family whose file-name pattern fits, the report period that the name gives, and how many fit."""
+    family, period, matches = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(0)
+    for f in families:
+        pattern = re.sub(r"\(\?P<(\w+)>", r"(?<\1>", f["pattern"])
+        at = re.compile(f["pattern"]).groupindex
+        hit = F.col("file").rlike(pattern)
+        matches = matches + hit.cast("int")
+        family = F.when(hit, F.lit(f["id"])).otherwise(family)
+        year = F.regexp_extract("file", pattern, at["year"])
+        period = F.when(hit, F.concat(F.when(F.length(year) == 2, F.lit("20")).otherwise(F.lit("")), year, F.lit("-"), F.regexp_extract("file", pattern, at["month"]))).otherwise(period)
+    return files.withColumns({"family": family, "report_period": period, "matches": matches})
+
+
 def inventory(lines: DataFrame, contract: Mapping[str, Any], separator: str = "|") -> DataFrame:
     """One row for each file: family, report_period, schema_version, line counts and what blocks its use.
 
-    Families match by file name, versions by header hash inside their window; anything but one match blocks."""
+    Families match by file name, versions by header hash inside their window; a version without a header hash has a
+    layout (width of each record type) that all of the file's records must have. Anything but one match blocks."""
     spark = lines.sparkSession
     files = lines.groupBy("file").agg(F.count("value").alias("lines"), F.first("error", ignorenulls=True).alias("error"))
-    family, period = F.lit(None).cast("string"), F.lit(None).cast("string")
-    matches = F.lit(0)
-    for f in contract["families"]:
-        pattern = re.sub(r"\(\?P<(\w+)>", r"(?<\1>", f["pattern"])
-        groups = list(re.compile(f["pattern"]).groupindex.items())
-        at = dict(groups)
-        hit = F.col("file").rlike(pattern)
-        matches = matches + hit.cast("int")
-        family = F.when(hit, F.lit(f["id"])).otherwise(family)
-        period = F.when(hit, F.concat(F.regexp_extract("file", pattern, at["year"]), F.lit("-"), F.regexp_extract("file", pattern, at["month"]))).otherwise(period)
-    files = files.withColumns({"family": family, "report_period": period, "matches": matches})
+    files = matched(files, contract["families"])
     heads = headers(lines, separator).select("file", "width", "header_sha256")
     w = contracts.windows(spark, contract).withColumnRenamed("family", "of").withColumnRenamed("header_sha256", "known")
     joined = files.join(heads, "file", "left").join(F.broadcast(w), (F.col("family") == F.col("of")) & (F.col("known").isNull() | (F.col("known") == F.col("header_sha256"))) & F.col("report_period").between(F.coalesce("period_min", F.lit("")), F.coalesce("period_max", F.lit("9999-99"))), "left")
+    if any(v.get("layouts") for f in contract["families"] for v in f["schema_versions"]):
+        laid = contracts.layouts(spark, contract)
+        each = population.profile(lines, re.escape(separator)).join(files.select("file", "family"), "file").join(F.broadcast(laid.select("family", "schema_version").distinct()), "family")
+        odd = each.join(F.broadcast(laid), ["family", "schema_version", "record_type", "width"], "left_anti").select("file", F.col("schema_version").alias("odd")).distinct()
+        joined = joined.alias("j").join(odd.alias("o"), (F.col("j.file") == F.col("o.file")) & (F.col("j.schema_version") == F.col("o.odd")) & F.col("j.known").isNull(), "left")
+        joined = joined.withColumn("schema_version", F.when(F.col("odd").isNull(), F.col("j.schema_version"))).drop(F.col("o.file"), "odd")
     out = joined.groupBy("file", "lines", "error", "family", "report_period", "matches", "width", "header_sha256").agg(F.count("schema_version").alias("fits"), F.min("schema_version").alias("schema_version"), F.min("column_count").alias("column_count"))
     blocker = (
         F.when(F.col("error").isNotNull(), F.col("error")).when(F.col("matches") == 0, "no family matches").when(F.col("matches") > 1, "several families match")

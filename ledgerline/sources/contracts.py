@@ -69,6 +69,12 @@ def windows(spark: SparkSession, contract: Mapping[str, Any]) -> DataFrame:
     return spark.createDataFrame(rows, "family string, schema_version string, period_min string, period_max string, header_sha256 string, column_count int")
 
 
+def layouts(spark: SparkSession, contract: Mapping[str, Any]) -> DataFrame:
+    """family, schema_version, record_type, width: what the records of versions without a header may look like."""
+    rows = [(f["id"], v["version"], str(t), int(w)) for f in contract["families"] for v in f["schema_versions"] for t, w in (v.get("layouts") or {}).items()]
+    return spark.createDataFrame(rows, "family string, schema_version string, record_type string, width int")
+
+
 def header_sha256(header: Iterable[str]) -> str:
     return hashlib.sha256("|".join(header).encode()).hexdigest()
 
