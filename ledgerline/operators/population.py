@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-#: Issuance rules in order: the first that fails names the row's rejection.
+#: Fixed values, as are the other reasons below: issuance rules in order; the first that fails names the row's rejection.
 ISSUANCE_RULES: tuple[tuple[str, str], ...] = (
     ("report_month must be YYYY-MM", "coalesce(trim(report_month) rlike '^20[0-9]{2}-(0[1-9]|1[0-2])$', false)"),
     ("security identifier is required", "coalesce(trim(security_id), '') != ''"),
@@ -19,6 +19,10 @@ ISSUANCE_RULES: tuple[tuple[str, str], ...] = (
 )
 
 
+#: Tasks that rows of one null or blank key are dealt to.
+SPREAD = 1024
+
+
 def first_failure(rules=ISSUANCE_RULES) -> Column:
     """Message of the first rule that a row breaks; null for a valid row."""
     return F.coalesce(*(F.when(~F.expr(rule), F.lit(message)) for message, rule in rules))
@@ -32,7 +36,9 @@ def dispositions(rows: DataFrame, key: list[str], order: list[Column], rules=ISS
     excluded = none & (F.col("security_status") == "C")
     reason = F.when(excluded, "status-C security without balances").when(some, "issuance UPB, current UPB, and security factor are required together").otherwise(first_failure(rules))
     out = rows.withColumn("reason", reason).withColumn("disposition", F.when(excluded, "excluded").when(F.col("reason").isNotNull(), "rejected").otherwise("valid"))
-    place = F.row_number().over(Window.partitionBy(*key, "disposition").orderBy(*order))
+    # Only valid rows compete for their key; the others, often with blank keys, are spread.
+    spread = F.when(F.col("disposition") == "valid", 0).otherwise(1 + F.pmod(F.xxhash64(*order), F.lit(SPREAD)))
+    place = F.row_number().over(Window.partitionBy(*key, spread).orderBy(*order))
     again = (F.col("disposition") == "valid") & (place > 1)
     return out.withColumn("again", again).withColumn("reason", F.when(F.col("again"), "duplicate key").otherwise(F.col("reason"))).withColumn("disposition", F.when(F.col("again"), "duplicate").when(F.col("disposition") == "valid", "accepted").otherwise(F.col("disposition"))).drop("again")
 
@@ -87,17 +93,21 @@ def join_reason(loans: DataFrame, securities: DataFrame) -> DataFrame:
     """``loans`` plus ``join_reason``: what became of the join to the securities of the same period.
 
     Termination (a deleted loan, or any version of the security in status P, C or D) comes before ineligible
-    (no id), ambiguous (several versions), matched, late (the id appears in a later period) and unmatched.
-    Securities are reduced to one row for each period and id, and to each id's last period, before they join."""
-    index = securities.groupBy("report_period", "security_id").agg(F.count("*").alias("matches"), F.max(F.col("security_status").isin("P", "C", "D").cast("int")).alias("ended"))
-    last = securities.groupBy("security_id").agg(F.max("report_period").alias("last_period"))
-    out = loans.join(index, ["report_period", "security_id"], "left").join(last, "security_id", "left")
-    n = F.coalesce("matches", F.lit(0))
+    (no id), ambiguous (several versions), matched, late (the id appears in a later period) and unmatched."""
+    index = securities.where("security_id is not null").groupBy("security_id", "report_period").agg(F.count("*").alias("matches"), F.max(F.col("security_status").isin("P", "C", "D").cast("int")).alias("ended"))
+    # One row for each id with a map of its months, so that loans are shuffled once.
+    by_id = index.groupBy("security_id").agg(F.map_from_entries(F.collect_list(F.struct("report_period", F.struct("matches", "ended")))).alias("months"), F.max("report_period").alias("last_period"))
+    by_id = by_id.select(F.col("security_id").alias("of"), F.pmod(F.xxhash64("security_id"), F.lit(1)).alias("none"), "months", "last_period")
+    # Loans without an id match nothing, so they need not meet in one task.
+    none = F.when(F.col("security_id").isNull(), 1 + F.pmod(F.xxhash64(*(F.col(c) for c in loans.columns)), F.lit(SPREAD))).otherwise(0)
+    out = loans.withColumn("deal", none).join(by_id, (F.col("deal") == F.col("none")) & (F.col("security_id") == F.col("of")), "left")
+    out = out.withColumn("month", F.col("months")[F.col("report_period")])
+    n = F.coalesce("month.matches", F.lit(0))
     reason = (
-        F.when((F.col("correction_indicator") == "D") | (F.coalesce("ended", F.lit(0)) == 1), "terminated").when(F.col("security_id").isNull(), "ineligible")
+        F.when((F.col("correction_indicator") == "D") | (F.coalesce("month.ended", F.lit(0)) == 1), "terminated").when(F.col("security_id").isNull(), "ineligible")
         .when(n > 1, "ambiguous").when(n == 1, "matched").when(F.col("last_period") > F.col("report_period"), "late").otherwise("unmatched")
     )
-    return out.withColumn("join_reason", reason).drop("matches", "ended", "last_period")
+    return out.withColumn("join_reason", reason).select(*loans.columns, "join_reason")
 
 
 def join_counts(joined: DataFrame, by: tuple[str, ...] = ("report_period",)) -> DataFrame:

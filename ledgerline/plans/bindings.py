@@ -7,12 +7,17 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources import contracts
+
 SECURITY = {
     "security_id": "concat('S', cast(o_custkey % 300 as string))",
+    "join_security_id": "case when o_orderkey % 3 = 0 and o_orderkey % 5 <> 0 then concat('J', cast(o_custkey % 300 as string)) else concat('S', cast(o_custkey % 300 as string)) end",
     "report_period": "{ym:o_orderdate}",
+    "package_family": "case when o_orderkey % 4 = 0 then case when o_orderkey % 3 = 0 then 'supers' else 'pools' end else 'others' end",
+    "package_period": "{ym:o_orderdate}",
     "source_id": "o_orderkey",
     "source_family": "case when o_orderkey % 3 = 0 then 'supers' else 'pools' end",
     "as_of_timestamp": "concat({ymd:o_orderdate}, 'T23:59:59Z')",
@@ -61,9 +66,9 @@ LOAN = {
     "days_delinquent": "case when l_partkey % 19 = 0 then null when l_linenumber <= 4 then 0 else l_partkey % 120 end",
     "loan_age": "l_partkey % 360",
     "remaining_months_to_maturity": "360 - l_partkey % 360",
-    "original_legacy_credit_score": "case when l_partkey % 6 = 0 then null when l_partkey % 35 = 0 then -1 else 600 + l_partkey % 20 end",
-    "original_classic_fico": "case when l_partkey % 5 = 0 then null else 620 + l_partkey % 20 end",
-    "original_vs4": "case when l_partkey % 4 = 0 then null else 640 + l_partkey % 20 end",
+    "legacy_credit_score": "case when l_partkey % 6 = 0 then null when l_partkey % 35 = 0 then -1 else 600 + l_partkey % 20 end",
+    "classic_fico": "case when l_partkey % 5 = 0 then null else 620 + l_partkey % 20 end",
+    "vs4": "case when l_partkey % 4 = 0 then null else 640 + l_partkey % 20 end",
     "updated_legacy_credit_score": "660 + l_partkey % 20",
     "updated_classic_fico": "case when l_suppkey % 5 = 0 then null else 680 + l_partkey % 20 end",
     "updated_vs4": "case when l_suppkey % 2 = 0 then null else 700 + l_partkey % 20 end",
@@ -95,6 +100,32 @@ LOAN = {
     "mortgage_insurance_cancellation": "case when l_partkey % 5 = 0 then 'Y' else 'N' end",
 }
 
+#: Monthly archives as lines, one file a month; every third and seventh month holds rows that fail a check.
+_ODD = "substr({ym:o_orderdate}, 6, 2) in ('03', '07')"
+SECURITY_LINES = {
+    "file": "concat('fd', substr({ym:o_orderdate}, 3, 2), substr({ym:o_orderdate}, 6, 2), '07')",
+    "row_key": "o_orderkey",
+    "Prefix": "case o_orderkey % 4 when 0 then 'CL' when 1 then 'MA' when 2 then '1A' else 'CI' end",
+    "Security Identifier": f"case when {_ODD} and o_orderkey % 11 = 0 then ' ' when {_ODD} and o_orderkey % 13 = 0 then 'SAME' else concat('S', cast(o_orderkey as string)) end",
+    "Security Factor Date": f"case when {_ODD} and o_orderkey % 17 = 0 then '131999' else concat(substr({{ym:o_orderdate}}, 6, 2), '20', substr({{ym:o_orderdate}}, 3, 2)) end",
+    "Security Factor": f"case when {_ODD} and o_orderkey % 19 = 0 then 'x' when o_orderkey % 3 = 0 then '' else '.5' end",
+    "Security Data Correction Indicator": f"case when {_ODD} and o_orderkey % 23 = 0 then '?' when o_orderkey % 5 = 0 then 'Y' else 'N' end",
+    "Security Status Indicator": "case o_orderstatus when 'P' then 'P' else 'A' end",
+    "Current Investor Security UPB": "concat(cast(o_orderkey as string), '.25')",
+    "Issue Date": f"case when {_ODD} and o_orderkey % 29 = 0 then '01022025' when o_orderkey % 2 = 0 then '01012025' else '' end",
+    "Green Indicator": "case o_orderkey % 3 when 0 then 'Y' when 1 then '9' else ' ' end",
+}
+LOAN_LINES = {
+    "file": "concat('fu', substr({ym:o_orderdate}, 3, 2), substr({ym:o_orderdate}, 6, 2), '07')",
+    "row_key": "((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey % 100000) * 1000 + l_suppkey % 1000",
+    "Loan Identifier": "concat('L', cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', cast(l_partkey as string), '-', cast(l_suppkey as string))",
+    "Loan Correction Indicator": f"case when {_ODD} and l_partkey % 31 = 0 then 'Z' when l_partkey % 20 = 0 then 'D' else 'N' end",
+    "Prefix": "'CL'",
+    "Security Identifier": "case when l_partkey % 43 = 0 then '' when l_partkey % 41 = 0 then 'NONE' else concat('S', cast(l_orderkey as string)) end",
+    "Current Investor Loan UPB": "cast(l_partkey as string)",
+    "Days Delinquent": "case when l_linenumber = 1 then '' else cast(l_partkey % 120 as string) end",
+}
+
 #: Product groups of prefixes; any other prefix is unmapped.
 PRODUCT_GROUPS = {"CL": "30-year UMBS / Supers family", "ZL": "30-year UMBS / Supers family", "CT": "20-year UMBS / Supers family", "CI": "15-year UMBS / Supers family"}
 UNMAPPED = "Other / Unmapped prefix"
@@ -148,10 +179,50 @@ def issuance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cte(name: str, columns: dict[str, str], source: str) -> str:
-    return f"{name} AS (SELECT " + ", ".join(f"{other_sql(e)} AS {n}" for n, e in columns.items()) + f" FROM {source})"
+    return f"{name} AS (SELECT " + ", ".join(f'{other_sql(e)} AS "{n}"' for n, e in columns.items()) + f" FROM {source})"
+
+
+def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly archives of securities and loans as ``zip_lines`` gives them: file, member, line, value, error."""
+    orders = _table(spark, sf_dir, "orders")
+    both = lambda: _table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    out = None
+    for source, columns in ((orders, SECURITY_LINES), (both(), LOAN_LINES)):
+        rows = _select(source, columns)
+        names = [c for c in columns if c not in ("file", "row_key")]
+        body = rows.select("file", "row_key", F.concat_ws("|", *(F.col(f"`{n}`") for n in names)).alias("value"))
+        heads = rows.select("file").distinct().select("file", F.lit(-1).cast("long").alias("row_key"), F.lit("|".join(names)).alias("value"))
+        line = F.row_number().over(Window.partitionBy("file").orderBy("row_key", "value")).cast("long")
+        own = heads.unionByName(body).select(F.concat("file", F.lit(".zip")).alias("file"), F.concat("file", F.lit(".txt")).alias("member"), line.alias("line"), "value", F.lit(None).cast("string").alias("error"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def archive_contract() -> dict:
+    """The contract of these archives, and the header names of its targets by kind."""
+
+    def family(i: str, start: str, columns: dict) -> dict:
+        header = [c for c in columns if c not in ("file", "row_key")]
+        version = {"version": "v1", "header_sha256": contracts.header_sha256(header), "column_count": len(header)}
+        return {"id": i, "pattern": rf"^{start}(?P<year>\d{{2}})(?P<month>\d{{2}})\d{{2}}\.zip$", "schema_versions": [version]}
+
+    return {"families": [family("monthly-security-core-1", "fd", SECURITY_LINES), family("monthly-loan-level-1", "fu", LOAN_LINES)]}
+
+
+ARCHIVE_ALIASES = {
+    "security": {
+        "prefix": ["Prefix"], "security_id": ["Security Identifier"], "security_factor_date": ["Security Factor Date"], "security_factor": ["Security Factor"], "security_correction_indicator": ["Security Data Correction Indicator"],
+        "security_status": ["Security Status Indicator"], "current_security_upb": ["Current Investor Security UPB"], "issue_date": ["Issue Date"], "green_indicator": ["Green Indicator"],
+    },
+    "loan": {
+        "loan_id": ["Loan Identifier"], "loan_correction_indicator": ["Loan Correction Indicator"], "prefix": ["Prefix"], "security_id": ["Security Identifier"], "current_loan_upb": ["Current Investor Loan UPB"], "days_delinquent": ["Days Delinquent"],
+    },
+}
 
 
 SECURITY_CTE = _cte("sec", SECURITY, "orders")
+SECURITY_LINES_CTE = _cte("fd", SECURITY_LINES, "orders")
+LOAN_LINES_CTE = _cte("fu", LOAN_LINES, "lineitem JOIN orders ON l_orderkey = o_orderkey")
 LOAN_CTE = _cte("loan", LOAN, "lineitem JOIN orders ON l_orderkey = o_orderkey")
 ISSUANCE_CTE = _cte("iss", ISSUANCE, "orders")
 

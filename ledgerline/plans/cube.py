@@ -50,7 +50,7 @@ def tall(wide: DataFrame, rows: Iterable[dict], view: str | Column, grain: str,
     if not made:
         return None
     out = wide.select("report_period", (F.lit(view) if isinstance(view, str) else view).alias("correction_view"), F.explode(F.array(*made)).alias("r")).where("r is not null")
-    return out.select("r.contract_id", "r.component", "report_period", "correction_view", F.lit(grain).alias("grain"), "r.dimension", "r.member", "r.numerator", "r.denominator", "r.observations", "r.value", F.lit(True).alias("released"))
+    return out.select("r.contract_id", "r.component", "report_period", "correction_view", F.lit(grain).alias("grain"), "r.dimension", "r.member", "r.numerator", "r.denominator", "r.observations", "r.value", F.col("r.contract_id").isin(*C.CONTRACTS).alias("released"))
 
 
 def union(frames: Iterable[DataFrame | None]) -> DataFrame | None:
@@ -68,13 +68,17 @@ def repeated_keys(cube: DataFrame) -> DataFrame:
 # ---- sources
 
 
-def trust(manifests: DataFrame, only=None) -> DataFrame | None:
-    """Populations and disposition rates by source file family; manifests have one row per family and period."""
+def trust(manifests: DataFrame, only=None, issued: DataFrame | None = None) -> DataFrame | None:
+    """Populations and disposition rates by source file family; manifests have one row per family and period.
+
+    ``issued``: manifests of the issuance pipeline by report_period, which have their population accounted, too."""
     dims = {"dimension": "source_family", "member": F.col("source_family"), "observations": "input_count"}
     rows = [row("source_population_accounting", f"{d}_count", f"{d}_count", **dims) for d in C.DISPOSITIONS]
     rows += [row("source_disposition_rates", f"{d}_rate", f"{d}_count", "input_count", **dims) for d in C.DISPOSITIONS]
     rows.append(row("schema_transition_status", "schema_pass", (F.col("quality_status") == "pass").cast("int"), F.lit(1), F.lit(1), "source_family", F.col("source_family")))
-    return union([tall(manifests, rows, "latest", "source", only), schema_changes(manifests) if only is None or "schema_transition_status" in only else None])
+    own = [row("source_population_accounting", f"{d}_count", f"{d}_count", observations="input_count", dimension="source_family", member="issuance") for d in C.DISPOSITIONS]
+    frames = [tall(manifests, rows, "latest", "source", only), tall(issued, own, "latest", "source", only) if issued is not None else None]
+    return union([*frames, schema_changes(manifests) if only is None or "schema_transition_status" in only else None])
 
 
 def schema_changes(manifests: DataFrame) -> DataFrame:
@@ -220,25 +224,38 @@ def loan_totals(wide: DataFrame, only=None) -> DataFrame | None:
     return tall(wide, rows, "latest", "loan-period", only)
 
 
-#: dimension -> (contract, member); scores count only where present, their ``Missing`` is what they leave.
+#: dimension -> (contract, member), for all but scores.
 def loan_dimensions() -> dict[str, tuple[str, Column]]:
     out = {d: (contract, S.member(F.col(column))) for d, (contract, column) in C.LOAN_SEGMENTS.items()}
     out["mortgage_insurance_status"] = ("guarantee_mi_share", S.insurance_status(F.col("mortgage_insurance_pct"), F.col("mortgage_insurance_cancellation")))
     out["delinquency_band"] = ("delinquency_distribution", S.delinquency_band(F.col("days_delinquent")))
     out["modification"] = ("modification_volume", S.modification_status(F.col("modification_program")))
+    return out
+
+
+def _member(dimension: str, contract: str, member: Column, one: Column | int = 1) -> Column:
+    one = F.lit(one) if isinstance(one, int) else one
+    return F.struct(F.lit(dimension).alias("dimension"), F.lit(contract).alias("contract"), member.alias("member"), one.alias("one"))
+
+
+def score_members() -> list[Column]:
+    """For each score its own member if it has one, and ``Missing``, which a null or negative score counts in (and months
+    without such scores have with zero)."""
+    out = []
     for s in C.LOAN_SCORES:
-        # A negative score has a member of its own and counts as missing, too.
-        out[f"score:{s}"] = ("credit_score_model_metrics", F.coalesce(F.col(s).cast("string"), F.lit(C.MISSING)))
+        d, contract = f"score:{s}", "credit_score_model_metrics"
+        out += [F.when(F.col(s).isNotNull(), _member(d, contract, F.col(s).cast("string"))), _member(d, contract, F.lit(C.MISSING), (F.coalesce(F.col(s), F.lit(-1)) < 0).cast("int"))]
     return out
 
 
-def segments(rows: DataFrame, dimensions: dict[str, tuple[str, Column]], weight: str, only=None, by: tuple[str, ...] = ("report_period",)) -> DataFrame | None:
+def segments(rows: DataFrame, dimensions: dict[str, tuple[str, Column]], weight: str, only=None, by: tuple[str, ...] = ("report_period",), more: list[Column] | None = None) -> DataFrame | None:
     """(dimension, member) counts and balances: rows are multiplied by the dimensions, then summed in each task first."""
-    wanted = {d: x for d, x in dimensions.items() if only is None or x[0] in only}
-    if not wanted:
+    members = [_member(d, contract, m) for d, (contract, m) in dimensions.items() if only is None or contract in only] + (more or [])
+    if not members:
         return None
-    pairs = F.array(*(F.struct(F.lit(d).alias("dimension"), F.lit(contract).alias("contract"), m.alias("member")) for d, (contract, m) in wanted.items()))
-    return rows.select(*by, F.col(weight).alias("w"), F.explode(pairs).alias("s")).groupBy(*by, "s.dimension", "s.contract", "s.member").agg(F.count("*").alias("n"), F.sum(S.wide(F.col("w"))).alias("upb"))
+    each = rows.select(*by, F.col(weight).alias("w"), F.explode(F.array(*members)).alias("s")).where("s is not null")
+    upb = F.coalesce(F.sum(F.when(F.col("s.one") == 1, S.wide(F.col("w")))), F.lit(0).cast(C.WIDE))
+    return each.groupBy(*by, "s.dimension", "s.contract", "s.member").agg(F.sum("s.one").alias("n"), upb.alias("upb"))
 
 
 def _segment_rows(seg: DataFrame, view: str, grain: str) -> DataFrame:
@@ -249,21 +266,16 @@ def _segment_rows(seg: DataFrame, view: str, grain: str) -> DataFrame:
     out = seg.select("*", F.explode(both).alias("b"))
     return out.select(
         F.col("contract").alias("contract_id"), F.concat("dimension", F.lit("_"), "b.basis").alias("component"), "report_period", F.lit(view).alias("correction_view"), F.lit(grain).alias("grain"), "dimension", "member",
-        "b.numerator", "b.denominator", F.col("n").alias("observations"), S.safe_ratio(F.col("b.numerator"), F.col("b.denominator")).alias("value"), F.lit(True).alias("released"),
+        "b.numerator", "b.denominator", F.col("n").alias("observations"), S.safe_ratio(F.col("b.numerator"), F.col("b.denominator")).alias("value"), F.col("contract").isin(*C.CONTRACTS).alias("released"),
     )
 
 
 def loan_segments(loans: DataFrame, only=None) -> DataFrame | None:
     active = loans.where(is_active_loan())
-    seg = segments(active, loan_dimensions(), "current_upb_cents", only)
+    scores = score_members() if only is None or "credit_score_model_metrics" in only else None
+    seg = segments(active, loan_dimensions(), "current_upb_cents", only, more=scores)
     if seg is None:
         return None
-    if only is None or "credit_score_model_metrics" in only:
-        # Missing: null scores and, beside their own member, negative ones.
-        scores = F.array(*(F.struct(F.lit(f"score:{s}").alias("dimension"), (F.coalesce(F.col(s), F.lit(-1)) < 0).cast("int").alias("none"), (F.col(s) < 0).alias("negative")) for s in C.LOAN_SCORES))
-        missing = active.select("report_period", "current_upb_cents", F.explode(scores).alias("s")).groupBy("report_period", "s.dimension").agg(F.sum("s.none").alias("n"), F.coalesce(F.sum(F.when(F.col("s.none") == 1, S.wide(F.col("current_upb_cents")))), F.lit(0).cast(C.WIDE)).alias("upb"))
-        missing = missing.select("report_period", "dimension", F.lit("credit_score_model_metrics").alias("contract"), F.lit(C.MISSING).alias("member"), "n", "upb")
-        seg = seg.where(~(F.col("dimension").startswith("score:") & (F.col("member") == C.MISSING))).unionByName(missing)
     return _segment_rows(seg, "latest", "loan-period")
 
 
@@ -303,7 +315,7 @@ def top_n(cube: DataFrame, n: int = TOP_N, whole: bool = False) -> DataFrame:
     out = both.withColumn("basis", basis).select("*", F.explode(parts).alias("p"))
     return out.select(
         "contract_id", F.concat("dimension", "p.infix", "basis").alias("component"), "report_period", "correction_view", "grain", F.concat("dimension", F.lit("_summary")).alias("dimension"), "p.member",
-        S.wide(F.col("p.numerator")).alias("numerator"), "denominator", "p.observations", S.safe_ratio(F.col("p.numerator"), F.col("denominator")).alias("value"), F.lit(True).alias("released"),
+        S.wide(F.col("p.numerator")).alias("numerator"), "denominator", "p.observations", S.safe_ratio(F.col("p.numerator"), F.col("denominator")).alias("value"), F.col("contract_id").isin(*C.CONTRACTS).alias("released"),
     )
 
 
@@ -314,7 +326,7 @@ def hhi(cube: DataFrame) -> DataFrame:
     zero = F.lit(0).cast(C.WIDE)
     return by.select(
         F.lit("hhi_concentration").alias("contract_id"), F.concat("component", F.lit("_hhi")).alias("component"), "report_period", F.lit("latest").alias("correction_view"), F.lit("loan-period").alias("grain"), "dimension", F.lit("All").alias("member"),
-        zero.alias("numerator"), F.lit(None).cast(C.WIDE).alias("denominator"), F.col("n").alias("observations"), (F.col("squares") / F.pow(F.col("total").cast("double"), F.lit(2.0))).alias("value"), F.lit(True).alias("released"),
+        zero.alias("numerator"), F.lit(None).cast(C.WIDE).alias("denominator"), F.col("n").alias("observations"), (F.col("squares") / F.pow(F.col("total").cast("double"), F.lit(2.0))).alias("value"), F.lit("hhi_concentration" in C.CONTRACTS).alias("released"),
     )
 
 

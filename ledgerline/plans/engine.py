@@ -26,26 +26,32 @@ def conform(securities: DataFrame, loans: DataFrame, key: tuple[str, ...] = ("re
     }
 
 
-def build_metrics(securities: Mapping[str, DataFrame], loans: DataFrame, issuance: DataFrame, groups, manifests: DataFrame, join_counts: DataFrame, expected: DataFrame) -> DataFrame:
+def build_metrics(securities: Mapping[str, DataFrame], loans: DataFrame, issuance: DataFrame, groups, manifests: DataFrame, join_counts: DataFrame, expected: DataFrame, issued: DataFrame | None = None, keep=lambda frame: frame) -> DataFrame:
     """All released contracts in one cube.
 
-    What other metrics are derived from is kept (in memory, on disk beyond): aggregates with a few rows for each
-    month and member, so that loans are scanned twice (totals, segments) and securities three times a view."""
-    loan = cube.loan_base(loans).persist()
-    security = [cube.security_cube(f, v).persist() for v, f in securities.items()]
-    issued = cube.issuance(issuance, groups)
+    Other metrics are derived from the loan base and the security cubes, aggregates with a few rows for each month and
+    member. ``keep`` may store these (write and read again, or persist, which its caller then undoes); without it their
+    exchanges are reused where Spark finds them equal."""
+    loan = keep(cube.loan_base(loans))
+    security = [keep(cube.security_cube(f, v)) for v, f in securities.items()]
+    issuances = cube.issuance(issuance, groups)
     return cube.union(
         [
-            loan, cube.top_n(loan), *security, issued, cube.trust(manifests), cube.join_coverage(join_counts), cube.file_completeness(expected),
-            cube.hhi(loan), cube.threshold_rates(loan), cube.modification_rate(loan), cube.issuance_share(cube.union([issued, *security])),
-            *(transitions.transition_cube(loans, v) for v in C.VIEWS),
+            loan, cube.top_n(loan), *security, issuances, cube.trust(manifests, issued=issued), cube.join_coverage(join_counts), cube.file_completeness(expected),
+            cube.hhi(loan), cube.threshold_rates(loan), cube.modification_rate(loan), cube.issuance_share(cube.union([issuances, *security])),
+            transitions.transition_cube(loans),
         ]
     )
 
 
-def verify_metrics(built: DataFrame, loans: DataFrame, securities: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Violations by check; all empty for a sound cube."""
-    return {
+def verify_metrics(built: DataFrame, loans: DataFrame, securities: Mapping[str, DataFrame], manifests: DataFrame | None = None, join_counts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Violations by check; all empty for a sound cube. ``join_counts``: report_period, join_reason, row_count."""
+    more = {}
+    if manifests is not None:
+        more |= {"schema_coverage": verify.schema_coverage(built, manifests), "manifests": population.unreconciled(manifests)}
+    if join_counts is not None:
+        more["join_totals"] = verify.join_totals(join_counts, loans)
+    return more | {
         "contract_set": verify.contract_set(built),
         "repeated_keys": cube.repeated_keys(built),
         "view_coverage": verify.view_coverage(built, securities["latest"].select("report_period")),

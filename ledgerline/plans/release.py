@@ -6,15 +6,13 @@ and only then does the pointer file name it. Readers follow the pointer, so they
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUNDLE = ("issuance", "conformance", "metrics", "loans")
-
-
 class CheckFailed(RuntimeError):
     """Written tables do not hold; the pointer stays."""
 
@@ -26,15 +24,18 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Whole or not at all: written beside, then renamed over."""
+    """Whole or not at all: written beside, then renamed over in one step, so readers find the old text or the new."""
+    jvm = spark._jvm
     fs, target = _fs(spark, path)
-    _, part = _fs(spark, path + ".building")
+    _, part = _fs(spark, f"{path}.{uuid.uuid4().hex}")
     out = fs.create(part, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(target, False)
-    if not fs.rename(part, target):
-        raise OSError(f"cannot write {path}")
+    kind = getattr(jvm, "org.apache.hadoop.fs.Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    qualified = fs.makeQualified(target)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(part), qualified, options)
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
@@ -65,11 +66,12 @@ def constant_columns(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
 def publish(spark: SparkSession, root: str, release: str, tables: Mapping[str, DataFrame], checks: Callable[[Mapping[str, DataFrame]], Mapping[str, DataFrame]], facts: Mapping[str, Any] | None = None) -> str:
     """Writes ``tables`` below ``root/release``, runs ``checks`` on them as read back, then moves the pointer.
 
-    ``checks`` returns frames of violations; any row blocks."""
+    ``checks`` returns frames of violations; any row blocks. A release's name is used once: tables that exist are never
+    written over, as readers may follow the pointer to them."""
     written = {}
     for name, df in tables.items():
         path = f"{root}/{release}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("errorifexists").parquet(path)
         written[name] = spark.read.parquet(path)
     broken = {n: k for n, v in checks(written).items() if (k := v.limit(1).count())}
     if broken:

@@ -1,10 +1,12 @@
 """Month-to-month transitions of loans, and cohorts after a cure or a modification, without a loop over months.
 
-History has one row for each loan, month and view: (key, month, active, upb, days, modified)."""
+Loans are shuffled once, by loan. There each month's first and last version become the states of both views, windows
+over a loan's months give what precedes and follows each state, and what happened is summed by month in each task
+before the one small shuffle that all metrics are derived from."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as C
@@ -16,100 +18,134 @@ THRESHOLD, WINDOW = 30, 12
 TRIGGERS = ("cure", "modification")
 
 
-def history(loans: DataFrame, view: str) -> DataFrame:
-    """The version of each loan and month that ranks first (original) or last (latest)."""
+def histories(loans: DataFrame) -> DataFrame:
+    """One row for each loan and month: KEY, report_period, month, and the states of the version that ranks first
+    (``original``) and last (``latest``): structs of active, upb, days, modified."""
     rank = F.struct("as_of_timestamp", "publication_date", "source_file", "source_row")
     state = F.struct(is_active_loan().alias("active"), F.coalesce("current_upb_cents", F.lit(0)).alias("upb"), F.col("days_delinquent").alias("days"), (F.trim(F.coalesce("modification_program", F.lit(""))) != "").alias("modified"))
-    pick = F.min_by(state, rank) if view == "original" else F.max_by(state, rank)
     key = [F.coalesce(F.col(c), F.lit("")).alias(c) if c == "security_id" else F.col(c) for c in KEY]
-    out = loans.groupBy(*key, "report_period").agg(pick.alias("s"))
-    return out.select(*KEY, "report_period", S.month_index(F.col("report_period")).alias("month"), "s.active", "s.upb", "s.days", "s.modified")
+    dealt = loans.select(*key, "report_period", rank.alias("rank"), state.alias("state")).repartition(*KEY)
+    out = dealt.groupBy(*KEY, "report_period").agg(F.min_by("state", "rank").alias("original"), F.max_by("state", "rank").alias("latest"))
+    return out.withColumn("month", S.month_index(F.col("report_period")))
+
 
+def history(loans: DataFrame, view: str) -> DataFrame:
+    """One row for each loan and month of one view: KEY, report_period, month, active, upb, days, modified."""
+    return histories(loans).select(*KEY, "report_period", "month", f"{view}.*")
+
+
+def followed(states: DataFrame, views: tuple[str, ...], threshold: int = THRESHOLD, window: int = WINDOW) -> DataFrame:
+    """``states`` (with a state struct for each of ``views``) plus, for each view, ``next_``, ``last_`` (the states of the
+    months just after and before, or null) and ``status_``: what a cohort that starts here comes to.
+
+    A cohort at month s looks at months s+1..s+window: with f the first that is distressed, it redefaults if all
+    months before f are there and eligible; it completes if there is no f and all are there and eligible."""
+    months = Window.partitionBy(*KEY).orderBy("month")
+    near = [F.lead("month").over(months).alias("after"), F.lag("month").over(months).alias("before")]
+    near += [f(v).over(months).alias(f"{n}_{v}") for v in views for n, f in (("next", F.lead), ("last", F.lag))]
+    out = states.select("*", *near)
+    first = lambda c: F.min(F.when(c, F.col("month"))).over(months.rangeBetween(1, window))
+    eligible = {v: F.col(v)["active"] & F.col(v)["days"].isNotNull() for v in views}
+    last = F.coalesce(F.col("after") != F.col("month") + 1, F.lit(True))  # a month without a next one
+    ahead = [F.min(F.when(last, F.col("month"))).over(months.rangeBetween(0, window - 1)).alias("gap")]
+    ahead += [first(e & (F.col(v)["days"] >= threshold)).alias(f"bad_{v}") for v, e in eligible.items()]
+    ahead += [first(~e).alias(f"unfit_{v}") for v, e in eligible.items()]
+    out = out.select("*", *ahead)
+    whole = lambda c: F.coalesce(c, F.lit(True))
+    columns = []
+    for v in views:
+        gap, bad, unfit = F.col("gap"), F.col(f"bad_{v}"), F.col(f"unfit_{v}")
+        status = F.when(bad.isNotNull() & whole(gap >= bad) & whole(unfit > bad), "redefault").when(F.coalesce(bad, gap, unfit).isNull(), "complete").otherwise("censored")
+        columns += [F.when(F.col("after") == F.col("month") + 1, F.col(f"next_{v}")).alias(f"next_{v}"), F.when(F.col("before") == F.col("month") - 1, F.col(f"last_{v}")).alias(f"last_{v}"), status.alias(f"status_{v}")]
+    return out.select(*states.columns, *columns)
+
+
+def triggers(view: str, threshold: int = THRESHOLD) -> dict[str, Column]:
+    """Conditions under which a cohort starts, on a row of ``followed``."""
+    now, last = F.col(view), F.col(f"last_{view}")
+    both = now["active"] & F.coalesce(last["active"], F.lit(False))
+    return {"cure": both & (last["days"] >= threshold) & (now["days"] == 0), "modification": both & ~last["modified"] & now["modified"]}
 
-def pairs(states: DataFrame) -> DataFrame:
-    """Each active state with known days and, of the same loan, the state one month later, if the month exists at all."""
-    months = states.select("month", "report_period").distinct()
-    later = states.select(*KEY, (F.col("month") - 1).alias("month"), *(F.col(c).alias(f"next_{c}") for c in ("active", "upb", "days", "modified")))
-    follows = months.select((F.col("month") - 1).alias("month"), F.col("report_period").alias("next_period"))
-    return states.where("active and days is not null").join(F.broadcast(follows), "month").join(later, [*KEY, "month"], "left")
+
+def cohorts(states: DataFrame, threshold: int = THRESHOLD, window: int = WINDOW) -> DataFrame:
+    """Each trigger of one view's states with its outcome: redefault, complete or censored (open cohorts included)."""
+    one = states.select(*KEY, "report_period", "month", F.struct("active", "upb", "days", "modified").alias("s"))
+    kinds = F.array(*(F.when(c, F.lit(k)) for k, c in triggers("s", threshold).items()))
+    out = followed(one, ("s",), threshold, window).select(*KEY, "report_period", "s.upb", F.col("status_s").alias("status"), F.explode(kinds).alias("trigger"))
+    return out.where("trigger is not null").select(*KEY, "report_period", "trigger", "upb", "status")
 
 
-def transition_counts(states: DataFrame) -> DataFrame:
-    """report_period (of the destination), origin, destination, n, upb (of the origin)."""
-    gone = F.col("next_active").isNull() | ~F.col("next_active") | F.col("next_days").isNull()
-    destination = F.when(gone, "Attrition").otherwise(S.delinquency_band(F.col("next_days")))
-    out = pairs(states).select(F.col("next_period").alias("report_period"), S.delinquency_band(F.col("days")).alias("origin"), destination.alias("destination"), "upb")
-    return out.groupBy("report_period", "origin", "destination").agg(F.count("*").alias("n"), F.sum(S.wide(F.col("upb"))).alias("upb"))
+def _period(month: Column) -> Column:
+    return F.format_string("%04d-%02d", F.floor((month - 1) / 12).cast("int"), ((month - 1) % 12 + 1).cast("int"))
 
 
-def roll_cure(counts: DataFrame, view: str) -> DataFrame:
-    origin = Window.partitionBy("report_period", "origin")
+def happenings(loans: DataFrame, views: tuple[str, ...] = C.VIEWS) -> DataFrame:
+    """correction_view, kind, report_period, origin, result, n, upb: for transitions the bands before and after, at the
+    month after; for triggers the outcome, at the month where the cohort starts. Months without any loan are left out."""
+    rows = []
+    for v in views:
+        now, later = F.col(v), F.col(f"next_{v}")
+        gone = later["active"].isNull() | ~later["active"] | later["days"].isNull()
+        result = F.when(gone, "Attrition").otherwise(S.delinquency_band(later["days"]))
+        happened = [("transition", now["active"] & now["days"].isNotNull(), F.col("month") + 1, S.delinquency_band(now["days"]), result)]
+        happened += [(k, c, F.col("month"), F.lit(""), F.col(f"status_{v}")) for k, c in triggers(v).items()]
+        rows += [F.when(c, F.struct(F.lit(v).alias("correction_view"), F.lit(k).alias("kind"), m.alias("month"), o.alias("origin"), r.alias("result"), now["upb"].alias("upb"))) for k, c, m, o, r in happened]
+    each = followed(histories(loans), views).select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r")).select("r.*")
+    out = each.groupBy(F.col("correction_view").alias("view"), F.col("kind").alias("what"), "month", "origin", "result").agg(F.count("*").alias("n"), F.sum(S.wide(F.col("upb"))).alias("upb"), F.max("kind").alias("kind"), F.max("correction_view").alias("correction_view"))
+    # View and kind are aggregates, so that what selects or joins by them does not sink below the exchange, which all parts then share.
+    out = out.withColumn("report_period", _period(F.col("month"))).drop("month", "what", "view")
+    return out.join(F.broadcast(loans.select("report_period").distinct()), "report_period", "left_semi")  # one row for each month
+
+
+def roll_cure(counts: DataFrame) -> DataFrame:
+    """``counts``: the transitions of ``happenings``."""
+    origin = Window.partitionBy("correction_view", "report_period", "origin")
     wide = counts.withColumn("all_n", F.sum("n").over(origin)).withColumn("all_upb", F.sum("upb").over(origin))
-    member = F.concat("origin", F.lit(" to "), "destination")
+    member = F.concat("origin", F.lit(" to "), "result")
     rows = [row("delinquency_roll_cure", f"transition_{b}", v, t, "n", "delinquency_transition", member) for b, v, t in (("count", "n", "all_n"), ("upb", "upb", "all_upb"))]
-    eligible = counts.groupBy("report_period").agg(F.sum("n").alias("n"))
-    return tall(wide, rows, view, "loan-cohort").unionByName(tall(eligible, [row("delinquency_roll_cure", "eligible_origin_count", "n", None, "n")], view, "loan-cohort"))
+    eligible = counts.groupBy("correction_view", "report_period").agg(F.sum(F.when(F.col("upb").isNotNull(), F.col("n"))).alias("n"))  # names upb, so that it reads the same exchange
+    return tall(wide, rows, F.col("correction_view"), "loan-cohort").unionByName(tall(eligible, [row("delinquency_roll_cure", "eligible_origin_count", "n", None, "n")], F.col("correction_view"), "loan-cohort"))
 
 
-def new_delinquency(counts: DataFrame, view: str) -> DataFrame:
+def new_delinquency(counts: DataFrame) -> DataFrame:
     """From Current into 30 days or more, among all that were Current; zero rows included."""
-    current, late = F.col("origin") == "Current", F.col("destination").isin("30-59", "60-89", "90+")
+    current, late = F.col("origin") == "Current", F.col("result").isin("30-59", "60-89", "90+")
     total = lambda c, x: F.coalesce(F.sum(F.when(c, S.wide(F.col(x)))), F.lit(0).cast(C.WIDE))
-    wide = counts.groupBy("report_period").agg(*(total(current, x).alias(f"from_{x}") for x in ("n", "upb")), *(total(current & late, x).alias(f"late_{x}") for x in ("n", "upb")))
+    wide = counts.groupBy("correction_view", "report_period").agg(*(total(current, x).alias(f"from_{x}") for x in ("n", "upb")), *(total(current & late, x).alias(f"late_{x}") for x in ("n", "upb")))
     rows = [row("new_delinquency_redefault", f"new_delinquency_{b}", f"late_{x}", f"from_{x}", "from_n", "delinquency_transition", "Current to 30+") for b, x in (("count", "n"), ("upb", "upb"))]
-    return tall(wide, rows, view, "loan-cohort")
+    return tall(wide, rows, F.col("correction_view"), "loan-cohort")
 
 
-def cohorts(states: DataFrame, threshold: int = THRESHOLD, window: int = WINDOW) -> DataFrame:
-    """Each trigger with its outcome: redefault, complete or censored (open cohorts included).
-
-    A trigger at month s looks at its loan's months s+1..s+window: with f the first offset that is distressed,
-    it redefaults if all offsets before f are eligible; it completes if there is no f and all are eligible.
-    Months that no loan has break the chain like missing states do."""
-    before = states.select(*KEY, (F.col("month") + 1).alias("month"), F.col("active").alias("was_active"), F.col("days").alias("was_days"), F.col("modified").alias("was_modified"))
-    both = states.join(before, [*KEY, "month"]).where("active and was_active")
-    kinds = F.array(F.when((F.col("was_days") >= threshold) & (F.col("days") == 0), F.lit("cure")), F.when(~F.col("was_modified") & F.col("modified"), F.lit("modification")))
-    starts = both.select(*KEY, "report_period", F.col("month").alias("start"), "upb", F.explode(kinds).alias("trigger")).where("trigger is not null")
-    later = states.select(*KEY, "month", (F.col("active") & F.col("days").isNotNull()).alias("eligible"), F.coalesce(F.col("active") & (F.col("days") >= threshold), F.lit(False)).alias("bad"))
-    joined = starts.alias("c").join(later.alias("h"), [*(F.col(f"c.{k}") == F.col(f"h.{k}") for k in KEY), F.col("h.month").between(F.col("c.start") + 1, F.col("c.start") + window)], "left")
-    offset = F.col("h.month") - F.col("c.start")
-    out = joined.groupBy(*(F.col(f"c.{k}") for k in KEY), "c.report_period", "c.start", "c.upb", "c.trigger").agg(F.min(F.when(F.col("h.bad"), offset)).alias("first_bad"), F.collect_set(F.when(F.col("h.eligible") & ~F.col("h.bad"), offset)).alias("fine"))
-    unbroken = lambda n: F.size(F.filter("fine", lambda o: o < n)) == n - 1
-    status = F.when(F.col("first_bad").isNotNull() & unbroken(F.col("first_bad")), "redefault").when(F.col("first_bad").isNull() & (F.size("fine") == window), "complete").otherwise("censored")
-    return out.select(*KEY, "report_period", "trigger", "upb", status.alias("status"))
-
-
-def cohort_rows(outcomes: DataFrame, periods: DataFrame, view: str) -> DataFrame:
-    """Six rows for every period and trigger, zeros included. ``periods``: report_period."""
-    spine = periods.select("report_period").distinct().select("report_period", F.explode(F.array(*map(F.lit, TRIGGERS))).alias("trigger"))
-    of = lambda *s: F.col("status").isin(*s)
-    total = lambda c: F.coalesce(F.sum(F.when(c, S.wide(F.col("upb")))), F.lit(0).cast(C.WIDE))
+def cohort_rows(outcomes: DataFrame, periods: DataFrame, views: tuple[str, ...] = C.VIEWS) -> DataFrame:
+    """Six rows for every period, view and trigger, zeros included. ``outcomes``: the triggers of ``happenings``."""
+    spine = periods.select("report_period").distinct().select("report_period", F.explode(F.array(*map(F.lit, views))).alias("correction_view")).select("*", F.explode(F.array(*map(F.lit, TRIGGERS))).alias("kind"))
+    of = lambda *s: F.col("result").isin(*s)
+    total = lambda c, x: F.coalesce(F.sum(F.when(c, S.wide(F.col(x)))), F.lit(0).cast(C.WIDE))
     groups = {"all": of("redefault", "complete", "censored"), "bad": of("redefault"), "seen": of("redefault", "complete"), "cut": of("censored")}
-    sums = outcomes.groupBy("report_period", "trigger").agg(*(F.count(F.when(c, 1)).alias(f"{k}_n") for k, c in groups.items()), *(total(c).alias(f"{k}_upb") for k, c in groups.items()))
-    wide = spine.join(sums, ["report_period", "trigger"], "left").na.fill(0)
+    sums = outcomes.groupBy("report_period", "correction_view", "kind").agg(*(total(c, x).alias(f"{k}_{x}") for k, c in groups.items() for x in ("n", "upb")))
+    wide = spine.join(sums, ["report_period", "correction_view", "kind"], "left")
     rows = []
     for b, x in (("count", "n"), ("upb", "upb")):
-        z = lambda k, x=x: F.coalesce(F.col(f"{k}_{x}"), F.lit(0))
-        dims = {"dimension": "redefault_trigger", "member": F.col("trigger")}
+        z = lambda k, x=x: F.coalesce(F.col(f"{k}_{x}"), F.lit(0).cast(C.WIDE))
+        dims = {"dimension": "redefault_trigger", "member": F.col("kind")}
         rows += [
-            row("new_delinquency_redefault", f"trigger_cohort_{b}", z("all"), None, F.coalesce("all_n", F.lit(0)), **dims),
-            row("new_delinquency_redefault", f"redefault_{b}", z("bad"), z("seen"), F.coalesce("seen_n", F.lit(0)), **dims),
-            row("new_delinquency_redefault", f"right_censored_{b}", z("cut"), z("all"), F.coalesce("all_n", F.lit(0)), **dims),
+            row("new_delinquency_redefault", f"trigger_cohort_{b}", z("all"), None, z("all", "n").cast("long"), **dims),
+            row("new_delinquency_redefault", f"redefault_{b}", z("bad"), z("seen"), z("seen", "n").cast("long"), **dims),
+            row("new_delinquency_redefault", f"right_censored_{b}", z("cut"), z("all"), z("all", "n").cast("long"), **dims),
         ]
-    return tall(wide, rows, view, "loan-cohort")
+    return tall(wide, rows, F.col("correction_view"), "loan-cohort")
 
 
-def transition_cube(loans: DataFrame, view: str, only=None) -> DataFrame:
-    states = history(loans, view)
-    counts = transition_counts(states)
+def transition_cube(loans: DataFrame, only=None) -> DataFrame:
+    """Both views of both contracts; all parts share the one aggregation of ``happenings``."""
+    happened = happenings(loans)
+    counts = happened.where("kind = 'transition'")
     out = []
     if only is None or "delinquency_roll_cure" in only:
-        out.append(roll_cure(counts, view))
+        out.append(roll_cure(counts))
     if only is None or "new_delinquency_redefault" in only:
-        out += [new_delinquency(counts, view), cohort_rows(cohorts(states), loans.select("report_period"), view)]
+        out += [new_delinquency(counts), cohort_rows(happened.where("kind != 'transition'"), loans)]
     first, *rest = out
     for f in rest:
         first = first.unionByName(f)
     return first
-
-

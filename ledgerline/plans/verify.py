@@ -6,18 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..schemas import KEY, VIEWS
+from ..schemas import CONTRACTS, KEY, VIEWS
 from .cube import COMPOSITIONS, is_active_loan, is_active_security
 
-#: The ids of released contracts.
-CONTRACTS = (
-    "source_population_accounting", "source_disposition_rates", "schema_transition_status", "join_coverage", "file_completeness", "issuance_volume", "security_size_distribution",
-    "issuance_product_mix", "period_change", "rolling_issuance", "current_outstanding_balance_population", "loan_balance_distribution", "correction_restatement_volume", "deferred_upb_share",
-    "weighted_age_maturity", "weighted_rates", "ltv_metrics", "dti_metric", "credit_score_model_metrics", "delinquency_distribution", "state_composition", "counterparty_composition",
-    "modification_volume", "guarantee_mi_share", "first_time_homebuyer_share", "loan_property_composition", "assistance_resolution_share", "green_social_eligibility", "mission_metrics",
-    "factor_level_change", "involuntary_removal_volume", "involuntary_removal_share", "new_issuance_share_ending_book", "hhi_concentration", "delinquency_threshold_rates", "modification_rate",
-    "delinquency_roll_cure", "new_delinquency_redefault",
-)
 TOLERANCE = 1e-12
 
 
@@ -42,6 +33,27 @@ def view_coverage(cube: DataFrame, periods: DataFrame) -> DataFrame:
     return need.join(have, ["report_period", "correction_view"], "left_anti")
 
 
+def schema_coverage(cube: DataFrame, manifests: DataFrame) -> DataFrame:
+    """V3: families and months of the manifests without a schema verdict or a transition flag."""
+    need = manifests.select("report_period", F.col("source_family").alias("member")).distinct().withColumn("component", F.explode(F.array(F.lit("schema_pass"), F.lit("schema_transition_flag"))))
+    have = cube.where("contract_id = 'schema_transition_status'").select("report_period", "member", "component").distinct()
+    return need.join(have, ["report_period", "member", "component"], "left_anti")
+
+
+def join_totals(counts: DataFrame, loans: DataFrame) -> DataFrame:
+    """V18: months whose join reasons do not add up to their loans. ``counts``: report_period, join_reason, row_count."""
+    total = counts.groupBy("report_period").agg(F.sum("row_count").alias("joined"))
+    return total.join(loans.groupBy("report_period").agg(F.count("*").alias("accepted")), "report_period", "full").where("not (joined <=> accepted)")
+
+
+def mix_reconciles(mix: DataFrame, months: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """V19: months whose product groups do not add up to the month, in count, balance or share.
+
+    ``mix``: month, security_count, issuance, share; ``months``: month, security_count, issuance."""
+    total = mix.groupBy("month").agg(F.sum("security_count").alias("n"), F.sum("issuance").alias("upb"), F.sum("share").alias("share"))
+    return total.join(months, "month", "full").where(~F.coalesce((F.col("n") == F.col("security_count")) & (F.abs(F.col("upb") - F.col("issuance")) <= tolerance * F.greatest(F.lit(1.0), F.abs("issuance"))) & (F.abs(F.col("share") - 1) <= tolerance), F.lit(False)))
+
+
 def segment_sums(cube: DataFrame) -> DataFrame:
     """V4, V5: segments whose numerators do not add up to their one denominator."""
     seg = cube.where((F.col("grain") == "loan-period") & (F.col("dimension") != "portfolio") & ~F.col("dimension").endswith("_summary") & F.col("denominator").isNotNull() & (F.col("component").endswith("_count") | F.col("component").endswith("_upb")) & (F.col("contract_id") != "delinquency_threshold_rates"))
@@ -82,22 +94,31 @@ def thresholds_recomputed(cube: DataFrame, loans: DataFrame) -> DataFrame:
 
 
 def modification_recomputed(cube: DataFrame, loans: DataFrame) -> DataFrame:
-    """V10: modification rates that differ from a count over the loans."""
-    live = loans.where(is_active_loan())
+    """V10: modification rates by count and balance that differ from the loans, or months that lack one."""
     modified = F.trim(F.coalesce("modification_program", F.lit(""))) != ""
-    again = live.groupBy("report_period").agg(F.count(F.when(modified, 1)).cast("decimal(38,0)").alias("again"), F.count("*").cast("decimal(38,0)").alias("of"))
-    own = cube.where("component = 'modification_count_rate'").select("report_period", "numerator", "denominator")
-    return again.join(own, "report_period", "full").where("not (again <=> numerator and of <=> denominator)")
+    bases = F.array(*(F.struct(F.lit(f"modification_{b}_rate").alias("component"), w.cast("decimal(38,0)").alias("w")) for b, w in (("count", F.lit(1)), ("upb", F.col("current_upb_cents")))))
+    live = loans.where(is_active_loan()).select("report_period", modified.alias("modified"), F.explode(bases).alias("b"))
+    again = live.groupBy("report_period", "b.component").agg(F.coalesce(F.sum(F.when(F.col("modified"), F.col("b.w"))), F.lit(0)).cast("decimal(38,0)").alias("again"), F.sum("b.w").cast("decimal(38,0)").alias("of"))
+    own = cube.where("contract_id = 'modification_rate'").select("report_period", "component", "numerator", "denominator")
+    return again.join(own, ["report_period", "component"], "full").where("not (again <=> numerator and of <=> denominator)")
 
 
 def removal_recomputed(cube: DataFrame, facts: DataFrame, view: str) -> DataFrame:
-    """V11: removal shares by balance that differ from the facts, or lie at months without a month before."""
-    live = F.when(is_active_security(), F.col("current_upb_cents")).otherwise(0)
-    by = facts.groupBy(S.month_index(F.col("report_period")).alias("month"), "report_period").agg(F.sum(F.greatest(F.coalesce("involuntary_removal_upb_cents", F.lit(0)), F.lit(0))).cast("decimal(38,0)").alias("removed"), F.count(F.when(F.col("involuntary_removal_upb_cents").isNull(), 1)).alias("missing"), F.sum(live).cast("decimal(38,0)").alias("upb"))
-    prior = by.select((F.col("month") + 1).alias("month"), F.col("upb").alias("prior_upb"))
-    again = by.join(prior, "month").select("report_period", F.col("removed").alias("again"), F.when(F.col("missing") == 0, F.col("prior_upb")).alias("of"))
-    own = cube.where((F.col("component") == "involuntary_removal_upb_share") & (F.col("correction_view") == view)).select("report_period", "numerator", "denominator")
-    return again.join(own, "report_period", "full").where("not (again <=> numerator and of <=> denominator)")
+    """V11: removal shares by count and balance that differ from the facts, or lie at months without a month before.
+
+    A share has no denominator where the month's removals, or for counts the month before's loans, are not all known."""
+    live = is_active_security()
+    known = lambda c: F.greatest(F.coalesce(c, F.lit(0)), F.lit(0))
+    by = facts.groupBy(S.month_index(F.col("report_period")).alias("month"), "report_period").agg(
+        *(F.sum(known(f"involuntary_removal_{x}")).cast("decimal(38,0)").alias(f"removed_{b}") for b, x in (("count", "count"), ("upb", "upb_cents"))),
+        *(F.count(F.when(F.col(f"involuntary_removal_{x}").isNull(), 1)).alias(f"missing_{b}") for b, x in (("count", "count"), ("upb", "upb_cents"))),
+        F.sum(F.when(live, F.col("current_upb_cents")).otherwise(0)).cast("decimal(38,0)").alias("held_upb"), F.sum(F.when(live, known("loan_count")).otherwise(0)).cast("decimal(38,0)").alias("held_count"),
+        F.count(F.when(live & F.col("loan_count").isNull(), 1)).alias("unknown_count"), F.lit(0).alias("unknown_upb"),
+    )
+    prior = by.select((F.col("month") + 1).alias("month"), *(F.col(f"{h}_{b}").alias(f"prior_{h}_{b}") for h in ("held", "unknown") for b in ("count", "upb")))
+    both = by.join(prior, "month").select("report_period", F.explode(F.array(*(F.struct(F.lit(f"involuntary_removal_{b}_share").alias("component"), F.col(f"removed_{b}").alias("again"), F.when((F.col(f"missing_{b}") == 0) & (F.col(f"prior_unknown_{b}") == 0), F.col(f"prior_held_{b}")).alias("of")) for b in ("count", "upb")))).alias("r"))
+    own = cube.where((F.col("contract_id") == "involuntary_removal_share") & (F.col("correction_view") == view)).select("report_period", "component", "numerator", "denominator")
+    return both.select("report_period", "r.*").join(own, ["report_period", "component"], "full").where("not (again <=> numerator and of <=> denominator)")
 
 
 def transition_sums(cube: DataFrame) -> DataFrame:
@@ -107,17 +128,19 @@ def transition_sums(cube: DataFrame) -> DataFrame:
 
 
 def new_delinquency_matches(cube: DataFrame) -> DataFrame:
-    """V13: new delinquencies that differ from the transitions out of Current."""
-    rows = cube.where("component = 'transition_count' and member in ('Current to 30-59', 'Current to 60-89', 'Current to 90+')")
-    again = rows.groupBy("report_period", "correction_view").agg(F.sum("numerator").alias("again"))
-    own = cube.where("component = 'new_delinquency_count'").select("report_period", "correction_view", "numerator")
-    return own.join(again, ["report_period", "correction_view"], "left").where("numerator != coalesce(again, 0)")
+    """V13: new delinquencies by count and balance that differ from the transitions out of Current."""
+    rows = cube.where("component in ('transition_count', 'transition_upb') and member in ('Current to 30-59', 'Current to 60-89', 'Current to 90+')")
+    basis = F.substring_index("component", "_", -1)
+    again = rows.groupBy("report_period", "correction_view", basis.alias("basis")).agg(F.sum("numerator").alias("again"))
+    own = cube.where("component in ('new_delinquency_count', 'new_delinquency_upb')").select("report_period", "correction_view", basis.alias("basis"), "numerator")
+    return own.join(again, ["report_period", "correction_view", "basis"], "full").where("not (numerator <=> coalesce(again, 0))")
 
 
 def cohort_sums(cube: DataFrame) -> DataFrame:
-    """V14: cohorts whose seen and censored members are not all of them."""
-    pick = lambda c, x: F.max(F.when(F.col("component") == c, F.col(x)))
-    rows = cube.where("dimension = 'redefault_trigger'").groupBy("report_period", "correction_view", "member").agg(pick("trigger_cohort_count", "numerator").alias("total"), pick("redefault_count", "denominator").alias("seen"), pick("right_censored_count", "numerator").alias("cut"))
+    """V14: cohorts whose seen and censored members are not all of them, by count or balance."""
+    pick = lambda c, x: F.max(F.when(F.col("component").startswith(c), F.col(x)))
+    rows = cube.where("dimension = 'redefault_trigger'").groupBy("report_period", "correction_view", "member", F.substring_index("component", "_", -1).alias("basis"))
+    rows = rows.agg(pick("trigger_cohort_", "numerator").alias("total"), pick("redefault_", "denominator").alias("seen"), pick("right_censored_", "numerator").alias("cut"))
     return rows.where("not (total <=> seen + cut)")
 
 
@@ -128,8 +151,9 @@ def consolidation(whole: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def unreleased(cube: DataFrame) -> DataFrame:
-    """V16: rows not released, and rolling balances, which nobody approved."""
-    return cube.where(~F.col("released") | ((F.col("contract_id") == "rolling_issuance") & ~F.col("component").rlike("^rolling_(3|6|12)_(upb|count)$"))).select(*KEY)
+    """V16: rows that the catalog does not release, whatever their flag says, and rows flagged so."""
+    approved = F.col("contract_id").isin(*CONTRACTS) & ((F.col("contract_id") != "rolling_issuance") | F.col("component").rlike("^rolling_(3|6|12)_(upb|count)$"))
+    return cube.where(~F.col("released") | ~approved).select(*KEY)
 
 
 def snapshot(cube: DataFrame) -> DataFrame:

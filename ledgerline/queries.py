@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from . import schemas as C
 from .functions import scalars as S
 from .operators import fields, population
-from .plans import bindings, cube, cube_sql, transitions, verify
+from .plans import bindings, conformance, cube, cube_sql, transitions, verify
+from .sources import archives
+from .streaming import events as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,7 +64,7 @@ def metric(spark: SparkSession, sf_dir: str, contracts: tuple[str, ...] | None =
     if wants(*ISSUANCE_CONTRACTS):
         frames.append(cube.issuance(bindings.securities(spark, sf_dir), bindings.product_group(), contracts))
     if wants(*TRUST_CONTRACTS):
-        frames.append(cube.trust(manifests(spark, sf_dir), contracts))
+        frames.append(cube.trust(manifests(spark, sf_dir), contracts, issued(spark, sf_dir)))
     for name, (derive, needs) in DERIVED.items():
         if wants(name):
             frames.append(derive(cube.loan_base(bindings.loans(spark, sf_dir), needs)))
@@ -70,7 +72,7 @@ def metric(spark: SparkSession, sf_dir: str, contracts: tuple[str, ...] | None =
         book = cube.security_cube(views(spark, sf_dir)["latest"], "latest", ("current_outstanding_balance_population",))
         frames.append(cube.issuance_share(cube.union([cube.issuance(bindings.securities(spark, sf_dir), bindings.product_group(), ("issuance_volume",)), book])))
     if wants("delinquency_roll_cure", "new_delinquency_redefault"):
-        frames += [transitions.transition_cube(bindings.loans(spark, sf_dir), v, contracts) for v in C.VIEWS]
+        frames.append(transitions.transition_cube(bindings.loans(spark, sf_dir), contracts))
     if wants("join_coverage"):
         frames.append(cube.join_coverage(joined(spark, sf_dir).groupBy("join_reason").agg(F.count("*").alias("row_count"))))
     if wants("file_completeness"):
@@ -82,13 +84,13 @@ def metric(spark: SparkSession, sf_dir: str, contracts: tuple[str, ...] | None =
 
 
 def joined(spark, sf_dir) -> DataFrame:
-    """Loans against the securities of two families' worth of orders, so that every reason occurs."""
-    kept = bindings.securities(spark, sf_dir).where("source_id % 3 <> 0 or source_id % 5 = 0")
-    return population.join_reason(bindings.loans(spark, sf_dir).drop("join_reason"), kept)
+    """Loans against all securities under the ids that joins use, so that every reason occurs."""
+    securities = bindings.securities(spark, sf_dir).drop("security_id").withColumnRenamed("join_security_id", "security_id")
+    return population.join_reason(bindings.loans(spark, sf_dir).drop("join_reason"), securities)
 
 
 JOINED_SQL = (
-    f"WITH {bindings.SECURITY_CTE}, {bindings.LOAN_CTE}, kept AS (SELECT * FROM sec WHERE source_id % 3 <> 0 OR source_id % 5 = 0), "
+    f"WITH {bindings.SECURITY_CTE}, {bindings.LOAN_CTE}, kept AS (SELECT * EXCLUDE (security_id, join_security_id), join_security_id AS security_id FROM sec), "
     "j AS (SELECT loan.*, (SELECT count(*) FROM kept k WHERE k.report_period = loan.report_period AND k.security_id = loan.security_id) AS n, "
     "(SELECT count(*) FROM kept k WHERE k.report_period = loan.report_period AND k.security_id = loan.security_id AND k.security_status IN ('P', 'C', 'D')) AS ended, "
     "(SELECT max(report_period) FROM kept k WHERE k.security_id = loan.security_id) AS last FROM loan), "
@@ -103,14 +105,18 @@ def windows(spark) -> DataFrame:
 
 
 def completeness(spark, sf_dir) -> DataFrame:
-    received = bindings.securities(spark, sf_dir).where("source_id % 4 = 0").select(F.col("source_family").alias("family"), "report_period").distinct()
-    return population.completeness(windows(spark), received)
+    return population.completeness(windows(spark), received(spark, sf_dir))
+
+
+def received(spark, sf_dir) -> DataFrame:
+    """Families and months of which a package has come."""
+    return bindings.securities(spark, sf_dir).select(F.col("package_family").alias("family"), F.col("package_period").alias("report_period")).distinct()
 
 
 _WINDOW_VALUES = "(VALUES " + ", ".join(f"('{f}', '{v}', '{a}', '{b}')" for f, v, a, b in WINDOWS) + ") AS w(family, schema_version, period_min, period_max)"
 COMPLETENESS_SQL = (
     f"WITH {bindings.SECURITY_CTE}, e AS (SELECT DISTINCT family, strftime(m, '%Y-%m') AS report_period FROM (SELECT family, unnest(generate_series(CAST(period_min || '-01' AS TIMESTAMP), CAST(period_max || '-01' AS TIMESTAMP), INTERVAL 1 MONTH)) AS m FROM {_WINDOW_VALUES})), "
-    "g AS (SELECT DISTINCT source_family AS family, report_period FROM sec WHERE source_id % 4 = 0), "
+    "g AS (SELECT DISTINCT package_family AS family, package_period AS report_period FROM sec), "
     "x AS (SELECT e.family, e.report_period, CASE WHEN g.family IS NULL THEN 0 ELSE 1 END AS n FROM e LEFT JOIN g USING (family, report_period))"
 )
 
@@ -119,6 +125,11 @@ def disposed(spark, sf_dir) -> DataFrame:
     return population.dispositions(bindings.issuance(spark, sf_dir), ["report_month", "security_id"], [F.col("source_file"), F.col("source_row")])
 
 
+def issued(spark, sf_dir) -> DataFrame:
+    """Manifests of the issuance files, one for each month."""
+    return population.manifest(disposed(spark, sf_dir), ["source_file"]).withColumn("report_period", F.substring("source_file", 4, 7))
+
+
 DISPOSED_SQL = (
     f"WITH {bindings.ISSUANCE_CTE}, a AS (SELECT *, CASE WHEN issuance_upb IS NULL AND current_upb IS NULL AND security_factor IS NULL AND security_status = 'C' THEN 'excluded' END AS x, "
     "CASE WHEN issuance_upb IS NULL AND current_upb IS NULL AND security_factor IS NULL AND security_status = 'C' THEN 'status-C security without balances' "
@@ -131,6 +142,11 @@ DISPOSED_SQL = (
     "dis AS (SELECT *, CASE WHEN d <> 'valid' THEN d WHEN k > 1 THEN 'duplicate' ELSE 'accepted' END AS disposition, CASE WHEN d = 'valid' AND k > 1 THEN 'duplicate key' ELSE why END AS reason FROM c)"
 )
 
+MANIFEST_SQL = (
+    "SELECT *, rejected_count + duplicate_count AS quarantined_count, CASE WHEN rejected_count + duplicate_count > 0 THEN 'fail' ELSE 'pass' END AS quality_status, CASE WHEN rejected_count + duplicate_count > 0 THEN 0 ELSE accepted_count END AS published_count FROM "
+    "(SELECT source_file, count(*) AS input_count, " + ", ".join(f"count(CASE WHEN disposition = '{d}' THEN 1 END) AS {d}_count" for d in ("accepted", "excluded", "rejected", "duplicate")) + " FROM dis GROUP BY 1)"
+)
+
 RULES = {
     "code": {"target": "code", "type": "enum", "valid_values": ["A", "N"], "nullable": False, "sentinels": [("R", "not_available")]},
     "amount": {"target": "amount", "type": "decimal", "scale": 1, "max_length": 8, "range": {"min": 1000, "max": 90000, "out_of_range_action": "not_available"}},
@@ -154,11 +170,11 @@ def field_rules(spark, sf_dir) -> DataFrame:
 FIELD_RULES_SQL = """
 WITH a AS (SELECT l_returnflag AS code, CAST(CAST(l_extendedprice AS DECIMAL(20,2)) AS VARCHAR) AS amount, CAST(l_linenumber AS VARCHAR) AS size, strftime(l_shipdate, '%m%d%Y') AS ship,
   CASE WHEN l_suppkey % 3 = 0 THEN '' ELSE l_linestatus END AS cls, l_suppkey % 7 = 0 AS modified, l_partkey % 50 = 0 AS deleted FROM lineitem),
-b AS (SELECT CASE WHEN code = 'R' THEN 'A' WHEN code IN ('A', 'N') THEN 'V' ELSE '?' END AS s1, CASE WHEN code NOT IN ('R', 'A', 'N') THEN 'code has an unknown code' END AS e1,
+b AS (SELECT CASE WHEN code = 'R' THEN 'N' WHEN code IN ('A', 'N') THEN 'V' ELSE '?' END AS s1, CASE WHEN code NOT IN ('R', 'A', 'N') THEN 'code has an unknown code' END AS e1,
   CASE WHEN length(amount) > 8 THEN '?' WHEN length(split_part(amount, '.', 2)) > 1 THEN '?' ELSE 'V' END AS s2, CASE WHEN length(amount) > 8 THEN 'amount exceeds max length' WHEN length(split_part(amount, '.', 2)) > 1 THEN 'amount exceeds approved scale' END AS e2,
   CASE WHEN size = '5' THEN '0' WHEN CAST(size AS INT) BETWEEN 1 AND 6 THEN 'V' ELSE '?' END AS s3, CASE WHEN size <> '5' AND CAST(size AS INT) NOT BETWEEN 1 AND 6 THEN 'size is outside its approved range' END AS e3,
   CASE WHEN substr(ship, 3, 2) = '01' THEN 'V' ELSE '?' END AS s4, CASE WHEN substr(ship, 3, 2) <> '01' THEN 'ship has an invalid provider-defaulted day' END AS e4,
-  CASE WHEN deleted THEN '?' WHEN modified AND cls <> '' THEN '?' WHEN modified THEN 'N' WHEN cls = '' THEN '0' ELSE 'V' END AS s5,
+  CASE WHEN deleted THEN '?' WHEN modified AND cls <> '' THEN '?' WHEN modified THEN 'A' WHEN cls = '' THEN '0' ELSE 'V' END AS s5,
   CASE WHEN deleted THEN 'class has invalid correction context' WHEN modified AND cls <> '' THEN 'class is populated outside its applicable row class' END AS e5 FROM a)
 SELECT s1 || s2 || s3 || s4 || s5 AS statuses, concat_ws('; ', e1, e2, e3, e4, e5) AS errors, count(*) AS rows FROM b GROUP BY 1, 2
 """
@@ -324,22 +340,20 @@ def latest_log(spark, sf_dir) -> DataFrame:
 LATEST_LOG_SQL = "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events WHERE event_type IN ('click', 'error')) WHERE k = 1"
 
 
-def leak_scan(spark, sf_dir, sampled: bool = True) -> DataFrame:
-    """Files that contain a token of a customer; ``sampled``: of each hundredth customer, as in its SQL."""
-    tokens = table(spark, sf_dir, "customer").where("c_custkey % 100 = 0" if sampled else "true").select(F.regexp_extract("c_name", "([0-9]+)", 1).alias("token"))
+def leak_scan(spark, sf_dir) -> DataFrame:
+    """Files that contain a token of a customer."""
+    tokens = table(spark, sf_dir, "customer").select(F.regexp_extract("c_name", "([0-9]+)", 1).alias("token"))
     files = table(spark, sf_dir, "supplier").select(F.concat(F.lit("file-"), F.col("s_suppkey").cast("string")).alias("path"), F.col("s_name").alias("value"))
     return verify.leaked(tokens, files.withColumn("value", F.translate("value", "#", " ")))
 
 
-LEAK_SQL = "WITH t AS (SELECT DISTINCT regexp_extract(c_name, '([0-9]+)', 1) AS token FROM customer WHERE c_custkey % 100 = 0) SELECT 'file-' || CAST(s_suppkey AS VARCHAR) AS path, token FROM supplier JOIN t ON regexp_extract(s_name, '([0-9]+)', 1) = token"
-
-LEAK_ALL_SQL = "WITH t AS (SELECT DISTINCT regexp_extract(c_name, '([0-9]+)', 1) AS token FROM customer) SELECT 'file-' || CAST(s_suppkey AS VARCHAR) AS path, token FROM supplier JOIN t ON length(token) >= 5 AND contains(translate(s_name, '#', ' '), token)"
+LEAK_SQL = "WITH t AS (SELECT DISTINCT regexp_extract(c_name, '([0-9]+)', 1) AS token FROM customer) SELECT 'file-' || CAST(s_suppkey AS VARCHAR) AS path, token FROM supplier JOIN t ON length(token) >= 5 AND contains(translate(s_name, '#', ' '), token)"
 
 
 def set_difference(spark, sf_dir) -> DataFrame:
     """Expected months without a package, and packages outside the expected months."""
     expected = population.month_spine(windows(spark))
-    got = bindings.securities(spark, sf_dir).where("source_id % 4 = 0").select(F.col("source_family").alias("family"), "report_period").distinct()
+    got = received(spark, sf_dir)
     absent = expected.join(got, ["family", "report_period"], "left_anti").withColumn("problem", F.lit("absent"))
     return absent.unionByName(got.join(expected, ["family", "report_period"], "left_anti").withColumn("problem", F.lit("unexpected")))
 
@@ -360,15 +374,6 @@ printf('%.2f%%', CAST(p_size AS DOUBLE) / 50 * 100) AS share_text, CASE WHEN p_p
 
 
 def series(spark, sf_dir) -> DataFrame:
-    """Payload series of seven measures, those of its SQL; ``series_complete`` has all."""
-    rows = metric(spark, sf_dir, ("current_outstanding_balance_population", "loan_balance_distribution", "delinquency_threshold_rates"))
-    from .plans.payload import MEASURES, series as pivoted
-
-    seven = {m: k for m, k in MEASURES.items() if m not in ("60_plus_count", "modification_count_rate", "loan_correction_count")}
-    return pivoted(rows, "latest", seven, tuple(seven))
-
-
-def series_complete(spark, sf_dir) -> DataFrame:
     """Payload series: months in which all eight required measures exist, one column for each measure."""
     from .plans.payload import CONTRACTS, series as pivoted
 
@@ -376,12 +381,6 @@ def series_complete(spark, sf_dir) -> DataFrame:
 
 
 SERIES_SQL = (
-    "WITH " + ", ".join([bindings.SECURITY_CTE, bindings.LOAN_CTE, cube_sql._LOAN_ACTIVE, cube_sql._VIEWS])
-    + f", l AS (SELECT report_period, count(*) AS n, sum(current_upb_cents) AS u, round(CAST(count(CASE WHEN days_delinquent >= 30 THEN 1 END) AS DOUBLE) / count(days_delinquent), 10) AS d30, round(CAST(count(CASE WHEN days_delinquent >= 90 THEN 1 END) AS DOUBLE) / count(days_delinquent), 10) AS d90 FROM act GROUP BY 1), s AS (SELECT report_period, count(CASE WHEN {cube_sql._ACTIVE_SEC} THEN 1 END) AS n, sum(CASE WHEN {cube_sql._ACTIVE_SEC} THEN current_upb_cents ELSE 0 END) AS u FROM late GROUP BY 1) "
-    "SELECT report_period, CAST(l.n AS DOUBLE) AS loan_count, round(l.u / 100.0, 2) AS loan_upb, round(CAST(l.u AS DOUBLE) / l.n / 100, 6) AS average_current_loan_balance, CAST(s.n AS DOUBLE) AS security_count, round(s.u / 100.0, 2) AS security_upb, d30 AS \"30_plus_count\", d90 AS \"90_plus_count\" FROM l JOIN s USING (report_period)"
-)
-
-SERIES_COMPLETE_SQL = (
     "WITH " + ", ".join([bindings.SECURITY_CTE, bindings.LOAN_CTE, cube_sql._LOAN_ACTIVE, cube_sql._VIEWS])
     + ", l AS (SELECT report_period, count(*) AS n, sum(current_upb_cents) AS u, " + ", ".join(f"round(CAST(count(CASE WHEN days_delinquent >= {d} THEN 1 END) AS DOUBLE) / nullif(count(days_delinquent), 0), 10) AS d{d}" for d in (30, 60, 90))
     + ", round(CAST(count(CASE WHEN trim(coalesce(modification_program, '')) <> '' THEN 1 END) AS DOUBLE) / count(*), 10) AS m FROM act GROUP BY 1), "
@@ -431,12 +430,9 @@ SELECT file, record_type, CAST(width AS INT) AS width, count(*) AS rows FROM l G
 def family_match(spark, sf_dir) -> DataFrame:
     """Families and months from file names, and why a name is not taken."""
     names = table(spark, sf_dir, "orders").select(F.concat(F.when(F.col("o_orderkey") % 5 == 0, "XX").when(F.col("o_orderkey") % 2 == 0, "IS").otherwise("LL"), F.lit("_"), F.date_format("o_orderdate", "yyyyMM"), F.when(F.col("o_orderkey") % 9 == 0, ".txt").otherwise(".zip")).alias("file")).distinct()
-    families = {"issuance": r"^IS_((?:19|20)\d{2})(0[1-9]|1[0-2])\.zip$", "loans": r"^LL_((?:19|20)\d{2})(0[1-9]|1[0-2])\.zip$"}
-    family, period = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name, pattern in families.items():
-        family = F.when(F.col("file").rlike(pattern), name).otherwise(family)
-        period = F.when(F.col("file").rlike(pattern), F.concat(F.regexp_extract("file", pattern, 1), F.lit("-"), F.regexp_extract("file", pattern, 2))).otherwise(period)
-    return names.select("file", family.alias("family"), period.alias("report_period"), F.when(family.isNull(), "no family matches").alias("blocker"))
+    families = [{"id": i, "pattern": rf"^{p}_(?P<year>(?:19|20)\d{{2}})(?P<month>0[1-9]|1[0-2])\.zip$"} for i, p in (("issuance", "IS"), ("loans", "LL"))]
+    found = archives.matched(names, families)
+    return found.select("file", "family", "report_period", F.when(F.col("matches") == 0, "no family matches").alias("blocker"))
 
 
 FAMILY_SQL = """WITH n AS (SELECT DISTINCT CASE WHEN o_orderkey % 5 = 0 THEN 'XX' WHEN o_orderkey % 2 = 0 THEN 'IS' ELSE 'LL' END || '_' || strftime(o_orderdate, '%Y%m') || CASE WHEN o_orderkey % 9 = 0 THEN '.txt' ELSE '.zip' END AS file FROM orders),
@@ -487,24 +483,66 @@ FINGERPRINT_SQL = f"SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(md5(co
 
 def event_windows(spark, sf_dir) -> DataFrame:
     """The streaming windows, over the whole table as a batch."""
-    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    out = e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum(F.col("value").cast("decimal(20,4)")).cast("double"), 4).alias("total"))
-    return out.select(F.date_format("w.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", "total")
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("value", F.col("value").cast("decimal(20,4)"))
+    out = streams.windowed(e, "1 hour", "1 hour")
+    return out.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", F.round(F.col("total").cast("double"), 4).alias("total"))
 
 
 EVENT_WINDOWS_SQL = "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, round(CAST(sum(CAST(value AS DECIMAL(20,4))) AS DOUBLE), 4) AS total FROM events GROUP BY 1, 2"
 
 
 def event_sessions(spark, sf_dir) -> DataFrame:
-    """Sessions of each user, cut at half an hour without events."""
-    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    out = e.groupBy(F.session_window("ts", "30 minutes").alias("s"), "user_id").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
-    return out.select("user_id", "n", "first_event")
+    """The streaming sessions of each user, cut at half an hour without events, as a batch."""
+    return streams.sessions(table(spark, sf_dir, "events"), "30 minutes").select("user_id", "n", "first_event")
 
 
 EVENT_SESSIONS_SQL = "WITH a AS (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS cut FROM events), b AS (SELECT *, sum(cut) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM a) SELECT user_id, count(*) AS n, min(event_id) AS first_event FROM b GROUP BY user_id, s"
 
 
+# ---- conformance from archive lines
+
+
+def conformed(spark, sf_dir) -> conformance.Conformed:
+    def keep(frame: DataFrame) -> DataFrame:
+        folder = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        return archives.stored(frame, f"{folder}/conformance") if folder else frame.persist()
+
+    lines, contract = keep(bindings.archive_lines(spark, sf_dir)), bindings.archive_contract()
+    return conformance.conform(lines, keep(archives.inventory(lines, contract)), bindings.ARCHIVE_ALIASES, keep=keep)
+
+
+def conformed_securities(spark, sf_dir) -> DataFrame:
+    return conformed(spark, sf_dir).securities.select("report_period", "security_id", "prefix", "security_status", "correction_indicator", "factor_e8", "current_upb_cents", "issue_date", "green_indicator", "v2_field_statuses", "publication_date", "source_file")
+
+
+def conformed_loans(spark, sf_dir) -> DataFrame:
+    return conformed(spark, sf_dir).loans.select("report_period", "loan_id", "security_id", "correction_indicator", "current_upb_cents", "days_delinquent", "join_reason", "as_of_timestamp")
+
+
+#: Rows of both kinds of archives with the reason that rejects them, then the first of each key.
+CONFORMED_CTE = f"""
+{bindings.SECURITY_LINES_CTE}, {bindings.LOAN_LINES_CTE},
+se AS (SELECT *, '20' || substr(file, 3, 2) || '-' || substr(file, 5, 2) AS period, CASE WHEN trim("Security Identifier") = '' THEN 'security business key is incomplete' WHEN "Security Factor Date" = '131999' THEN 'Security Factor Date is not MMCCYY'
+  WHEN "Security Data Correction Indicator" = '?' THEN 'Security Data Correction Indicator is invalid' WHEN "Security Factor" = 'x' THEN 'Security Factor is not a valid decimal' WHEN "Issue Date" = '01022025' THEN 'issue_date has an invalid provider-defaulted day' END AS error FROM fd),
+sd AS (SELECT *, CASE WHEN error IS NOT NULL THEN 'rejected' WHEN row_number() OVER (PARTITION BY period, "Security Identifier", error IS NULL ORDER BY row_key) > 1 THEN 'duplicate' ELSE 'accepted' END AS disposition FROM se),
+le AS (SELECT *, '20' || substr(file, 3, 2) || '-' || substr(file, 5, 2) AS period, CASE WHEN "Loan Correction Indicator" = 'Z' THEN 'Loan Correction Indicator is invalid' END AS error FROM fu),
+ld AS (SELECT *, CASE WHEN error IS NOT NULL THEN 'rejected' WHEN row_number() OVER (PARTITION BY period, "Loan Identifier", "Security Identifier", error IS NULL ORDER BY row_key) > 1 THEN 'duplicate' ELSE 'accepted' END AS disposition FROM le),
+al AS (SELECT file, period, 'monthly-security-core-1' AS family, disposition, 'SECURITY' AS kind, error FROM sd UNION ALL SELECT file, period, 'monthly-loan-level-1', disposition, 'LOAN', error FROM ld),
+cm AS (SELECT *, rejected_count + duplicate_count AS quarantined_count, CASE WHEN rejected_count + duplicate_count > 0 THEN 'fail' ELSE 'pass' END AS quality_status, CASE WHEN rejected_count + duplicate_count > 0 THEN 0 ELSE accepted_count END AS published_count FROM
+  (SELECT file || '.zip' AS source_file, family AS source_family, period AS report_period, count(*) AS input_count, count(CASE WHEN disposition = 'accepted' THEN 1 END) AS accepted_count, CAST(0 AS BIGINT) AS excluded_count, count(CASE WHEN disposition = 'rejected' THEN 1 END) AS rejected_count, count(CASE WHEN disposition = 'duplicate' THEN 1 END) AS duplicate_count FROM al GROUP BY 1, 2, 3)),
+ps AS (SELECT sd.* FROM sd JOIN cm ON sd.file || '.zip' = source_file WHERE quality_status = 'pass'), pl AS (SELECT ld.* FROM ld JOIN cm ON ld.file || '.zip' = source_file WHERE quality_status = 'pass'),
+lp AS (SELECT "Security Identifier" AS sid, max(period) AS last FROM ps GROUP BY 1), m AS (SELECT "Security Identifier" AS sid, period, count(*) AS n, max(CASE WHEN "Security Status Indicator" = 'P' THEN 1 ELSE 0 END) AS ended FROM ps GROUP BY 1, 2),
+jl AS (SELECT pl.*, CASE WHEN "Loan Correction Indicator" = 'D' OR ended = 1 THEN 'terminated' WHEN "Security Identifier" = '' THEN 'ineligible' WHEN n > 1 THEN 'ambiguous' WHEN n = 1 THEN 'matched' WHEN last > pl.period THEN 'late' ELSE 'unmatched' END AS join_reason
+  FROM pl LEFT JOIN m ON m.sid = "Security Identifier" AND m.period = pl.period LEFT JOIN lp ON lp.sid = "Security Identifier")
+"""
+CONFORMED_SECURITIES_SQL = f"""WITH {CONFORMED_CTE} SELECT period AS report_period, "Security Identifier" AS security_id, "Prefix" AS prefix, "Security Status Indicator" AS security_status, "Security Data Correction Indicator" AS correction_indicator,
+CAST(CASE WHEN "Security Factor" = '.5' THEN 50000000 END AS BIGINT) AS factor_e8, CAST(row_key * 100 + 25 AS BIGINT) AS current_upb_cents, CASE WHEN "Issue Date" = '01012025' THEN '2025-01-01' END AS issue_date, CASE WHEN "Green Indicator" = 'Y' THEN 'Y' END AS green_indicator,
+CASE WHEN "Issue Date" = '' THEN '0' ELSE 'V' END || '000' || CASE WHEN "Prefix" = '1A' THEN 'A' ELSE '0' END || CASE WHEN "Prefix" = 'MA' THEN 'AA' ELSE '00' END || '0' || CASE WHEN "Prefix" = 'MA' THEN '0' ELSE 'A' END || '00' || CASE "Green Indicator" WHEN 'Y' THEN 'V' WHEN '9' THEN 'N' ELSE '0' END || '00' AS v2_field_statuses,
+'20' || substr(file, 3, 2) || '-' || substr(file, 5, 2) || '-07' AS publication_date, file || '.zip' AS source_file FROM ps"""
+CONFORMED_LOANS_SQL = f"""WITH {CONFORMED_CTE} SELECT period AS report_period, "Loan Identifier" AS loan_id, nullif("Security Identifier", '') AS security_id, "Loan Correction Indicator" AS correction_indicator, CAST("Current Investor Loan UPB" AS BIGINT) * 100 AS current_upb_cents,
+CAST(nullif("Days Delinquent", '') AS BIGINT) AS days_delinquent, join_reason, period || '-07T23:59:59Z' AS as_of_timestamp FROM jl"""
+
+
 def _check(of: Callable[[SparkSession, str], DataFrame]) -> Query:
     """Counts the rows that break an invariant."""
     return lambda s, d: of(s, d).agg(F.count("*").alias("broken"))
@@ -518,29 +556,44 @@ def _whole_and_parts(spark, sf_dir) -> DataFrame:
     return verify.consolidation(cube.loan_partials(loans, ("report_period",)), cube.consolidated(cube.loan_partials(loans)))
 
 
+def _mix_reconciles(spark, sf_dir) -> DataFrame:
+    by = mix(spark, sf_dir).select("month", "security_count", F.col("issuance_cents").alias("issuance"), F.col("issuance_share").alias("share"))
+    months = bindings.securities(spark, sf_dir).groupBy(F.col("report_period").alias("month")).agg(F.count("*").alias("security_count"), F.sum("issuance_cents").alias("issuance"))
+    return verify.mix_reconciles(by, months)
+
+
 def checks() -> dict[str, Query]:
+    """Counts of what breaks each invariant. Checks of single contracts build these; the others build the whole cube."""
     m = metric
     loans = bindings.loans
+
+    def removal(s, d):
+        rows = m(s, d, ("involuntary_removal_share",))
+        return cube.union(verify.removal_recomputed(rows, f, v) for v, f in views(s, d).items())
+
     return {
-        "v01_contract_set": _check(lambda s, d: verify.contract_set(m(s, d, ("ltv_metrics", "dti_metric", "rolling_issuance")), ("ltv_metrics", "dti_metric", "rolling_issuance"))),
+        "v01_contract_set": _check(lambda s, d: verify.contract_set(m(s, d))),
         "v02_partition_bridge": _check(lambda s, d: verify.partition_bridge(cube.loan_partials(loans(s, d)), loans(s, d).groupBy("source_file", "report_period").agg(F.count("*").alias("rows")))),
         "v03_view_coverage": _check(lambda s, d: verify.view_coverage(m(s, d, ("current_outstanding_balance_population",)), bindings.securities(s, d).where("quality_status = 'pass'").select("report_period"))),
-        "v04_segment_sums": _check(lambda s, d: verify.segment_sums(m(s, d, ("state_composition", "loan_property_composition", "delinquency_distribution")))),
+        "v03_schema_coverage": _check(lambda s, d: verify.schema_coverage(m(s, d, ("schema_transition_status",)), manifests(s, d))),
+        "v04_segment_sums": _check(lambda s, d: verify.segment_sums(m(s, d, LOAN_CONTRACTS))),
         "v05_score_sums": _check(lambda s, d: verify.segment_sums(m(s, d, ("credit_score_model_metrics", "guarantee_mi_share")))),
         "v06_summaries": _check(lambda s, d: verify.summaries(m(s, d, ("state_composition", "counterparty_composition")))),
         "v07_hhi": _check(lambda s, d: verify.hhi_recomputed(m(s, d, ("state_composition", "counterparty_composition", "hhi_concentration")))),
-        "v08_weighted": _check(lambda s, d: verify.weighted_recomputed(m(s, d, ("weighted_rates", "weighted_age_maturity", "ltv_metrics", "factor_level_change")))),
+        "v08_weighted": _check(lambda s, d: verify.weighted_recomputed(m(s, d))),
         "v09_thresholds": _check(lambda s, d: verify.thresholds_recomputed(m(s, d, ("delinquency_threshold_rates",)), loans(s, d))),
         "v10_modification": _check(lambda s, d: verify.modification_recomputed(m(s, d, ("modification_rate",)), loans(s, d))),
-        "v11_removal": _check(lambda s, d: verify.removal_recomputed(m(s, d, ("involuntary_removal_share",)), views(s, d)["latest"], "latest")),
+        "v11_removal": _check(removal),
         "v12_transition_sums": _check(lambda s, d: verify.transition_sums(m(s, d, ("delinquency_roll_cure",)))),
         "v13_new_delinquency": _check(lambda s, d: verify.new_delinquency_matches(m(s, d, ("delinquency_roll_cure", "new_delinquency_redefault")))),
         "v14_cohort_sums": _check(lambda s, d: verify.cohort_sums(m(s, d, ("new_delinquency_redefault",)))),
         "v15_consolidation": _check(_whole_and_parts),
-        "v16_unreleased": _check(lambda s, d: verify.unreleased(m(s, d, ("rolling_issuance", "period_change")))),
-        "v18_manifests": _check(lambda s, d: population.unreconciled(manifests(s, d))),
-        "v19_blank_members": _check(lambda s, d: verify.missing_known(m(s, d, ("state_composition", "counterparty_composition", "loan_property_composition")))),
-        "v21_repeated_keys": _check(lambda s, d: cube.repeated_keys(m(s, d, ("credit_score_model_metrics", "security_size_distribution")))),
+        "v16_unreleased": _check(lambda s, d: verify.unreleased(m(s, d))),
+        "v18_manifests": _check(lambda s, d: population.unreconciled(manifests(s, d).drop("schema_version").unionByName(issued(s, d).drop("source_file").withColumn("source_family", F.lit("issuance"))))),
+        "v18_join_totals": _check(lambda s, d: verify.join_totals(population.join_counts(joined(s, d)), loans(s, d))),
+        "v19_blank_members": _check(lambda s, d: verify.missing_known(m(s, d))),
+        "v19_mix_reconciles": _check(_mix_reconciles),
+        "v21_repeated_keys": _check(lambda s, d: cube.repeated_keys(m(s, d))),
     }
 
 
@@ -570,9 +623,9 @@ def queries() -> dict[str, Query]:
         "audit_latest": audit,
         "log_latest": latest_log,
         "leak_scan": leak_scan,
-        "leak_scan_all": lambda s, d: leak_scan(s, d, sampled=False),
+        "leak_scan_all": leak_scan,
         "payload_series": series,
-        "payload_series_complete": series_complete,
+        "payload_series_complete": series,
         "payload_concentration": concentration,
         "payload_findings": findings,
         "record_profile": lambda s, d: population.profile(raw_lines(s, d)),
@@ -581,6 +634,11 @@ def queries() -> dict[str, Query]:
         "stale_sources": stale_sources,
         "constant_columns": constant_columns,
         "cube_fingerprint": fingerprint,
+        "conformed_securities": conformed_securities,
+        "conformed_loans": conformed_loans,
+        "conformance_manifest": lambda s, d: conformed(s, d).manifest.select("source_file", "source_family", "report_period", *(f"{n}_count" for n in C.DISPOSITIONS), "quality_status"),
+        "conformance_issues": lambda s, d: conformed(s, d).issues.groupBy("code", "detail").agg(F.count("*").alias("rows")),
+        "conformance_joins": lambda s, d: conformed(s, d).join_counts,
         "event_windows": event_windows,
         "event_sessions": event_sessions,
     }
@@ -594,9 +652,7 @@ def oracle_sql() -> dict[str, str]:
         "issuance_monthly": MONTHLY_SQL,
         "issuance_mix": MIX_SQL,
         "row_dispositions": DISPOSED_SQL + " SELECT disposition, reason, count(*) AS rows FROM dis GROUP BY 1, 2",
-        "source_manifest": DISPOSED_SQL
-        + ", m AS (SELECT source_file, count(*) AS input_count, count(CASE WHEN disposition = 'accepted' THEN 1 END) AS accepted_count, count(CASE WHEN disposition = 'excluded' THEN 1 END) AS excluded_count, count(CASE WHEN disposition = 'rejected' THEN 1 END) AS rejected_count, count(CASE WHEN disposition = 'duplicate' THEN 1 END) AS duplicate_count FROM dis GROUP BY 1) "
-        "SELECT *, rejected_count + duplicate_count AS quarantined_count, CASE WHEN rejected_count + duplicate_count > 0 THEN 'fail' ELSE 'pass' END AS quality_status, CASE WHEN rejected_count + duplicate_count > 0 THEN 0 ELSE accepted_count END AS published_count FROM m",
+        "source_manifest": f"{DISPOSED_SQL} {MANIFEST_SQL}",
         "duplicate_keys": DUPLICATES_SQL,
         "field_rules": FIELD_RULES_SQL,
         "scalar_parsing": PARSING_SQL,
@@ -617,9 +673,9 @@ def oracle_sql() -> dict[str, str]:
         "audit_latest": "SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 50",
         "log_latest": LATEST_LOG_SQL,
         "leak_scan": LEAK_SQL,
-        "leak_scan_all": LEAK_ALL_SQL,
+        "leak_scan_all": LEAK_SQL,
         "payload_series": SERIES_SQL,
-        "payload_series_complete": SERIES_COMPLETE_SQL,
+        "payload_series_complete": SERIES_SQL,
         "payload_concentration": CONCENTRATION_SQL,
         "payload_findings": FINDINGS_SQL,
         "record_profile": PROFILE_SQL,
@@ -628,6 +684,11 @@ def oracle_sql() -> dict[str, str]:
         "stale_sources": STALE_SQL,
         "constant_columns": CONSTANT_SQL,
         "cube_fingerprint": FINGERPRINT_SQL,
+        "conformed_securities": CONFORMED_SECURITIES_SQL,
+        "conformed_loans": CONFORMED_LOANS_SQL,
+        "conformance_manifest": f"WITH {CONFORMED_CTE} SELECT source_file, source_family, report_period, " + ", ".join(f"{n}_count" for n in C.DISPOSITIONS) + ", quality_status FROM cm",
+        "conformance_issues": f"WITH {CONFORMED_CTE} SELECT CASE WHEN error IS NULL THEN 'DUPLICATE_KEY' ELSE 'INVALID_' || kind || '_ROW' END AS code, coalesce(error, 'duplicate key') AS detail, count(*) AS rows FROM al WHERE disposition <> 'accepted' GROUP BY 1, 2",
+        "conformance_joins": f"WITH {CONFORMED_CTE} SELECT period AS report_period, 'monthly-loan-level-1' AS source_family, join_reason, count(*) AS row_count FROM jl GROUP BY 1, 3",
         "event_windows": EVENT_WINDOWS_SQL,
         "event_sessions": EVENT_SESSIONS_SQL,
     }
@@ -637,6 +698,10 @@ def oracle_sql() -> dict[str, str]:
         elif contract == "join_coverage":
             row = cube_sql._row(contract, "x", "n", "sum(n) OVER ()", "n", "(SELECT 'all' AS report_period, join_reason, count(*) AS n FROM jr GROUP BY 2)", dim="join_reason", member="join_reason").replace("'x' AS component", "join_reason AS component")
             out[f"metric_{contract}"] = cube_sql.shaped(row, JOINED_SQL.removeprefix("WITH "))
+        elif contract == "source_population_accounting":
+            own = f"(SELECT substr(source_file, 4, 7) AS report_period, * FROM ({MANIFEST_SQL}))"
+            rows = cube_sql._trust(contract) + [cube_sql._row(contract, f"{d}_count", f"{d}_count", "NULL", "input_count", own, grain="source", dim="source_family", member="'issuance'") for d in C.DISPOSITIONS]
+            out[f"metric_{contract}"] = cube_sql.shaped(" UNION ALL ".join(rows), ", ".join([bindings.SECURITY_CTE, cube_sql._MANIFEST, DISPOSED_SQL.removeprefix("WITH ")]))
         elif contract == "file_completeness":
             row = cube_sql._row(contract, "required_package", "n", "1", "n", "x", grain="source", dim="source_family", member="family")
             out[f"metric_{contract}"] = cube_sql.shaped(row, COMPLETENESS_SQL.removeprefix("WITH "))

@@ -4,17 +4,29 @@ from __future__ import annotations
 
 WIDE = "decimal(38,0)"
 
-#: The tall cube that every metric ends in; the first seven columns are its key.
+#: The tall cube that every metric ends in; the first seven columns are its key.
 KEY = ("contract_id", "component", "report_period", "correction_view", "grain", "dimension", "member")
 COMPONENT = (*KEY, "numerator", "denominator", "observations", "value", "released")
 
+#: Fixed values.
 DISPOSITIONS = ("input", "accepted", "excluded", "rejected", "duplicate", "quarantined", "published")
 
+#: The ids of the contracts that the catalog releases.
+CONTRACTS = (
+    "source_population_accounting", "source_disposition_rates", "schema_transition_status", "join_coverage", "file_completeness", "issuance_volume", "security_size_distribution",
+    "issuance_product_mix", "period_change", "rolling_issuance", "current_outstanding_balance_population", "loan_balance_distribution", "correction_restatement_volume", "deferred_upb_share",
+    "weighted_age_maturity", "weighted_rates", "ltv_metrics", "dti_metric", "credit_score_model_metrics", "delinquency_distribution", "state_composition", "counterparty_composition",
+    "modification_volume", "guarantee_mi_share", "first_time_homebuyer_share", "loan_property_composition", "assistance_resolution_share", "green_social_eligibility", "mission_metrics",
+    "factor_level_change", "involuntary_removal_volume", "involuntary_removal_share", "new_issuance_share_ending_book", "hhi_concentration", "delinquency_threshold_rates", "modification_rate",
+    "delinquency_roll_cure", "new_delinquency_redefault",
+)
+
+#: Fixed values, as are the names above.
 MISSING = "Missing"
 VIEWS = ("original", "latest")
 
 #: Attributes averaged with balances as weights, and the contract that each belongs to.
-LOAN_SCORES = ("original_legacy_credit_score", "original_classic_fico", "original_vs4", "updated_legacy_credit_score", "updated_classic_fico", "updated_vs4")
+LOAN_SCORES = ("legacy_credit_score", "classic_fico", "vs4", "updated_legacy_credit_score", "updated_classic_fico", "updated_vs4")
 LOAN_RATES = ("original_interest_rate_milli_pct", "issuance_interest_rate_milli_pct", "current_interest_rate_milli_pct", "issuance_net_interest_rate_milli_pct", "current_net_interest_rate_milli_pct")
 LOAN_RATIOS = {"ltv_pct": "ltv_metrics", "cltv_pct": "ltv_metrics", "eltv_pct": "ltv_metrics", "dti_pct": "dti_metric"}
 SECURITY_RATES = ("wa_net_interest_rate_milli_pct", "wa_issuance_interest_rate_milli_pct", "wa_current_interest_rate_milli_pct")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATE = "start_month int, last_month int, status string"
-OUTCOME = "key string, start_month int, status string"
+STATE = "last_month int, open string"
+OUTCOME = "key string, trigger string, start_month int, status string"
 
 
 def _timed(events: DataFrame) -> DataFrame:
@@ -22,7 +23,8 @@ def windowed(events: DataFrame, width: str = "1 hour", late: str = "2 hours") ->
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
-    return _timed(events).withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("s"), "user_id").agg(F.count("*").alias("n")).select("s.start", "s.end", "user_id", "n")
+    """Counts and first events of each user's runs of events less than ``gap`` apart."""
+    return _timed(events).withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("s"), "user_id").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event")).select("s.start", "s.end", "user_id", "n", "first_event")
 
 
 def first_of_key(events: DataFrame, key: list[str], late: str = "2 hours") -> DataFrame:
@@ -31,41 +33,40 @@ def first_of_key(events: DataFrame, key: list[str], late: str = "2 hours") -> Da
 
 
 def cohort_outcomes(history: DataFrame, threshold: int = 30, window: int = 12) -> DataFrame:
-    """Cohorts as they end: redefault, censored (a gap or an ineligible month) or complete.
+    """Cohorts as they end: redefault, complete, or censored (a gap, an ineligible month).
 
-    ``history``: key, month, days (null if not eligible), trigger (true where a cohort starts), in order by month
-    for each key within a batch. Open cohorts live in the state."""
+    ``history``: key, month, days (null if not eligible), triggers (the names of cohorts that start in that month), months
+    of a key in order from batch to batch. A cohort starts for every trigger, whatever others are open; those open
+    are kept in the state, at most ``window`` months of each name. A month that comes after a later one of its key
+    is left out, as its place in the chain is already judged."""
 
     def advance(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        start, last, status = state.get if state.exists else (None, None, "none")
-        done = []
+        last, text = state.get if state.exists else (None, "[]")
+        cohorts, done = [tuple(c) for c in json.loads(text)], []
         rows = pd.concat(list(batches)).sort_values("month")
-        for month, days, trigger in zip(rows["month"], rows["days"], rows["trigger"]):
-            if status == "open":
+        for month, days, names in zip(rows["month"].tolist(), rows["days"].tolist(), rows["triggers"].tolist()):
+            if last is not None and month <= last:
+                continue
+            still = []
+            for name, start in cohorts:
                 if month != last + 1 or pd.isna(days):
-                    status = "censored"
+                    done.append((key[0], name, start, "censored"))
                 elif days >= threshold:
-                    status = "redefault"
+                    done.append((key[0], name, start, "redefault"))
                 elif month - start >= window:
-                    status = "complete"
-                last = int(month)
-                if status != "open":
-                    done.append((key[0], int(start), status))
-            if trigger and status != "open":
-                start, last, status = int(month), int(month), "open"
-        state.update((start if start is not None else -1, last if last is not None else -1, status))
-        yield pd.DataFrame(done, columns=["key", "start_month", "status"])
+                    done.append((key[0], name, start, "complete"))
+                else:
+                    still.append((name, start))
+            cohorts = still + [(name, month) for name in (names if names is not None else ())]
+            last = month
+        state.update((last if last is not None else -1, json.dumps(cohorts)))
+        yield pd.DataFrame(done, columns=["key", "trigger", "start_month", "status"])
 
     return history.groupBy("key").applyInPandasWithState(advance, OUTCOME, STATE, "append", "NoTimeout")
 
 
-def append_partials(batch: DataFrame, path: str, key: str = "source_file") -> None:
-    """For foreachBatch: files already there are skipped, so a repeated batch adds nothing."""
-    spark = batch.sparkSession
-    try:
-        seen = spark.read.parquet(path).select(key).distinct()
-        batch = batch.join(seen, key, "left_anti")
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    batch.write.mode("append").parquet(path)
+def write_batch(path: str, batch: DataFrame, batch_id: int) -> None:
+    """For foreachBatch: a batch is a partition of its own, written over by a repeat, so a batch that failed midway or
+    comes twice adds nothing."""
+    out = batch.withColumn("batch", F.lit(batch_id))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)

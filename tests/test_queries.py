@@ -11,6 +11,8 @@ SOME = [
     "issuance_mix", "row_dispositions", "field_rules", "scalar_parsing", "versions_latest", "restatement_lineage", "join_reasons", "period_completeness", "loan_history", "duplicate_keys",
     "metric_issuance_volume", "metric_period_change", "metric_credit_score_model_metrics", "metric_state_composition", "metric_hhi_concentration", "metric_involuntary_removal_share", "metric_factor_level_change",
     "metric_delinquency_roll_cure", "metric_new_delinquency_redefault", "metric_modification_rate", "payload_series",
+    "metric_source_population_accounting", "metric_join_coverage", "metric_file_completeness", "period_differences", "family_match", "event_windows", "event_sessions", "transition_events",
+    "conformed_securities", "conformed_loans", "conformance_manifest", "conformance_issues", "conformance_joins",
 ]
 
 
@@ -48,22 +50,129 @@ def test_every_query_has_sql():
     assert set(queries.queries()) == set(queries.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["v06_summaries", "v07_hhi", "v11_removal", "v13_new_delinquency", "v15_consolidation", "v18_manifests"])
+@pytest.fixture(scope="module")
+def whole(spark, tmp_path_factory):
+    """The cube of all contracts, written once."""
+    from ledgerline import queries
+
+    path = str(tmp_path_factory.mktemp("cube"))
+    queries.metric(spark, SF).coalesce(4).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def faults(spark, whole):
+    """For each check, its violations on the cube given, as a function of the cube; and a way to break the cube."""
+    from pyspark.sql import functions as F
+
+    from ledgerline import queries
+    from ledgerline.plans import bindings, cube, verify
+
+    loans, views, manifests = bindings.loans(spark, SF), queries.views(spark, SF), queries.manifests(spark, SF)
+    off = lambda where, column="numerator", by=1: lambda c: c.withColumn(column, F.when(F.expr(where), F.col(column) + by).otherwise(F.col(column)).cast(c.schema[column].dataType))
+    without = lambda where: lambda c: c.where(f"not ({where})")
+    first = whole.agg(F.min("report_period")).first()[0]
+    passing = bindings.securities(spark, SF).where("quality_status = 'pass'").select("report_period")
+    return {
+        "contract_set": (verify.contract_set, [without("contract_id = 'dti_metric'"), lambda c: c.withColumn("contract_id", F.when(F.col("contract_id") == "dti_metric", "cpr").otherwise(F.col("contract_id")))]),
+        "view_coverage": (lambda c: verify.view_coverage(c, passing), [without(f"component = 'security_count' and correction_view = 'original' and report_period = '{whole.where('component = \'security_count\'').agg(F.min('report_period')).first()[0]}'")]),
+        "schema_coverage": (lambda c: verify.schema_coverage(c, manifests), [without("component = 'schema_transition_flag' and member = 'pools'")]),
+        "segment_sums": (verify.segment_sums, [off("component = 'state_count' and member = 'N1'"), off("component = 'score:vs4_upb' and member = 'Missing'")]),
+        "summaries": (verify.summaries, [without("member = 'Other'"), off("component = 'seller_top_10_upb'")]),
+        "hhi": (verify.hhi_recomputed, [off("contract_id = 'hhi_concentration'", "value", 1e-6), without("component = 'state_upb_hhi'")]),
+        "weighted": (verify.weighted_recomputed, [off("component = 'wala'", "value", 1e-6), off("contract_id = 'ltv_metrics'", "value", 1e-6)]),
+        "thresholds": (lambda c: verify.thresholds_recomputed(c, loans), [off("component = '60_plus_upb'"), without("component = '90_plus_count'")]),
+        "modification": (lambda c: verify.modification_recomputed(c, loans), [off("component = 'modification_count_rate'"), off("component = 'modification_upb_rate'", "denominator"), without("component = 'modification_upb_rate'")]),
+        **{f"removal_{v}": (lambda c, v=v, f=f: verify.removal_recomputed(c, f, v), [off(f"component = 'involuntary_removal_{b}_share' and correction_view = '{v}'") for b in ("count", "upb")]) for v, f in views.items()},
+        "transition_sums": (verify.transition_sums, [off("component = 'transition_count' and member like 'Current to %'")]),
+        "new_delinquency": (verify.new_delinquency_matches, [off("component = 'new_delinquency_count'"), off("component = 'new_delinquency_upb'")]),
+        "cohort_sums": (verify.cohort_sums, [off("component = 'trigger_cohort_count'"), off("component = 'right_censored_upb'")]),
+        "unreleased": (verify.unreleased, [lambda c: c.withColumn("released", F.col("component") != "wam"), lambda c: c.withColumn("contract_id", F.when(F.col("contract_id") == "dti_metric", "cpr").otherwise(F.col("contract_id"))), lambda c: c.withColumn("component", F.when(F.col("component") == "rolling_3_upb", "rolling_3_balance").otherwise(F.col("component")))]),
+        "blank_members": (verify.missing_known, [lambda c: c.withColumn("member", F.when(F.col("member") == "Missing", " ").otherwise(F.col("member")))]),
+        "repeated_keys": (cube.repeated_keys, [lambda c: c.unionByName(c.where(f"report_period = '{first}'").limit(1))]),
+    }
+
+
+def test_checks_find_what_is_broken_and_nothing_else(spark, whole):
+    for name, (check, breaks) in faults(spark, whole).items():
+        assert check(whole).limit(1).count() == 0, name
+        for i, broken in enumerate(breaks):
+            assert check(broken(whole)).limit(1).count() == 1, (name, i)
+
+
+def test_totals_and_mix_reconcile(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.plans import verify
+
+    loans = spark.createDataFrame([("2024-01",), ("2024-01",), ("2024-02",)], "report_period string")
+    counts = [("2024-01", "matched", 2), ("2024-02", "late", 1)]
+    assert verify.join_totals(spark.createDataFrame(counts, "report_period string, join_reason string, row_count long"), loans).count() == 0
+    assert verify.join_totals(spark.createDataFrame(counts[:1], "report_period string, join_reason string, row_count long"), loans).count() == 1
+    mix = spark.createDataFrame([("2024-01", 1, 60.0, 0.6), ("2024-01", 2, 40.0, 0.4)], "month string, security_count long, issuance double, share double")
+    months = spark.createDataFrame([("2024-01", 3, 100.0)], "month string, security_count long, issuance double")
+    assert verify.mix_reconciles(mix, months).count() == 0
+    for column in ("security_count", "issuance", "share"):
+        assert verify.mix_reconciles(mix.withColumn(column, F.col(column) + 1), months).count() == 1
+    assert verify.mix_reconciles(mix, months.unionByName(months.withColumn("month", F.lit("2024-02")))).count() == 1
+
+
+@pytest.mark.parametrize("name", ["v02_partition_bridge", "v15_consolidation", "v18_manifests", "v18_join_totals", "v19_mix_reconciles"])
 def test_checks_find_nothing(spark, name):
     from ledgerline import queries
 
     assert queries.queries()[name](spark, SF).first()["broken"] == 0
 
 
-def test_checks_find_what_is_broken(spark):
+def final_plan(df):
+    """The plan that ran, with what adaptive execution made of it."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_transitions_take_one_shuffle_of_loans(spark):
+    """One scan of line items for the states, one for the months there are; one exchange by loan."""
+    from ledgerline.plans import bindings, transitions
+
+    plan = final_plan(transitions.transition_cube(bindings.loans(spark, SF)))
+    lines = [x for x in plan.splitlines() if "ReusedExchange" not in x]
+    assert sum("Exchange hashpartitioning(source_family" in x for x in lines) == 1 and sum("+- Window [lead" in x for x in lines) == 1
+    # The loans of the test tables are a join, so each use of them scans both tables.
+    assert plan.count("FileScan parquet") <= 2 * 3 and "CartesianProduct" not in plan and "BatchEvalPython" not in plan
+
+
+def test_scans_are_pruned_and_filtered(spark):
     from pyspark.sql import functions as F
 
+    orders = spark.read.parquet(f"{SF}/orders.parquet").where("o_orderkey > 100 and o_orderstatus = 'P'").groupBy("o_orderstatus").agg(F.count("*"))
+    plan = final_plan(orders)
+    assert "PushedFilters: [IsNotNull(o_orderkey), IsNotNull(o_orderstatus), GreaterThan(o_orderkey,100), EqualTo(o_orderstatus,P)]" in plan.replace("...", "") or "GreaterThan(o_orderkey,100)" in plan
     from ledgerline import queries
-    from ledgerline.plans import cube, verify
-
-    rows = queries.metric(spark, SF, ("state_composition", "hhi_concentration")).cache()
-    assert verify.hhi_recomputed(rows.withColumn("value", F.when(F.col("contract_id") == "hhi_concentration", F.col("value") + 1e-6).otherwise(F.col("value")))).count() > 0
-    assert verify.segment_sums(rows.where("member != 'N1'")).count() > 0
-    assert verify.summaries(rows.where("member != 'Other'")).count() > 0
-    assert cube.repeated_keys(rows.unionByName(rows.limit(1))).count() == 1
-    assert verify.contract_set(rows, ("state_composition", "ltv_metrics")).count() == 2
+
+    plan = final_plan(queries.mix(spark, SF))
+    read = [x for x in plan.split("ReadSchema: ")[1:]]
+    assert read and all("o_custkey" not in x.split("\n")[0] and "o_orderstatus" not in x.split("\n")[0] for x in read)
+
+
+def test_segments_scan_loans_once(spark):
+    from ledgerline.plans import bindings, cube
+
+    plan = final_plan(cube.loan_segments(bindings.loans(spark, SF)))
+    assert plan.count("FileScan parquet") == 2  # line items and the orders that they join
+
+
+def test_loans_without_an_id_are_spread(spark):
+    """They take part in the one shuffle of loans, but not as one key."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import population
+
+    loans = spark.range(4000).select(F.lit("2024-01").alias("report_period"), F.when(F.col("id") % 4 == 0, F.concat(F.lit("S"), F.col("id"))).alias("security_id"), F.lit("N").alias("correction_indicator"), F.col("id").alias("loan"))
+    securities = spark.createDataFrame([("2024-01", f"S{4 * i}", "A") for i in range(500)], "report_period string, security_id string, security_status string")
+    out = population.join_reason(loans, securities)
+    assert {r.join_reason: r["count"] for r in out.groupBy("join_reason").count().collect()} == {"matched": 500, "unmatched": 500, "ineligible": 3000}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        at = population.join_reason(loans, securities).where("join_reason = 'ineligible'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(r["count"] for r in at) < 3000 or len(at) == 1
