@@ -527,6 +527,26 @@ def test_urls(spark):
     assert (scored[1].verdict, scored[2].verdict) == ("block", "allow")
 
 
+def test_trees_judge_suffixes_they_have_not_seen():
+    """Where digits speak, held-out suffixes are told apart; where only suffixes do, they are not, and no share is the row's own."""
+    rng = np.random.default_rng(13)
+    n = 3000
+    suffix, digits, noise = rng.integers(0, 12, n), rng.random(n), rng.random(n)
+    fold = rng.integers(0, urls.FOLDS, n)
+    for by_digits in (True, False):
+        y = ((digits > 0.6) if by_digits else (suffix % 2 == 1)) ^ (rng.random(n) < 0.05)
+        held = suffix >= 9
+        rates = np.array(urls.out_of_fold([(str(s), int(v), int(k)) for s, v, k in zip(suffix[~held], y[~held], fold[~held])]))
+        x = np.stack([digits, noise], axis=1)
+        base, trees = urls.fit_trees(np.column_stack([x[~held], rates]), y[~held].astype(float))
+        score = np.array([base + sum(urls.predict(t, r) for t in trees) for r in np.column_stack([x[held], np.full(held.sum(), 0.5)])])
+        found = urls.auc(score, y[held].astype(int))
+        assert found > 0.9 if by_digits else 0.4 < found < 0.6, found
+        assert by_digits or urls.auc(rates[fold[~held] > 0], y[~held][fold[~held] > 0].astype(int)) > 0.9
+    assert urls.out_of_fold([("a", 1, 1), ("b", 0, 2), ("b", 1, 3), ("b", 0, 0)])[0] == 0.5
+    assert urls.auc(np.array([1.0, 1.0, 2.0, 3.0]), np.array([0, 1, 0, 1])) == 0.625
+
+
 def test_trees_match_their_columns(spark):
     rng = np.random.default_rng(7)
     x = rng.random((400, 3))
