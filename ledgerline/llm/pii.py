@@ -1,19 +1,23 @@
 """Personal data by weak supervision, in DataFrame operations only.
 
-Four fixed patterns give the base spans. Wider patterns give candidates of other kinds, on which four
-labelers vote (shape of the match, gazetteer, words before it, digits around it). Votes are counted by
-pattern; expectation-maximisation on those counts estimates each labeler's reliability for each kind, and
-a logistic model on the same features, trained on its posteriors, decides which candidates become spans.
-The counts are bounded by kinds and vote patterns, so fitting happens on the driver.
+Four fixed patterns give the base spans. Wider patterns give candidates of other kinds by their shape alone: for
+names, two or three capitalised words, with or without a title. Four labelers vote on each (shape of the match,
+gazetteer, words before it, surroundings). Votes are counted by pattern; expectation-maximisation on those counts
+estimates each labeler's reliability for each kind. A logistic model, trained on the posteriors, decides which
+candidates become spans; besides the votes it sees token shapes that no labeler looks at (words, length, whether
+a sentence or line starts there), so it can part what the votes cannot. Counts are bounded by kinds, vote patterns and
+shapes (``PATTERN_ROWS``), so fitting happens on the driver.
 
 Cases: null or empty text has no spans; a candidate that overlaps a base span is dropped; repeated rows are
-searched each; without candidates the model is the prior; an empty table gives an empty result.
+searched each, and count each; very long texts are searched whole; without candidates the model is the prior;
+an empty table gives an empty result; other columns play no part.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +38,13 @@ HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 MORE_KINDS = ("name", "ssn", "tel", "iban", "street")
 TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora"
-GIVEN = "James|Mary|John|Linda|Robert|Susan|Michael|Karen|David|Sarah|Thomas|Anna|Daniel|Laura|Peter|Maria|Paul|Julia|Martin|Sophie|Hans|Klaus|Pierre|Jean|Marie|Claire|Carlos|Luis|Carmen|Juan"
+#: Common given names of the four languages of the gazetteer.
+GIVEN = (
+    "James|Mary|John|Linda|Robert|Susan|Michael|Karen|David|Sarah|William|Lisa|Richard|Nancy|Joseph|Betty|Thomas|Sandra|Charles|Ashley|Christopher|Emily|Daniel|Donna|Matthew|Michelle|Anthony|Carol|Mark|Amanda|Steven|Melissa|Andrew|Deborah|Brian|Rebecca|Kevin|Laura|George|Helen|"
+    "Anna|Peter|Paul|Julia|Martin|Hans|Klaus|Jürgen|Wolfgang|Stefan|Andreas|Christian|Sabine|Monika|Petra|Ursula|Claudia|Heike|Katrin|Günter|Heinrich|Friedrich|Karl|Lukas|Felix|Lena|Greta|Johanna|Ingrid|Birgit|"
+    "Pierre|Jean|Marie|Claire|Sophie|Luc|Michel|Philippe|Nicolas|Antoine|François|Jacques|Louis|Camille|Chloé|Juliette|Isabelle|Nathalie|Sylvie|Céline|Hélène|Mathieu|Olivier|Étienne|"
+    "Maria|María|Carlos|Luis|Carmen|Juan|José|Antonio|Manuel|Francisco|Javier|Miguel|Rafael|Pablo|Diego|Sergio|Elena|Isabel|Lucía|Pilar|Rosa|Teresa|Marta|Ana|Beatriz|Jesús|Ángel|Álvaro|Sofía"
+)
 STREETS = "Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Boulevard|Blvd|Drive"
 IBAN_LENGTHS = {"AT": 20, "BE": 16, "CH": 21, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
 _CAPITAL = r"\p{Lu}[\p{Ll}]{1,30}"
@@ -43,7 +53,7 @@ CANDIDATE = {
     "tel": r"(?<![0-9A-Za-z+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,26}(?![A-Za-z0-9])",
     "street": rf"(?<![0-9])[0-9]{{1,5}} {_CAPITAL} (?:{STREETS})(?![A-Za-z])",
-    "name": rf"(?<!\p{{L}})(?:(?:{TITLES})\.? |(?:{GIVEN}) ){_CAPITAL}(?: {_CAPITAL})?(?!\p{{L}})",
+    "name": rf"(?<!\p{{L}})(?:(?:{TITLES})\.? {_CAPITAL}|{_CAPITAL} {_CAPITAL})(?: {_CAPITAL})?(?!\p{{L}})",
 }
 #: Words before a span that speak for its kind, or against all kinds.
 CUES = {
@@ -55,6 +65,10 @@ CUES = {
 }
 AGAINST = r"(?i)(order|invoice|isbn|version|part|serial|model|sku|ref|ticket|fictional|character)[^\n]{0,12}$"
 LABELERS = 4
+#: Values of each token shape: words (1, 2, 3 and more), characters (under 12, under 20, more), and whether a sentence or line starts there.
+SHAPES = (3, 3, 2)
+#: Count rows at most: kinds, three votes of each labeler, shapes.
+PATTERN_ROWS = len(MORE_KINDS) * 3**LABELERS * 3 * 3 * 2
 CONTEXT = 40
 
 
@@ -110,7 +124,7 @@ def _is_kind(kind: int):
 
 
 def _votes(c: Column) -> Column:
-    """Kind (index into MORE_KINDS) and four votes, each -1, 0 or 1."""
+    """Kind (index into MORE_KINDS), four votes, each -1, 0 or 1, and the token shapes."""
     v, left = c["value"], c["left"]
     kind = F.lit(0)
     for i, k in enumerate(MORE_KINDS[1:], 1):
@@ -120,15 +134,20 @@ def _votes(c: Column) -> Column:
     lengths = F.create_map(*(F.lit(x) for k, n in sorted(IBAN_LENGTHS.items()) for x in (k, n)))
     iban = F.coalesce(F.element_at(lengths, F.substring(v, 1, 2)) == F.length(v), F.lit(False))
     yes = lambda b: F.when(b, 1).otherwise(-1)
-    shape = F.when(kind == 1, yes(ssn)).when(kind == 2, yes(tel)).when(kind == 3, yes(iban)).when(kind == 4, yes(~v.startswith("0"))).otherwise(F.when(v.rlike(rf" {_CAPITAL} {_CAPITAL}$"), 1).otherwise(0))
+    shape = F.when(kind == 1, yes(ssn)).when(kind == 2, yes(tel)).when(kind == 3, yes(iban)).when(kind == 4, yes(~v.startswith("0"))).otherwise(F.when(v.rlike(r"(\p{L}+) \1( |$)"), -1).when(v.rlike(rf"^(?:(?:{TITLES})\.? )?(?:\p{{Lu}}\p{{Ll}}{{2,}} ?){{2,3}}$"), 1).otherwise(0))
     country = F.coalesce(F.map_contains_key(lengths, F.substring(v, 1, 2)), F.lit(False))
-    gazetteer = F.when(kind == 3, yes(country)).when(kind == 0, F.when(v.rlike(rf"^(?:(?:{TITLES})\.? )?(?:{GIVEN}) "), 1).otherwise(0)).when(kind == 4, F.when(v.rlike(rf" (?:Street|Avenue|Road|Lane|Boulevard)$"), 1).otherwise(0)).otherwise(0)
+    gazetteer = F.when(kind == 3, yes(country)).when(kind == 0, F.when(v.rlike(rf"^(?:(?:{TITLES})\.? |(?:{GIVEN}) )"), 1).otherwise(-1)).when(kind == 4, F.when(v.rlike(rf" (?:Street|Avenue|Road|Lane|Boulevard)$"), 1).otherwise(0)).otherwise(0)
     cue = F.lit(False)
     for i, k in enumerate(MORE_KINDS):
         cue = F.when(kind == i, left.rlike(CUES[k])).otherwise(cue)
     context = F.when(cue, 1).when(left.rlike(AGAINST), -1).otherwise(0)
-    crowd = F.when(F.length(_digits(left)) >= 10, -1).otherwise(0)
-    return F.struct(c["start"].alias("start"), c["end"].alias("end"), kind.alias("kind"), shape.alias("v0"), gazetteer.alias("v1"), context.alias("v2"), crowd.alias("v3"))
+    # Numbers crowd among digits, names in headings and lists of capitalised words.
+    crowd = F.when(F.when(kind == 0, left.rlike(r"\p{Lu}\p{Ll}+[ ,]+$")).otherwise(F.length(_digits(left)) >= 10), -1).otherwise(0)
+    words = F.least(F.size(F.split(v, " ")), F.lit(3)) - 1
+    size = F.when(F.length(v) < 12, 0).when(F.length(v) < 20, 1).otherwise(2)
+    opening = F.when((left == "") | left.rlike(r"[.!?:\n]\s*$"), 1).otherwise(0)
+    votes = {f"v{j}": x for j, x in enumerate((shape, gazetteer, context, crowd))} | {f"t{j}": x for j, x in enumerate((words, size, opening))}
+    return F.struct(c["start"].alias("start"), c["end"].alias("end"), kind.alias("kind"), *(x.cast("int").alias(n) for n, x in votes.items()))
 
 
 def extract(docs: DataFrame) -> DataFrame:
@@ -148,7 +167,7 @@ def extract(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "base", F.transform(free, _votes).alias("found"))
 
 
-# ---- the model, on counts of vote patterns: {(kind, votes): count}
+# ---- the model, on counts of patterns: {(kind, votes, shapes): count}
 
 
 def em(counts: dict[tuple, int], rounds: int = 50) -> tuple[dict[tuple, float], dict]:
@@ -181,41 +200,49 @@ def em(counts: dict[tuple, int], rounds: int = 50) -> tuple[dict[tuple, float],
     return posterior, {"prior": prior, "rate": rate}
 
 
-def _features(kind: int, votes: tuple) -> list[float]:
-    return [1.0, *(float(kind == i) for i in range(len(MORE_KINDS))), *(float(v == 1) for v in votes), *(float(v == -1) for v in votes)]
+def _features(kind: int, votes: tuple, shapes: tuple) -> list[float]:
+    return [1.0, *(float(kind == i) for i in range(len(MORE_KINDS))), *(float(v == 1) for v in votes), *(float(v == -1) for v in votes), *(float(x == i) for x, n in zip(shapes, SHAPES) for i in range(1, n))]
 
 
 def train(counts: dict[tuple, int], steps: int = 2000) -> list[float]:
-    """Weights of the span classifier, from the posteriors as soft labels."""
-    posterior, _ = em(counts)
-    rows = [(_features(k, v), n, posterior[k, v]) for (k, v), n in counts.items()]
-    weights = [-0.5, *[0.0] * len(MORE_KINDS), *[1.0] * LABELERS, *[-1.0] * LABELERS]
-    start, total = list(weights), max(1, sum(n for _, n, _ in rows))
-    for _ in range(steps if rows else 0):
-        slope = [0.05 * (w - s) for w, s in zip(weights, start)]
-        for x, n, p in rows:
-            e = n / total * (1 / (1 + math.exp(-sum(a * b for a, b in zip(weights, x)))) - p)
-            slope = [s + e * a for s, a in zip(slope, x)]
-        weights = [w - 0.5 * s for w, s in zip(weights, slope)]
-    return weights
+    """Weights of the span classifier, from the posteriors as soft labels; they start from, and are drawn toward, trust in the votes."""
+    by_votes: dict[tuple, int] = {}
+    for (k, v, _), n in counts.items():
+        by_votes[k, v] = by_votes.get((k, v), 0) + n
+    posterior, _ = em(by_votes)
+    start = np.array([-0.5, *[0.0] * len(MORE_KINDS), *[1.0] * LABELERS, *[-1.0] * LABELERS, *[0.0] * sum(n - 1 for n in SHAPES)])
+    if not counts:
+        return start.tolist()
+    x = np.array([_features(*pattern) for pattern in counts])
+    n = np.array(list(counts.values()), float) / sum(counts.values())
+    p = np.array([posterior[k, v] for k, v, _ in counts])
+    weights = start.copy()
+    for _ in range(steps):
+        weights -= 0.5 * (0.05 * (weights - start) + x.T @ (n * (1 / (1 + np.exp(-x @ weights)) - p)))
+    return weights.tolist()
 
 
 def score(c: Column, weights: list[float]) -> Column:
     """The classifier's log-odds as an expression."""
-    z, n = F.lit(weights[0]), len(MORE_KINDS)
-    for i in range(n):
-        z = z + F.when(c["kind"] == i, weights[1 + i]).otherwise(0.0)
-    for j in range(LABELERS):
-        z = z + F.when(c[f"v{j}"] == 1, weights[1 + n + j]).when(c[f"v{j}"] == -1, weights[1 + n + LABELERS + j]).otherwise(0.0)
+    rest = iter(weights)
+    z = F.lit(next(rest))
+    for i in range(len(MORE_KINDS)):
+        z = z + F.when(c["kind"] == i, next(rest)).otherwise(0.0)
+    for sign in (1, -1):
+        for j in range(LABELERS):
+            z = z + F.when(c[f"v{j}"] == sign, next(rest)).otherwise(0.0)
+    for j, values in enumerate(SHAPES):
+        for i in range(1, values):
+            z = z + F.when(c[f"t{j}"] == i, next(rest)).otherwise(0.0)
     return z
 
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, base and spans: arrays of (kind, start, end), by kind then start; kinds of BASE_KINDS + MORE_KINDS."""
     seen = stage(extract(docs), "pii")
-    votes = [f"v{j}" for j in range(LABELERS)]
-    rows = seen.select(F.explode("found").alias("f")).groupBy("f.kind", *(f"f.{v}" for v in votes)).count().collect()  # at most kinds * 3 ** labelers rows
-    weights = train({(r["kind"], tuple(r[v] for v in votes)): r["count"] for r in rows})
+    votes, shapes = [f"v{j}" for j in range(LABELERS)], [f"t{j}" for j in range(len(SHAPES))]
+    rows = seen.select(F.explode("found").alias("f")).groupBy("f.kind", *(f"f.{v}" for v in votes + shapes)).count().collect()  # at most PATTERN_ROWS
+    weights = train({(r["kind"], tuple(r[v] for v in votes), tuple(r[t] for t in shapes)): r["count"] for r in sorted(rows)})
     taken = F.filter("found", lambda c: score(c, weights) > 0)
     extra = F.transform(taken, lambda c: F.struct((c["kind"] + len(BASE_KINDS)).alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     return seen.select("doc_id", "base", F.array_sort(F.concat("base", extra)).alias("spans"))
