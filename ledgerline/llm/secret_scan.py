@@ -3,9 +3,10 @@
 Tokens of 20 and more characters, of digits or letters alone too, get the narrowest encoding whose alphabet
 holds them. A token that none holds (one of + and / beside one of - and _) is split at + and / and, once more,
 at - and _, and each part of 20 and more characters is tested; parts of the two splits may overlap, and so
-may the spans found. Three tests ask whether such a token could be drawn uniformly from that alphabet: chi-squared over
-equal classes of symbols, runs above and below the middle of the alphabet, and serial correlation at lag
-one, each over all of the token; the smallest p-value, times three, is the token's p. Random tokens have near uniform p, ordinary ones
+may the spans found. Tests ask whether such a token could be drawn uniformly from that alphabet: chi-squared over
+equal classes of symbols and, for tokens too short to fill all classes, over single symbols (by their equal pairs,
+which the statistic counts); runs above and below the middle of the alphabet; serial correlation at lag one. Each
+is over all of the token; the smallest p-value, times their number, is the token's p. Random tokens have near uniform p, ordinary ones
 small p. Over all documents, by encoding and length band, the share of random tokens is estimated from
 p > 1/2, and the least threshold is taken at which the expected share of ordinary tokens among those above
 it stays under ``rate``.
@@ -88,8 +89,23 @@ def chi_squared_tail(x: float, df: int) -> float:
     return 0.5 * math.erfc((((x / df) ** (1 / 3)) - (1 - v)) / math.sqrt(2 * v))
 
 
+def pairs_tail(places: list[int], size: int) -> float:
+    """Probability of as many equal pairs of symbols or more: nearly Poisson while pairs are few for each symbol."""
+    n, counts = len(places), [0] * size
+    for p in places:
+        counts[p] += 1
+    mean, pairs = n * (n - 1) / 2 / size, sum(c * (c - 1) // 2 for c in counts)
+    term = below = math.exp(-mean)
+    if not pairs:
+        return 1.0
+    for i in range(1, pairs):
+        term *= mean / i
+        below += term
+    return max(0.0, 1 - below)
+
+
 def randomness(places: list[int], size: int) -> float:
-    """Smallest of three p-values times three: uniformity, runs, serial correlation."""
+    """Smallest p-value times the number of tests: uniformity, runs, serial correlation."""
     n = len(places)
     classes = max(2, min(size, n // 5))
     counts = [0] * classes
@@ -111,7 +127,10 @@ def randomness(places: list[int], size: int) -> float:
     var = sum((p - m) ** 2 for p in places)
     serial = sum((x - m) * (y - m) for x, y in zip(places, places[1:])) / var if var else 1.0
     p_serial = normal_tail((serial + 1 / n) * math.sqrt(n))
-    return min(1.0, 3 * min(p_chi, p_runs, p_serial))
+    found = [p_chi, p_runs, p_serial]
+    if n < 5 * size:
+        found.append(pairs_tail(places, size))
+    return min(1.0, len(found) * min(found))
 
 
 def band(n: int) -> int:

@@ -661,6 +661,31 @@ def test_secrets(spark):
     assert not any("random" in found[n + 200 + i].spans for i in range(60))
 
 
+def test_secret_spans_against_a_plain_scan(spark):
+    """All spans, very long texts included: plain candidates, their p-values counted, and the thresholds of these counts."""
+    rng = np.random.default_rng(15)
+    alphabet = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"))
+    key = lambda n: "".join(rng.choice(alphabet, n))
+    texts = [f"say {key(40)} and {'word' * 6} end" for _ in range(120)] + ["long " + " ".join(key(30) for _ in range(3000)) + " token=" + key(20), key(50_000), None, "", "a" * 100_000]
+    counts, seen = {}, []
+    for i, t in enumerate(texts):
+        base = plain_secrets(t)
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", t or ""):
+            if any(a < m.end() and m.start() < b for a, _, b in base):
+                continue
+            k = next(k for k, (_, symbols) in enumerate(secret_scan.ENCODINGS) if set(m[0].rstrip("=")) <= set(symbols))
+            symbols = secret_scan.ENCODINGS[k][1]
+            p = secret_scan.randomness([symbols.index(c) for c in m[0].rstrip("=")], len(symbols))
+            group = (k * 8 + secret_scan.band(len(m[0])), min(secret_scan.P_BINS - 1, int(p * secret_scan.P_BINS)))
+            counts[group] = counts.get(group, 0) + 1
+            seen.append((i, m.start(), m.end(), *group))
+    least = secret_scan.thresholds(counts)
+    want = [sorted([(a, k, b) for a, k, b in plain_secrets(t)] + [(a, 3, b) for j, a, b, g, p in seen if j == i and p >= least.get(g, 99)]) for i, t in enumerate(texts)]
+    found = by_id(secret_scan.digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert [found[i].spans for i in range(len(texts))] == [",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in w) for w in want]
+    assert sum(len(w) for w in want) > 2500 and not want[-1]
+
+
 def test_random_p_values_are_even():
     rng = np.random.default_rng(9)
     p = [secret_scan.randomness(rng.integers(0, 64, 60).tolist(), 64) for _ in range(400)]
