@@ -14,10 +14,13 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SCHEMA = "investigation_id string, version int, action string, actor string, at string, status string, title string, contract_id string, filter_context string, notes string, before_sha256 string, after_sha256 string"
-STATUSES = ("open", "in_review", "closed")
-MUTABLE = ("status", "title", "notes")
-LIMITS = {"title": 200, "notes": 4000, "actor": 120}
+SCHEMA = "investigation_id string, version int, action string, actor string, at string, title string, owner string, priority string, status string, summary string, resolution string, contract_id string, filter_context string, before_sha256 string, after_sha256 string"
+#: Fixed values.
+STATUSES = ("open", "in_progress", "resolved")
+PRIORITIES = ("low", "medium", "high")
+MUTABLE = ("title", "owner", "priority", "status", "summary", "resolution")
+STATE = (*MUTABLE, "contract_id", "filter_context")
+LIMITS = {"title": 200, "owner": 120, "summary": 4000, "resolution": 4000, "actor": 120}
 
 
 class Invalid(ValueError):
@@ -31,8 +34,12 @@ def digest(value: Any) -> str | None:
 def _checked(state: dict[str, Any]) -> dict[str, Any]:
     if state["status"] not in STATUSES:
         raise Invalid("unknown status")
+    if state["priority"] not in PRIORITIES:
+        raise Invalid("unknown priority")
     if not (state["title"] or "").strip():
         raise Invalid("a title is required")
+    if state["status"] == "resolved" and not (state["resolution"] or "").strip():
+        raise Invalid("a resolution is required")
     for name, most in LIMITS.items():
         if len(state.get(name) or "") > most:
             raise Invalid(f"{name} is too long")
@@ -69,9 +76,9 @@ class Store:
         order = Window.partitionBy("investigation_id").orderBy("version")
         return self.log().withColumn("prior", F.lag("after_sha256").over(order)).where("not (prior <=> before_sha256)")
 
-    def create(self, title: str, contract_id: str, filter_context: dict[str, Any], actor: str, notes: str = "") -> str:
-        state = _checked({"status": "open", "title": title, "contract_id": contract_id, "filter_context": json.dumps(filter_context, sort_keys=True), "notes": notes, "actor": actor})
-        state.pop("actor")
+    def create(self, title: str, contract_id: str, filter_context: dict[str, Any], actor: str, owner: str = "", priority: str = "medium", summary: str = "") -> str:
+        state = {"title": title, "owner": owner or actor, "priority": priority, "status": "open", "summary": summary, "resolution": "", "contract_id": contract_id, "filter_context": json.dumps(filter_context, sort_keys=True)}
+        _checked(state | {"actor": actor})
         new = str(uuid.uuid4())
         self._append(new, 1, "create", actor, None, state)
         return new
@@ -84,10 +91,10 @@ class Store:
             raise Invalid("no such investigation")
         if row["version"] != version:
             raise Invalid("changed by somebody else meanwhile")
-        before = {n: row[n] for n in ("status", "title", "contract_id", "filter_context", "notes")}
+        before = {n: row[n] for n in STATE}
         self._append(investigation_id, version + 1, "update", actor, before, _checked(before | changes))
         return version + 1
 
     def _append(self, investigation_id: str, version: int, action: str, actor: str, before: dict | None, after: dict) -> None:
-        row = (investigation_id, version, action, actor, datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), after["status"], after["title"], after["contract_id"], after["filter_context"], after["notes"], digest(before), digest(after))
+        row = (investigation_id, version, action, actor, datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), *(after[n] for n in STATE), digest(before), digest(after))
         self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(self.path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,3 +66,63 @@ def findings(monthly: DataFrame) -> DataFrame:
     top = monthly.agg(F.max_by("report_period", F.struct("upb", -S.month_index(F.col("report_period")))).alias("peak"), F.min_by("report_period", F.struct("upb", S.month_index(F.col("report_period")))).alias("trough"))
     out = monthly.withColumn("change", F.round(S.percent_change(F.col("upb"), F.lag("upb").over(order)), 10))
     return out.join(F.broadcast(top)).select("report_period", "upb", "change", (F.col("report_period") == F.col("peak")).alias("peak"), (F.col("report_period") == F.col("trough")).alias("trough"))
+
+
+# ---- what a payload must hold before it is shown
+
+
+class InvalidPayload(ValueError):
+    """A payload that may not be shown."""
+
+
+#: Numbers of each month.
+MONTH_NUMBERS = ("security_count", "issuance_upb", "current_upb", "average_factor", "revision_count")
+
+
+def _ordered(rows: list[dict], month: str, numbers: tuple[str, ...], least: float, what: str) -> None:
+    if len(rows) < 2:
+        raise InvalidPayload(f"at least two {what} are required")
+    for a, b in zip([None, *rows], rows):
+        if not re.fullmatch(r"\d{4}-(0[1-9]|1[0-2])", str(b.get(month))) or (a is not None and b[month] <= a[month]):
+            raise InvalidPayload(f"{what} are not ordered correctly")
+        for n in numbers:
+            if not isinstance(b.get(n), (int, float)) or not math.isfinite(b[n]) or b[n] < least:
+                raise InvalidPayload(f"{b[month]} has an invalid {n}")
+
+
+def validated(payload: dict) -> dict:
+    """The issuance payload, if its months are ordered and whole, its sources passed and its period reconciles."""
+    if not all(isinstance(payload.get(k), t) for k, t in (("months", list), ("mix", list), ("metadata", dict))):
+        raise InvalidPayload("required sections are missing")
+    _ordered(payload["months"], "month", MONTH_NUMBERS, -math.inf, "monthly observations")
+    meta = payload["metadata"]
+    if (meta.get("quality") or {}).get("status") != "pass":
+        raise InvalidPayload("the source-quality gate did not pass")
+    if (meta.get("period_start"), meta.get("period_end")) != (payload["months"][0]["month"], payload["months"][-1]["month"]):
+        raise InvalidPayload("the period does not reconcile")
+    return payload
+
+
+def validated_series(rows: list[dict]) -> list[dict]:
+    """The series of the latest view, if ordered and without missing or negative measures."""
+    _ordered(rows, "report_period", REQUIRED, 0, "portfolio periods")
+    return rows
+
+
+def semantic_findings(series_rows: list[dict], concentrations: list[dict]) -> list[dict]:
+    """The last month against the one before, the delinquency and modification rates, and the largest concentration."""
+    last, prior = validated_series(series_rows)[-1], series_rows[-2]
+    change = last["loan_upb"] / prior["loan_upb"] - 1 if prior["loan_upb"] else None
+    out = [{"measure": "loan_upb", "period": last["report_period"], "value": last["loan_upb"], "change": change, "prior": prior["report_period"]}]
+    out += [{"measure": m, "period": last["report_period"], "value": last[m], "change": last[m] - prior[m], "prior": prior["report_period"]} for m in ("30_plus_count", "90_plus_count", "modification_count_rate")]
+    if concentrations:
+        top = max(concentrations, key=lambda r: (r["share"], r["dimension"]))
+        out.append({"measure": f"top_10_{top['dimension']}", "period": top["report_period"], "value": top["share"], "change": None, "prior": None})
+    return out
+
+
+def evidence(cube: DataFrame, sources: DataFrame) -> DataFrame:
+    """Components behind the findings with the source files of their month. ``sources``: report_period, source_file, checksum."""
+    shown = cube.where(F.col("component").isin("issuance_upb", "loan_upb", "modification_count_rate", "transition_count", "seller_top_10_upb", "servicer_top_10_upb", "state_top_10_upb"))
+    listed = sources.groupBy("report_period").agg(F.array_sort(F.collect_set(F.struct("source_file", "checksum"))).alias("provenance"))
+    return shown.join(F.broadcast(listed), "report_period", "left")  # one row for each month

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from typing import Any
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,14 +22,14 @@ LINES = "file string, member string, line long, value string, error string"
 _BATCH = 20_000
 
 
-def zip_lines(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
+def zip_lines(spark: SparkSession, *paths: str, pattern: str = "*.zip") -> DataFrame:
     """Lines of one-member ZIP files, inflated as a stream in the executors; a file that cannot be read gives one row
     with ``error``. Each archive is one task's work, as its deflate stream cannot be split.
 
     Where executors can open the store themselves, only paths go through Spark and each archive is read as it is
     inflated; in a store that only Spark reads, archives come with their bytes, one to a batch."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    if _reachable(path):
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(list(paths))
+    if all(map(_reachable, paths)):
         return files.select("path").mapInArrow(_streamed, LINES)
     return files.select("path", "content").mapInArrow(_held, LINES)
 
@@ -100,11 +101,22 @@ def _batch(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["file", "member", "line", "value", "error"])
 
 
-def delimited(spark: SparkSession, path: str, schema: str, separator: str | None = None) -> DataFrame:
-    """CSV (comma) or TXT (pipe) with a header, under an explicit schema, plus the file's name."""
-    sep = separator or (r"|" if path.lower().endswith(".txt") else ",")
-    out = spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "PERMISSIVE").csv(path)
-    return out.withColumn("source_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+def text_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """Lines of text files, in the form of ``zip_lines``; files are split, so large ones are read by many tasks."""
+    from pyspark.sql import Window
+
+    raw = spark.read.option("pathGlobFilter", pattern).text(path)
+    raw = raw.select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.rtrim("value", F.lit("\r")).alias("value"))
+    line = F.row_number().over(Window.partitionBy("file").orderBy("block", "at")).cast("long")
+    out = raw.withColumn("line", line)
+    value = F.when(F.col("line") == 1, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
+    return out.select("file", F.col("file").alias("member"), "line", value.alias("value"), F.lit(None).cast("string").alias("error"))
+
+
+def quoted_cells(value: Column, separator: str, most: int = 64) -> Column:
+    """Cells of a delimited line that may be quoted, at most ``most``."""
+    parsed = F.from_csv(value, ", ".join(f"c{i} string" for i in range(most)), {"sep": separator})
+    return F.array(*(parsed[f"c{i}"] for i in range(most)))
 
 
 def gzip_partitions(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -179,6 +191,40 @@ def inventory(lines: DataFrame, contract: Mapping[str, Any], separator: str = "|
     return out.withColumn("blocker", blocker).drop("matches", "fits", "column_count")
 
 
+def inventory_cached(spark: SparkSession, path: str, contract: Mapping[str, Any], cache: str, pattern: str = "*.zip") -> DataFrame:
+    """The inventory of ``path``, reading only archives that ``cache`` does not know by name, size, time and contract."""
+    signature = contracts.fingerprint(contract)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), "path").withColumn("signature", F.lit(signature))
+    key = ["file", "size", "modified", "signature"]
+    try:
+        known = spark.read.parquet(cache)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = None
+    new = [r.path for r in (files if known is None else files.join(known, key, "left_anti")).select("path").collect()]  # one row for each new archive
+    if new:
+        lines = stored(zip_lines(spark, *new, pattern=pattern), f"{cache}-lines")
+        inventory(lines, contract).join(F.broadcast(files.drop("path")), "file").write.mode("append").parquet(cache)
+        known = spark.read.parquet(cache)
+    if known is None:
+        known = inventory(zip_lines(spark, path, pattern=pattern), contract).join(files.drop("path"), "file")
+    return known.join(F.broadcast(files.select(*key)), key, "left_semi").drop("size", "modified", "signature")
+
+
+class NotReady(RuntimeError):
+    """Months of a required family are missing."""
+
+
+def require_ready(found: DataFrame) -> DataFrame:
+    """``readiness``, if every expected month has a usable file; else an error that names the first that has none."""
+    missing = found.where("received = 0").orderBy("family", "report_period").first()
+    if missing is not None:
+        raise NotReady(f"{missing.family} has no usable file of {missing.report_period}")
+    return found
+
+
 def readiness(files: DataFrame, contract: Mapping[str, Any]) -> DataFrame:
     """Expected months of each family with the usable files found; zero blocks a release."""
     w = contracts.windows(files.sparkSession, contract).where("period_min is not null and period_max is not null").select("family", "period_min", "period_max")

@@ -214,6 +214,35 @@ def test_issuance_archives(spark, tmp_path):
     assert [(m["month"], m["security_count"], m["issuance_upb"], m["revision_count"]) for m in out["months"]] == [("2024-01", 2, 400.0, 1), ("2024-02", 1, 10.0, 0)]
     assert [(m["month"], m["product_group"], m["issuance_share"]) for m in out["mix"]] == [("2024-01", "Other", 0.75), ("2024-01", "30-year", 0.25), ("2024-02", "30-year", 1.0)]
     assert batch.issues.where("severity = 'info'").count() == 1
+    assert {k: out["metadata"]["mix"][k] for k in ("mapped_observation_count", "unmapped_observation_count", "mapped_issuance_upb", "unmapped_issuance_upb")} == {"mapped_observation_count": 2, "unmapped_observation_count": 1, "mapped_issuance_upb": 110.0, "unmapped_issuance_upb": 300.0}
+    # The cache reads what is new, and nothing else.
+    cache = str(tmp_path / "cache")
+    first = sorted(map(str, archives.inventory_cached(spark, str(good), contract(), cache).collect()))
+    archive(good / "IS_202403.zip", [["CL", "A1", "10", "5", "0.5", "A", "N"]])
+    again = archives.inventory_cached(spark, str(good), contract(), cache)
+    assert len(first) == 2 and again.count() == 3 and spark.read.parquet(cache).count() == 3
+    assert sorted(map(str, again.where("file != 'IS_202403.zip'").collect())) == first
+    with pytest.raises(archives.NotReady, match="2024-04"):
+        archives.require_ready(archives.readiness(again, contract()))
+
+
+SAMPLE = "report_month,security_id,security_type,issuance_upb,current_upb,factor,cpr_pct,published_files,expected_files,release_lag_days,revision_flag"
+
+
+def test_delimited_sources(spark, tmp_path):
+    row = lambda m, i, **k: ",".join(str(k.get(n, v)) for n, v in zip(SAMPLE.split(","), (m, i, "UMBS", 184000000, 179420000, 0.9751, 6.4, 12, 12, 1, "false")))
+    (tmp_path / "monthly.csv").write_text("\ufeff" + "\n".join([SAMPLE, row("2026-01", "SD1001"), row("2026-02", '"SD,1002"'), row("2026-02", "SD1003", published_files=11)]) + "\r\n")
+    (tmp_path / "piped.txt").write_text("\n".join([SAMPLE.replace(",", "|"), row("2026-03", "SD1001").replace(",", "|")]))
+    (tmp_path / "bad.csv").write_text("\n".join([SAMPLE, row("2026-03", "SD2", factor="x"), row("2026-3", "SD3"), row("2026-03", "SD4", revision_flag="maybe"), row("2026-03", "SD1001")]))
+    (tmp_path / "short.csv").write_text("report_month,factor\n2026-01,1\n")
+    (tmp_path / "empty.csv").write_text(SAMPLE + "\n")
+    batch = issuance.load(spark, str(tmp_path), contract(), str(tmp_path.parent / f"{tmp_path.name}-work"))
+    m = {r.source_file: r for r in batch.manifest.collect()}
+    assert (m["monthly.csv"].report_period, m["monthly.csv"].accepted_count, m["monthly.csv"].quality_status) == ("2026-01..2026-02", 3, "pass") and m["piped.txt"].report_period == "2026-03"
+    # Files in order of their names: the first to have a key keeps it.
+    assert (m["bad.csv"].rejected_count, m["bad.csv"].accepted_count, m["piped.txt"].duplicate_count) == (3, 1, 1)
+    assert {r.source_file: r.message for r in batch.issues.where("source_row is null").collect()} == {"short.csv": "INVALID_SOURCE: missing required columns: " + ", ".join(sorted(set(SAMPLE.split(",")) - {"report_month", "factor"})), "empty.csv": "INVALID_SOURCE: source contains no data rows"}
+    assert {(r.security_id, r.source_row) for r in batch.facts.where("source_file = 'monthly.csv'").collect()} == {("SD1001", 2), ("SD,1002", 3), ("SD1003", 4)}
 
 
 def test_bad_archives_block(spark, tmp_path):

@@ -1,6 +1,6 @@
 import pytest
 
-from ledgerline.plans import assistant, investigations
+from ledgerline.plans import assistant, investigations, payload
 
 PAYLOAD = {
     "latest": [{"report_period": "2024-01", "loan_count": 5.0, "loan_upb": 10.5, "30_plus_count": 0.1, "90_plus_count": 0.05}],
@@ -34,12 +34,38 @@ def test_investigations(spark, tmp_path):
     assert store.current().count() == 0
     one = store.create("Jump", "hhi_concentration", {"period": "2024-01"}, "ann")
     store.create("Other", "dti_metric", {}, "bob")
-    assert store.update(one, 1, {"status": "closed"}, "ann") == 2
+    assert store.update(one, 1, {"status": "resolved", "resolution": "a correction", "priority": "high"}, "ann") == 2
     with pytest.raises(investigations.Invalid):
         store.update(one, 1, {"status": "open"}, "bob")
     with pytest.raises(investigations.Invalid):
         store.update(one, 2, {"contract_id": "x"}, "bob")
     with pytest.raises(investigations.Invalid):
         store.create(" ", "x", {}, "ann")
-    assert [r.investigation_id for r in store.current("closed").collect()] == [one]
+    for changes in ({"status": "resolved"}, {"priority": "urgent"}, {"status": "closed"}, {"owner": "x" * 121}):
+        with pytest.raises(investigations.Invalid):
+            store.update(store.current("open").first().investigation_id, 1, changes, "bob")
+    assert [(r.investigation_id, r.owner, r.priority) for r in store.current("resolved").collect()] == [(one, "ann", "high")]
     assert [r.action for r in store.audit(one).collect()] == ["create", "update"] and store.broken_chain().count() == 0
+
+
+MONTH = {"security_count": 1, "issuance_upb": 2.0, "current_upb": 1.0, "average_factor": 0.5, "revision_count": 0}
+
+
+def test_payloads_are_checked():
+    good = {"months": [{"month": "2024-01"} | MONTH, {"month": "2024-02"} | MONTH], "mix": [], "metadata": {"quality": {"status": "pass"}, "period_start": "2024-01", "period_end": "2024-02"}}
+    assert payload.validated(good) is good
+    bad = [
+        {k: v for k, v in good.items() if k != "mix"}, good | {"months": good["months"][:1]}, good | {"months": good["months"][::-1]}, good | {"months": [{"month": "2024-13"} | MONTH] * 2},
+        good | {"months": [good["months"][0], {"month": "2024-02"} | MONTH | {"current_upb": float("nan")}]}, good | {"metadata": good["metadata"] | {"quality": {"status": "fail"}}}, good | {"metadata": good["metadata"] | {"period_end": "2024-03"}},
+    ]
+    for b in bad:
+        with pytest.raises(payload.InvalidPayload):
+            payload.validated(b)
+
+
+def test_semantic_findings():
+    rows = [{"report_period": f"2024-0{i}"} | {m: float(i) for m in payload.REQUIRED} for i in (1, 2)]
+    found = payload.semantic_findings(rows, PAYLOAD["concentration"])
+    assert found[0]["change"] == 1.0 and found[1]["change"] == 1.0 and found[-1]["measure"] == "top_10_servicer"
+    with pytest.raises(payload.InvalidPayload):
+        payload.semantic_findings([rows[0], rows[1] | {"loan_count": -1.0}], [])
