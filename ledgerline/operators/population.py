@@ -99,7 +99,8 @@ def join_reason(loans: DataFrame, securities: DataFrame) -> DataFrame:
     by_id = index.groupBy("security_id").agg(F.map_from_entries(F.collect_list(F.struct("report_period", F.struct("matches", "ended")))).alias("months"), F.max("report_period").alias("last_period"))
     by_id = by_id.select(F.col("security_id").alias("of"), F.pmod(F.xxhash64("security_id"), F.lit(1)).alias("none"), "months", "last_period")
     # Loans without an id match nothing, so they need not meet in one task.
-    none = F.when(F.col("security_id").isNull(), 1 + F.pmod(F.xxhash64(*(F.col(c) for c in loans.columns)), F.lit(SPREAD))).otherwise(0)
+    names = [c for c in ("loan_id", "source_row") if c in loans.columns] or loans.columns  # hashing few columns keeps the scan pruned
+    none = F.when(F.col("security_id").isNull(), 1 + F.pmod(F.xxhash64(*names), F.lit(SPREAD))).otherwise(0)
     out = loans.withColumn("deal", none).join(by_id, (F.col("deal") == F.col("none")) & (F.col("security_id") == F.col("of")), "left")
     out = out.withColumn("month", F.col("months")[F.col("report_period")])
     n = F.coalesce("month.matches", F.lit(0))
