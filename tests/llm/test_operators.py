@@ -591,6 +591,7 @@ def test_urls(spark):
         r = found[i]
         assert (r.host, r.path, r.rule) == (host, path, rule), u
         assert r.verdict == dict((h + p, v) for h, p, v in urls.RULES)[rule] if rule else r.verdict in ("allow", "block")
+    assert not any(found[i].verdict == "block" for i, u in rows if plain_rule(u)[2] is None)  # no held-out evidence in these labels
     labelled = spark.createDataFrame([(f"http://x{i}.org/{'9' * 30 if i % 2 else 'page'}", i % 2) for i in range(300)], "url string, blocked int")
     scored = by_id(urls.judge(spark.createDataFrame([(1, "http://z.org/" + "7" * 30), (2, "http://z.org/page")], "page_id long, url string"), labelled), "page_id")
     assert (scored[1].verdict, scored[2].verdict) == ("block", "allow")
