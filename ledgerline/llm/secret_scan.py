@@ -6,13 +6,17 @@ at - and _, and each part of 20 and more characters is tested; parts of the two
 may the spans found. Tests ask whether such a token could be drawn uniformly from that alphabet: chi-squared over
 equal classes of symbols and, for tokens too short to fill all classes, over single symbols (by their equal pairs,
 which the statistic counts); runs above and below the middle of the alphabet; serial correlation at lag one. Each
-is over all of the token; the smallest p-value, times their number, is the token's p. Random tokens have near uniform p, ordinary ones
-small p. Over all documents, by encoding and length band, the share of random tokens is estimated from
-p > 1/2, and the least threshold is taken at which the expected share of ordinary tokens among those above
-it stays under ``rate``.
+is over all of the token. The smallest of their p-values has no uniform distribution (tests depend on each other, and
+on few symbols they take few values), so a token's p is its rank among ``NULL_TOKENS`` seeded tokens that were drawn
+uniformly from the same alphabet at the same length (from 160 symbols on, at the next lower length of a grid); ties
+are broken by a hash of the token. So random tokens have uniform p, ordinary ones small p. Over all documents, by
+encoding and length band, the number of random tokens is estimated from p > 1/2, somewhat low, and the least
+threshold is taken at which the expected share of ordinary tokens among those above it stays under ``rate``.
 
 Cases: null or empty text has no spans; every repeated row is scanned; tokens of one length band that are
-all ordinary get no threshold and no span; an empty table gives an empty result.
+all ordinary get no threshold and no span; very long texts and tokens are tested whole, in time that grows with their
+length; tokens with equal tests get their ranks by hash, equal tokens equal ones; an empty table gives an empty result;
+other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -20,13 +24,17 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
+from bisect import bisect_left
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import annotate, stage
+from .common import Bounded, annotate, stage
 
 KINDS = ("assign", "access", "hex", "random")
 #: Fixed values of the query's contract.
@@ -55,7 +63,12 @@ ENCODINGS = (
 _INDEX = tuple((name, {c: i for i, c in enumerate(alphabet)}) for name, alphabet in ENCODINGS)
 #: p-values are counted in this many equal bins.
 P_BINS = 50
+#: Uniform tokens that give the null distribution of an encoding and length: so many, fewer of long ones, but no fewer than a quarter.
+NULL_TOKENS = 8000
+NULL_SEED = 90
 RATE = 0.05
+#: The number of random tokens is estimated a standard error low, but not under this share of the estimate.
+MOST_BELOW = 0.97
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -79,58 +92,79 @@ def encoding(token: str) -> tuple[int, list[int]] | None:
     return None
 
 
-def normal_tail(z: float) -> float:
-    return math.erfc(abs(z) / math.sqrt(2))
+def _erfc(x: np.ndarray) -> np.ndarray:
+    return np.fromiter(map(math.erfc, x.tolist()), float, len(x))
 
 
-def chi_squared_tail(x: float, df: int) -> float:
+def normal_tail(z: np.ndarray) -> np.ndarray:
+    return _erfc(np.abs(z) / math.sqrt(2))
+
+
+def chi_squared_tail(x: np.ndarray, df: int) -> np.ndarray:
     """Upper tail by the Wilson-Hilferty cube root."""
     v = 2 / (9 * df)
-    return 0.5 * math.erfc((((x / df) ** (1 / 3)) - (1 - v)) / math.sqrt(2 * v))
+    return 0.5 * _erfc((np.cbrt(x / df) - (1 - v)) / math.sqrt(2 * v))
 
 
-def pairs_tail(places: list[int], size: int) -> float:
+def pairs_tail(pairs: np.ndarray, mean: float) -> np.ndarray:
     """Probability of as many equal pairs of symbols or more: nearly Poisson while pairs are few for each symbol."""
-    n, counts = len(places), [0] * size
-    for p in places:
-        counts[p] += 1
-    mean, pairs = n * (n - 1) / 2 / size, sum(c * (c - 1) // 2 for c in counts)
-    term = below = math.exp(-mean)
-    if not pairs:
-        return 1.0
-    for i in range(1, pairs):
-        term *= mean / i
-        below += term
-    return max(0.0, 1 - below)
-
-
-def randomness(places: list[int], size: int) -> float:
-    """Smallest p-value times the number of tests: uniformity, runs, serial correlation."""
-    n = len(places)
+    most = int(pairs.max(initial=0))
+    terms = np.exp(-mean + np.arange(most) * math.log(mean) - np.array([math.lgamma(i + 1) for i in range(most)])) if most else np.zeros(0)
+    return np.maximum(0.0, 1 - np.r_[0.0, np.cumsum(terms)])[pairs]
+
+
+def battery(places: np.ndarray, size: int) -> np.ndarray:
+    """Smallest p-value of uniformity, runs, serial correlation and, in short tokens, equal pairs; a row for each token of one length."""
+    m, n = places.shape
+    row = np.arange(m)[:, None]
+
+    def counted(values, k):
+        return np.bincount((row * k + values).ravel(), minlength=m * k).reshape(m, k)
+
     classes = max(2, min(size, n // 5))
-    counts = [0] * classes
-    for p in places:
-        counts[p * classes // size] += 1
-    share = [len(range(-(-c * size // classes), -(-(c + 1) * size // classes))) / size * n for c in range(classes)]
-    chi = sum((c - e) ** 2 / e for c, e in zip(counts, share))
-    p_chi = chi_squared_tail(chi, classes - 1)
-    high = [p * 2 >= size for p in places]
-    a = sum(high)
+    own = np.arange(size) * classes // size
+    share = np.bincount(own, minlength=classes) * n / size
+    found = [chi_squared_tail(((counted(own[places], classes) - share) ** 2 / share).sum(axis=1), classes - 1)]
+    high = places * 2 >= size
+    a = high.sum(axis=1)
     b = n - a
-    if not a or not b:
-        return 0.0
-    runs = 1 + sum(x != y for x, y in zip(high, high[1:]))
+    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
     mean = 2 * a * b / n + 1
     spread = (mean - 1) * (mean - 2) / (n - 1)
-    p_runs = normal_tail((runs - mean) / math.sqrt(spread)) if spread > 0 else 1.0
-    m = sum(places) / n
-    var = sum((p - m) ** 2 for p in places)
-    serial = sum((x - m) * (y - m) for x, y in zip(places, places[1:])) / var if var else 1.0
-    p_serial = normal_tail((serial + 1 / n) * math.sqrt(n))
-    found = [p_chi, p_runs, p_serial]
+    found.append(np.where(spread > 0, normal_tail((runs - mean) / np.sqrt(np.where(spread > 0, spread, 1))), 1.0))
+    centred = places - places.mean(axis=1, keepdims=True)
+    var = (centred**2).sum(axis=1)
+    serial = np.where(var > 0, (centred[:, 1:] * centred[:, :-1]).sum(axis=1) / np.where(var > 0, var, 1), 1.0)
+    found.append(normal_tail((serial + 1 / n) * math.sqrt(n)))
     if n < 5 * size:
-        found.append(pairs_tail(places, size))
-    return min(1.0, len(found) * min(found))
+        times = counted(places, size)
+        found.append(pairs_tail((times * (times - 1) // 2).sum(axis=1), n * (n - 1) / 2 / size))
+    return np.where((a == 0) | (b == 0), 0.0, np.min(found, axis=0))
+
+
+def null_length(n: int, size: int) -> int:
+    """Length at which the null distribution for ``n`` is drawn: the same tests, about the same shape."""
+    grid = [160, 226, 320, 452, 640, 1280, 5120, 5 * size]
+    return n if n < 160 and n != 5 * size else max(x for x in grid if x <= n)
+
+
+def null_distribution(of: tuple[int, int]) -> np.ndarray:
+    """Sorted smallest p-values of uniform tokens; ``of``: symbols and length."""
+    size, n = of
+    rng = np.random.default_rng((NULL_SEED, size, n))
+    step, total = max(1, (1 << 20) // n), min(NULL_TOKENS, max(NULL_TOKENS // 4, NULL_TOKENS * 200 // n))
+    return np.sort(np.concatenate([battery(rng.integers(0, size, (min(step, total - i), n)), size) for i in range(0, total, step)]))
+
+
+_NULLS = Bounded(null_distribution, 1000)
+
+
+def randomness(places: np.ndarray, size: int, ties: np.ndarray) -> np.ndarray:
+    """p of each row of ``places`` (tokens of one length): uniform for tokens drawn uniformly. ``ties``: numbers in 0..1 that part equal ranks."""
+    null = _NULLS[size, null_length(places.shape[1], size)]
+    found = battery(places, size)
+    low, high = np.searchsorted(null, found, "left"), np.searchsorted(null, found, "right")
+    return (low + ties * (high - low + 1)) / (len(null) + 1)
 
 
 def band(n: int) -> int:
@@ -147,16 +181,35 @@ def pieces(token: str) -> list[tuple[int, int, int, list[int]]]:
     return [(a, b, *encoding(token[a:b])) for a, b in spans]
 
 
-def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[dict]:
-    """Tokens outside the base spans: start, end, group (encoding and band), bin of p."""
+def tokens(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, list[int], float]]:
+    """Tokens outside the base spans, which are sorted by start: start, end, encoding, places, and what parts ties."""
+    starts, ends = [s for s, _, _ in taken], list(accumulate((e for _, _, e in taken), max))
     out = []
     for m in TOKEN.finditer(text):
         for a, b, k, places in pieces(m[0]):
             start, end = m.start() + a, m.start() + b
-            if any(s < end and start < e for s, _, e in taken):
-                continue
-            p = randomness(places, len(ENCODINGS[k][1]))
-            out.append({"start": start, "end": end, "group": k * 8 + band(end - start), "bin": min(P_BINS - 1, int(p * P_BINS))})
+            before = bisect_left(starts, end)  # of the spans that start before its end, one ends after its start
+            if not before or ends[before - 1] <= start:
+                out.append((start, end, k, places, (zlib.crc32(text[start:end].encode()) + 0.5) / 2**32))
+    return out
+
+
+def candidates(texts: list[str], taken: list[list[tuple[int, int, int]]]) -> list[list[dict]]:
+    """Of each text its tokens: start, end, group (encoding and band), bin of p. Tokens of one kind and length are tested together."""
+    out: list[list[dict]] = []
+    alike: dict[tuple[int, int], list[tuple[dict, list[int], float]]] = {}
+    for text, spans in zip(texts, taken):
+        own = []
+        for start, end, k, places, tie in tokens(text, spans):
+            own.append({"start": start, "end": end, "group": k * 8 + band(end - start), "bin": 0})
+            alike.setdefault((k, len(places)), []).append((own[-1], places, tie))
+        out.append(own)
+    for (k, n), found in alike.items():
+        step = max(1, (1 << 20) // n)
+        for i in range(0, len(found), step):
+            rows, places, ties = zip(*found[i : i + step])
+            for row, p in zip(rows, randomness(np.array(places, np.int64), len(ENCODINGS[k][1]), np.array(ties)).tolist()):
+                row["bin"] = min(P_BINS - 1, int(p * P_BINS))
     return out
 
 
@@ -170,14 +223,11 @@ def _make():
     cand = pa.list_(pa.struct([(n, pa.int32()) for n in ("start", "end", "group", "bin")]))
 
     def run(texts):
-        base, sha, found = [], [], []
-        for text in texts:
-            text = text or ""
-            spans = base_spans(text)
-            base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-            sha.append(hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans).encode()).hexdigest())
-            found.append(candidates(text, spans))
-        return [pa.array(base, span), pa.array(sha, pa.string()), pa.array(found, cand)]
+        texts = [t or "" for t in texts]
+        spans = [base_spans(t) for t in texts]
+        base = [[{"start": s, "kind": k, "end": e} for s, k, e in own] for own in spans]
+        sha = [hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in own).encode()).hexdigest() for own in spans]
+        return [pa.array(base, span), pa.array(sha, pa.string()), pa.array(candidates(texts, spans), cand)]
 
     return run
 
@@ -186,15 +236,16 @@ def thresholds(counts: dict[tuple[int, int], int], rate: float = RATE) -> dict[i
     """From counts by (group, bin): the least bin from which on tokens of the group are random.
 
     Storey's estimate: tokens with p > 1/2 are random, and random p is uniform. Of the tokens in bin b or
-    above, those beyond the expected number of random ones are ordinary; their share must stay under ``rate``."""
+    above, those beyond the expected number of random ones are ordinary; their share must stay under ``rate``. The
+    estimate is taken low, as ``MOST_BELOW`` says; above the middle, where it is made, no token counts as ordinary."""
     out = {}
     for group in {g for g, _ in counts}:
         row = [counts.get((group, b), 0) for b in range(P_BINS)]
         upper = sum(row[P_BINS // 2 :])
-        each = upper / (P_BINS - P_BINS // 2)
+        each = max(upper - math.sqrt(upper), MOST_BELOW * upper) / (P_BINS - P_BINS // 2)
         for b in range(P_BINS):
             passed = sum(row[b:])
-            if passed and passed - each * (P_BINS - b) <= rate * passed:
+            if passed and (b >= P_BINS // 2 or passed - each * (P_BINS - b) <= rate * passed):
                 out[group] = b
                 break
     return out

@@ -2,7 +2,10 @@
 
 import hashlib
 import itertools
+import math
 import re
+import time
+import zlib
 
 import numpy as np
 import pytest
@@ -676,7 +679,7 @@ def test_secret_spans_against_a_plain_scan(spark):
                 continue
             k = next(k for k, (_, symbols) in enumerate(secret_scan.ENCODINGS) if set(m[0].rstrip("=")) <= set(symbols))
             symbols = secret_scan.ENCODINGS[k][1]
-            p = secret_scan.randomness([symbols.index(c) for c in m[0].rstrip("=")], len(symbols))
+            p = secret_scan.randomness(np.array([[symbols.index(c) for c in m[0].rstrip("=")]]), len(symbols), np.array([(zlib.crc32(m[0].encode()) + 0.5) / 2**32]))[0]
             group = (k * 8 + secret_scan.band(len(m[0])), min(secret_scan.P_BINS - 1, int(p * secret_scan.P_BINS)))
             counts[group] = counts.get(group, 0) + 1
             seen.append((i, m.start(), m.end(), *group))
@@ -687,12 +690,61 @@ def test_secret_spans_against_a_plain_scan(spark):
     assert sum(len(w) for w in want) > 2500 and not want[-1]
 
 
-def test_random_p_values_are_even():
+@pytest.mark.parametrize("size,n", [(10, 20), (16, 31), (26, 24), (36, 48), (62, 48), (64, 60), (64, 170), (64, 330), (26, 400)])
+def test_random_p_values_are_even(size, n):
     rng = np.random.default_rng(9)
-    p = [secret_scan.randomness(rng.integers(0, 64, 60).tolist(), 64) for _ in range(400)]
-    assert 0.3 < np.mean(np.array(p) > 0.5) < 0.95 and np.mean(np.array(p) < 0.05) < 0.12
-    assert secret_scan.thresholds({(0, b): 10 for b in range(50)})[0] == 0
-    assert secret_scan.thresholds({(0, 0): 1000, (0, 1): 1}) == {}
+    p = secret_scan.randomness(rng.integers(0, size, (6000, n)), size, rng.random(6000))
+    assert 0.47 < np.mean(p > 0.5) < 0.53
+    assert np.abs(np.histogram(p, secret_scan.P_BINS // 5, (0, 1))[0] / 6000 - 0.1).max() < 0.03
+
+
+def test_thresholds():
+    assert secret_scan.thresholds({(0, 0): 1000}) == {}
+    assert secret_scan.thresholds({(0, b): 10_000 for b in range(50)})[0] == 0
+
+
+@pytest.mark.parametrize("ordinary", [0.02, 0.2, 0.5, 0.8, 0.95])
+def test_share_of_false_finds(ordinary):
+    """Random tokens among ordinary ones of small p: of what passes, at most the rate is ordinary, and most random tokens pass."""
+    rng = np.random.default_rng(int(ordinary * 100))
+    n = 40_000
+    false = rng.random(n) < ordinary
+    p = np.where(false, rng.beta(0.2, 12, n), secret_scan.randomness(rng.integers(0, 62, (n, 40)), 62, rng.random(n)))
+    bins = np.minimum((p * secret_scan.P_BINS).astype(int), secret_scan.P_BINS - 1)
+    least = secret_scan.thresholds({(0, int(b)): int(c) for b, c in zip(*np.unique(bins, return_counts=True))})[0]
+    passed = bins >= least
+    assert false[passed].mean() <= secret_scan.RATE and (passed & ~false).sum() > 0.6 * (~false).sum()
+
+
+def test_tests_against_plain_sums():
+    """The battery, all tokens at once, against one token's tests in plain sums."""
+    rng = np.random.default_rng(10)
+    for size, n in ((16, 33), (64, 25), (26, 200)):
+        tokens_ = rng.integers(0, size, (20, n))
+        for places, found in zip(tokens_.tolist(), secret_scan.battery(tokens_, size)):
+            classes = max(2, min(size, n // 5))
+            of = [x * classes // size for x in range(size)]
+            share = [of.count(c) * n / size for c in range(classes)]
+            chi = sum((sum(of[x] == c for x in places) - share[c]) ** 2 / share[c] for c in range(classes))
+            high = [2 * x >= size for x in places]
+            a = sum(high)
+            runs, mean = 1 + sum(x != y for x, y in zip(high, high[1:])), 2 * a * (n - a) / n + 1
+            m = sum(places) / n
+            serial = sum((x - m) * (y - m) for x, y in zip(places, places[1:])) / sum((x - m) ** 2 for x in places)
+            v, k = 2 / (9 * (classes - 1)), classes - 1
+            want = [math.erfc(((chi / k) ** (1 / 3) - (1 - v)) / math.sqrt(2 * v)) / 2, math.erfc(abs((runs - mean) / math.sqrt((mean - 1) * (mean - 2) / (n - 1))) / 2**0.5), math.erfc(abs((serial + 1 / n) * n**0.5) / 2**0.5)]
+            if n < 5 * size:
+                pairs, rate = sum(x == y for i, x in enumerate(places) for y in places[:i]), n * (n - 1) / 2 / size
+                want.append(1 - sum(math.exp(-rate) * rate**i / math.factorial(i) for i in range(pairs)))
+            assert found == pytest.approx(min(want), abs=1e-9)
+
+
+def test_many_spans_and_tokens_take_linear_time():
+    text = " ".join(f"token=abcdefgh{i:08d} AKIA{i:016d} {'q7' * 12}" for i in range(40_000))
+    began = time.time()
+    spans = secret_scan.base_spans(text)
+    assert len(spans) == 80_000 and len(secret_scan.candidates([text], [spans])[0]) == 40_000
+    assert time.time() - began < 20
 
 
 # ---- 10
