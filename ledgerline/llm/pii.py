@@ -9,7 +9,7 @@ a sentence or line starts there), so it can part what the votes cannot. Counts a
 shapes (``PATTERN_ROWS``), so fitting happens on the driver.
 
 Cases: null or empty text has no spans; a candidate that overlaps a base span is dropped; repeated rows are
-searched each, and count each; very long texts are searched whole; without candidates the model is the prior;
+searched each, and count each; very long texts are searched whole, in time that grows with their length and spans; without candidates the model is the prior;
 an empty table gives an empty result; other columns play no part.
 """
 
@@ -72,17 +72,66 @@ PATTERN_ROWS = len(MORE_KINDS) * 3**LABELERS * 3 * 3 * 2
 CONTEXT = 40
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a column that is computed once, however often ``body`` names it, lambdas within included."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Elements that ``scan`` goes through by one aggregate, which copies what it has for each.
+STEP = 64
+
+
+def scan(values: Column, merge, rounds: int = 3) -> Column:
+    """Running totals of an array by the associative ``merge``: in chunks of ``STEP``, then over the chunks' totals, and so
+    on for ``rounds``, so that the time is linear up to ``STEP`` to the power of ``rounds`` elements (quadratic in 64ths beyond)."""
+
+    def plain(a: Column) -> Column:
+        step = lambda acc, x: F.concat(acc, F.array(F.when(F.size(acc) == 0, x).otherwise(merge(F.element_at(acc, -1), x))))
+        return F.aggregate(a, F.array().cast("array<int>"), lambda acc, x: F.when(F.size(acc) == 0, F.array(x)).otherwise(step(acc, x)))
+
+    if not rounds:
+        return plain(values)
+
+    def chunked(a: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / STEP).cast("int")), lambda i: plain(F.slice(a, i * STEP + 1, F.lit(STEP))))
+
+        def shifted(c: Column) -> Column:
+            totals = scan(F.transform(c, lambda x: F.element_at(x, -1)), merge, rounds - 1)
+            return let(totals, lambda t: F.flatten(F.transform(c, lambda chunk, i: F.when(i == 0, chunk).otherwise(let(F.get(t, i - 1), lambda before: F.transform(chunk, lambda x: merge(before, x)))))))
+
+        return let(chunks, shifted)
+
+    return let(values, lambda a: F.when(F.size(a) <= STEP, plain(a)).otherwise(chunked(a)))
+
+
 def located(text: Column, pattern: str, values: Column, flags_left: bool = False) -> Column:
     """Array of (start, end, value, left) for ``values``, all matches of ``pattern`` in order: what lies between
     them gives the places. Code points, end exclusive; left is up to ``CONTEXT`` characters since the last match."""
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(values)), values, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("n"), v.alias("value"), F.right(g, F.lit(CONTEXT)).alias("left")))
     none = F.array().cast("array<struct<start:int,end:int,value:string,left:string>>")
-    step = lambda a, p: F.struct(
-        (a["at"] + p["gap"] + p["n"]).alias("at"),
-        F.concat(a["out"], F.array(F.struct((a["at"] + p["gap"]).alias("start"), (a["at"] + p["gap"] + p["n"]).alias("end"), p["value"].alias("value"), (p["left"] if flags_left else F.lit("")).alias("left")))).alias("out"),
-    )
-    return F.when(F.size(values) > 0, F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])).otherwise(none)
+
+    def placed(v: Column) -> Column:
+        def spans(gaps: Column) -> Column:
+            ends = scan(F.zip_with(F.slice(gaps, 1, F.size(v)), v, lambda g, x: F.length(g) + F.length(x)), lambda a, x: a + x)
+            left = lambda i: F.right(F.get(gaps, i), F.lit(CONTEXT)) if flags_left else F.lit("")
+            return let(ends, lambda e: F.transform(v, lambda x, i: F.struct((F.get(e, i) - F.length(x)).alias("start"), F.get(e, i).alias("end"), x.alias("value"), left(i).alias("left"))))
+
+        return let(F.split(text, pattern, -1), spans)
+
+    return F.when(F.size(values) > 0, let(values, placed)).otherwise(none)
+
+
+def free(more: Column, base: Column) -> Column:
+    """The candidates ``more`` that no span of ``base`` overlaps: all sorted by start, and for each the last end of a base
+    span up to it and the first start of one after it."""
+    candidates = F.transform(more, lambda c: F.struct(c["start"].alias("start"), F.lit(0).alias("base"), c["end"].alias("end"), c["value"].alias("value"), c["left"].alias("left")))
+    others = F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(1).alias("base"), b["end"].alias("end"), F.lit("").alias("value"), F.lit("").alias("left")))
+
+    def apart(both: Column) -> Column:
+        last = scan(F.transform(both, lambda s: F.when(s["base"] == 1, s["end"]).otherwise(0)), lambda a, x: F.greatest(a, x))
+        after = scan(F.transform(F.reverse(both), lambda s: F.when(s["base"] == 1, s["start"]).otherwise(2**31 - 1)), lambda a, x: F.least(a, x))
+        return let(last, lambda e: let(F.reverse(after), lambda f: F.filter(both, lambda s, i: (s["base"] == 0) & (F.get(e, i) <= s["start"]) & (F.get(f, i) >= s["end"]))))
+
+    return F.when((F.size(more) == 0) | (F.size(base) == 0), candidates).otherwise(let(F.array_sort(F.concat(candidates, others)), apart))
 
 
 def _digits(value: Column) -> Column:
@@ -163,8 +212,7 @@ def extract(docs: DataFrame) -> DataFrame:
     out = out.select("doc_id", *(p.alias(k) for k, p in places.items()), located(F.col("text"), everything, F.col("more"), True).alias("more"))
     base = F.concat(*(F.transform(k, _span_of(i)) for i, k in enumerate(BASE_KINDS)))
     out = out.select("doc_id", base.alias("base"), "more")
-    free = F.filter("more", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return out.select("doc_id", "base", F.transform(free, _votes).alias("found"))
+    return out.select("doc_id", "base", F.transform(free(F.col("more"), F.col("base")), _votes).alias("found"))
 
 
 # ---- the model, on counts of patterns: {(kind, votes, shapes): count}
