@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def hashable(df: DataFrame, columns: list[str]) -> list[Column]:
+    """``columns`` as what a hash can be taken of: those that hold maps or variants as JSON."""
+    odd = lambda kind: any(x in kind.simpleString() for x in ("map<", "variant"))
+    return [F.to_json(F.struct(F.col(f"`{c}`"))) if odd(df.schema[c].dataType) else F.col(f"`{c}`") for c in columns]
+
+
 def word_count(text):
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text column, natively and without an array of them; null counts 0."""
     kept = F.rtrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

@@ -11,8 +11,7 @@ nearest fit; these rows are counted and made again from one of them, so that no
 
 Cases: null text counts 0 words; null source is a source; a source without words has target 0; repeated rows,
 with or without an id, are taken one by one; ties in the order are equal rows; texts of any length count whole;
-an empty table gives an empty mix. Extra columns pass through ``take`` untouched, whatever their names (columns
-of map type have no hash: convert them before).
+an empty table gives an empty mix. Extra columns pass through ``take`` untouched, whatever their names and types.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, small, stage, word_count
+from .common import fresh, hashable, small, stage, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -31,10 +30,10 @@ CHUNK = 100_000
 
 def _key(docs: DataFrame, seed: int):
     """A seeded place in the order of documents: 32 hex digits, more if there are columns beyond those of the digests."""
-    text = F.coalesce("text", F.lit(""))
-    place = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.md5(text)))
+    text = F.coalesce(F.md5("text"), F.lit("null"))
+    place = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("|"), text))
     others = sorted(c for c in docs.columns if c not in ("doc_id", "text", "source"))
-    return F.concat(place, F.lower(F.lpad(F.hex(F.xxhash64(*(F.col(f"`{c}`") for c in others))), 16, "0"))) if others else place
+    return F.concat(place, F.lower(F.lpad(F.hex(F.xxhash64(*hashable(docs, others))), 16, "0"))) if others else place
 
 
 def water_level(sources: DataFrame, total: float) -> float:
@@ -132,7 +131,7 @@ def take(docs: DataFrame) -> DataFrame:
 
 DIGEST_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(text, '') AS text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+  SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
 ), s AS (
   SELECT source, sum(size) AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM d GROUP BY source
 ), o AS (
@@ -144,7 +143,7 @@ WITH d AS (
 t AS (SELECT source, source_size, round(least(CAST(cap AS DOUBLE), level * weight), 6) AS target FROM o, l),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size + 1e-12) ELSE 0 END AS whole FROM t),
 m AS (
-  SELECT d.doc_id, size, source_size, target, whole, target - whole * source_size AS rest, md5('{SEED}|' || coalesce(CAST(d.doc_id AS VARCHAR), '') || '|' || md5(d.text)) AS key, d.source
+  SELECT d.doc_id, size, source_size, target, whole, target - whole * source_size AS rest, md5('{SEED}|' || coalesce(CAST(d.doc_id AS VARCHAR), 'null') || '|' || coalesce(md5(d.text), 'null')) AS key, d.source
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 ), r AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sofar FROM m)
 SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(size * (whole + CASE WHEN rest > 0 AND sofar + size / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r

@@ -15,7 +15,8 @@ Documents have no URL here: ``source`` stands for the host and ``lang`` for the
 Cases: null or empty text scores as a text without words; null host or path are a site of their own;
 repeated rows are judged each; labels are read once per (doc_id, values); ties in the hash order are broken by
 id, labels and text; without both classes among the labels a model says nothing and rejects nothing; an empty
-table gives an empty result; ``keep_good`` passes extra columns through, whatever their names.
+table gives an empty result; ``keep_good`` judges each row by itself, rows that share an id or have none included,
+and passes extra columns through, whatever their names.
 """
 
 from __future__ import annotations
@@ -105,7 +106,13 @@ def log_odds(model: dict | None, text: bytes, found: set[bytes], dense: list[flo
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS, seed: int = SEED) -> dict:
     """Models for ``quality`` and ``toxic``. The bounded sample is drawn from the labels before any text is read."""
     chosen = labels.select("doc_id", *HEADS).where("doc_id is not null").distinct().orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", *HEADS).limit(2 * max_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", *HEADS, "text").limit(max_rows)
+    # Which rows are taken is settled on narrow rows; whole texts are read for these alone, in the tasks that scan them.
+    order = [F.xxhash64(F.lit(seed), "doc_id"), "doc_id", *HEADS, "digest"]
+    digest = F.xxhash64("text").alias("digest")
+    near = docs.select("doc_id", digest).join(F.broadcast(chosen), "doc_id").orderBy(*order).limit(max_rows)
+    near = stage(near.groupBy("doc_id", "digest", *HEADS).agg(F.count("*").alias("rows")), "quality-rows")
+    texts = docs.select("doc_id", "text", digest).join(F.broadcast(near.select("doc_id", "digest").distinct()), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+    rows = texts.join(F.broadcast(near), ["doc_id", "digest"]).select("doc_id", *HEADS, "text", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).drop("col")
     sample = stage(annotate(rows, "text", _make_sample, _SAMPLE).drop("text"), "quality-sample")
     models: dict = {}
     for head in HEADS:
@@ -193,10 +200,10 @@ def posteriors(scored: DataFrame, head: str) -> tuple[DataFrame, float, float, f
     return joined, mean, k_host, strength(joined, "host")[1]
 
 
-def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", **options) -> DataFrame:
-    """doc_id, p_quality, p_toxic (both after the site's evidence), kept."""
+def judged(docs: DataFrame, labels: DataFrame, host: str, path: str, keep: list[Column], **options) -> DataFrame:
+    """``keep`` (columns of documents), p_quality, p_toxic (both after the site's evidence), kept."""
     models = train(docs, labels, **options)
-    scored = stage(scores(docs.select("doc_id", "text", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path")), models), "quality-scores")
+    scored = stage(scores(docs.select("text", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), F.struct(*keep).alias("row")), models), "quality-scores")
     out = scored
     for head in HEADS:
         if models[head] is None:
@@ -208,13 +215,18 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str =
         others = (F.col("s") - _sigmoid(F.col(head)) + k * F.col("host_mean")) / (F.col("n") - 1 + k)
         move = (_logit(F.col("host_mean")) - _logit(F.lit(mean))) / (1 + k_host) + (_logit(others) - _logit(F.col("host_mean"))) / (1 + k)
         out = out.withColumn(f"p_{head}", F.round(_sigmoid(F.col(head) + move), 6)).drop("h", "p", "n", "s", "host_mean")
-    return out.select("doc_id", "p_quality", "p_toxic", ((F.col("p_quality") >= LEAST_QUALITY) & (F.col("p_toxic") < MOST_TOXIC)).alias("kept"))
+    return out.select("row", "p_quality", "p_toxic", ((F.col("p_quality") >= LEAST_QUALITY) & (F.col("p_toxic") < MOST_TOXIC)).alias("kept"))
+
+
+def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", **options) -> DataFrame:
+    """doc_id, p_quality, p_toxic (both after the site's evidence), kept."""
+    return judged(docs, labels, host, path, [F.col("doc_id")], **options).select("row.doc_id", "p_quality", "p_toxic", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, with all their columns; where rows share a doc_id, one rejected row takes all."""
-    gone = stage(judge(docs, labels).where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("gone")), "quality-gone")
-    return docs.join(small(gone), docs["doc_id"] == gone["gone"], "left_anti")
+    """The documents that are kept, with all their columns: each row's verdict goes with it."""
+    kept = judged(docs, labels, "source", "lang", [F.col(f"`{c}`") for c in docs.columns]).where("kept")
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def digests(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from ledgerline.llm import near_dedup, pipeline
+from ledgerline.llm import mixing, near_dedup, pipeline
 
 
 def plain_shingles(text):
@@ -65,3 +65,27 @@ def test_one_row_of_each_component_stays(spark):
     assert {(r.doc_id, r.text) for r in kept if r.text} == {(None, "other words"), (5, text)}
     assert len(kept) == 3 and kept[0].asDict().keys() == {"doc_id", "text", "name", "gone"}
     assert sorted(map(str, near_dedup.keep_first(docs.repartition(2)).collect())) == sorted(map(str, kept))
+
+
+def test_copies_meet_a_key_once(spark):
+    """However many copies a text has, its keys are dealt out once."""
+    text = " ".join(f"c{i}" for i in range(50))
+    docs = spark.createDataFrame([(i, text if i % 3 else f"{text} tail") for i in range(600)], "doc_id long, text string")
+    met = []
+    plain = near_dedup.candidates
+    near_dedup.candidates = lambda sets: met.append(sets.count()) or plain(sets)
+    try:
+        assert [r.doc_id for r in near_dedup.keep_first(docs).collect()] == [0]
+    finally:
+        near_dedup.candidates = plain
+    assert met == [2]
+
+
+def test_columns_of_any_type_pass(spark):
+    """Maps, and what holds them, have no hash of their own."""
+    text = " ".join(f"m{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text, "a", {"k": 1}, [{"x": 2}]), (1, text, "a", {"k": 2}, []), (1, text, "a", {"k": 1}, [{"x": 2}]), (2, None, "b", None, None)], "doc_id long, text string, source string, tags map<string,int>, more array<map<string,int>>")
+    kept = near_dedup.keep_first(docs).collect()
+    assert len(kept) == 2 and {r.doc_id for r in kept} == {1, 2}
+    taken = mixing.take(docs)
+    assert taken.columns == docs.columns and {str(r) for r in taken.collect()} <= {str(r) for r in docs.collect()}

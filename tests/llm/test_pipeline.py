@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import mixing, quality, tokens
@@ -33,6 +34,8 @@ def make_corpus():
         kinds.append(kind)
     rows = [(i, t, "en" if i % 3 else None, ["a", "b", None][i % 3], len(t)) for i, t in enumerate(texts)]
     labels = [(i, int(k != "junk"), int(k == "toxic")) for i, k in enumerate(kinds) if i % 2 or k == "toxic"]
+    junk, toxic = next(t for t, k in zip(texts, kinds) if k == "junk"), next(t for t, k in zip(texts, kinds) if k == "toxic")
+    rows += [(None, junk, "en", "a", 1), (None, toxic, "en", "b", 2), (0, junk, "en", "a", 3), (903, toxic, "en", "a", 4), (903, prose(60), "en", "a", 5)]
     rows += [(None, texts[0], "en", "a", 5), (0, texts[0], "en", "a", 6), (900, None, "en", "a", 0), (901, "", None, None, 0), (902, prose(20_000), "en", "a", 7)]
     return rows, labels, items, kinds
 
@@ -56,10 +59,16 @@ def test_stages(spark, corpus):
     before = docs.collect()
 
     good = stages["quality"](spark, docs, folder)
-    rejected = {r.doc_id for r in quality.judge(docs, labels).where("not kept").collect()}
     kept = good.collect()
-    assert Counter(kept) == Counter(r for r in before if r.doc_id not in rejected) and good.columns == docs.columns
-    assert {kinds[i] for i in rejected if i is not None and i < 240} == {"junk", "toxic"} and len(rejected) >= 50
+    assert good.columns == docs.columns and not Counter(kept) - Counter(before)
+    # Each row by itself, whatever other rows of its id or without one are.
+    verdicts = quality.judged(docs, labels, "source", "lang", [F.struct(*docs.columns).alias("all")]).select("row.all", "kept").collect()
+    assert len(before) == len(verdicts) and Counter(r.all for r in verdicts if r.kept) == Counter(kept)
+    gone = Counter(before) - Counter(kept)
+    bad = lambda t: "###" in (t or "") or "vile trash" in (t or "")
+    assert all(bad(r.text) or len((r.text or "").split()) < 10 for r in gone) and sum(gone.values()) >= 50
+    assert sum(bad(r.text) for r in gone.elements()) == sum(bad(r.text) for r in before) - sum(bad(r.text) for r in kept)
+    assert not [r for r in kept if r.doc_id is None and bad(r.text)] and {r.doc_id for r in kept} >= {0, 903}
 
     good = spark.createDataFrame(kept, docs.schema)
     distinct = stages["near_dedup"](spark, good, folder).collect()
