@@ -91,17 +91,33 @@ def top() -> Column:
     return F.coalesce(*(f"level{k}" for k in range(LEVELS, -1, -1)))
 
 
-def segments(at: Column) -> Column:
-    """What flanks a node of a block on each of its levels: array of (left, right)."""
+_PATH = "array<struct<left:string,right:string>>"
+
+
+def flanks(run: Column, i: Column) -> Column:
+    """What flanks node ``i`` of a run."""
+    return F.struct(F.substring(run, F.lit(1), i * _HEX).alias("left"), F.substring(run, (i + 1) * _HEX + 1, (FAN - 1 - i) * _HEX).alias("right"))
+
+
+def segments(run: Column) -> Column:
+    """What flanks a block's run number ``run`` on its way to the block's root: array of (left, right)."""
 
     def of(k: int) -> Column:
-        i = F.floor(at / FAN**k).cast("int")
-        first = F.floor(i / FAN).cast("int") * FAN
-        left = F.substring(F.col(f"level{k}"), first * _HEX + 1, (i - first) * _HEX)
-        right = F.substring(F.col(f"level{k}"), (i + 1) * _HEX + 1, (first + FAN - 1 - i) * _HEX)
-        return F.struct(left.alias("left"), right.alias("right"))
+        i = F.floor(run / FAN ** (k - 1)).cast("int")
+        return flanks(F.substring(F.col(f"level{k}"), (i - i % FAN) * _HEX + 1, F.lit(FAN * _HEX)), i % FAN)
 
-    return F.slice(F.array(*(of(k) for k in range(LEVELS))), F.lit(1), F.col("height"))
+    return F.slice(F.array(*(of(k) for k in range(1, LEVELS))).cast(_PATH), F.lit(1), F.greatest(F.col("height") - 1, F.lit(0)))
+
+
+def leaves_of(blocks: DataFrame, upper: str, others: list[str]) -> DataFrame:
+    """A row for each node of ``blocks``: group, block, its row, path and ``others``. Runs come first, so that strings of a whole
+    block are cut once for a run, and a run's for its nodes."""
+    width = FAN * _HEX
+    run = lambda i: F.struct(F.substring("level0", i * width + 1, F.lit(width)).alias("digests"), F.slice("rows", i * FAN + 1, F.lit(FAN)).alias("nodes"), F.concat(segments(i), upper).alias("rest"))
+    runs_ = blocks.select("group", "block", "height", *others, F.explode(F.transform(F.sequence(F.lit(0), F.ceil(F.size("rows") / FAN).cast("int") - 1), run)).alias("run"))
+    each = runs_.select("group", "block", "height", *others, "run.digests", "run.rest", F.explode("run.nodes").alias("row"))
+    own = F.when(F.col("height") > 0, F.array(flanks(F.col("digests"), F.col("row.at") % FAN))).otherwise(F.array().cast(_PATH))
+    return each.select("group", "block", "row", F.concat(own, "rest").alias("path"), *others)
 
 
 def roots(nodes: DataFrame, keep: list[str], name: str) -> tuple[list[DataFrame], DataFrame]:
@@ -133,11 +149,10 @@ def proofs(rounds: list[DataFrame], above: DataFrame, name: str) -> DataFrame:
         met = spread_join(single, above.withColumnRenamed("path", "upper"), "group")
         if k < len(rounds) - 1:
             met = met.unionByName(levels.where(F.col("n") > BLOCK).join(small(blocks.withColumnRenamed("path", "upper")), ["group", "block"]))
-        each = met.withColumn("row", F.explode("rows"))
-        path = F.concat(segments(F.col("row.at")), "upper").alias("path")
+        each = leaves_of(met, "upper", others)
         if not k:
-            return each.select("group", "row.*", path, *others)
-        blocks = stage(each.select("group", F.col("block").alias("outer"), "row.at", path, *others).select("group", (F.col("outer") * BLOCK + F.col("at")).alias("block"), "path", *others), f"{name}-paths{k}")
+            return each.select("group", "row.*", "path", *others)
+        blocks = stage(each.select("group", (F.col("block") * BLOCK + F.col("row.at")).alias("block"), "path", *others), f"{name}-paths{k}")
     raise AssertionError
 
 
@@ -164,7 +179,7 @@ def manifest(docs: DataFrame, keep: dict[str, Column] | None = None) -> DataFram
     # The sources' roots are leaves of one more tree, of one group.
     sources = numbered(subroots.select(F.lit("").alias("group"), F.col("group").alias("key"), "digest"), "group", ["key"], "merkle-sources").withColumn("subroot", F.col("digest"))
     upper, root = roots(sources, ["key", "subroot"], "merkle-top")
-    none = F.array().cast("array<struct<left:string,right:string>>")
+    none = F.array().cast(_PATH)
     tops = proofs(upper, root.select("group", none.alias("path"), F.col("digest").alias("root")), "merkle-top")
     tops = stage(tops.select(F.col("key").alias("group"), "path", "subroot", "root"), "merkle-tops")
     return proofs(rounds, tops, "merkle").drop("group", "at")
