@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import fields, population
 from ..sources import archives, provider_rules
+from . import release
+from .parts import Parts, digests
 
 #: Target of the contract -> column, decimals kept (None: integer) and the name used in messages.
 SECURITY_NUMBERS = (
@@ -74,7 +76,7 @@ def raw_rows(lines: DataFrame, files: DataFrame, kind: Kind) -> DataFrame:
     heads = archives.headers(lines).select("file", "header")
     usable = files.where("blocker is null").where(F.col("family").startswith(kind.prefix)).select("file", "family", "report_period", "schema_version").join(heads, "file")
     body = lines.where("line > 1").where(F.trim("value") != "").withColumn("cells", archives.cells(F.col("value")))
-    out = body.join(F.broadcast(usable), "file")  # one row for each file
+    out = body.join(usable, "file")
     return out.select(F.col("file").alias("source_file"), F.col("line").alias("source_row"), F.col("family").alias("source_family"), "schema_version", published.alias("publication_date"), S.as_of_timestamp(published).alias("as_of_timestamp"), "report_period", "cells", "header")
 
 
@@ -160,7 +162,7 @@ def conform(lines: DataFrame, files: DataFrame, aliases: Mapping[str, Mapping[st
     )
     manifest = keep(manifest.unionByName(supplemental))
     passing = manifest.where("quality_status = 'pass'").select("source_file")
-    facts = {k: d.where("disposition = 'accepted'").drop("disposition", "error").join(F.broadcast(passing), "source_file", "left_semi") for k, d in judged.items()}
+    facts = {k: d.where("disposition = 'accepted'").drop("disposition", "error").join(passing, "source_file", "left_semi") for k, d in judged.items()}
     loans = keep(population.join_reason(facts[LOAN], facts[SECURITY]))
     issues = None
     for k, d in judged.items():
@@ -179,10 +181,29 @@ def load(spark: SparkSession, path: str, contract: Mapping[str, Any], aliases: M
     return conform(lines, keep(archives.inventory(lines, contract)), aliases, keep=keep, **options)
 
 
-def write(found: Conformed, root: str) -> None:
-    """Publishes facts by month and source file, so that a repeated or later run replaces only its own files."""
-    for name, frame in (("securities", found.securities), ("loans", found.loans)):
-        frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_period", "source_file").parquet(f"{root}/{name}")
-    for name, frame in (("manifest", found.manifest), ("issues", found.issues)):
-        frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(f"{root}/{name}")
-    found.join_counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_period").parquet(f"{root}/join_counts")
+#: Tables that ``write`` keeps by source file.
+PUBLISHED = ("securities", "loans", "issues", "manifest")
+
+
+def write(found: Conformed, root: str, after=lambda step: None) -> None:
+    """Publishes a batch by source file, each table in one gated commit (``parts.Parts``): facts have as many rows as their
+    manifest publishes, or nothing changes; a repeated or later run replaces its own files only. Manifests come last, so a
+    file counts as published once they say so. Join counts are by month."""
+    spark = found.manifest.sparkSession
+    of = lambda kind: found.manifest.where(F.col("source_family").startswith(kind.prefix)).select(F.col("source_file").alias("part"), F.col("published_count").cast("long").alias("rows"))
+    for name, frame, expected in (("securities", found.securities, of(SECURITY)), ("loans", found.loans, of(LOAN))):
+        Parts(spark, f"{root}/{name}", after).commit(frame.withColumn("part", F.col("source_file")), expected)
+    files = found.manifest.select(F.col("source_file").alias("part"))
+    for name, frame, by, expected in (("issues", found.issues, "source_file", files), ("join_counts", found.join_counts, "report_period", None), ("manifest", found.manifest, "source_file", files)):
+        kept = release.staged(frame.withColumn("part", F.col(by)), f"{root}/building")
+        known = digests(kept)
+        expected = known if expected is None else expected.join(known, "part", "left").select("part", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "digest")
+        Parts(spark, f"{root}/{name}", after).commit(kept, expected)
+
+
+def published(spark: SparkSession, root: str, name: str, files: list[str] | None = None) -> DataFrame:
+    """A table that ``write`` published, or its rows of some source files."""
+    found = Parts(spark, f"{root}/{name}").read(files)
+    if found is None:
+        raise FileNotFoundError(f"no {name} below {root}")
+    return found.drop("part")

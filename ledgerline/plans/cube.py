@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas as C
 from ..functions import scalars as S
+from ..operators import order
+from .parts import workspace
 
 TOP_N = 10
 
@@ -108,11 +110,15 @@ def file_completeness(expected: DataFrame) -> DataFrame:
 
 def issuance(facts: DataFrame, groups: Column, only=None) -> DataFrame | None:
     """``facts``: report_period, issuance_cents; ``groups``: the product group of a row."""
-    monthly = facts.groupBy("report_period").agg(F.count("*").alias("n"), F.sum("issuance_cents").alias("upb"), F.median("issuance_cents").alias("middle"))
+    monthly = facts.groupBy("report_period").agg(F.count("*").alias("n"), F.sum("issuance_cents").alias("upb"))
     wanted = lambda *names: only is None or set(names) & set(only)
+    sizes = monthly
+    if wanted("security_size_distribution"):
+        middle = order.order_statistics(facts, ["report_period"], "issuance_cents", {"middle": order.between(0.5)}, f"{workspace(facts.sparkSession)}/medians")
+        sizes = monthly.join(middle, "report_period", "left")
     frames = [
         tall(
-            monthly,
+            sizes if "middle" in sizes.columns else sizes.withColumn("middle", F.lit(None).cast("double")),
             [
                 row("issuance_volume", "issuance_upb", "upb", None, "n"),
                 row("issuance_volume", "issued_security_count", "n", None, "n"),

@@ -1,6 +1,7 @@
 """Investigations as an append-only log: every change is a row, the latest row of an id is its state.
 
-A change names the version it was made from; one made from an older version is refused. Each row carries
+A change names the version it was made from; one made from an older version is refused. Each version of an id is a file
+of its own that is created only if it is not there, so of two changes made at once one is refused. Each row carries
 hashes of the state before and after, so the audit trail can be checked without trusting the log's order."""
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import release
+
 SCHEMA = "investigation_id string, version int, action string, actor string, at string, title string, owner string, priority string, status string, summary string, resolution string, contract_id string, filter_context string, before_sha256 string, after_sha256 string"
 #: Fixed values.
 STATUSES = ("open", "in_progress", "resolved")
@@ -47,14 +50,14 @@ def _checked(state: dict[str, Any]) -> dict[str, Any]:
 
 
 class Store:
-    """The log at ``path``; reads are Spark reads, writes append one row."""
+    """The log below ``path``: reads are Spark reads of its files, a change creates one."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
     def log(self) -> DataFrame:
         try:
-            return self.spark.read.schema(SCHEMA).parquet(self.path)
+            return self.spark.read.schema(SCHEMA).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).json(self.path)
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
@@ -96,5 +99,7 @@ class Store:
         return version + 1
 
     def _append(self, investigation_id: str, version: int, action: str, actor: str, before: dict | None, after: dict) -> None:
-        row = (investigation_id, version, action, actor, datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), *(after[n] for n in STATE), digest(before), digest(after))
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        values = (investigation_id, version, action, actor, datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), *(after[n] for n in STATE), digest(before), digest(after))
+        names = [c.split()[0] for c in SCHEMA.split(", ")]
+        if not release.create_once(self.spark, f"{self.path}/{investigation_id}/{version:09d}.json", json.dumps(dict(zip(names, values)))):
+            raise Invalid("changed by somebody else meanwhile")

@@ -63,11 +63,11 @@ def records(lines: DataFrame, files: DataFrame) -> DataFrame:
 
 def delimited(lines: DataFrame, separator: str) -> tuple[DataFrame, DataFrame]:
     """Typed rows of delimited files with a header, and the files: file, report_period (or first..last), schema_version, blocker."""
-    cells = archives.quoted_cells(F.col("value"), separator)
+    cells = archives.quoted_cells(F.col("value"), separator, archives.widest(lines, separator))
     heads = lines.where("line = 1").select("file", F.filter(cells, lambda c: c.isNotNull()).alias("header"))
     absent = F.array_except(F.array(*map(F.lit, sorted(SAMPLE_REQUIRED))), "header")
     heads = heads.withColumn("blocker", F.when(F.size(absent) > 0, F.concat(F.lit("missing required columns: "), F.array_join(absent, ", "))))
-    body = lines.where("line > 1 and value != ''").select("file", "line", cells.alias("cells")).join(F.broadcast(heads), "file")  # one row for each file
+    body = lines.where("line > 1 and value != ''").select("file", "line", cells.alias("cells")).join(heads, "file")
     cell = lambda n: F.trim(F.coalesce(F.get("cells", F.array_position("header", n).cast("int") - 1), F.lit("")))
     raw = body.where("blocker is null").select("file", "line", *(cell(n).alias(_SAMPLE_NAMES.get(n, n)) for n in SAMPLE_REQUIRED))
     kinds = {"issuance_upb": "double", "current_upb": "double", "security_factor": "double", "cpr_pct": "double", "published_files": "int", "expected_files": "int", "publication_lag_days": "int"}
@@ -109,7 +109,7 @@ def load(spark: SparkSession, path: str, contract: Mapping[str, Any], work: str
         F.lit("fail").alias("quality_status"), F.lit(0).cast("bigint").alias("published_count"),
     )
     periods = files.select(F.col("file").alias("source_file"), "report_period", "schema_version")
-    manifest = population.manifest(disposed, ["source_file"]).unionByName(blocked).join(F.broadcast(periods), "source_file", "left")
+    manifest = population.manifest(disposed, ["source_file"]).unionByName(blocked).join(periods, "source_file", "left")
     issues = disposed.where("disposition != 'accepted'").select("source_file", "source_row", F.when(F.col("disposition") == "excluded", "info").otherwise("error").alias("severity"), F.col("reason").alias("message"))
     issues = issues.unionByName(files.where("blocker is not null").select(F.col("file").alias("source_file"), F.lit(None).cast("bigint").alias("source_row"), F.lit("error").alias("severity"), F.concat(F.lit("INVALID_SOURCE: "), "blocker").alias("message")))
     return Batch(disposed, manifest, issues, disposed.where("disposition = 'accepted'").drop("disposition", "reason", "malformed"))

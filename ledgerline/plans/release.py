@@ -13,6 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 class CheckFailed(RuntimeError):
     """Written tables do not hold; the pointer stays."""
 
@@ -38,6 +39,33 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(part), qualified, options)
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a file that must not exist, whole, in one step that fails if it does: False then, and nothing changes."""
+    from py4j.protocol import Py4JJavaError
+
+    jvm = spark._jvm
+    fs, target = _fs(spark, path)
+    _, part = _fs(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if fs.getUri().getScheme() == "file":  # renames replace there, links don't
+            at = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
+            jvm.java.nio.file.Files.createLink(at(target), at(part))
+        else:
+            options = spark.sparkContext._gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 0)
+            qualified = fs.makeQualified(target)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(part), qualified, options)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(part, False)
+    return True
+
+
 def _read_text(spark: SparkSession, path: str) -> str | None:
     fs, target = _fs(spark, path)
     if not fs.exists(target):
@@ -58,6 +86,13 @@ def replace_partitions(partials: DataFrame, path: str, by: str = "source_file")
     partials.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
+def staged(frame: DataFrame, folder: str) -> DataFrame:
+    """``frame`` written below ``folder`` and read again: what is read several times is computed once."""
+    path = f"{folder}/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def constant_columns(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     """Partitions in which a column that should be constant is not; then it cannot move into the path."""
     return df.groupBy(by).agg(*(F.count_distinct(c).alias(c) for c in columns)).where(" or ".join(f"{c} > 1" for c in columns))

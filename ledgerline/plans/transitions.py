@@ -34,12 +34,13 @@ def history(loans: DataFrame, view: str) -> DataFrame:
     return histories(loans).select(*KEY, "report_period", "month", f"{view}.*")
 
 
-def followed(states: DataFrame, views: tuple[str, ...], threshold: int = THRESHOLD, window: int = WINDOW) -> DataFrame:
+def followed(states: DataFrame, views: tuple[str, ...], threshold: int = THRESHOLD, window: int = WINDOW, upto: int | None = None) -> DataFrame:
     """``states`` (with a state struct for each of ``views``) plus, for each view, ``next_``, ``last_`` (the states of the
     months just after and before, or null) and ``status_``: what a cohort that starts here comes to.
 
     A cohort at month s looks at months s+1..s+window: with f the first that is distressed, it redefaults if all
-    months before f are there and eligible; it completes if there is no f and all are there and eligible."""
+    months before f are there and eligible; it completes if there is no f and all are there and eligible. With ``upto``,
+    the last month of all loans, a cohort that only this end cuts short is open."""
     months = Window.partitionBy(*KEY).orderBy("month")
     near = [F.lead("month").over(months).alias("after"), F.lag("month").over(months).alias("before")]
     near += [f(v).over(months).alias(f"{n}_{v}") for v in views for n, f in (("next", F.lead), ("last", F.lag))]
@@ -55,7 +56,8 @@ def followed(states: DataFrame, views: tuple[str, ...], threshold: int = THRESHO
     columns = []
     for v in views:
         gap, bad, unfit = F.col("gap"), F.col(f"bad_{v}"), F.col(f"unfit_{v}")
-        status = F.when(bad.isNotNull() & whole(gap >= bad) & whole(unfit > bad), "redefault").when(F.coalesce(bad, gap, unfit).isNull(), "complete").otherwise("censored")
+        status = F.when(bad.isNotNull() & whole(gap >= bad) & whole(unfit > bad), "redefault").when(F.coalesce(bad, gap, unfit).isNull(), "complete")
+        status = status.otherwise("censored") if upto is None else status.when(F.coalesce(bad, unfit).isNull() & (gap == upto), "open").otherwise("censored")
         columns += [F.when(F.col("after") == F.col("month") + 1, F.col(f"next_{v}")).alias(f"next_{v}"), F.when(F.col("before") == F.col("month") - 1, F.col(f"last_{v}")).alias(f"last_{v}"), status.alias(f"status_{v}")]
     return out.select(*states.columns, *columns)
 
@@ -79,7 +81,7 @@ def _period(month: Column) -> Column:
     return F.format_string("%04d-%02d", F.floor((month - 1) / 12).cast("int"), ((month - 1) % 12 + 1).cast("int"))
 
 
-def happenings(loans: DataFrame, views: tuple[str, ...] = C.VIEWS) -> DataFrame:
+def happenings(loans: DataFrame, views: tuple[str, ...] = C.VIEWS, threshold: int = THRESHOLD, window: int = WINDOW, upto: int | None = None) -> DataFrame:
     """correction_view, kind, report_period, origin, result, n, upb: for transitions the bands before and after, at the
     month after; for triggers the outcome, at the month where the cohort starts. Months without any loan are left out."""
     rows = []
@@ -88,9 +90,9 @@ def happenings(loans: DataFrame, views: tuple[str, ...] = C.VIEWS) -> DataFrame:
         gone = later["active"].isNull() | ~later["active"] | later["days"].isNull()
         result = F.when(gone, "Attrition").otherwise(S.delinquency_band(later["days"]))
         happened = [("transition", now["active"] & now["days"].isNotNull(), F.col("month") + 1, S.delinquency_band(now["days"]), result)]
-        happened += [(k, c, F.col("month"), F.lit(""), F.col(f"status_{v}")) for k, c in triggers(v).items()]
+        happened += [(k, c, F.col("month"), F.lit(""), F.col(f"status_{v}")) for k, c in triggers(v, threshold).items()]
         rows += [F.when(c, F.struct(F.lit(v).alias("correction_view"), F.lit(k).alias("kind"), m.alias("month"), o.alias("origin"), r.alias("result"), now["upb"].alias("upb"))) for k, c, m, o, r in happened]
-    each = followed(histories(loans), views).select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r")).select("r.*")
+    each = followed(histories(loans), views, threshold, window, upto).select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r")).select("r.*")
     out = each.groupBy(F.col("correction_view").alias("view"), F.col("kind").alias("what"), "month", "origin", "result").agg(F.count("*").alias("n"), F.sum(S.wide(F.col("upb"))).alias("upb"), F.max("kind").alias("kind"), F.max("correction_view").alias("correction_view"))
     # View and kind are aggregates, so that what selects or joins by them does not sink below the exchange, which all parts then share.
     out = out.withColumn("report_period", _period(F.col("month"))).drop("month", "what", "view")

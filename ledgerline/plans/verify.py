@@ -165,15 +165,3 @@ def snapshot(cube: DataFrame) -> DataFrame:
 def missing_known(cube: DataFrame) -> DataFrame:
     """Members that hide a missing value behind blank text."""
     return cube.where((F.trim("member") == "") | F.col("member").isNull()).select(*KEY)
-
-
-def leaked(tokens: DataFrame, files: DataFrame) -> DataFrame:
-    """V20: files (path, value) and the restricted tokens of at least five characters that their values contain.
-
-    For each distinct length of a token, a value's substrings of that length are looked up."""
-    sought = tokens.select(F.trim("token").alias("token")).where(F.length("token") >= 5).distinct()
-    lengths = sought.select(F.length("token").alias("n")).distinct()
-    at = F.explode(F.expr("sequence(1, length(value) - n + 1)")).alias("at")
-    cut = files.join(F.broadcast(lengths), F.length("value") >= F.col("n")).select("path", "value", "n", at)  # lengths: a few rows
-    parts = cut.select("path", F.expr("substring(value, at, n)").alias("token")).distinct()
-    return parts.join(sought, "token", "left_semi").select("path", "token")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from . import schemas as C
 from .functions import scalars as S
-from .operators import fields, population
-from .plans import bindings, conformance, cube, cube_sql, transitions, verify
+from .operators import fields, leaks, order, population
+from .plans import bindings, conformance, cube, cube_sql, incremental, parts, release, repair, transitions, verify
 from .sources import archives
 from .streaming import events as streams
 
@@ -271,11 +272,12 @@ MIX_SQL = f"WITH {bindings.SECURITY_CTE}, g AS (SELECT report_period AS month, {
 def monthly(spark, sf_dir) -> DataFrame:
     """The issuance roll-up by month."""
     facts = bindings.securities(spark, sf_dir)
-    return facts.groupBy("report_period").agg(
+    median = order.order_statistics(facts, ["report_period"], "issuance_cents", {"median_cents": order.between(0.5)}, _folder(spark, "medians"))
+    by = facts.groupBy("report_period").agg(
         F.count("*").alias("securities"), F.sum("issuance_cents").alias("issuance_cents"), F.sum("current_upb_cents").alias("current_cents"), F.round(F.avg("factor_e8") / 1e8, 8).alias("average_factor"),
         F.sum((F.col("correction_indicator") != "N").cast("long")).alias("revisions"), F.count_distinct("security_id").alias("distinct_securities"), F.count_distinct(F.when(F.col("security_status") == "A", F.col("security_id"))).alias("active_securities"),
-        F.percentile(F.col("issuance_cents").cast("double"), 0.5).alias("median_cents"),
     )
+    return by.join(median, "report_period", "left")
 
 
 MONTHLY_SQL = f"WITH {bindings.SECURITY_CTE} SELECT report_period, count(*) AS securities, CAST(sum(issuance_cents) AS BIGINT) AS issuance_cents, CAST(sum(current_upb_cents) AS BIGINT) AS current_cents, round(avg(factor_e8) / 1e8, 8) AS average_factor, CAST(sum(CASE WHEN correction_indicator <> 'N' THEN 1 ELSE 0 END) AS BIGINT) AS revisions, count(DISTINCT security_id) AS distinct_securities, count(DISTINCT CASE WHEN security_status = 'A' THEN security_id END) AS active_securities, CAST(quantile_cont(CAST(issuance_cents AS DOUBLE), 0.5) AS DOUBLE) AS median_cents FROM sec GROUP BY 1"
@@ -317,9 +319,11 @@ PARTIALS_SQL = f"WITH {bindings.LOAN_CTE}, a AS (SELECT *, {cube_sql._ACTIVE} AS
 def latency(spark, sf_dir) -> DataFrame:
     """Nearest-rank 95th percentile, peak, trough and largest requester by event type."""
     e = table(spark, sf_dir, "events")
-    return e.groupBy("event_type").agg(
-        F.expr("percentile_disc(0.95) within group (order by value)").alias("p95"), F.max_by("event_id", F.struct("value", -F.col("event_id"))).alias("peak_event"), F.min_by("event_id", F.struct("value", "event_id")).alias("trough_event"), F.count_distinct("user_id").alias("users")
+    p95 = order.order_statistics(e, ["event_type"], "value", {"p95": order.nearest(0.95)}, _folder(spark, "p95"))
+    by = e.groupBy("event_type").agg(
+        F.max_by("event_id", F.struct("value", -F.col("event_id"))).alias("peak_event"), F.min_by("event_id", F.struct("value", "event_id")).alias("trough_event"), F.count_distinct("user_id").alias("users")
     )
+    return by.join(p95, "event_type", "left")
 
 
 LATENCY_SQL = "SELECT event_type, quantile_disc(value, 0.95) AS p95, first(event_id ORDER BY value DESC, event_id) AS peak_event, first(event_id ORDER BY value, event_id) AS trough_event, count(DISTINCT user_id) AS users FROM events GROUP BY 1"
@@ -344,12 +348,31 @@ def leak_scan(spark, sf_dir) -> DataFrame:
     """Files that contain a token of a customer."""
     tokens = table(spark, sf_dir, "customer").select(F.regexp_extract("c_name", "([0-9]+)", 1).alias("token"))
     files = table(spark, sf_dir, "supplier").select(F.concat(F.lit("file-"), F.col("s_suppkey").cast("string")).alias("path"), F.col("s_name").alias("value"))
-    return verify.leaked(tokens, files.withColumn("value", F.translate("value", "#", " ")))
+    return leaks.leaked(tokens, files.withColumn("value", F.translate("value", "#", " ")))
 
 
 LEAK_SQL = "WITH t AS (SELECT DISTINCT regexp_extract(c_name, '([0-9]+)', 1) AS token FROM customer) SELECT 'file-' || CAST(s_suppkey AS VARCHAR) AS path, token FROM supplier JOIN t ON length(token) >= 5 AND contains(translate(s_name, '#', ' '), token)"
 
 
+def leak_sample(spark, sf_dir) -> DataFrame:
+    """Files of the archives that contain a token sampled from another one's first lines."""
+    lines = release.staged(bindings.archive_lines(spark, sf_dir), _folder(spark, "lines"))
+    tokens = leaks.sampled_tokens(lines)
+    files = lines.where("line > 1").select(F.col("file").alias("path"), "value")
+    found = leaks.leaked(tokens.select("token"), files)
+    return found.groupBy("path").agg(F.count("*").alias("tokens"))
+
+
+def partition_totals(spark, sf_dir) -> DataFrame:
+    """What a partition's formats are compared by: rows, balance, corrections and matches of each loan file."""
+    return bindings.loans(spark, sf_dir).groupBy("source_file").agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum("current_upb_cents"), F.lit(0)).cast("long").alias("current_upb_cents"), F.count(F.when(F.col("correction_indicator") != "N", 1)).alias("corrections"), F.count(F.when(F.col("join_reason") == "matched", 1)).alias("matched")
+    )
+
+
+PARTITION_TOTALS_SQL = f"WITH {bindings.LOAN_CTE} SELECT source_file, count(*) AS rows, CAST(coalesce(sum(current_upb_cents), 0) AS BIGINT) AS current_upb_cents, count(CASE WHEN correction_indicator <> 'N' THEN 1 END) AS corrections, count(CASE WHEN join_reason = 'matched' THEN 1 END) AS matched FROM loan GROUP BY 1"
+
+
 def set_difference(spark, sf_dir) -> DataFrame:
     """Expected months without a package, and packages outside the expected months."""
     expected = population.month_spine(windows(spark))
@@ -499,13 +522,87 @@ def event_sessions(spark, sf_dir) -> DataFrame:
 EVENT_SESSIONS_SQL = "WITH a AS (SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS cut FROM events), b AS (SELECT *, sum(cut) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM a) SELECT user_id, count(*) AS n, min(event_id) AS first_event FROM b GROUP BY user_id, s"
 
 
+# ---- builds that read only what changed
+
+
+def _folder(spark, name: str) -> str:
+    return f"{parts.workspace(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+LOAN_PERIOD = (*LOAN_CONTRACTS, *DERIVED)
+
+
+def incremental_loans(spark, sf_dir) -> DataFrame:
+    """Loan contracts after an update: an earlier state of one file and a file that is gone were built before; the update
+    reads the one that changed and the one that is new, and keeps the partials of the others."""
+    loans = bindings.loans(spark, sf_dir)
+    store = incremental.LoanStore(spark, _folder(spark, "loan-store"), "rules-1")
+
+    def of(frame: DataFrame):
+        by = frame.groupBy("source_file").agg(F.count("*").alias("rows"), F.sum(parts.row_digest(["loan_id", "source_row", "current_upb_cents"])).cast("string").alias("checksum"))
+        return release.staged(by.select("source_file", "checksum", "rows"), _folder(spark, "loan-files")), lambda files: frame.where(F.col("source_file").isin(files))
+
+    upb = F.when(F.col("source_file") == "F3", F.col("current_upb_cents") + 100).otherwise(F.col("current_upb_cents"))
+    earlier = loans.where("source_file != 'F2'").withColumn("current_upb_cents", upb).unionByName(loans.where("source_file = 'F1'").withColumn("source_file", F.lit("F9")))
+    store.update(*of(earlier))
+    store.update(*of(loans))
+    return as_text(store.cube())
+
+
+INCREMENTAL_LOANS_SQL = "SELECT * FROM (" + " UNION ALL ".join(f"(SELECT * FROM ({cube_sql.contract_sql(c)}))" for c in LOAN_PERIOD) + ") WHERE grain = 'loan-period'"
+
+#: Months that the query adds one by one to a history.
+ADVANCED = 4
+
+
+def incremental_transitions(spark, sf_dir) -> DataFrame:
+    """Both transition contracts from a history and its last months, added one at a time to the frontier before them."""
+    loans = bindings.loans(spark, sf_dir)
+    months = sorted(r.report_period for r in loans.select("report_period").distinct().collect())  # one row for each month
+    store = incremental.TransitionStore(spark, _folder(spark, "transitions"))
+    store.start(loans.where(F.col("report_period") <= months[-1 - ADVANCED]))
+    for month in months[-ADVANCED:]:
+        store.advance(loans.where(F.col("report_period") == month))
+    return as_text(store.cube(loans.select("report_period").distinct()))
+
+
+def late_securities(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Loans, and the securities of the join in those that were there and those that come late."""
+    securities = bindings.securities(spark, sf_dir).select("source_id", F.col("join_security_id").alias("security_id"), "report_period", "security_status")
+    late = F.col("source_id") % 7 == 3
+    return bindings.loans(spark, sf_dir).drop("join_reason"), securities.where(~late).drop("source_id"), securities.where(late).drop("source_id")
+
+
+def join_repair(spark, sf_dir) -> DataFrame:
+    """Join counts after late securities, repaired where these change a reason; the same as of a join with all of them."""
+    loans, before, late = late_securities(spark, sf_dir)
+    store = repair.JoinedLoans(spark, _folder(spark, "joined"))
+    store.publish(population.join_reason(loans.select("loan_id", "security_id", "report_period", "source_row", "correction_indicator"), before))
+    store.repair(before, late)
+    return store.counts.read().select("report_period", "join_reason", "row_count")
+
+
+def committed_parts(spark, sf_dir) -> DataFrame:
+    """Loan files after two gated commits: one whole, one that replaces half of them; rows and balance of each."""
+    loans = bindings.loans(spark, sf_dir).select(F.col("source_file").alias("part"), "loan_id", "report_period", "source_row", "current_upb_cents")
+    table_ = parts.Parts(spark, _folder(spark, "parts"))
+    for frame in (loans.withColumn("current_upb_cents", F.col("current_upb_cents") + 1), loans.where("part in ('F1', 'F3')")):
+        kept = release.staged(frame, f"{table_.root}/building")
+        table_.commit(kept, parts.digests(kept))
+    return table_.read().groupBy(F.col("part").alias("source_file")).agg(F.count("*").alias("rows"), F.sum("current_upb_cents").alias("upb"))
+
+
+COMMITTED_SQL = f"WITH {bindings.LOAN_CTE} SELECT source_file, count(*) AS rows, CAST(sum(CASE WHEN source_file IN ('F1', 'F3') THEN current_upb_cents ELSE current_upb_cents + 1 END) AS BIGINT) AS upb FROM loan GROUP BY 1"
+
+
 # ---- conformance from archive lines
 
 
 def conformed(spark, sf_dir) -> conformance.Conformed:
+    folder = _folder(spark, "conformance")
+
     def keep(frame: DataFrame) -> DataFrame:
-        folder = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        return archives.stored(frame, f"{folder}/conformance") if folder else frame.persist()
+        return archives.stored(frame, folder)
 
     lines, contract = keep(bindings.archive_lines(spark, sf_dir)), bindings.archive_contract()
     return conformance.conform(lines, keep(archives.inventory(lines, contract)), bindings.ARCHIVE_ALIASES, keep=keep)
@@ -519,6 +616,16 @@ def conformed_loans(spark, sf_dir) -> DataFrame:
     return conformed(spark, sf_dir).loans.select("report_period", "loan_id", "security_id", "correction_indicator", "current_upb_cents", "days_delinquent", "join_reason", "as_of_timestamp")
 
 
+LEAK_SAMPLE_SQL = f"""
+WITH {bindings.SECURITY_LINES_CTE}, {bindings.LOAN_LINES_CTE},
+s AS (SELECT file, "Security Identifier" AS a, NULL AS b, row_number() OVER (PARTITION BY file ORDER BY row_key) AS k FROM fd UNION ALL SELECT file, "Security Identifier", "Loan Identifier", row_number() OVER (PARTITION BY file ORDER BY row_key) FROM fu),
+t AS (SELECT DISTINCT trim(token) AS token FROM (SELECT unnest([a, b]) AS token FROM s WHERE k <= 25) WHERE length(trim(token)) >= 5),
+v AS (SELECT file, concat_ws('|', {{security}}) AS value FROM fd UNION ALL SELECT file, concat_ws('|', {{loan}}) FROM fu),
+w AS (SELECT file, string_agg(value, chr(10)) AS value FROM v GROUP BY 1)
+SELECT file || '.zip' AS path, count(*) AS tokens FROM w JOIN t ON contains(value, token) GROUP BY 1
+""".format(**{k: ", ".join(f'"{c}"' for c in columns if c not in ("file", "row_key")) for k, columns in (("security", bindings.SECURITY_LINES), ("loan", bindings.LOAN_LINES))})
+
+
 #: Rows of both kinds of archives with the reason that rejects them, then the first of each key.
 CONFORMED_CTE = f"""
 {bindings.SECURITY_LINES_CTE}, {bindings.LOAN_LINES_CTE},
@@ -562,19 +669,17 @@ def _mix_reconciles(spark, sf_dir) -> DataFrame:
     return verify.mix_reconciles(by, months)
 
 
-_BUILT: dict[tuple[str, str], DataFrame] = {}
+_BUILT: dict[tuple[str, str], str] = {}
 
 
 def whole_cube(spark, sf_dir) -> DataFrame:
-    """The cube of all contracts, built once in a session and kept, as several checks look at all of it."""
+    """The cube of all contracts, written once in a session, as several checks look at all of it."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _BUILT:
-        for earlier in list(_BUILT):  # one cube at a time
-            frame = _BUILT.pop(earlier)
-            if earlier[0] == at[0]:
-                frame.unpersist()
-        _BUILT[at] = metric(spark, sf_dir).coalesce(8).persist()
-    return _BUILT[at]
+        path = _folder(spark, "cube")
+        metric(spark, sf_dir).write.parquet(path)
+        _BUILT[at] = path
+    return spark.read.parquet(_BUILT[at])
 
 
 def checks() -> dict[str, Query]:
@@ -638,9 +743,7 @@ def queries() -> dict[str, Query]:
         "audit_latest": audit,
         "log_latest": latest_log,
         "leak_scan": leak_scan,
-        "leak_scan_all": leak_scan,
         "payload_series": series,
-        "payload_series_complete": series,
         "payload_concentration": concentration,
         "payload_findings": findings,
         "record_profile": lambda s, d: population.profile(raw_lines(s, d)),
@@ -656,6 +759,12 @@ def queries() -> dict[str, Query]:
         "conformance_joins": lambda s, d: conformed(s, d).join_counts,
         "event_windows": event_windows,
         "event_sessions": event_sessions,
+        "incremental_loans": incremental_loans,
+        "incremental_transitions": incremental_transitions,
+        "join_repair": join_repair,
+        "committed_parts": committed_parts,
+        "partition_totals": partition_totals,
+        "leak_sample": leak_sample,
     }
     for contract in verify.CONTRACTS:
         out[f"metric_{contract}"] = lambda s, d, c=contract: as_text(metric(s, d, (c,)))
@@ -688,9 +797,7 @@ def oracle_sql() -> dict[str, str]:
         "audit_latest": "SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 50",
         "log_latest": LATEST_LOG_SQL,
         "leak_scan": LEAK_SQL,
-        "leak_scan_all": LEAK_SQL,
         "payload_series": SERIES_SQL,
-        "payload_series_complete": SERIES_SQL,
         "payload_concentration": CONCENTRATION_SQL,
         "payload_findings": FINDINGS_SQL,
         "record_profile": PROFILE_SQL,
@@ -706,6 +813,12 @@ def oracle_sql() -> dict[str, str]:
         "conformance_joins": f"WITH {CONFORMED_CTE} SELECT period AS report_period, 'monthly-loan-level-1' AS source_family, join_reason, count(*) AS row_count FROM jl GROUP BY 1, 3",
         "event_windows": EVENT_WINDOWS_SQL,
         "event_sessions": EVENT_SESSIONS_SQL,
+        "incremental_loans": INCREMENTAL_LOANS_SQL,
+        "incremental_transitions": " UNION ALL ".join(f"(SELECT * FROM ({cube_sql.transition_sql(c)}))" for c in ("delinquency_roll_cure", "new_delinquency_redefault")),
+        "join_repair": JOINED_SQL + " SELECT report_period, join_reason, count(*) AS row_count FROM jr GROUP BY 1, 2",
+        "committed_parts": COMMITTED_SQL,
+        "partition_totals": PARTITION_TOTALS_SQL,
+        "leak_sample": LEAK_SAMPLE_SQL,
     }
     for contract in verify.CONTRACTS:
         if contract in ("delinquency_roll_cure", "new_delinquency_redefault"):

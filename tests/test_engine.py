@@ -1,3 +1,5 @@
+import hashlib
+import os
 import random
 import zipfile
 
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import scalars as S
 from ledgerline.operators import fields, population
-from ledgerline.plans import cube, issuance, release, transitions
+from ledgerline.plans import cube, issuance, parts, release, transitions
 from ledgerline.sources import archives, contracts
 
 
@@ -220,8 +222,25 @@ def test_issuance_archives(spark, tmp_path):
     first = sorted(map(str, archives.inventory_cached(spark, str(good), contract(), cache).collect()))
     archive(good / "IS_202403.zip", [["CL", "A1", "10", "5", "0.5", "A", "N"]])
     again = archives.inventory_cached(spark, str(good), contract(), cache)
-    assert len(first) == 2 and again.count() == 3 and spark.read.parquet(cache).count() == 3
+    assert len(first) == 2 and again.count() == 3 and parts.Parts(spark, cache).read().count() == 3
     assert sorted(map(str, again.where("file != 'IS_202403.zip'").collect())) == first
+    row = again.where("file = 'IS_202401.zip'").first()
+    data = (good / "IS_202401.zip").read_bytes()
+    assert (row.sha256, row.size, row.member_sha256) == (hashlib.sha256(data).hexdigest(), len(data), hashlib.sha256(zipfile.ZipFile(good / "IS_202401.zip").read(row.member)).hexdigest())
+    # Touched, but the same bytes: hashed, not inflated; gone: out of the cache.
+    os.utime(good / "IS_202401.zip", (1, 1))
+    inflated, plain = [], archives.zip_stream
+    archives.zip_stream = lambda spark, *paths, **k: inflated.extend(paths) or plain(spark, *paths, **k)
+    try:
+        assert sorted(map(str, archives.inventory_cached(spark, str(good), contract(), cache).where("file != 'IS_202403.zip'").collect())) == first and not inflated
+        archive(good / "IS_202402.zip", [["CL", "A1", "11", "5", "0.5", "A", "N"]])
+        assert archives.inventory_cached(spark, str(good), contract(), cache).count() == 3 and [p.rsplit("/", 1)[-1] for p in inflated] == ["IS_202402.zip"]
+    finally:
+        archives.zip_stream = plain
+    (good / "IS_202403.zip").rename(tmp_path / "IS_202403.zip")
+    assert archives.inventory_cached(spark, str(good), contract(), cache).count() == 2
+    (tmp_path / "IS_202403.zip").rename(good / "IS_202403.zip")
+    again = archives.inventory_cached(spark, str(good), contract(), cache)
     with pytest.raises(archives.NotReady, match="2024-04"):
         archives.require_ready(archives.readiness(again, contract()))
 
@@ -245,6 +264,45 @@ def test_delimited_sources(spark, tmp_path):
     assert {(r.security_id, r.source_row) for r in batch.facts.where("source_file = 'monthly.csv'").collect()} == {("SD1001", 2), ("SD,1002", 3), ("SD1003", 4)}
 
 
+def test_large_files_are_read_by_many_tasks(spark, tmp_path):
+    """Lines are numbered where they are read; each number is the line's own, whatever the splits."""
+    (tmp_path / "large.csv").write_text("".join(f"line {i},{'x' * (i % 97)}\n" for i in range(1, 20_001)))
+    (tmp_path / "small.csv").write_text("line 1,\r\nline 2,")
+    for size in ("16k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            lines = archives.text_lines(spark, str(tmp_path), "*.csv")
+            tasks = lines.where("file = 'large.csv'").select(F.spark_partition_id().alias("p")).distinct().count()
+            assert lines.where("value not like concat('line ', line, ',%')").count() == 0 and lines.count() == 20_002
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert size == "128m" or tasks > 1
+
+
+def test_wide_files_keep_all_cells(spark, tmp_path):
+    """Columns that a header may have beyond those that are read, in any number and place."""
+    extra = [f"extra{i}" for i in range(90)]
+    row = ["2026-01", "SD1", "UMBS", "184000000", "179420000", "0.9751", "6.4", "12", "12", "1", "false"]
+    (tmp_path / "wide.csv").write_text(",".join([*extra, SAMPLE]) + "\n" + ",".join(['"a,b"'] * 90 + row) + "\n")
+    batch = issuance.load(spark, str(tmp_path), contract())
+    assert [(r.security_id, r.cpr_pct) for r in batch.facts.collect()] == [("SD1", 6.4)]
+
+
+def test_archive_digests(spark, tmp_path):
+    archive(tmp_path / "IS_202401.zip", [["CL", "A1", "100", "50", "0.5", "A", "N"], ["QQ", "\u00e9", "", "", "", "", ""]])
+    archive(tmp_path / "IS_202403.zip", [], members=2)
+    (tmp_path / "other.zip").write_bytes(b"not a zip")
+    stream = archives.stored(archives.zip_stream(spark, str(tmp_path)), str(tmp_path / "kept"))
+    assert sorted(map(str, archives.lines_of(stream).collect())) == sorted(map(str, archives.zip_lines(spark, str(tmp_path)).collect()))
+    found = {r.file: r for r in archives.digests_of(stream).collect()}
+    data, member = (tmp_path / "IS_202401.zip").read_bytes(), zipfile.ZipFile(tmp_path / "IS_202401.zip")
+    text = member.read(member.namelist()[0])
+    keys = hashlib.blake2b("".join("|".join(x.split("|")[:3]) + "\n" for x in text.decode("utf-8-sig").splitlines()).encode(), digest_size=32).hexdigest()
+    own = found["IS_202401.zip"]
+    assert (own.sha256, own.size, own.member_sha256, own.member_size, own.keys_blake2b, own.lines, own.error) == (hashlib.sha256(data).hexdigest(), len(data), hashlib.sha256(text).hexdigest(), len(text), keys, 3, None)
+    assert found["other.zip"].sha256 == hashlib.sha256(b"not a zip").hexdigest() and found["other.zip"].member_sha256 is None and "BadZipFile" in found["other.zip"].error
+
+
 def test_bad_archives_block(spark, tmp_path):
     archive(tmp_path / "IS_202401.zip", [["CL", "A1", "100", "50", "0.5", "A", "N"], ["CL", "A1", "100", "50", "0.5", "A", "N"], ["CL", "A2", "x", "50", "0.5", "A", "N"], ["CL", "A4", "1"]])
     archive(tmp_path / "IS_202402.zip", [["CL"]], ["Prefix"])

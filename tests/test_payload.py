@@ -11,7 +11,7 @@ EIGHT = {"loan_count", "loan_upb", "average_current_loan_balance", "30_plus_coun
 
 
 def test_complete_series_same_as_sql(spark, database):  # noqa: F811
-    same_as_sql(spark, database, "payload_series_complete")
+    same_as_sql(spark, database, "payload_series")
 
 
 def test_months_need_all_eight_measures(spark):

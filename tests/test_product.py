@@ -48,6 +48,27 @@ def test_investigations(spark, tmp_path):
     assert [r.action for r in store.audit(one).collect()] == ["create", "update"] and store.broken_chain().count() == 0
 
 
+def test_two_changes_at_once(spark, tmp_path):
+    """Both read version 1; one makes version 2, the other is refused, and the log has one of each."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    store = investigations.Store(spark, str(tmp_path / "log"))
+    one = store.create("Jump", "hhi_concentration", {}, "ann")
+    before = {n: store.current().first()[n] for n in investigations.STATE}
+
+    def change(who):
+        try:
+            store._append(one, 2, "update", who, before, before | {"owner": who})
+            return who
+        except investigations.Invalid:
+            return None
+
+    with ThreadPoolExecutor(6) as pool:
+        won = [w for w in pool.map(change, "abcdef") if w]
+    assert len(won) == 1 and [r.owner for r in store.current().collect()] == won
+    assert [r.version for r in store.audit(one).collect()] == [1, 2] and store.broken_chain().count() == 0
+
+
 MONTH = {"security_count": 1, "issuance_upb": 2.0, "current_upb": 1.0, "average_factor": 0.5, "revision_count": 0}
 
 
