@@ -300,6 +300,45 @@ def test_fertility_bands_reject_outliers(spark):
     assert not kept[100] and sum(kept.values()) >= 58
 
 
+def plain_kept(rows):
+    """Which rows' measures lie inside the bands: quantiles of sorted values by length within language, drawn toward the
+    language's and all rows', widened on either side. ``rows``: dicts of group, bin, failed and the measures."""
+
+    def quantiles(own, m):
+        values = sorted(r[m] for r in own)
+        return [values[max(1, math.ceil(q * len(values))) - 1] for q in (0.125, 0.5, 0.875)]
+
+    kept = []
+    for r in rows:
+        good = not r["failed"]
+        language = [x for x in rows if x["group"] == r["group"]]
+        length = [x for x in language if x["bin"] == r["bin"]]
+        for m in fertility.MEASURES:
+            drawn = quantiles(rows, m)
+            for own in (language, length):
+                drawn = [(len(own) * q + fertility.PRIOR * p) / (len(own) + fertility.PRIOR) for q, p in zip(quantiles(own, m), drawn)]
+            low, middle, high = drawn
+            reach = lambda outer: max(abs(outer - middle) * fertility.REACH, fertility.LEAST[m])
+            good = good and low - reach(low) <= r[m] <= high + reach(high)
+        kept.append(good)
+    return kept
+
+
+def test_fertility_kept_against_plain_bands(spark):
+    rng = np.random.default_rng(17)
+    texts = []
+    for i in range(300):
+        kind = i % 10
+        word = lambda: "".join(chr((0x4E00 if kind == 8 else 97) + int(x)) for x in rng.integers(0, 26, int(rng.integers(2, 9))))
+        texts.append(" ".join(word() for _ in range(int(rng.integers(3, 160)))) if kind < 9 else " ".join(["same"] * 40) + " " + "zq" * int(rng.integers(1, 200)))
+    docs = spark.createDataFrame([(i, t, ("en", "de", None)[i % 3]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in fertility.rules(docs).collect()}
+    rows = [{"group": f"lang:{('en', 'de')[i % 3]}" if i % 3 < 2 else f"script:{found[i].script}", "bin": int(math.log2(found[i].n_tokens + 1)), "failed": found[i].base_failed, **{m: found[i][m] for m in fertility.MEASURES}} for i in range(300)]
+    want = plain_kept(rows)
+    assert [found[i].kept for i in range(300)] == want
+    assert any(not k and not r["failed"] for k, r in zip(want, rows)) and sum(want) > 150
+
+
 def test_fertility_measures():
     v = fertility.Vocabularies()
     m = fertility.measure("na\u00efve \U0001f9ff words  here".encode(), v)
@@ -368,7 +407,7 @@ def test_quality_against_plain_posteriors(spark, monkeypatch):
     rows = [(f"h{i % 7}" if i % 5 else None, f"p{i % 3}", float(rng.normal((i % 7) / 2 - 1, 1))) for i in range(400)]
     scored = spark.createDataFrame([(i, *r, 0.0) for i, r in enumerate(rows)], "doc_id long, source string, lang string, quality double, toxic double").withColumn("text", F.lit("x"))
     monkeypatch.setattr(quality, "train", lambda *a, **k: {"quality": {}, "toxic": None})
-    monkeypatch.setattr(quality, "scores", lambda df, models: scored.select("doc_id", F.col("source").alias("host"), F.col("lang").alias("path"), "quality", "toxic"))
+    monkeypatch.setattr(quality, "scores", lambda df, models: scored.select(F.struct("doc_id").alias("row"), F.col("source").alias("host"), F.col("lang").alias("path"), "quality", "toxic"))
     found = by_id(quality.judge(scored, None))
     want = [1 / (1 + np.exp(-z)) for z in plain_posteriors(rows)]
     assert [found[i].p_quality for i in range(400)] == pytest.approx(want, abs=2e-6)
