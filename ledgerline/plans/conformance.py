@@ -70,27 +70,38 @@ SECURITY_STATUSES = ("A", "P", "C", "D")
 LINEAGE = ("source_file", "source_row", "source_family", "schema_version", "publication_date", "as_of_timestamp")
 
 
-def raw_rows(lines: DataFrame, files: DataFrame, kind: Kind) -> DataFrame:
-    """Lines with text of the usable files of one kind, with their cells, their file's header and lineage."""
+def known_targets(kind: Kind, aliases: Mapping[str, list[str]]) -> list[str]:
+    """The targets of a kind that the contract has names for, in order."""
+    return list(dict.fromkeys(t for t in [*kind.required, *(t for t, *_ in kind.numbers), *kind.texts, *(r["target"] for r in kind.rules)] if t in aliases))
+
+
+def raw_rows(lines: DataFrame, files: DataFrame, kind: Kind, aliases: Mapping[str, list[str]]) -> DataFrame:
+    """Lines with text of the usable files of one kind, with their cells, their file's width and lineage, and ``at``: for each
+    of ``known_targets`` the place of its cell, found once for a file (-1 if the header has none of its names)."""
     published = S.publication_date(F.col("member"))
-    heads = archives.headers(lines).select("file", "header")
+    place = lambda t: F.coalesce(*(F.nullif(F.array_position("header", n), F.lit(0)) for n in aliases[t]), F.lit(0)).cast("int") - 1
+    heads = archives.headers(lines).select("file", F.size("header").alias("width"), F.array(*map(place, known_targets(kind, aliases))).cast("array<int>").alias("at"))
     usable = files.where("blocker is null").where(F.col("family").startswith(kind.prefix)).select("file", "family", "report_period", "schema_version").join(heads, "file")
     body = lines.where("line > 1").where(F.trim("value") != "").withColumn("cells", archives.cells(F.col("value")))
     out = body.join(usable, "file")
-    return out.select(F.col("file").alias("source_file"), F.col("line").alias("source_row"), F.col("family").alias("source_family"), "schema_version", published.alias("publication_date"), S.as_of_timestamp(published).alias("as_of_timestamp"), "report_period", "cells", "header")
+    return out.select(F.col("file").alias("source_file"), F.col("line").alias("source_row"), F.col("family").alias("source_family"), "schema_version", published.alias("publication_date"), S.as_of_timestamp(published).alias("as_of_timestamp"), "report_period", "cells", "width", "at")
 
 
 def typed(rows: DataFrame, kind: Kind, aliases: Mapping[str, list[str]], with_rules: bool = True) -> DataFrame:
     """Facts of ``raw_rows`` with ``error``: the message of the first check that the row fails, null for a sound one.
 
-    ``aliases``: target -> header names, first match wins. Without rules their columns are null."""
-    known = [t for t in [*kind.required, *(t for t, *_ in kind.numbers), *kind.texts, *(r["target"] for r in kind.rules)] if t in aliases]
-    raw = rows.select(*LINEAGE, "report_period", (F.size("cells") != F.size("header")).alias("bad_width"), F.struct(*(archives.aliased(F.col("cells"), F.col("header"), list(aliases[t])).alias(t) for t in dict.fromkeys(known))).alias("raw"), "header")
-    cell = lambda t: F.col("raw")[t] if t in known else F.lit("")
+    ``aliases``: target -> header names, first match wins. Without rules their columns are null.
+
+    Cells, and later the rules' results, are top-level columns of projections of their own: fields of a struct would be put
+    in place of each of their uses, and computed again there."""
+    known = known_targets(kind, aliases)
+    at = {t: F.get("at", F.lit(i)) for i, t in enumerate(known)}
+    raw = rows.select(*LINEAGE, "report_period", (F.size("cells") != F.col("width")).alias("bad_width"), *(F.when(at[t] < 0, "").otherwise(F.get("cells", at[t])).alias(f"cell_{t}") for t in known), "at")
+    cell = lambda t: F.col(f"cell_{t}") if t in known else F.lit("")
     text = lambda t: F.trim(cell(t))
     absent = F.lit(False)
     for t in kind.required:
-        absent = absent | (~F.arrays_overlap("header", F.array(*map(F.lit, aliases[t]))) if t in aliases else F.lit(True))
+        absent = absent | (at[t] < 0 if t in known else F.lit(True))
     own = "security" if kind is SECURITY else "loan"
     key = ("prefix", "security_id") if kind is SECURITY else ("loan_id", "prefix")
     checks = [F.when(absent, f"{own} schema omits a required allowlisted field"), F.when(F.col("bad_width"), "row width does not match approved schema"), F.when((text(key[0]) == "") | (text(key[1]) == ""), f"{own} business key is incomplete")]
@@ -109,19 +120,19 @@ def typed(rows: DataFrame, kind: Kind, aliases: Mapping[str, list[str]], with_ru
     checked = []
     for rule in kind.rules if with_rules else ():
         classes = provider_rules.PROHIBITED[kind.name].get(rule["target"])
-        checked.append(fields.validated(rule | {"indicators": list(kind.corrections)}, cell(rule["target"]), row_class, text(kind.correction), row_class.isin(*classes) if classes else None).alias(rule["target"]))
+        checked.append(fields.validated(rule | {"indicators": list(kind.corrections)}, cell(rule["target"]), row_class, text(kind.correction), row_class.isin(*classes) if classes else None).alias(f"rule_{rule['target']}"))
     identity = [text("security_id").alias("security_id"), text("prefix").alias("prefix"), text("security_status").alias("security_status")] if kind is SECURITY else [text("loan_id").alias("loan_id"), S.blank_to_null(cell("security_id")).alias("security_id"), text("prefix").alias("prefix")]
-    hashed = S.record_hash(*(cell(t) for t in dict.fromkeys(known)))
-    # Rule results are columns of their own first, so that each chain of checks is evaluated once.
-    out = raw.select(*LINEAGE, "report_period", *identity, text(kind.correction).alias("correction_indicator"), *numbers, *(S.blank_to_null(cell(t)).alias(t) for t in kind.texts), F.coalesce(*checks).alias("error"), hashed.alias("record_hash"), F.struct(*checked, F.lit(0).alias("end")).alias("rules"))
+    hashed = S.record_hash(*(cell(t) for t in known))
+    out = raw.select(*LINEAGE, "report_period", *identity, text(kind.correction).alias("correction_indicator"), *numbers, *(S.blank_to_null(cell(t)).alias(t) for t in kind.texts), F.coalesce(*checks).alias("error"), hashed.alias("record_hash"), *checked)
     if with_rules:
-        named = [F.col("rules")[r["target"]] for r in kind.rules]
+        named = [F.col(f"rule_{r['target']}") for r in kind.rules]
         values = [F.when(n["status"] == "valid", fields.normalised(r, n["value"])).alias(stored_name(r)) for r, n in zip(kind.rules, named)]
-        out = out.select("*", *values, fields.packed(named).alias("v2_field_statuses")).withColumn("error", F.coalesce("error", *(n["error"] for n in named)))
+        own = [c for c in out.columns if not c.startswith("rule_") and c != "error"]
+        out = out.select(*own, *values, fields.packed(named).alias("v2_field_statuses"), F.coalesce("error", *(n["error"] for n in named)).alias("error"))
     else:
         kinds = {"integer": "bigint", "decimal": "bigint"}
         out = out.select("*", *(F.lit(None).cast(kinds.get(r["type"], "string")).alias(stored_name(r)) for r in kind.rules), F.lit("-" * len(kind.rules)).alias("v2_field_statuses"))
-    return out.drop("rules")
+    return out
 
 
 def dispositions(facts: DataFrame, kind: Kind) -> DataFrame:
@@ -147,7 +158,7 @@ class Conformed:
 def conform(lines: DataFrame, files: DataFrame, aliases: Mapping[str, Mapping[str, list[str]]], with_rules: bool = True, keep=lambda frame: frame) -> Conformed:
     """Conforms the usable files of an inventory. ``aliases``: by kind, target -> header names. ``keep`` stores what is
     read several times (writes and reads again, or persists)."""
-    judged = {k: keep(dispositions(typed(raw_rows(lines, files, k), k, aliases[k.name], with_rules), k)) for k in (SECURITY, LOAN)}
+    judged = {k: keep(dispositions(typed(raw_rows(lines, files, k, aliases[k.name]), k, aliases[k.name], with_rules), k)) for k in (SECURITY, LOAN)}
     counts = None
     for k, d in judged.items():
         own = d.select("source_file", "source_family", "report_period", "schema_version", "publication_date", "as_of_timestamp", "disposition")

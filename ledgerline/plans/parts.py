@@ -96,7 +96,8 @@ class Parts:
         generation = uuid.uuid4().hex
         path = f"{self.root}/data/{generation}"
         expected = expected.select(F.col("part").cast("string").alias("part"), "rows", *((F.col(c) if c in expected.columns else F.lit(None)).cast("string").alias(c) for c in ("digest", "checksum")))
-        frame.write.partitionBy("part").parquet(path)
+        # Rows of a part meet, so that files are few; a part with many rows is split again by size.
+        frame.hint("rebalance", "part").write.partitionBy("part").parquet(path)
         self.after("staged")
         # Read by the schema it was written with; partition values stay text.
         written = self.spark.read.schema(frame.schema).parquet(path)
