@@ -6,8 +6,10 @@ import argparse
 import json
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from .plans import conformance, issuance, payload, release, verify
+from . import schemas as C
+from .plans import conformance, cube, incremental, issuance, parts, payload, release, verify
 from .sources import archives, contracts
 
 
@@ -24,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     command("issuance", "input", "contract", "groups", "output")
     command("inventory", "input", "contract", "cache", "--require-ready")
     command("conform", "input", "contract", "aliases", "work", "output")
+    command("metrics", "published", "store", "output")
     command("verify", "cube")
     command("payload", "root")
     args = parser.parse_args(argv)
@@ -45,9 +48,16 @@ def main(argv: list[str] | None = None) -> int:
         found = conformance.load(spark, args.input, contracts.load(args.contract), json.loads(open(args.aliases).read()), args.work)
         conformance.write(found, args.output)
         print(json.dumps({r.join_reason: r["sum(row_count)"] for r in found.join_counts.groupBy("join_reason").sum("row_count").collect()}))
+    elif args.command == "metrics":
+        # Published loans by source file; files that are as the store knows them are not read.
+        found = parts.Parts(spark, f"{args.published}/loans").listed().where("rows > 0")
+        store = incremental.LoanStore(spark, args.store, contracts.fingerprint("loan partials", cube.LOAN_WEIGHTED, C.LOAN_SEGMENTS))
+        read = store.update(found.select(F.col("part").alias("source_file"), F.col("digest").alias("checksum"), "rows"), lambda files: conformance.published(spark, args.published, "loans", files))
+        store.cube().write.mode("overwrite").parquet(args.output)
+        print(json.dumps({"read": read, "components": spark.read.parquet(args.output).count()}))
     elif args.command == "verify":
-        cube = spark.read.parquet(args.cube)
-        checks = {"contract_set": verify.contract_set(cube), "segment_sums": verify.segment_sums(cube), "summaries": verify.summaries(cube), "hhi": verify.hhi_recomputed(cube), "weighted": verify.weighted_recomputed(cube), "transition_sums": verify.transition_sums(cube), "new_delinquency": verify.new_delinquency_matches(cube), "cohort_sums": verify.cohort_sums(cube), "unreleased": verify.unreleased(cube)}
+        built = spark.read.parquet(args.cube)
+        checks = {"contract_set": verify.contract_set(built), "segment_sums": verify.segment_sums(built), "summaries": verify.summaries(built), "hhi": verify.hhi_recomputed(built), "weighted": verify.weighted_recomputed(built), "transition_sums": verify.transition_sums(built), "new_delinquency": verify.new_delinquency_matches(built), "cohort_sums": verify.cohort_sums(built), "unreleased": verify.unreleased(built)}
         broken = {n: k for n, c in checks.items() if (k := c.count())}
         print(json.dumps(broken))
         return 1 if broken else 0

@@ -650,6 +650,13 @@ CONFORMED_LOANS_SQL = f"""WITH {CONFORMED_CTE} SELECT period AS report_period, "
 CAST(nullif("Days Delinquent", '') AS BIGINT) AS days_delinquent, join_reason, period || '-07T23:59:59Z' AS as_of_timestamp FROM jl"""
 
 
+def resume_scope(spark, sf_dir) -> DataFrame:
+    """What keeps sources from passing, once each: the scope that a resumed run has to clear."""
+    found = conformed(spark, sf_dir)
+    failing = found.manifest.where("quality_status != 'pass'").select("source_file")
+    return found.issues.join(failing, "source_file").select("detail").distinct()
+
+
 def _check(of: Callable[[SparkSession, str], DataFrame]) -> Query:
     """Counts the rows that break an invariant."""
     return lambda s, d: of(s, d).agg(F.count("*").alias("broken"))
@@ -765,6 +772,7 @@ def queries() -> dict[str, Query]:
         "committed_parts": committed_parts,
         "partition_totals": partition_totals,
         "leak_sample": leak_sample,
+        "resume_scope": resume_scope,
     }
     for contract in verify.CONTRACTS:
         out[f"metric_{contract}"] = lambda s, d, c=contract: as_text(metric(s, d, (c,)))
@@ -819,6 +827,7 @@ def oracle_sql() -> dict[str, str]:
         "committed_parts": COMMITTED_SQL,
         "partition_totals": PARTITION_TOTALS_SQL,
         "leak_sample": LEAK_SAMPLE_SQL,
+        "resume_scope": f"WITH {CONFORMED_CTE} SELECT DISTINCT coalesce(error, 'duplicate key') AS detail FROM al JOIN cm ON al.file || '.zip' = cm.source_file WHERE disposition <> 'accepted' AND quality_status <> 'pass'",
     }
     for contract in verify.CONTRACTS:
         if contract in ("delinquency_roll_cure", "new_delinquency_redefault"):
