@@ -8,9 +8,9 @@ stride of ``length`` 16-bit ids. A whole sequence is written as it comes, rests
 into sequences of their shard, the last of which is padded. A sequence's global slot is its rank: the sequences of
 the shards before, which the index counts, plus its place. A reader resumes at any slot from index and stride.
 
-Texts are encoded once, those of equal rows (epochs of a mix) once for all of up to ``COPIES`` copies, which the permutation
-then scatters like any others: equal rows are counted first, and only if there are any do texts move before they are
-encoded. Nothing depends on the order of rows, on input splits or on how tasks are grouped, so
+Texts are encoded where they are read, equal ones of a batch once. Equal rows (epochs of a mix) are numbered, so that the
+permutation scatters them like any others: within a task as they come, after those of earlier tasks, of which ids and
+hashes alone are counted. Which of them gets which number changes nothing, as they are equal. So nothing depends on the order of rows, on input splits or on how tasks are grouped, so
 retries and reruns write the same bytes.
 
 Cases: null or empty text is its end token only; null doc_id is an id like any other; repeated rows are written
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, small, stage
+from .common import Bounded, shared_dir, small, stage
 
 VOCABULARIES = "/opt/tokenizers"
 END = 50256
@@ -40,8 +40,6 @@ LENGTH = 1024
 SEQUENCES_PER_SHARD = 16384
 #: Shards whose places in the order are counted together.
 SHARDS_PER_GROUP = 4096
-#: Equal rows that one task encodes.
-COPIES = 1024
 KEY = 0x5EED
 ROUNDS = 6
 
@@ -86,16 +84,17 @@ def permuted(values: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, hash) as one row for up to ``COPIES`` equal rows, with the numbers ``first`` to ``last`` of the copies."""
-    if docs.groupBy("doc_id", "hash").count().where("count > 1").isEmpty():
-        return docs.withColumns({"first": F.lit(0).cast("long"), "last": F.lit(0).cast("long")})
-    # Copies are merged in the tasks that read them, so that a row's text is shuffled once for each of these at most.
-    each = docs.groupBy("doc_id", "hash").agg(F.first("text").alias("text"), F.count("*").alias("n"))
-    hot = each.where(F.col("n") > COPIES)
-    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))).alias("first")
-    hot = hot.select("doc_id", "text", "hash", "n", first).repartition("hash", "first").select("doc_id", "text", "hash", "first", (F.least("n", F.col("first") + COPIES) - 1).alias("last"))
-    return each.where(F.col("n") <= COPIES).select("doc_id", "text", "hash", F.lit(0).cast("long").alias("first"), (F.col("n") - 1).alias("last")).unionByName(hot)
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, hash) with ``earlier``: how many rows equal to one lie in tasks before its own."""
+    own = F.spark_partition_id()
+    counts = docs.groupBy("doc_id", "hash", own.alias("task")).count()
+    upto = F.sum("count").over(Window.partitionBy("doc_id", "hash").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    later = stage(counts.withColumn("earlier", upto).where("earlier > 0").select(F.col("doc_id").alias("d"), F.col("hash").alias("h"), "task", "earlier"), "tokens-copies")
+    if later.isEmpty():
+        return docs.withColumn("earlier", F.lit(0).cast("long"))
+    # Rows equal to others elsewhere; where these are many, texts move once more.
+    met = docs.withColumn("own", own).join(small(later), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h")) & (F.col("own") == F.col("task")), "left")
+    return met.select("doc_id", "text", "hash", F.coalesce("earlier", F.lit(0)).cast("long").alias("earlier"))
 
 
 class Shard:
@@ -171,24 +170,28 @@ def materialise(docs: DataFrame, out: str | None = None, length: int = LENGTH, s
 
     def deal(batches):
         tokenizer, end = Tokenizer(vocabularies), np.array([END], "<u2").tobytes()
+        seen: dict[tuple, int] = {}  # an entry for each distinct row of the task
         for batch in batches:
-            ids, texts, h, first, last = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text", "hash", "first", "last"))
-            coded = [tokenizer.encode(t) + end for t in texts.to_pylist()]
+            ids, texts, h, earlier = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text", "hash", "earlier"))
+            known = Bounded(lambda t: tokenizer.encode(t) + end)
+            coded = [known[t] for t in texts.to_pylist()]
+            copy = np.zeros(len(coded), np.int64)
+            for i, key_ in enumerate(zip(ids.to_pylist(), h.to_pylist())):
+                copy[i] = seen[key_] = seen.get(key_, -1) + 1
+            copy += earlier.to_numpy()
             counts = np.array([-(-len(c) // (2 * length)) for c in coded], np.int64)
-            h, first, last = h.to_numpy(), first.to_numpy(), last.to_numpy()
-            # A row for each part of each copy, by ranges of them: the copies of a batch may be many.
-            each = counts * (last - first + 1)
-            begins = np.cumsum(each) - each
-            for i in range(0, int(each.sum()), 20_000):
-                at = np.arange(i, min(i + 20_000, int(each.sum())))
-                d = np.searchsorted(begins, at, "right") - 1
-                copy, p = first[d] + (at - begins[d]) // counts[d], (at - begins[d]) % counts[d]
-                number = np.where(copy > 0, _mixed(h.view(np.uint64)[d] ^ _mixed(copy.astype(np.uint64), key), key), h.view(np.uint64)[d])
-                own = permuted((number % np.uint64(hashes)) * np.uint64(parts) + p.astype(np.uint64), domain, key)
+            doc, first = np.repeat(np.arange(len(coded)), counts), np.repeat(np.cumsum(counts) - counts, counts)
+            part = np.arange(len(doc)) - first
+            h = h.to_numpy()
+            number = h.view(np.uint64)
+            number = np.where(copy > 0, _mixed(number ^ _mixed(copy.astype(np.uint64), key), key), number)
+            image = permuted((number[doc] % np.uint64(hashes)) * np.uint64(parts) + part.astype(np.uint64), domain, key)
+            for i in range(0, len(doc), 20_000):
+                d, p, own = doc[i : i + 20_000], part[i : i + 20_000], image[i : i + 20_000]
                 body = [coded[x][2 * length * y : 2 * length * (y + 1)] for x, y in zip(d.tolist(), p.tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(own // per_shard), pa.array(own), pa.array(h[d]), ids.take(pa.array(d)), pa.array(p * length), pa.array(body, pa.binary())], ["shard", "image", "hash", "doc_id", "start", "ids"])
 
-    dealt = counted(docs).mapInArrow(deal, "shard long, image long, hash long, doc_id long, start long, ids binary")
+    dealt = numbered(docs).mapInArrow(deal, "shard long, image long, hash long, doc_id long, start long, ids binary")
     tasks = max(1, min(shards, 200_000))
     ranged = dealt.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int")).sortWithinPartitions("image", "hash")
 

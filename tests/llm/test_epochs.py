@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from ledgerline.llm import mixing, tokens
+from ledgerline.llm import common, mixing, tokens
 
 
 def order(found):
@@ -14,10 +14,10 @@ def beside(ids):
     return sum(a == b for a, b in zip(ids, ids[1:]))
 
 
-@pytest.mark.parametrize("copies", [1024, 2])
-def test_epochs_lie_apart(spark, tmp_path, copies, monkeypatch):
+@pytest.mark.parametrize("rows", [100_000, 0])
+def test_epochs_lie_apart(spark, tmp_path, rows, monkeypatch):
     """400 documents three times each: neighbours are the same document as often as by chance (about twice in 1,199)."""
-    monkeypatch.setattr(tokens, "COPIES", copies)
+    monkeypatch.setattr(common, "SMALL_ROWS", rows)
     docs = spark.createDataFrame([(i, f"text {i} " * (3 + i % 5)) for i in range(400)] * 3, "doc_id long, text string").repartition(5)
     found, out = tokens.materialise(docs, f"file://{tmp_path}/a", length=16)
     ids = order(found)
