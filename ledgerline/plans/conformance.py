@@ -135,13 +135,21 @@ def typed(rows: DataFrame, kind: Kind, aliases: Mapping[str, list[str]], with_ru
     return out
 
 
-def dispositions(facts: DataFrame, kind: Kind) -> DataFrame:
-    """``typed`` facts with ``disposition``: rejected, accepted (the first of its key by family, file and row) or duplicate."""
+#: Duplicates whose places are broadcast.
+FEW = 100_000
+
+
+def dispositions(facts: DataFrame, kind: Kind, keep=lambda frame: frame) -> DataFrame:
+    """``typed`` facts with ``disposition``: rejected, accepted (the first of its key by family, file and row) or duplicate.
+
+    Only sound rows compete for a key, and only keys and places are shuffled for it; the places of the losers come back."""
     valid = F.col("error").isNull()
-    # Only sound rows compete for a key; the others, often with blank keys, are spread.
-    spread = F.when(valid, 0).otherwise(1 + F.pmod(F.xxhash64("source_file", "source_row"), F.lit(population.SPREAD)))
-    place = F.row_number().over(population.Window.partitionBy(*kind.key, spread).orderBy("source_family", "source_file", "source_row"))
-    return facts.withColumn("place", place).withColumn("disposition", F.when(~valid, "rejected").when(F.col("place") > 1, "duplicate").otherwise("accepted")).drop("place")
+    place = F.row_number().over(population.Window.partitionBy(*kind.key).orderBy("source_family", "source_file", "source_row"))
+    again = facts.where(valid).select(*kind.key, "source_family", "source_file", "source_row").withColumn("place", place).where("place > 1")
+    again = keep(again.select("source_file", "source_row", F.lit(True).alias("again")))
+    again = F.broadcast(again) if again.limit(FEW + 1).count() <= FEW else again
+    out = facts.join(again, ["source_file", "source_row"], "left")
+    return out.withColumn("disposition", F.when(~valid, "rejected").when(F.col("again"), "duplicate").otherwise("accepted")).drop("again")
 
 
 @dataclass
@@ -158,7 +166,7 @@ class Conformed:
 def conform(lines: DataFrame, files: DataFrame, aliases: Mapping[str, Mapping[str, list[str]]], with_rules: bool = True, keep=lambda frame: frame) -> Conformed:
     """Conforms the usable files of an inventory. ``aliases``: by kind, target -> header names. ``keep`` stores what is
     read several times (writes and reads again, or persists)."""
-    judged = {k: keep(dispositions(typed(raw_rows(lines, files, k, aliases[k.name]), k, aliases[k.name], with_rules), k)) for k in (SECURITY, LOAN)}
+    judged = {k: dispositions(keep(typed(raw_rows(lines, files, k, aliases[k.name]), k, aliases[k.name], with_rules)), k, keep) for k in (SECURITY, LOAN)}
     counts = None
     for k, d in judged.items():
         own = d.select("source_file", "source_family", "report_period", "schema_version", "publication_date", "as_of_timestamp", "disposition")
