@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import schemas as C
@@ -13,6 +13,7 @@ from .functions import scalars as S
 from .operators import fields, leaks, order, population
 from .plans import bindings, conformance, cube, cube_sql, incremental, parts, release, repair, transitions, verify
 from .sources import archives
+from .streaming import cohorts, joins
 from .streaming import events as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -595,6 +596,69 @@ def committed_parts(spark, sf_dir) -> DataFrame:
 COMMITTED_SQL = f"WITH {bindings.LOAN_CTE} SELECT source_file, count(*) AS rows, CAST(sum(CASE WHEN source_file IN ('F1', 'F3') THEN current_upb_cents ELSE current_upb_cents + 1 END) AS BIGINT) AS upb FROM loan GROUP BY 1"
 
 
+# ---- streams
+
+
+#: Years of arrivals that are one run of a stream.
+ARRIVAL_YEARS = 3
+#: A month after all others, with which the watermark passes these.
+AFTER_ALL = "2199-12"
+
+
+def _arrival(months_later: int) -> Column:
+    """The run in which a row comes, ``months_later`` after its month."""
+    month = F.substring("report_period", 1, 4).cast("int") * 12 + F.substring("report_period", 6, 2).cast("int") - 1 + months_later
+    return F.floor(month / (12 * ARRIVAL_YEARS)).cast("int").alias("arrival")
+
+
+def streamed(spark, name: str, sources: list[tuple[DataFrame, list[dict]]], build: Callable[..., DataFrame]) -> DataFrame:
+    """What ``build`` of the sources' streams gives, run by run of their arrivals, each run resuming from the one before.
+
+    A source: its rows with ``arrival``, and the rows that come last."""
+    folder = _folder(spark, name)
+    runs, schemas = set(), []
+    for i, (frame, _) in enumerate(sources):
+        frame.write.partitionBy("arrival").parquet(f"{folder}/arrivals-{i}")
+        kept = spark.read.parquet(f"{folder}/arrivals-{i}")
+        runs |= {r.arrival for r in kept.select("arrival").distinct().collect()}  # one row for some years
+        schemas.append(kept.drop("arrival").schema)
+    for run in [*sorted(runs), None]:
+        for i, (_, last) in enumerate(sources):
+            rows = spark.read.parquet(f"{folder}/arrivals-{i}").where(F.col("arrival") == run).drop("arrival") if run is not None else spark.createDataFrame([tuple(r.get(c) for c in schemas[i].names) for r in last], schemas[i])
+            rows.write.mode("append").parquet(f"{folder}/in-{i}")
+        built = build(*(spark.readStream.schema(s).parquet(f"{folder}/in-{i}") for i, s in enumerate(schemas)))
+        writer = built.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(availableNow=True)
+        cohorts.started(writer, spark).awaitTermination()
+    return spark.read.schema(built.schema).parquet(f"{folder}/out")
+
+
+def streamed_join(spark, sf_dir) -> DataFrame:
+    """Join counts of loans and securities that arrive over years, every seventh security a quarter late."""
+    loans, before, late = late_securities(spark, sf_dir)
+    loans = loans.select("loan_id", "security_id", "report_period", "source_row", "correction_indicator", _arrival(0))
+    securities = before.select("*", _arrival(0)).unionByName(late.select("*", _arrival(3)))
+    last = {"loan_id": "", "security_id": "", "report_period": AFTER_ALL, "source_row": 0, "security_status": "A"}
+    found = streamed(spark, "stream-join", [(loans, [last, last | {"correction_indicator": "D"}]), (securities, [last])], lambda a, b: joins.join_reasons(a, b, delay="124 days", wait=120))
+    return population.join_counts(found.where(F.col("report_period") != AFTER_ALL))
+
+
+def streamed_cohorts(spark, sf_dir) -> DataFrame:
+    """Cohort components of the latest view: a history's, and those that a stream of the later months ends or starts."""
+    loans = bindings.loans(spark, sf_dir)
+    months = sorted(r.report_period for r in loans.select("report_period").distinct().collect())  # one row for each month
+    cut = months[len(months) // 2]
+    store = incremental.TransitionStore(spark, _folder(spark, "stream-history"))
+    store.start(loans.where(F.col("report_period") <= cut))
+    frontier = cohorts.frontier_states(store.frontiers.read([cut]))
+    needed = [*transitions.KEY, "report_period", "as_of_timestamp", "publication_date", "source_file", "source_row", "join_reason", "correction_indicator", "current_upb_cents", "days_delinquent", "modification_program"]
+    later = loans.where(F.col("report_period") > cut).select(*needed, _arrival(0))
+    last = {c: "" for c in needed} | {"report_period": AFTER_ALL, "source_row": 0, "current_upb_cents": 0, "days_delinquent": 0}
+    found = streamed(spark, "stream-cohorts", [(later, [last])], lambda s: cohorts.outcomes(cohorts.states(s), initial=frontier))
+    ended = found.groupBy("kind", transitions._period(F.col("month")).alias("report_period"), F.col("status").alias("result")).agg(F.count("*").alias("n"), F.sum("upb").cast("decimal(38,0)").alias("upb")).withColumn("correction_view", F.lit("latest"))
+    before = store.sums.read().where("correction_view = 'latest' and kind != 'transition'").select(*ended.columns)
+    return as_text(transitions.cohort_rows(before.unionByName(ended), loans, ("latest",)))
+
+
 # ---- conformance from archive lines
 
 
@@ -769,6 +833,8 @@ def queries() -> dict[str, Query]:
         "incremental_loans": incremental_loans,
         "incremental_transitions": incremental_transitions,
         "join_repair": join_repair,
+        "streamed_join": streamed_join,
+        "streamed_cohorts": streamed_cohorts,
         "committed_parts": committed_parts,
         "partition_totals": partition_totals,
         "leak_sample": leak_sample,
@@ -824,6 +890,8 @@ def oracle_sql() -> dict[str, str]:
         "incremental_loans": INCREMENTAL_LOANS_SQL,
         "incremental_transitions": " UNION ALL ".join(f"(SELECT * FROM ({cube_sql.transition_sql(c)}))" for c in ("delinquency_roll_cure", "new_delinquency_redefault")),
         "join_repair": JOINED_SQL + " SELECT report_period, join_reason, count(*) AS row_count FROM jr GROUP BY 1, 2",
+        "streamed_join": JOINED_SQL + " SELECT report_period, join_reason, count(*) AS row_count FROM jr GROUP BY 1, 2",
+        "streamed_cohorts": f"SELECT * FROM ({cube_sql.transition_sql('new_delinquency_redefault')}) WHERE dimension = 'redefault_trigger' AND correction_view = 'latest'",
         "committed_parts": COMMITTED_SQL,
         "partition_totals": PARTITION_TOTALS_SQL,
         "leak_sample": LEAK_SAMPLE_SQL,

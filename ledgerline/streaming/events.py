@@ -1,18 +1,10 @@
-"""Streaming extensions: what the batch engine says of late rows, duplicates and cohorts, on unbounded input."""
+"""Streaming extensions: windows, sessions and duplicates on unbounded input."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATE = "last_month int, open string"
-OUTCOME = "key string, trigger string, start_month int, status string"
-
-
 def _timed(events: DataFrame) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -32,39 +24,6 @@ def first_of_key(events: DataFrame, key: list[str], late: str = "2 hours") -> Da
     return _timed(events).withWatermark("ts", late).dropDuplicatesWithinWatermark(key)
 
 
-def cohort_outcomes(history: DataFrame, threshold: int = 30, window: int = 12) -> DataFrame:
-    """Cohorts as they end: redefault, complete, or censored (a gap, an ineligible month).
-
-    ``history``: key, month, days (null if not eligible), triggers (the names of cohorts that start in that month), months
-    of a key in order from batch to batch. A cohort starts for every trigger, whatever others are open; those open
-    are kept in the state, at most ``window`` months of each name. A month that comes after a later one of its key
-    is left out, as its place in the chain is already judged."""
-
-    def advance(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last, text = state.get if state.exists else (None, "[]")
-        cohorts, done = [tuple(c) for c in json.loads(text)], []
-        rows = pd.concat(list(batches)).sort_values("month")
-        for month, days, names in zip(rows["month"].tolist(), rows["days"].tolist(), rows["triggers"].tolist()):
-            if last is not None and month <= last:
-                continue
-            still = []
-            for name, start in cohorts:
-                if month != last + 1 or pd.isna(days):
-                    done.append((key[0], name, start, "censored"))
-                elif days >= threshold:
-                    done.append((key[0], name, start, "redefault"))
-                elif month - start >= window:
-                    done.append((key[0], name, start, "complete"))
-                else:
-                    still.append((name, start))
-            cohorts = still + [(name, month) for name in (names if names is not None else ())]
-            last = month
-        state.update((last if last is not None else -1, json.dumps(cohorts)))
-        yield pd.DataFrame(done, columns=["key", "trigger", "start_month", "status"])
-
-    return history.groupBy("key").applyInPandasWithState(advance, OUTCOME, STATE, "append", "NoTimeout")
-
-
 def write_batch(path: str, batch: DataFrame, batch_id: int) -> None:
     """For foreachBatch: a batch is a partition of its own, written over by a repeat, so a batch that failed midway or
     comes twice adds nothing."""

@@ -120,32 +120,6 @@ def test_cohorts_like_the_loop(spark):
     assert found == expected and set(expected.values()) == {"redefault", "complete", "censored"}
 
 
-def test_streamed_cohorts_agree(spark, tmp_path):
-    """Month by month in batches of their own, with overlapping cohorts of both kinds: the outcomes of the batch form."""
-    from ledgerline.streaming import events
-
-    rng = random.Random(5)
-    states = [(f"K{k}", m, rng.random() < 0.97, rng.choice([0, 0, 0, 0, 45, None if rng.random() < 0.2 else 0]), rng.random() < 0.3) for k in range(30) for m in range(26) if rng.random() < 0.98]
-    df = spark.createDataFrame([("f", k, "s", f"{2020 + m // 12}-{m % 12 + 1:02d}", 2020 * 12 + m + 1, a, 100, d, x) for k, m, a, d, x in states], "source_family string, loan_id string, security_id string, report_period string, month int, active boolean, upb long, days int, modified boolean")
-    expected = {(r.loan_id, r.trigger, r.month): r.status for r in transitions.cohorts(df).join(df, [*transitions.KEY, "report_period"]).select("loan_id", "trigger", "month", "status").collect()}
-    started: dict = {}
-    for k, t, m in expected:
-        started.setdefault((k, m), []).append(t)
-    source, schema = tmp_path / "in", "key string, month int, days double, triggers array<string>"
-    spark.createDataFrame([], schema).coalesce(1).write.parquet(str(source))
-    stream = spark.readStream.schema(schema).parquet(str(source))
-    query = events.cohort_outcomes(stream).writeStream.format("memory").queryName("outcomes").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
-    for m in range(0, 26, 7):
-        rows = [(k, 2020 * 12 + x + 1, float(d) if a and d is not None else None, started.get((k, 2020 * 12 + x + 1))) for k, x, a, d, _ in states if m <= x < m + 7]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(source))
-        query.processAllAvailable()
-    query.stop()
-    found = {(r.key, r.trigger, r.start_month): r.status for r in spark.table("outcomes").collect()}
-    still = {c for c in expected if c not in found}
-    assert {c: s for c, s in expected.items() if c in found} == found and len(found) > 40
-    assert all(expected[c] == "censored" for c in still) and len({s for s in found.values()}) == 3
-
-
 def test_batches_are_written_once(spark, tmp_path):
     from ledgerline.streaming import events
 
