@@ -62,6 +62,7 @@ def verify_metrics(built: DataFrame, loans: DataFrame, securities: Mapping[str,
         "thresholds": verify.thresholds_recomputed(built, loans),
         "modification": verify.modification_recomputed(built, loans),
         **{f"removal_{v}": verify.removal_recomputed(built, f, v) for v, f in securities.items()},
+        "transition_coverage": verify.transition_coverage(built, loans),
         "transition_sums": verify.transition_sums(built),
         "new_delinquency": verify.new_delinquency_matches(built),
         "cohort_sums": verify.cohort_sums(built),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..schemas import CONTRACTS, KEY, VIEWS
+from . import transitions
 from .cube import COMPOSITIONS, is_active_loan, is_active_security
 
 TOLERANCE = 1e-12
@@ -127,6 +128,17 @@ def transition_sums(cube: DataFrame) -> DataFrame:
     return rows.groupBy("report_period", "correction_view", "component", "origin").agg(F.sum("numerator").alias("total"), F.min("denominator").alias("low"), F.max("denominator").alias("high")).where("total != low or low != high")
 
 
+def transition_coverage(cube: DataFrame, loans: DataFrame) -> DataFrame:
+    """V12: months and views whose eligible origins are absent, or are not those that the loans' month before has."""
+    live = F.array(*(F.when(F.col(v)["active"] & F.col(v)["days"].isNotNull(), F.lit(v)) for v in VIEWS))
+    seen = transitions.histories(loans).select((F.col("month") + 1).alias("month"), F.explode(live).alias("correction_view")).where("correction_view is not null")
+    again = seen.groupBy("month", "correction_view").agg(F.count("*").alias("again"))
+    months = loans.select("report_period").distinct().select("report_period", S.month_index(F.col("report_period")).alias("month"))
+    need = again.join(months, "month").drop("month")
+    own = cube.where("contract_id = 'delinquency_roll_cure' and component = 'eligible_origin_count'").select("report_period", "correction_view", "numerator")
+    return need.join(own, ["report_period", "correction_view"], "full").where("not (again <=> numerator)")
+
+
 def new_delinquency_matches(cube: DataFrame) -> DataFrame:
     """V13: new delinquencies by count and balance that differ from the transitions out of Current."""
     rows = cube.where("component in ('transition_count', 'transition_upb') and member in ('Current to 30-59', 'Current to 60-89', 'Current to 90+')")

@@ -430,6 +430,34 @@ CONCENTRATION_SQL = (
 )
 
 
+#: Contracts that hold the evidence.
+EVIDENCE_CONTRACTS = ("current_outstanding_balance_population", "modification_rate", "counterparty_composition", "state_composition", "delinquency_roll_cure")
+
+
+def payload_evidence(spark, sf_dir) -> DataFrame:
+    """The last month's evidence with the number of its source partitions and of their rows."""
+    from .plans.payload import evidence
+
+    loans = bindings.loans(spark, sf_dir)
+    partitions = loans.groupBy("report_period", "source_file").agg(F.count("*").alias("rows"), F.sum("source_row").cast("string").alias("checksum"))
+    out = evidence(metric(spark, sf_dir, EVIDENCE_CONTRACTS), partitions)
+    return out.select("evidence", "component", "report_period", "member", F.col("numerator").cast("string").alias("numerator"), F.size("provenance").cast("long").alias("partitions"), F.aggregate("provenance", F.lit(0).cast("long"), lambda n, p: n + p["rows"]).alias("source_rows"))
+
+
+def _evidence_sql() -> str:
+    from .plans.payload import EVIDENCE
+
+    cubes = " UNION ALL ".join(f"(SELECT * FROM ({cube_sql.transition_sql(c) if c == 'delinquency_roll_cure' else cube_sql.contract_sql(c)}))" for c in EVIDENCE_CONTRACTS)
+    names = " ".join(f"WHEN '{v}' THEN '{k}'" for k, v in EVIDENCE.items())
+    return (
+        f"WITH {bindings.LOAN_CTE}, c AS (SELECT * FROM ({cubes}) WHERE correction_view = 'latest'), e AS (SELECT *, CASE component {names} WHEN 'transition_count' THEN 'transitions' END AS evidence FROM c), "
+        "x AS (SELECT * FROM e WHERE evidence IS NOT NULL AND report_period = (SELECT max(report_period) FROM e WHERE evidence IS NOT NULL AND evidence <> 'transitions')), "
+        "p AS (SELECT report_period, count(DISTINCT source_file) AS k, count(*) AS n FROM loan GROUP BY 1) "
+        "SELECT evidence, component, report_period, member, numerator, CAST((SELECT sum(k) FROM p WHERE p.report_period = x.report_period OR (evidence = 'transitions' AND p.report_period = strftime(CAST(x.report_period || '-01' AS DATE) - INTERVAL 1 MONTH, '%Y-%m'))) AS BIGINT) AS partitions, "
+        "CAST((SELECT sum(n) FROM p WHERE p.report_period = x.report_period OR (evidence = 'transitions' AND p.report_period = strftime(CAST(x.report_period || '-01' AS DATE) - INTERVAL 1 MONTH, '%Y-%m'))) AS BIGINT) AS source_rows FROM x"
+    )
+
+
 def findings(spark, sf_dir) -> DataFrame:
     """Issuance of each month against the one before, with peak and trough."""
     from .plans.payload import findings as found
@@ -775,6 +803,7 @@ def checks() -> dict[str, Query]:
         "v09_thresholds": _check(lambda s, d: verify.thresholds_recomputed(m(s, d, ("delinquency_threshold_rates",)), loans(s, d))),
         "v10_modification": _check(lambda s, d: verify.modification_recomputed(m(s, d, ("modification_rate",)), loans(s, d))),
         "v11_removal": _check(removal),
+        "v12_transition_coverage": _check(lambda s, d: verify.transition_coverage(m(s, d, ("delinquency_roll_cure",)), bindings.loans(s, d))),
         "v12_transition_sums": _check(lambda s, d: verify.transition_sums(m(s, d, ("delinquency_roll_cure",)))),
         "v13_new_delinquency": _check(lambda s, d: verify.new_delinquency_matches(m(s, d, ("delinquency_roll_cure", "new_delinquency_redefault")))),
         "v14_cohort_sums": _check(lambda s, d: verify.cohort_sums(m(s, d, ("new_delinquency_redefault",)))),
@@ -817,6 +846,7 @@ def queries() -> dict[str, Query]:
         "payload_series": series,
         "payload_concentration": concentration,
         "payload_findings": findings,
+        "payload_evidence": payload_evidence,
         "record_profile": lambda s, d: population.profile(raw_lines(s, d)),
         "family_match": family_match,
         "header_hashes": header_hashes,
@@ -874,6 +904,7 @@ def oracle_sql() -> dict[str, str]:
         "payload_series": SERIES_SQL,
         "payload_concentration": CONCENTRATION_SQL,
         "payload_findings": FINDINGS_SQL,
+        "payload_evidence": _evidence_sql(),
         "record_profile": PROFILE_SQL,
         "family_match": FAMILY_SQL,
         "header_hashes": HEADER_SQL,

@@ -90,3 +90,40 @@ def test_semantic_findings():
     assert found[0]["change"] == 1.0 and found[1]["change"] == 1.0 and found[-1]["measure"] == "top_10_servicer"
     with pytest.raises(payload.InvalidPayload):
         payload.semantic_findings([rows[0], rows[1] | {"loan_count": -1.0}], [])
+
+
+def test_evidence_is_whole_or_refused(spark):
+    from ledgerline import schemas as C
+
+    names = [*C.KEY, "numerator", "denominator", "observations", "value", "released"]
+    schema = ", ".join(f"{n} {'double' if n == 'value' else 'boolean' if n == 'released' else 'long' if n in ('numerator', 'denominator', 'observations') else 'string'}" for n in names)
+    base = dict.fromkeys(names) | {"contract_id": "c", "report_period": "2024-01", "correction_view": "latest", "grain": "g", "dimension": "portfolio", "member": "All", "numerator": 1, "released": True}
+    rows = [base | {"component": c} for c in payload.EVIDENCE.values()]
+    rows += [base | {"component": "transition_count", "dimension": "delinquency_transition", "member": "Current to Current"}]
+    partitions = [("2023-12", "a", "x", 3), ("2024-01", "b", "y", 4)]
+    p = spark.createDataFrame(partitions, "report_period string, source_file string, checksum string, rows long")
+
+    def bundle(rows, p=p, period=None):
+        return payload.evidence_bundle(payload.evidence(spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema), p, period))
+
+    found = bundle(rows + [base | {"component": "loan_upb", "report_period": "2023-12"}, base | {"component": "loan_upb", "correction_view": "original"}])
+    assert set(found["metrics"]) == set(payload.EVIDENCE) and [s["source_file"] for s in found["metrics"]["outstanding_upb"]["provenance"]] == ["b"]
+    assert [s["source_file"] for s in found["transitions"][0]["provenance"]] == ["a", "b"]
+    for broken in (rows[1:], rows[:-1], [*rows, rows[0]], [r | {"released": r["component"] != "loan_upb"} for r in rows]):
+        with pytest.raises(payload.InvalidPayload):
+            bundle(broken)
+    with pytest.raises(payload.InvalidPayload, match="source"):
+        bundle(rows, p.where("source_file = 'a'"))
+    with pytest.raises(payload.InvalidPayload):
+        bundle(rows, period="2024-02")
+
+
+def test_issuance_evidence():
+    months = [{"month": f"2024-0{i}", "issuance_upb": u, "security_count": i} for i, u in ((1, 9.0), (2, 9.0), (3, 4.0))]
+    mix = [{"month": "2024-03", "product_group": g, "issuance_upb": u} for g, u in (("A", 1.0), ("B", 3.0))]
+    sources = {"2024-01": [{"source_file": "a"}], "2024-03": [{"source_file": "c"}]}
+    found = payload.issuance_evidence(months, mix, sources)
+    assert [(found[k]["report_period"], found[k]["member"], found[k]["value"]) for k in ("issuance_change", "issuance_peak", "issuance_mix")] == [("2024-03", "All", "4.0"), ("2024-01", "All", "9.0"), ("2024-03", "B", "3.0")]
+    for broken in ((months[:1], mix, sources), (months, [], sources), (months, mix, {"2024-03": sources["2024-03"]})):
+        with pytest.raises(payload.InvalidPayload):
+            payload.issuance_evidence(*broken)

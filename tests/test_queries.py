@@ -84,6 +84,7 @@ def faults(spark, whole):
         "modification": (lambda c: verify.modification_recomputed(c, loans), [off("component = 'modification_count_rate'"), off("component = 'modification_upb_rate'", "denominator"), without("component = 'modification_upb_rate'")]),
         **{f"removal_{v}": (lambda c, v=v, f=f: verify.removal_recomputed(c, f, v), [off(f"component = 'involuntary_removal_{b}_share' and correction_view = '{v}'") for b in ("count", "upb")]) for v, f in views.items()},
         "transition_sums": (verify.transition_sums, [off("component = 'transition_count' and member like 'Current to %'")]),
+        "transition_coverage": (lambda c: verify.transition_coverage(c, loans), [without("component = 'eligible_origin_count' and correction_view = 'original'"), off("component = 'eligible_origin_count'")]),
         "new_delinquency": (verify.new_delinquency_matches, [off("component = 'new_delinquency_count'"), off("component = 'new_delinquency_upb'")]),
         "cohort_sums": (verify.cohort_sums, [off("component = 'trigger_cohort_count'"), off("component = 'right_censored_upb'")]),
         "unreleased": (verify.unreleased, [lambda c: c.withColumn("released", F.col("component") != "wam"), lambda c: c.withColumn("contract_id", F.when(F.col("contract_id") == "dti_metric", "cpr").otherwise(F.col("contract_id"))), lambda c: c.withColumn("component", F.when(F.col("component") == "rolling_3_upb", "rolling_3_balance").otherwise(F.col("component")))]),
