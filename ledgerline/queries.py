@@ -440,7 +440,8 @@ def payload_evidence(spark, sf_dir) -> DataFrame:
 
     loans = bindings.loans(spark, sf_dir)
     partitions = loans.groupBy("report_period", "source_file").agg(F.count("*").alias("rows"), F.sum("source_row").cast("string").alias("checksum"))
-    out = evidence(metric(spark, sf_dir, EVIDENCE_CONTRACTS), partitions)
+    built = release.staged(metric(spark, sf_dir, EVIDENCE_CONTRACTS), _folder(spark, "evidence"))  # read twice
+    out = evidence(built, partitions)
     return out.select("evidence", "component", "report_period", "member", F.col("numerator").cast("string").alias("numerator"), F.size("provenance").cast("long").alias("partitions"), F.aggregate("provenance", F.lit(0).cast("long"), lambda n, p: n + p["rows"]).alias("source_rows"))
 
 
