@@ -434,12 +434,16 @@ CONCENTRATION_SQL = (
 EVIDENCE_CONTRACTS = ("current_outstanding_balance_population", "modification_rate", "counterparty_composition", "state_composition", "delinquency_roll_cure")
 
 
+def source_partitions(loans: DataFrame) -> DataFrame:
+    """Rows and checksum of each loan file's month; a bigint would not hold the sum of some hundred row numbers."""
+    return loans.groupBy("report_period", "source_file").agg(F.count("*").alias("rows"), F.sum(S.wide(F.col("source_row"))).cast("string").alias("checksum"))
+
+
 def payload_evidence(spark, sf_dir) -> DataFrame:
     """The last month's evidence with the number of its source partitions and of their rows."""
     from .plans.payload import evidence
 
-    loans = bindings.loans(spark, sf_dir)
-    partitions = loans.groupBy("report_period", "source_file").agg(F.count("*").alias("rows"), F.sum("source_row").cast("string").alias("checksum"))
+    partitions = source_partitions(bindings.loans(spark, sf_dir))
     built = release.staged(metric(spark, sf_dir, EVIDENCE_CONTRACTS), _folder(spark, "evidence"))  # read twice
     out = evidence(built, partitions)
     return out.select("evidence", "component", "report_period", "member", F.col("numerator").cast("string").alias("numerator"), F.size("provenance").cast("long").alias("partitions"), F.aggregate("provenance", F.lit(0).cast("long"), lambda n, p: n + p["rows"]).alias("source_rows"))

@@ -43,3 +43,11 @@ def test_concentrations_have_their_hhi(spark):
     for dimension, hhi in found.items():
         members = [int(r.numerator) for r in rows.where(f"component = '{dimension}_upb' and report_period = '{month}' and dimension = '{dimension}'").collect()]
         assert members and hhi == pytest.approx(sum((m / sum(members)) ** 2 for m in members), abs=1e-9)
+
+
+def test_checksums_of_large_row_numbers(spark):
+    """Row numbers of a large table, whose sum is beyond a bigint, in one file's month."""
+    row = 9 * 10**18
+    loans = spark.createDataFrame([("2024-01", "F0", row), ("2024-01", "F0", row), ("2024-02", "F0", 1)], "report_period string, source_file string, source_row long")
+    found = {r.report_period: (r.rows, r.checksum) for r in queries.source_partitions(loans).collect()}
+    assert found == {"2024-01": (2, str(2 * row)), "2024-02": (1, "1")}
