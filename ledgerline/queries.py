@@ -668,11 +668,11 @@ def streamed(spark, name: str, sources: list[tuple[DataFrame, list[dict]]], buil
 def streamed_join(spark, sf_dir) -> DataFrame:
     """Join counts of loans and securities that arrive over years, every seventh security a quarter late."""
     loans, before, late = late_securities(spark, sf_dir)
-    loans = loans.select("loan_id", "security_id", "report_period", "source_row", "correction_indicator", _arrival(0))
+    loans = loans.select("security_id", "report_period", "correction_indicator", _arrival(0))
     securities = before.select("*", _arrival(0)).unionByName(late.select("*", _arrival(3)))
-    last = {"loan_id": "", "security_id": "", "report_period": AFTER_ALL, "source_row": 0, "security_status": "A"}
-    found = streamed(spark, "stream-join", [(loans, [last, last | {"correction_indicator": "D"}]), (securities, [last])], lambda a, b: joins.join_reasons(a, b, delay="124 days", wait=120))
-    return population.join_counts(found.where(F.col("report_period") != AFTER_ALL))
+    last = {"security_id": "", "report_period": AFTER_ALL, "security_status": "A"}
+    found = streamed(spark, "stream-join", [(loans, [last, last | {"correction_indicator": "D"}]), (securities, [last])], lambda a, b: joins.reason_counts(a, b, delay="124 days", wait=120))
+    return found.where(F.col("report_period") != AFTER_ALL).groupBy("report_period", "join_reason").agg(F.sum("row_count").alias("row_count"))
 
 
 def streamed_cohorts(spark, sf_dir) -> DataFrame:

@@ -75,6 +75,20 @@ def test_join_of_bounded_inputs(spark):
     assert joins.join_reasons(one, frames[1].limit(0)).first().join_reason == "unmatched"
 
 
+def test_join_counts_without_pairs(spark):
+    """The reasons counted; loans of an id with many months are not multiplied by these before they are told."""
+    loans, securities = join_rows(4)
+    frames = spark.createDataFrame([*loans, *loans[:5], ("X", "S1", "soon", None, "f", 500)], LOAN), spark.createDataFrame(securities, SECURITY)
+    want = {(r.report_period, r.join_reason): r.row_count for r in population.join_counts(population.join_reason(frames[0].where("report_period != 'soon'"), frames[1])).collect()}
+    found = Counter()
+    for r in joins.reason_counts(*frames).collect():
+        found[r.report_period, r.join_reason] += r.row_count
+    assert found == want
+    many = spark.createDataFrame([("S", period(m), "A") for m in range(60)], SECURITY)
+    told = joins._verdicts(joins._waiting(joins._timed(spark.createDataFrame([("L", "S", period(0), None, "f", i) for i in range(50)], LOAN), "62 days")), many, "62 days", 60)
+    assert [(r.join_reason, r.row_count) for r in told.collect()] == [("matched", 50)]
+
+
 HISTORY = "source_family string, loan_id string, security_id string, report_period string, as_of_timestamp string, publication_date string, source_file string, source_row long, join_reason string, correction_indicator string, current_upb_cents long, days_delinquent int, modification_program string"
 
 
