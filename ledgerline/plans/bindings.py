@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources import contracts
+from . import release
 
 SECURITY = {
     "security_id": "concat('S', cast(o_custkey % 300 as string))",
@@ -169,9 +170,22 @@ def securities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(_table(spark, sf_dir, "orders"), SECURITY)
 
 
-def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _loan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return _select(lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]), LOAN)
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+
+
+def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _select(_loan_rows(spark, sf_dir), LOAN)
+
+
+def kept_loans(spark: SparkSession, sf_dir: str, folder: str, columns: tuple[str, ...] = tuple(LOAN)) -> DataFrame:
+    """``columns`` of the loans for what reads them several times: line items meet their orders once, and what the loans
+    are drawn from is written below ``folder``; loans are as cheap as a scan then."""
+    rows = _loan_rows(spark, sf_dir)
+    wanted = {c: LOAN[c] for c in columns}
+    needed = [c for c in rows.columns if any(re.search(rf"\b{c}\b", e) for e in wanted.values())]
+    return _select(release.staged(rows.select(*needed), folder), wanted)
 
 
 def issuance(spark: SparkSession, sf_dir: str) -> DataFrame:

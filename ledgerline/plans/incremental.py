@@ -128,7 +128,7 @@ class TransitionStore:
         """From a whole history: what happened until its last month, and the frontier there."""
         last = loans.agg(F.max("report_period")).first()[0]
         month = int(last[:4]) * 12 + int(last[5:7])
-        states = transitions.histories(loans)
+        states = release.staged(transitions.histories(loans, to_store=True), f"{self.frontiers.root}/building")  # read twice
         each = transitions.followed(states, C.VIEWS, self.threshold, self.window, upto=month)
         open_ = F.filter(
             F.array(*(F.when(c & (F.col(f"status_{v}") == "open"), F.struct(F.lit(v).alias("view"), F.lit(k).alias("kind"), F.col("month").cast("int").alias("month"), F.col(v)["upb"].cast("long").alias("upb"))) for v in C.VIEWS for k, c in transitions.triggers(v, self.threshold).items())),
@@ -138,7 +138,7 @@ class TransitionStore:
         now = F.max(F.when(F.col("month") == month, F.struct(*C.VIEWS)))
         frontier = each.where(F.col("month") > month - self.window).groupBy(*transitions.KEY).agg(now.alias("now"), F.flatten(F.collect_list(open_)).alias("open")).where("now is not null")
         frontier = frontier.select(*transitions.KEY, F.lit(month).cast("int").alias("month"), *(F.col("now")[v].cast(_STATE).alias(v) for v in C.VIEWS), F.col("open").cast(_OPEN).alias("open"))
-        happened = transitions.happenings(loans, threshold=self.threshold, window=self.window, upto=month).where("result != 'open'")
+        happened = transitions.happenings(loans, threshold=self.threshold, window=self.window, upto=month, states=states).where("result != 'open'")
         self._commit(last, happened.select(*HAPPENED, "n", F.col("upb").cast(C.WIDE).alias("upb")), frontier)
 
     def advance(self, loans: DataFrame) -> None:
@@ -155,7 +155,7 @@ class TransitionStore:
         if last == month:
             self.rewind(month)
             last = self.month()
-        now = transitions.histories(loans).select(*(F.col(k).alias(f"k{i}") for i, k in enumerate(transitions.KEY)), *(F.col(v).cast(_STATE).alias(f"now_{v}") for v in C.VIEWS))
+        now = transitions.histories(loans, to_store=True).select(*(F.col(k).alias(f"k{i}") for i, k in enumerate(transitions.KEY)), *(F.col(v).cast(_STATE).alias(f"now_{v}") for v in C.VIEWS))
         prior = self.frontiers.read([_name_of(last)]) if last is not None else None
         if prior is None:
             prior = self.spark.createDataFrame([], ", ".join([*(f"{k} string" for k in transitions.KEY), "month int", *(f"{v} {_STATE}" for v in C.VIEWS), f"open {_OPEN}"]))

@@ -14,17 +14,22 @@ from ..functions import scalars as S
 from .cube import is_active_loan, row, tall
 
 KEY = ("source_family", "loan_id", "security_id")
+#: What transitions and cohorts read of a loan.
+NEEDED = (*KEY, "report_period", "as_of_timestamp", "publication_date", "source_file", "source_row", "join_reason", "correction_indicator", "current_upb_cents", "days_delinquent", "modification_program")
 THRESHOLD, WINDOW = 30, 12
 TRIGGERS = ("cure", "modification")
 
 
-def histories(loans: DataFrame) -> DataFrame:
+def histories(loans: DataFrame, to_store: bool = False) -> DataFrame:
     """One row for each loan and month: KEY, report_period, month, and the states of the version that ranks first
-    (``original``) and last (``latest``): structs of active, upb, days, modified."""
+    (``original``) and last (``latest``): structs of active, upb, days, modified.
+
+    ``to_store``: no window follows before they are written, so versions meet in each task before the shuffle."""
     rank = F.struct("as_of_timestamp", "publication_date", "source_file", "source_row")
     state = F.struct(is_active_loan().alias("active"), F.coalesce("current_upb_cents", F.lit(0)).alias("upb"), F.col("days_delinquent").alias("days"), (F.trim(F.coalesce("modification_program", F.lit(""))) != "").alias("modified"))
     key = [F.coalesce(F.col(c), F.lit("")).alias(c) if c == "security_id" else F.col(c) for c in KEY]
-    dealt = loans.select(*key, "report_period", rank.alias("rank"), state.alias("state")).repartition(*KEY)
+    dealt = loans.select(*key, "report_period", rank.alias("rank"), state.alias("state"))
+    dealt = dealt if to_store else dealt.repartition(*KEY)
     out = dealt.groupBy(*KEY, "report_period").agg(F.min_by("state", "rank").alias("original"), F.max_by("state", "rank").alias("latest"))
     return out.withColumn("month", S.month_index(F.col("report_period")))
 
@@ -81,9 +86,11 @@ def _period(month: Column) -> Column:
     return F.format_string("%04d-%02d", F.floor((month - 1) / 12).cast("int"), ((month - 1) % 12 + 1).cast("int"))
 
 
-def happenings(loans: DataFrame, views: tuple[str, ...] = C.VIEWS, threshold: int = THRESHOLD, window: int = WINDOW, upto: int | None = None) -> DataFrame:
+def happenings(loans: DataFrame, views: tuple[str, ...] = C.VIEWS, threshold: int = THRESHOLD, window: int = WINDOW, upto: int | None = None, states: DataFrame | None = None) -> DataFrame:
     """correction_view, kind, report_period, origin, result, n, upb: for transitions the bands before and after, at the
-    month after; for triggers the outcome, at the month where the cohort starts. Months without any loan are left out."""
+    month after; for triggers the outcome, at the month where the cohort starts. Months without any loan are left out.
+    ``states``: the ``histories`` of the loans, if they are stored already."""
+    states = histories(loans) if states is None else states
     rows = []
     for v in views:
         now, later = F.col(v), F.col(f"next_{v}")
@@ -92,7 +99,7 @@ def happenings(loans: DataFrame, views: tuple[str, ...] = C.VIEWS, threshold: in
         happened = [("transition", now["active"] & now["days"].isNotNull(), F.col("month") + 1, S.delinquency_band(now["days"]), result)]
         happened += [(k, c, F.col("month"), F.lit(""), F.col(f"status_{v}")) for k, c in triggers(v, threshold).items()]
         rows += [F.when(c, F.struct(F.lit(v).alias("correction_view"), F.lit(k).alias("kind"), m.alias("month"), o.alias("origin"), r.alias("result"), now["upb"].alias("upb"))) for k, c, m, o, r in happened]
-    each = followed(histories(loans), views, threshold, window, upto).select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r")).select("r.*")
+    each = followed(states, views, threshold, window, upto).select(F.explode(F.filter(F.array(*rows), lambda r: r.isNotNull())).alias("r")).select("r.*")
     out = each.groupBy(F.col("correction_view").alias("view"), F.col("kind").alias("what"), "month", "origin", "result").agg(F.count("*").alias("n"), F.sum(S.wide(F.col("upb"))).alias("upb"), F.max("kind").alias("kind"), F.max("correction_view").alias("correction_view"))
     # View and kind are aggregates, so that what selects or joins by them does not sink below the exchange, which all parts then share.
     out = out.withColumn("report_period", _period(F.col("month"))).drop("month", "what", "view")

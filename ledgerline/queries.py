@@ -55,12 +55,23 @@ TRUST_CONTRACTS = ("source_population_accounting", "source_disposition_rates", "
 DERIVED = {"hhi_concentration": (cube.hhi, ("state_composition", "counterparty_composition")), "delinquency_threshold_rates": (cube.threshold_rates, ("delinquency_distribution",)), "modification_rate": (cube.modification_rate, ("current_outstanding_balance_population", "modification_volume"))}
 
 
+def loan_passes(contracts: tuple[str, ...] | None) -> int:
+    """Reads of the loans that the given contracts need: totals, segments, tops, each derived contract, transitions (states, months)."""
+    wants = lambda *names: contracts is None or bool(set(contracts) & set(names))
+    sums = {c for c, _, _ in cube.LOAN_WEIGHTED.values()} | {"current_outstanding_balance_population", "loan_balance_distribution", "correction_restatement_volume", "deferred_upb_share"}
+    # Tops share the exchange of segments that are compositions alone.
+    reads = [wants(*sums), wants(*(c for c in LOAN_CONTRACTS if c not in sums or c == "credit_score_model_metrics")), wants(*cube.COMPOSITIONS.values()) and wants(*(c for c in LOAN_CONTRACTS if c not in cube.COMPOSITIONS.values()))]
+    return sum(reads) + sum(wants(d) for d in DERIVED) + 2 * wants("delinquency_roll_cure", "new_delinquency_redefault")
+
+
 def metric(spark: SparkSession, sf_dir: str, contracts: tuple[str, ...] | None = None) -> DataFrame:
     """Cube rows of the given contracts (all by default), from as few scans as they need."""
     wants = lambda *names: contracts is None or set(contracts) & set(names)
+    passes = loan_passes(contracts)
+    loans = bindings.kept_loans(spark, sf_dir, _folder(spark, "loans")) if passes > 1 else bindings.loans(spark, sf_dir)
     frames = []
     if wants(*LOAN_CONTRACTS):
-        frames.append(cube.loan_cube(bindings.loans(spark, sf_dir), contracts))
+        frames.append(cube.loan_cube(loans, contracts))
     if wants(*SECURITY_CONTRACTS):
         frames += [cube.security_cube(f, v, contracts) for v, f in views(spark, sf_dir).items()]
     if wants(*ISSUANCE_CONTRACTS):
@@ -69,12 +80,12 @@ def metric(spark: SparkSession, sf_dir: str, contracts: tuple[str, ...] | None =
         frames.append(cube.trust(manifests(spark, sf_dir), contracts, issued(spark, sf_dir)))
     for name, (derive, needs) in DERIVED.items():
         if wants(name):
-            frames.append(derive(cube.loan_base(bindings.loans(spark, sf_dir), needs)))
+            frames.append(derive(cube.loan_base(loans, needs)))
     if wants("new_issuance_share_ending_book"):
         book = cube.security_cube(views(spark, sf_dir)["latest"], "latest", ("current_outstanding_balance_population",))
         frames.append(cube.issuance_share(cube.union([cube.issuance(bindings.securities(spark, sf_dir), bindings.product_group(), ("issuance_volume",)), book])))
     if wants("delinquency_roll_cure", "new_delinquency_redefault"):
-        frames.append(transitions.transition_cube(bindings.loans(spark, sf_dir), contracts))
+        frames.append(transitions.transition_cube(loans, contracts))
     if wants("join_coverage"):
         frames.append(cube.join_coverage(joined(spark, sf_dir).groupBy("join_reason").agg(F.count("*").alias("row_count"))))
     if wants("file_completeness"):
@@ -569,7 +580,7 @@ LOAN_PERIOD = (*LOAN_CONTRACTS, *DERIVED)
 def incremental_loans(spark, sf_dir) -> DataFrame:
     """Loan contracts after an update: an earlier state of one file and a file that is gone were built before; the update
     reads the one that changed and the one that is new, and keeps the partials of the others."""
-    loans = bindings.loans(spark, sf_dir)
+    loans = bindings.kept_loans(spark, sf_dir, _folder(spark, "loans"))
     store = incremental.LoanStore(spark, _folder(spark, "loan-store"), "rules-1")
 
     def of(frame: DataFrame):
@@ -591,7 +602,7 @@ ADVANCED = 4
 
 def incremental_transitions(spark, sf_dir) -> DataFrame:
     """Both transition contracts from a history and its last months, added one at a time to the frontier before them."""
-    loans = bindings.loans(spark, sf_dir)
+    loans = bindings.kept_loans(spark, sf_dir, _folder(spark, "loans"), transitions.NEEDED)
     months = sorted(r.report_period for r in loans.select("report_period").distinct().collect())  # one row for each month
     store = incremental.TransitionStore(spark, _folder(spark, "transitions"))
     store.start(loans.where(F.col("report_period") <= months[-1 - ADVANCED]))
@@ -677,15 +688,14 @@ def streamed_join(spark, sf_dir) -> DataFrame:
 
 def streamed_cohorts(spark, sf_dir) -> DataFrame:
     """Cohort components of the latest view: a history's, and those that a stream of the later months ends or starts."""
-    loans = bindings.loans(spark, sf_dir)
+    loans = bindings.kept_loans(spark, sf_dir, _folder(spark, "loans"), transitions.NEEDED)
     months = sorted(r.report_period for r in loans.select("report_period").distinct().collect())  # one row for each month
     cut = months[len(months) // 2]
     store = incremental.TransitionStore(spark, _folder(spark, "stream-history"))
     store.start(loans.where(F.col("report_period") <= cut))
     frontier = cohorts.frontier_states(store.frontiers.read([cut]))
-    needed = [*transitions.KEY, "report_period", "as_of_timestamp", "publication_date", "source_file", "source_row", "join_reason", "correction_indicator", "current_upb_cents", "days_delinquent", "modification_program"]
-    later = loans.where(F.col("report_period") > cut).select(*needed, _arrival(0))
-    last = {c: "" for c in needed} | {"report_period": AFTER_ALL, "source_row": 0, "current_upb_cents": 0, "days_delinquent": 0}
+    later = loans.where(F.col("report_period") > cut).select(*transitions.NEEDED, _arrival(0))
+    last = {c: "" for c in transitions.NEEDED} | {"report_period": AFTER_ALL, "source_row": 0, "current_upb_cents": 0, "days_delinquent": 0}
     found = streamed(spark, "stream-cohorts", [(later, [last])], lambda s: cohorts.outcomes(cohorts.states(s), initial=frontier))
     ended = found.groupBy("kind", transitions._period(F.col("month")).alias("report_period"), F.col("status").alias("result")).agg(F.count("*").alias("n"), F.sum("upb").cast("decimal(38,0)").alias("upb")).withColumn("correction_view", F.lit("latest"))
     before = store.sums.read().where("correction_view = 'latest' and kind != 'transition'").select(*ended.columns)

@@ -177,3 +177,16 @@ def test_loans_without_an_id_are_spread(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert max(r["count"] for r in at) < 3000 or len(at) == 1
+
+
+def test_loans_are_joined_once_where_they_are_read_often(spark, tmp_path):
+    """Stored loans equal the others; contracts of several passes read them, not line items and orders."""
+    from ledgerline import queries
+    from ledgerline.plans import bindings, transitions
+
+    kept = bindings.kept_loans(spark, SF, str(tmp_path / "loans"), transitions.NEEDED)
+    own = bindings.loans(spark, SF).select(*transitions.NEEDED)
+    assert kept.columns == own.columns and kept.exceptAll(own).isEmpty() and own.exceptAll(kept).isEmpty()
+    plan = queries.metric(spark, SF, ("current_outstanding_balance_population", "state_composition", "weighted_rates"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey#" not in plan.replace("l_orderkey", "") or "Join Inner, (l_orderkey" not in plan
+    assert [queries.loan_passes(c) for c in (("weighted_rates",), ("state_composition",), ("weighted_rates", "state_composition"))] == [1, 1, 3]
