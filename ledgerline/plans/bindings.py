@@ -204,10 +204,12 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     for source, columns in ((orders, SECURITY_LINES), (both(), LOAN_LINES)):
         rows = _select(source, columns)
         names = [c for c in columns if c not in ("file", "row_key")]
-        body = rows.select("file", "row_key", F.concat_ws("|", *(F.col(f"`{n}`") for n in names)).alias("value"))
-        heads = rows.select("file").distinct().select("file", F.lit(-1).cast("long").alias("row_key"), F.lit("|".join(names)).alias("value"))
-        line = F.row_number().over(Window.partitionBy("file").orderBy("row_key", "value")).cast("long")
-        own = heads.unionByName(body).select(F.concat("file", F.lit(".zip")).alias("file"), F.concat("file", F.lit(".txt")).alias("member"), line.alias("line"), "value", F.lit(None).cast("string").alias("error"))
+        # The header goes before a file's first row where that one is numbered, so that the rows are made once.
+        line = F.row_number().over(Window.partitionBy("file").orderBy("row_key", "value")).cast("long") + 1
+        body = rows.select("file", "row_key", F.concat_ws("|", *(F.col(f"`{n}`") for n in names)).alias("value")).select("file", F.struct(line.alias("line"), "value").alias("own"))
+        head = F.struct(F.lit(1).cast("long").alias("line"), F.lit("|".join(names)).alias("value"))
+        each = body.select("file", F.explode(F.when(F.col("own.line") == 2, F.array(head, "own")).otherwise(F.array("own"))).alias("r"))
+        own = each.select(F.concat("file", F.lit(".zip")).alias("file"), F.concat("file", F.lit(".txt")).alias("member"), "r.line", "r.value", F.lit(None).cast("string").alias("error"))
         out = own if out is None else out.unionByName(own)
     return out
 

@@ -67,6 +67,8 @@ class Kind:
 SECURITY = Kind("security", "monthly-security-core", ("prefix", "security_id", "security_factor_date", "security_correction_indicator", "security_status"), "security_correction_indicator", ("Y", "N"), SECURITY_NUMBERS, (), provider_rules.SECURITY_RULES, ("report_period", "security_id"), "Security Data Correction Indicator")
 LOAN = Kind("loan", "monthly-loan-level", ("loan_id", "loan_correction_indicator", "prefix", "security_id"), "loan_correction_indicator", ("Y", "N", "A", "D"), LOAN_NUMBERS, LOAN_TEXTS, provider_rules.LOAN_RULES, ("report_period", "loan_id", "security_id"), "Loan Correction Indicator")
 SECURITY_STATUSES = ("A", "P", "C", "D")
+#: What the join reads of either kind.
+JOINING = ("security_status", "correction_indicator")
 LINEAGE = ("source_file", "source_row", "source_family", "schema_version", "publication_date", "as_of_timestamp")
 
 
@@ -163,10 +165,16 @@ class Conformed:
     join_counts: DataFrame
 
 
-def conform(lines: DataFrame, files: DataFrame, aliases: Mapping[str, Mapping[str, list[str]]], with_rules: bool = True, keep=lambda frame: frame) -> Conformed:
+def conform(lines: DataFrame, files: DataFrame, aliases: Mapping[str, Mapping[str, list[str]]], with_rules: bool = True, keep=lambda frame: frame, columns: Mapping[str, tuple[str, ...]] | None = None, loans_read_once: bool = False) -> Conformed:
     """Conforms the usable files of an inventory. ``aliases``: by kind, target -> header names. ``keep`` stores what is
-    read several times (writes and reads again, or persists)."""
-    judged = {k: dispositions(keep(typed(raw_rows(lines, files, k, aliases[k.name]), k, aliases[k.name], with_rules)), k, keep) for k in (SECURITY, LOAN)}
+    read several times (writes and reads again, or persists).
+
+    ``columns``: by kind, the facts' columns that the caller reads, beside those that judging and joining need; by default
+    all. Every row is judged by every check either way. ``loans_read_once``: joined loans aren't stored."""
+    facts_of = {k: typed(raw_rows(lines, files, k, aliases[k.name]), k, aliases[k.name], with_rules) for k in (SECURITY, LOAN)}
+    if columns is not None:
+        facts_of = {k: f.select(*(c for c in f.columns if c in {*LINEAGE, *k.key, *JOINING, "error", *columns.get(k.name, ())})) for k, f in facts_of.items()}
+    judged = {k: dispositions(keep(f), k, keep) for k, f in facts_of.items()}
     counts = None
     for k, d in judged.items():
         own = d.select("source_file", "source_family", "report_period", "schema_version", "publication_date", "as_of_timestamp", "disposition")
@@ -182,7 +190,8 @@ def conform(lines: DataFrame, files: DataFrame, aliases: Mapping[str, Mapping[st
     manifest = keep(manifest.unionByName(supplemental))
     passing = manifest.where("quality_status = 'pass'").select("source_file")
     facts = {k: d.where("disposition = 'accepted'").drop("disposition", "error").join(passing, "source_file", "left_semi") for k, d in judged.items()}
-    loans = keep(population.join_reason(facts[LOAN], facts[SECURITY]))
+    loans = population.join_reason(facts[LOAN], facts[SECURITY])
+    loans = loans if loans_read_once else keep(loans)
     issues = None
     for k, d in judged.items():
         own = d.where("disposition != 'accepted'").select("source_file", "source_row", F.when(F.col("disposition") == "rejected", f"INVALID_{k.name.upper()}_ROW").otherwise("DUPLICATE_KEY").alias("code"), F.coalesce("error", F.lit("duplicate key")).alias("detail"))

@@ -705,22 +705,27 @@ def streamed_cohorts(spark, sf_dir) -> DataFrame:
 # ---- conformance from archive lines
 
 
-def conformed(spark, sf_dir) -> conformance.Conformed:
+def conformed(spark, sf_dir, **columns: tuple[str, ...]) -> conformance.Conformed:
+    """The archives' rows, judged and joined; of facts the ``columns`` by kind, as a query reads them."""
     folder = _folder(spark, "conformance")
 
     def keep(frame: DataFrame) -> DataFrame:
         return archives.stored(frame, folder)
 
     lines, contract = keep(bindings.archive_lines(spark, sf_dir)), bindings.archive_contract()
-    return conformance.conform(lines, keep(archives.inventory(lines, contract)), bindings.ARCHIVE_ALIASES, keep=keep)
+    return conformance.conform(lines, keep(archives.inventory(lines, contract)), bindings.ARCHIVE_ALIASES, keep=keep, columns=columns, loans_read_once=True)
+
+
+CONFORMED_SECURITY = ("report_period", "security_id", "prefix", "security_status", "correction_indicator", "factor_e8", "current_upb_cents", "issue_date", "green_indicator", "v2_field_statuses", "publication_date", "source_file")
+CONFORMED_LOAN = ("report_period", "loan_id", "security_id", "correction_indicator", "current_upb_cents", "days_delinquent", "join_reason", "as_of_timestamp")
 
 
 def conformed_securities(spark, sf_dir) -> DataFrame:
-    return conformed(spark, sf_dir).securities.select("report_period", "security_id", "prefix", "security_status", "correction_indicator", "factor_e8", "current_upb_cents", "issue_date", "green_indicator", "v2_field_statuses", "publication_date", "source_file")
+    return conformed(spark, sf_dir, security=CONFORMED_SECURITY).securities.select(*CONFORMED_SECURITY)
 
 
 def conformed_loans(spark, sf_dir) -> DataFrame:
-    return conformed(spark, sf_dir).loans.select("report_period", "loan_id", "security_id", "correction_indicator", "current_upb_cents", "days_delinquent", "join_reason", "as_of_timestamp")
+    return conformed(spark, sf_dir, loan=CONFORMED_LOAN).loans.select(*CONFORMED_LOAN)
 
 
 LEAK_SAMPLE_SQL = f"""

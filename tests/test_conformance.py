@@ -175,3 +175,22 @@ def test_lines_of_a_store_that_only_spark_reads(spark, tmp_path, monkeypatch):
     streamed = read()
     monkeypatch.setattr(archives, "_reachable", lambda path: False)
     assert read() == streamed and len(streamed) == 7
+
+
+def test_stored_facts_hold_what_is_read(spark):
+    """Of the lines' facts only what a query reads is written, joined loans not at all; rows and verdicts stay the same."""
+    from ledgerline import queries
+    from ledgerline.plans import bindings
+
+    sf, widths = "/root/testdata/sf0.001", []
+    lines = bindings.archive_lines(spark, sf)
+    assert lines.where("line = 1").groupBy("file").count().where("count != 1").isEmpty()
+    assert lines.groupBy("file").agg(F.max("line").alias("last"), F.count("*").alias("n")).where("last != n").isEmpty()
+    files, keep = archives.inventory(lines, bindings.archive_contract()), lambda f: widths.append(len(f.columns)) or f
+    whole = conformance.conform(lines, files, bindings.ARCHIVE_ALIASES, keep=keep)
+    most, n = max(widths), len(widths)
+    widths.clear()
+    cut = conformance.conform(lines, files, bindings.ARCHIVE_ALIASES, keep=keep, columns={"loan": queries.CONFORMED_LOAN}, loans_read_once=True)
+    assert len(widths) == n - 1 and max(widths) < most / 2
+    a, b = (f.loans.select(*queries.CONFORMED_LOAN) for f in (whole, cut))
+    assert a.count() == b.count() > 0 and a.exceptAll(b).isEmpty()

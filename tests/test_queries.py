@@ -188,5 +188,5 @@ def test_loans_are_joined_once_where_they_are_read_often(spark, tmp_path):
     own = bindings.loans(spark, SF).select(*transitions.NEEDED)
     assert kept.columns == own.columns and kept.exceptAll(own).isEmpty() and own.exceptAll(kept).isEmpty()
     plan = queries.metric(spark, SF, ("current_outstanding_balance_population", "state_composition", "weighted_rates"))._jdf.queryExecution().optimizedPlan().toString()
-    assert "o_orderkey#" not in plan.replace("l_orderkey", "") or "Join Inner, (l_orderkey" not in plan
+    assert "Join Inner" not in plan
     assert [queries.loan_passes(c) for c in (("weighted_rates",), ("state_composition",), ("weighted_rates", "state_composition"))] == [1, 1, 3]
