@@ -1,9 +1,11 @@
 """Near-duplicates by exact Jaccard similarity of 5-word shingles, 0.8 and more; the pipeline's stage.
 
-A text's shingle hashes make a set, and 252 minima over it make 42 keys of six. Texts that share a key are
-candidates: at similarity 0.8 a pair shares none with probability (1 - 0.8**6)**42, 3 in a million, and less
-above. Each key links its texts to the least of them; the components of these links only say which sets must
-meet. There the sets are compared exactly, by counting shared shingles over an inverted index; components of
+A text's shingle hashes make a set. Candidates come from two sides. The set's 64-bit SimHash fingerprints are compared
+bit-sliced as op1's are (``simhash.links``): all pairs within its radius are candidates. Fingerprints of pairs at
+similarity 0.8 differ in 9.7 bits on average, beyond any radius that blocks of bits can serve; for these, 252 minima
+over the set make 42 keys of six, and texts that share a key are candidates, too: at similarity 0.8 a pair shares
+none with probability (1 - 0.8**6)**42, 3 in a million, and less above. Each key links its texts to the least of
+them; the components of all links only say which sets must meet. There the sets are compared exactly, by counting shared shingles over an inverted index; components of
 more than ``WEIGHT`` shingles are dealt into chunks, and pairs of chunks are compared in tasks of their own.
 Each task returns a spanning forest of the links it finds.
 
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import simhash
 from .common import annotate, fresh, hashable, small, spread_join, stage
 from .simhash import components, merge
 
@@ -84,7 +87,7 @@ def _make_keys():
         bands = [keys(s) for s in sets]
         flat = np.concatenate([*bands, np.zeros(0, np.uint64)])
         at = np.r_[0, np.cumsum([len(b) for b in bands], dtype=np.int64)].astype(np.int32)
-        return [_longs([set_id(s) for s in sets]), pa.ListArray.from_arrays(pa.array(at), _longs(flat))]
+        return [_longs([set_id(s) for s in sets]), _longs([simhash.majority(s) for s in sets]), pa.ListArray.from_arrays(pa.array(at), _longs(flat))]
 
     return run
 
@@ -97,7 +100,7 @@ def _make_sets():
     return run
 
 
-_KEYS = T.StructType([T.StructField("sid", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+_KEYS = T.StructType([T.StructField("sid", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 _SETS = T.StructType([T.StructField("sid", T.LongType()), T.StructField("n", T.LongType()), T.StructField("hashes", T.BinaryType())])
 
 
@@ -122,6 +125,15 @@ def candidates(sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "x long, y long").distinct()
 
 
+def near_prints(sets: DataFrame) -> DataFrame:
+    """Links (x, y) that join all sets whose fingerprints lie within op1's radius. ``sets``: sid, fp; a row for each set."""
+    named = stage(sets.groupBy("fp").agg(F.min("sid").alias("least")), "near-prints")
+    equal = spread_join(sets, named, "fp").where("sid != least").select(F.col("sid").alias("x"), F.col("least").alias("y"))
+    near = stage(simhash.links(named.select("fp")), "near-within")
+    end = lambda of, name: named.select(F.col("fp").alias(of), F.col("least").alias(name))
+    return equal.unionByName(near.join(end("x", "a"), "x").join(end("y", "b"), "y").select(F.col("a").alias("x"), F.col("b").alias("y")))
+
+
 def forest_of_sets(sets: list[np.ndarray]) -> np.ndarray:
     """Labels after joining all pairs of sets that are similar enough."""
     n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
@@ -180,8 +192,8 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of doc_id, text_key, sid; and the sets: sid, root (of its component)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_key", F.xxhash64("text"))
     prints = stage(annotate(docs, "text", _make_keys, _KEYS).drop("text"), "near")
-    distinct = stage(prints.groupBy("sid").agg(F.min("doc_id").alias("first"), F.min("text_key").alias("any_key"), F.first("keys").alias("keys")), "near-distinct")
-    met = components(candidates(distinct.select("sid", "keys")))
+    distinct = stage(prints.groupBy("sid").agg(F.min("doc_id").alias("first"), F.min("text_key").alias("any_key"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "near-distinct")
+    met = components(near_prints(distinct.select("sid", "fp")).unionByName(candidates(distinct.select("sid", "keys"))))
     met = stage(met.unionByName(met.select(F.col("root").alias("x"), "root").distinct()).withColumnRenamed("x", "sid"), "near-met")
     # one text of each set is enough: that of its least doc_id, or of its least hash if none has an id
     named = stage(distinct.join(met, "sid", "left_semi").select("first", F.when(F.col("first").isNull(), F.col("any_key")).alias("any_key")), "near-named")
@@ -189,7 +201,7 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = docs.join(by_id, "doc_id", "left_semi").unionByName(docs.where("doc_id is null").join(by_key, "text_key", "left_semi").select(docs.columns))
     sets = annotate(texts, "text", _make_sets, _SETS).select("sid", "n", "hashes").groupBy("sid").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))
     roots = components(links(stage(sets.join(small(met), "sid"), "near-sets"))).withColumnRenamed("x", "sid")
-    return prints.drop("keys"), stage(distinct.join(roots, "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root")), "near-roots")
+    return prints.drop("fp", "keys"), stage(distinct.join(roots, "sid", "left").select("sid", "first", F.coalesce("root", "sid").alias("root")), "near-roots")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

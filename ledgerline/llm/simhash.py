@@ -47,7 +47,11 @@ def fingerprint(text: bytes | None) -> int:
     ends = list(accumulate(map(len, ws), lambda at, n: at + 1 + n))
     starts = [0, *(e + 1 for e in ends[:-1])]
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :])), np.uint64, len(ws) - k + 1)
+    return majority(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :])), np.uint64, len(ws) - k + 1))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(h), 1 << 16):
         ones += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)

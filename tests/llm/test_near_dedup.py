@@ -89,3 +89,20 @@ def test_columns_of_any_type_pass(spark):
     assert len(kept) == 2 and {r.doc_id for r in kept} == {1, 2}
     taken = mixing.take(docs)
     assert taken.columns == docs.columns and {str(r) for r in taken.collect()} <= {str(r) for r in docs.collect()}
+
+
+def test_fingerprints_find_candidates(spark, monkeypatch):
+    """Without any shared key: fingerprints within op1's radius, and equal ones, meet; what meets is compared exactly."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for base in range(12):
+        words = [f"w{i}" for i in rng.integers(0, 5000, 1500)]
+        rows += [(10 * base + i, " ".join([*words[:700], *(["changed"] * i), *words[700 + i :]])) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    near = {i for i in range(12) if bin(near_dedup.simhash.majority(near_dedup.shingles(rows[2 * i][1].encode())) ^ near_dedup.simhash.majority(near_dedup.shingles(rows[2 * i + 1][1].encode()))).count("1") <= near_dedup.simhash.RADIUS}
+    assert len(near) > 6
+    monkeypatch.setattr(near_dedup, "candidates", lambda sets: spark.createDataFrame([], "x long, y long"))
+    kept = {r.doc_id for r in near_dedup.keep_first(docs).collect()}
+    assert kept == {i for i, _ in rows} - {10 * i + 1 for i in near}
+    met = spark.createDataFrame([(1, "a b c d e f g h", 7), (2, "s t u v w x y z", 7)], "sid long, text string, fp long")
+    assert [tuple(r) for r in near_dedup.near_prints(met.select("sid", "fp")).collect()] == [(2, 1)]
