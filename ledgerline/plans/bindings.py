@@ -172,7 +172,8 @@ def securities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _loan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+    # Orders of a task are hashed: line items need no sort, which would spill, and cost the same a row at every size.
+    return lines.join(orders.hint("shuffle_hash"), lines["l_orderkey"] == orders["o_orderkey"])
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:

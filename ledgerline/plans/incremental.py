@@ -128,7 +128,7 @@ class TransitionStore:
         """From a whole history: what happened until its last month, and the frontier there."""
         last = loans.agg(F.max("report_period")).first()[0]
         month = int(last[:4]) * 12 + int(last[5:7])
-        states = release.staged(transitions.histories(loans, to_store=True), f"{self.frontiers.root}/building")  # read twice
+        states = release.staged(transitions.histories(loans, to_store=True, whole=True), f"{self.frontiers.root}/building")  # read twice
         each = transitions.followed(states, C.VIEWS, self.threshold, self.window, upto=month)
         open_ = F.filter(
             F.array(*(F.when(c & (F.col(f"status_{v}") == "open"), F.struct(F.lit(v).alias("view"), F.lit(k).alias("kind"), F.col("month").cast("int").alias("month"), F.col(v)["upb"].cast("long").alias("upb"))) for v in C.VIEWS for k, c in transitions.triggers(v, self.threshold).items())),

@@ -20,14 +20,48 @@ THRESHOLD, WINDOW = 30, 12
 TRIGGERS = ("cure", "modification")
 
 
-def histories(loans: DataFrame, to_store: bool = False) -> DataFrame:
+#: Texts that order versions, and how many different ones (days and files) are put in order on the driver.
+ORDERED, FEW = ("as_of_timestamp", "publication_date", "source_file"), 50_000
+
+
+def numbered(loans: DataFrame) -> DataFrame | None:
+    """``loans`` with ``rank``, a number that orders them as as_of_timestamp, publication_date, source_file and source_row
+    do, nulls first; None if there are more than ``FEW`` days and files, or rows are not numbers."""
+    if dict(loans.dtypes)["source_row"] not in ("tinyint", "smallint", "int", "bigint"):
+        return None
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in ORDERED))).alias("r")
+    found = loans.select(each).select("r.*").distinct().limit(FEW + 1).collect()
+    if len(found) > FEW:
+        return None
+    high, out = F.lit(0).cast("long"), loans
+    for c in ORDERED:
+        values = sorted((r.value for r in found if r.name == c and r.value is not None), key=str.encode)  # as Spark orders texts
+        places = loans.sparkSession.createDataFrame([(v, i + 1) for i, v in enumerate(values)], f"`of_{c}` string, `at_{c}` long")
+        out = out.join(F.broadcast(places), F.col(c) == F.col(f"of_{c}"), "left")
+        high = high * (FEW + 1) + F.coalesce(f"at_{c}", F.lit(0))
+    # Rows are longs: moved above zero, where null is. The whole stays below 10**33.
+    low = F.coalesce(F.col("source_row").cast("decimal(20,0)") + F.expr("9223372036854775809BD"), F.expr("0BD"))
+    return out.withColumn("rank", (high.cast("decimal(18,0)") * F.expr("20000000000000000000BD") + low).cast("decimal(38,0)"))
+
+
+def histories(loans: DataFrame, to_store: bool = False, whole: bool = False) -> DataFrame:
     """One row for each loan and month: KEY, report_period, month, and the states of the version that ranks first
     (``original``) and last (``latest``): structs of active, upb, days, modified.
 
-    ``to_store``: no window follows before they are written, so versions meet in each task before the shuffle."""
-    rank = F.struct("as_of_timestamp", "publication_date", "source_file", "source_row")
-    state = F.struct(is_active_loan().alias("active"), F.coalesce("current_upb_cents", F.lit(0)).alias("upb"), F.col("days_delinquent").alias("days"), (F.trim(F.coalesce("modification_program", F.lit(""))) != "").alias("modified"))
+    ``to_store``: no window follows before they are written, so versions meet in each task before the shuffle. ``whole``:
+    of many months, so versions are numbered first if that can be (``numbered``, which reads the loans once), and hashed."""
     key = [F.coalesce(F.col(c), F.lit("")).alias(c) if c == "security_id" else F.col(c) for c in KEY]
+    fields = {"active": is_active_loan(), "upb": F.coalesce("current_upb_cents", F.lit(0)), "days": F.col("days_delinquent"), "modified": F.trim(F.coalesce("modification_program", F.lit(""))) != ""}
+    state = F.struct(*(c.alias(n) for n, c in fields.items()))
+    ranked = numbered(loans) if to_store and whole else None
+    if ranked is not None:
+        # Everything that is aggregated has a fixed width, so versions are hashed in each task; structs and texts would be sorted.
+        rows = ranked.select(*key, "report_period", "rank", *(c.alias(f"own_{n}") for n, c in fields.items()))
+        views = {"original": F.min_by, "latest": F.max_by}
+        out = rows.groupBy(*KEY, "report_period").agg(*(f(f"own_{n}", "rank").alias(f"{v}_{n}") for v, f in views.items() for n in fields))
+        out = out.select(*KEY, "report_period", *(F.struct(*(F.col(f"{v}_{n}").alias(n) for n in fields)).alias(v) for v in views))
+        return out.withColumn("month", S.month_index(F.col("report_period")))
+    rank = F.struct("as_of_timestamp", "publication_date", "source_file", "source_row")
     dealt = loans.select(*key, "report_period", rank.alias("rank"), state.alias("state"))
     dealt = dealt if to_store else dealt.repartition(*KEY)
     out = dealt.groupBy(*KEY, "report_period").agg(F.min_by("state", "rank").alias("original"), F.max_by("state", "rank").alias("latest"))
