@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..sources import contracts
 from . import release
+from .parts import workspace
 
 SECURITY = {
     "security_id": "concat('S', cast(o_custkey % 300 as string))",
@@ -197,19 +198,35 @@ def _cte(name: str, columns: dict[str, str], source: str) -> str:
     return f"{name} AS (SELECT " + ", ".join(f'{other_sql(e)} AS "{n}"' for n, e in columns.items()) + f" FROM {source})"
 
 
-def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The monthly archives of securities and loans as ``zip_lines`` gives them: file, member, line, value, error."""
-    orders = _table(spark, sf_dir, "orders")
-    both = lambda: _table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+#: Rows of all files that are numbered in one task.
+SLICE = 1_000_000
+
+
+def archive_lines(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The monthly archives of securities and loans as ``zip_lines`` gives them: file, member, line, value, error.
+
+    Rows are numbered in slices of their key and stored below ``folder``; the rows of a file's slices before are few sums,
+    which are added where lines are read. So no task sorts a file, however long it is."""
+    folder, orders = folder or f"{workspace(spark)}/lines", _table(spark, sf_dir, "orders")
+    both = lambda: _table(spark, sf_dir, "lineitem").join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
+    count, last = orders.agg(F.count("*"), F.max("o_orderkey")).first()
+    slices = 1 + 5 * count // SLICE  # of about five rows an order
     out = None
-    for source, columns in ((orders, SECURITY_LINES), (both(), LOAN_LINES)):
-        rows = _select(source, columns)
+    for source, columns, order in ((orders, SECURITY_LINES, "o_orderkey"), (both(), LOAN_LINES, "l_orderkey")):
         names = [c for c in columns if c not in ("file", "row_key")]
+        # A slice holds the keys of a range of orders, and row keys ascend with them.
+        part = F.floor(F.col(order) * F.lit(slices).cast("decimal(20,0)") / F.lit((last or 0) + 1)).cast("int").alias("slice")
+        rows = source.select(*(F.expr(spark_sql(e)).alias(n) for n, e in columns.items()), part)
+        own = Window.partitionBy("file", "slice").orderBy("row_key", "value")
+        body = rows.select("file", "row_key", "slice", F.concat_ws("|", *(F.col(f"`{n}`") for n in names)).alias("value")).withColumn("own", F.row_number().over(own).cast("long"))
+        kept = release.staged(body.select("file", "slice", "own", "value"), folder)
+        before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        counts = kept.groupBy("file", "slice").agg(F.count("*").alias("n")).select(F.col("file").alias("of"), F.col("slice").alias("at"), before.alias("before"))
+        counts = release.staged(counts, folder)
         # The header goes before a file's first row where that one is numbered, so that the rows are made once.
-        line = F.row_number().over(Window.partitionBy("file").orderBy("row_key", "value")).cast("long") + 1
-        body = rows.select("file", "row_key", F.concat_ws("|", *(F.col(f"`{n}`") for n in names)).alias("value")).select("file", F.struct(line.alias("line"), "value").alias("own"))
+        placed = kept.join(F.broadcast(counts), (F.col("file") == F.col("of")) & (F.col("slice") == F.col("at"))).select("file", F.struct((F.col("before") + F.col("own") + 1).alias("line"), "value").alias("own"))
         head = F.struct(F.lit(1).cast("long").alias("line"), F.lit("|".join(names)).alias("value"))
-        each = body.select("file", F.explode(F.when(F.col("own.line") == 2, F.array(head, "own")).otherwise(F.array("own"))).alias("r"))
+        each = placed.select("file", F.explode(F.when(F.col("own.line") == 2, F.array(head, "own")).otherwise(F.array("own"))).alias("r"))
         own = each.select(F.concat("file", F.lit(".zip")).alias("file"), F.concat("file", F.lit(".txt")).alias("member"), "r.line", "r.value", F.lit(None).cast("string").alias("error"))
         out = own if out is None else out.unionByName(own)
     return out

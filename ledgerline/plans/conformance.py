@@ -144,10 +144,14 @@ FEW = 100_000
 def dispositions(facts: DataFrame, kind: Kind, keep=lambda frame: frame) -> DataFrame:
     """``typed`` facts with ``disposition``: rejected, accepted (the first of its key by family, file and row) or duplicate.
 
-    Only sound rows compete for a key, and only keys and places are shuffled for it; the places of the losers come back."""
+    Only sound rows compete for a key. All that is shuffled of them is a hash of their key; keys and places only of rows
+    whose hash occurs again; the places of the losers come back."""
     valid = F.col("error").isNull()
+    sound = facts.where(valid).select(*kind.key, "source_family", "source_file", "source_row", F.xxhash64(*kind.key).alias("key_hash"))
+    repeated = keep(sound.groupBy("key_hash").count().where("count > 1").select("key_hash"))
+    repeated = F.broadcast(repeated) if repeated.limit(FEW + 1).count() <= FEW else repeated
     place = F.row_number().over(population.Window.partitionBy(*kind.key).orderBy("source_family", "source_file", "source_row"))
-    again = facts.where(valid).select(*kind.key, "source_family", "source_file", "source_row").withColumn("place", place).where("place > 1")
+    again = sound.join(repeated, "key_hash", "left_semi").withColumn("place", place).where("place > 1")
     again = keep(again.select("source_file", "source_row", F.lit(True).alias("again")))
     again = F.broadcast(again) if again.limit(FEW + 1).count() <= FEW else again
     out = facts.join(again, ["source_file", "source_row"], "left")

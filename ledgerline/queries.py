@@ -368,7 +368,7 @@ LEAK_SQL = "WITH t AS (SELECT DISTINCT regexp_extract(c_name, '([0-9]+)', 1) AS
 
 def leak_sample(spark, sf_dir) -> DataFrame:
     """Files of the archives that contain a token sampled from another one's first lines."""
-    lines = release.staged(bindings.archive_lines(spark, sf_dir), _folder(spark, "lines"))
+    lines = bindings.archive_lines(spark, sf_dir, _folder(spark, "lines"))
     tokens = leaks.sampled_tokens(lines)
     files = lines.where("line > 1").select(F.col("file").alias("path"), "value")
     found = leaks.leaked(tokens.select("token"), files)
@@ -712,7 +712,7 @@ def conformed(spark, sf_dir, **columns: tuple[str, ...]) -> conformance.Conforme
     def keep(frame: DataFrame) -> DataFrame:
         return archives.stored(frame, folder)
 
-    lines, contract = keep(bindings.archive_lines(spark, sf_dir)), bindings.archive_contract()
+    lines, contract = bindings.archive_lines(spark, sf_dir, folder), bindings.archive_contract()
     return conformance.conform(lines, keep(archives.inventory(lines, contract)), bindings.ARCHIVE_ALIASES, keep=keep, columns=columns, loans_read_once=True)
 
 

@@ -194,3 +194,35 @@ def test_stored_facts_hold_what_is_read(spark):
     assert len(widths) == n - 1 and max(widths) < most / 2
     a, b = (f.loans.select(*queries.CONFORMED_LOAN) for f in (whole, cut))
     assert a.count() == b.count() > 0 and a.exceptAll(b).isEmpty()
+
+
+def test_lines_are_numbered_in_slices(spark, tmp_path, monkeypatch):
+    """A file's rows are numbered by several tasks, as one order of all of them would."""
+    from pyspark.sql import Window
+
+    from ledgerline.plans import bindings
+
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(bindings, "SLICE", 1_500)
+    lines = bindings.archive_lines(spark, sf, str(tmp_path / "lines"))
+    assert max(r.n for r in spark.read.option("mergeSchema", True).parquet(f"{tmp_path}/lines/*").where("slice is not null").groupBy("file").agg(F.count_distinct("slice").alias("n")).collect()) > 1
+    for source, columns in ((spark.read.parquet(f"{sf}/orders.parquet"), bindings.SECURITY_LINES), (bindings._loan_rows(spark, sf).join(spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_orderstatus"), "o_orderkey"), bindings.LOAN_LINES)):
+        value = F.concat_ws("|", *(F.col(f"`{n}`") for n in columns if n not in ("file", "row_key")))
+        rows = bindings._select(source, columns).select("file", "row_key", value.alias("value"))
+        plain = rows.select(F.concat("file", F.lit(".zip")).alias("file"), (F.row_number().over(Window.partitionBy("file").orderBy("row_key", "value")) + 1).cast("long").alias("line"), "value")
+        own = lines.where("line > 1").join(plain.select("file").distinct(), "file", "left_semi").select("file", "line", "value")
+        assert own.count() == plain.count() > 0 and own.exceptAll(plain).isEmpty()
+
+
+def test_only_hashes_of_keys_are_dealt(spark):
+    """Keys themselves are shuffled of rows whose hash occurs again; nulls are a key like any other."""
+    rows = [("2020-01", f"L{i % 90}", None if i % 3 == 0 else "S", "f", "a", i, None if i % 10 else "bad") for i in range(120)]
+    facts = spark.createDataFrame(rows, "report_period string, loan_id string, security_id string, source_family string, source_file string, source_row long, error string")
+    kept = []
+    found = conformance.dispositions(facts, conformance.LOAN, lambda f: kept.append(f.collect()) or f).collect()
+    assert [len(k) for k in kept] == [27, 27] and kept[0][0].asDict().keys() == {"key_hash"}
+    seen, expected = set(), {}
+    for r in rows:
+        expected[r[5]] = "rejected" if r[6] else "duplicate" if r[:3] in seen else "accepted"
+        seen |= set() if r[6] else {r[:3]}
+    assert {r.source_row: r.disposition for r in found} == expected
