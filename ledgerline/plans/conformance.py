@@ -77,15 +77,25 @@ def known_targets(kind: Kind, aliases: Mapping[str, list[str]]) -> list[str]:
     return list(dict.fromkeys(t for t in [*kind.required, *(t for t, *_ in kind.numbers), *kind.texts, *(r["target"] for r in kind.rules)] if t in aliases))
 
 
-def raw_rows(lines: DataFrame, files: DataFrame, kind: Kind, aliases: Mapping[str, list[str]]) -> DataFrame:
+#: Rows that are broadcast at most: of files, of keys that occur again, of duplicates.
+FEW = 100_000
+
+
+def few(frame: DataFrame) -> bool:
+    return frame.limit(FEW + 1).count() <= FEW
+
+
+def raw_rows(lines: DataFrame, files: DataFrame, kind: Kind, aliases: Mapping[str, list[str]], keep=lambda frame: frame) -> DataFrame:
     """Lines with text of the usable files of one kind, with their cells, their file's width and lineage, and ``at``: for each
-    of ``known_targets`` the place of its cell, found once for a file (-1 if the header has none of its names)."""
+    of ``known_targets`` the place of its cell, found once for a file (-1 if the header has none of its names).
+
+    What is known of files comes to the lines, which stay where they are, unless there are too many files for that."""
     published = S.publication_date(F.col("member"))
     place = lambda t: F.coalesce(*(F.nullif(F.array_position("header", n), F.lit(0)) for n in aliases[t]), F.lit(0)).cast("int") - 1
     heads = archives.headers(lines).select("file", F.size("header").alias("width"), F.array(*map(place, known_targets(kind, aliases))).cast("array<int>").alias("at"))
-    usable = files.where("blocker is null").where(F.col("family").startswith(kind.prefix)).select("file", "family", "report_period", "schema_version").join(heads, "file")
-    body = lines.where("line > 1").where(F.trim("value") != "").withColumn("cells", archives.cells(F.col("value")))
-    out = body.join(usable, "file")
+    usable = keep(files.where("blocker is null").where(F.col("family").startswith(kind.prefix)).select("file", "family", "report_period", "schema_version").join(heads, "file"))
+    body = lines.where("line > 1").where(F.trim("value") != "")
+    out = body.join(F.broadcast(usable) if few(usable) else usable, "file").withColumn("cells", archives.cells(F.col("value")))
     return out.select(F.col("file").alias("source_file"), F.col("line").alias("source_row"), F.col("family").alias("source_family"), "schema_version", published.alias("publication_date"), S.as_of_timestamp(published).alias("as_of_timestamp"), "report_period", "cells", "width", "at")
 
 
@@ -118,11 +128,12 @@ def typed(rows: DataFrame, kind: Kind, aliases: Mapping[str, list[str]], with_ru
         parsed, sound, what = (S.parse_integer(cell(target)), S.is_integer(cell(target)), "integer") if scale is None else (S.parse_scaled(cell(target), scale), S.is_scaled(cell(target), scale), "decimal")
         checks.append(F.when(~sound, f"{label} is not a valid {what}"))
         numbers.append(parsed.alias(column))
-    row_class = provider_rules.row_class(text("prefix"))
+    raw = raw.withColumn("row_class", provider_rules.row_class(text("prefix"))).withColumn("correction", text(kind.correction))
+    row_class, correction = F.col("row_class"), F.col("correction")
     checked = []
     for rule in kind.rules if with_rules else ():
         classes = provider_rules.PROHIBITED[kind.name].get(rule["target"])
-        checked.append(fields.validated(rule | {"indicators": list(kind.corrections)}, cell(rule["target"]), row_class, text(kind.correction), row_class.isin(*classes) if classes else None).alias(f"rule_{rule['target']}"))
+        checked.append(fields.validated(rule | {"indicators": list(kind.corrections)}, cell(rule["target"]), row_class, correction, row_class.isin(*classes) if classes else None).alias(f"rule_{rule['target']}"))
     identity = [text("security_id").alias("security_id"), text("prefix").alias("prefix"), text("security_status").alias("security_status")] if kind is SECURITY else [text("loan_id").alias("loan_id"), S.blank_to_null(cell("security_id")).alias("security_id"), text("prefix").alias("prefix")]
     hashed = S.record_hash(*(cell(t) for t in known))
     out = raw.select(*LINEAGE, "report_period", *identity, text(kind.correction).alias("correction_indicator"), *numbers, *(S.blank_to_null(cell(t)).alias(t) for t in kind.texts), F.coalesce(*checks).alias("error"), hashed.alias("record_hash"), *checked)
@@ -137,24 +148,30 @@ def typed(rows: DataFrame, kind: Kind, aliases: Mapping[str, list[str]], with_ru
     return out
 
 
-#: Duplicates whose places are broadcast.
-FEW = 100_000
-
-
 def dispositions(facts: DataFrame, kind: Kind, keep=lambda frame: frame) -> DataFrame:
     """``typed`` facts with ``disposition``: rejected, accepted (the first of its key by family, file and row) or duplicate.
 
     Only sound rows compete for a key. All that is shuffled of them is a hash of their key; keys and places only of rows
-    whose hash occurs again; the places of the losers come back."""
+    whose hash occurs again. The first place of each such key comes back, however many rows have it; where those keys are
+    many, the places of the losers do."""
     valid = F.col("error").isNull()
-    sound = facts.where(valid).select(*kind.key, "source_family", "source_file", "source_row", F.xxhash64(*kind.key).alias("key_hash"))
+    order = ("source_family", "source_file", "source_row")
+    key_hash = F.xxhash64(*kind.key).alias("key_hash")
+    sound = facts.where(valid).select(*kind.key, *order, key_hash)
     repeated = keep(sound.groupBy("key_hash").count().where("count > 1").select("key_hash"))
-    repeated = F.broadcast(repeated) if repeated.limit(FEW + 1).count() <= FEW else repeated
-    place = F.row_number().over(population.Window.partitionBy(*kind.key).orderBy("source_family", "source_file", "source_row"))
+    if few(repeated):
+        again = sound.join(F.broadcast(repeated), "key_hash", "left_semi")
+        first = keep(again.groupBy("key_hash", *kind.key).agg(F.min(F.struct(*order)).alias("first")).select(F.col("key_hash").alias("of"), *(F.col(c).alias(f"of_{c}") for c in kind.key), "first"))
+        same = F.col("key_hash") == F.col("of")
+        for c in kind.key:
+            same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+        hashed = facts.withColumn("key_hash", F.when(valid, key_hash))
+        out = hashed.join(F.broadcast(first) if few(first) else first, same, "left").withColumn("again", F.col("first") != F.struct(*order))
+        return out.withColumn("disposition", F.when(~valid, "rejected").when(F.col("again"), "duplicate").otherwise("accepted")).select(*facts.columns, "disposition")
+    place = F.row_number().over(population.Window.partitionBy(*kind.key).orderBy(*order))
     again = sound.join(repeated, "key_hash", "left_semi").withColumn("place", place).where("place > 1")
     again = keep(again.select("source_file", "source_row", F.lit(True).alias("again")))
-    again = F.broadcast(again) if again.limit(FEW + 1).count() <= FEW else again
-    out = facts.join(again, ["source_file", "source_row"], "left")
+    out = facts.join(F.broadcast(again) if few(again) else again, ["source_file", "source_row"], "left")
     return out.withColumn("disposition", F.when(~valid, "rejected").when(F.col("again"), "duplicate").otherwise("accepted")).drop("again")
 
 
@@ -175,7 +192,7 @@ def conform(lines: DataFrame, files: DataFrame, aliases: Mapping[str, Mapping[st
 
     ``columns``: by kind, the facts' columns that the caller reads, beside those that judging and joining need; by default
     all. Every row is judged by every check either way. ``loans_read_once``: joined loans aren't stored."""
-    facts_of = {k: typed(raw_rows(lines, files, k, aliases[k.name]), k, aliases[k.name], with_rules) for k in (SECURITY, LOAN)}
+    facts_of = {k: typed(raw_rows(lines, files, k, aliases[k.name], keep), k, aliases[k.name], with_rules) for k in (SECURITY, LOAN)}
     if columns is not None:
         facts_of = {k: f.select(*(c for c in f.columns if c in {*LINEAGE, *k.key, *JOINING, "error", *columns.get(k.name, ())})) for k, f in facts_of.items()}
     judged = {k: dispositions(keep(f), k, keep) for k, f in facts_of.items()}

@@ -226,3 +226,50 @@ def test_only_hashes_of_keys_are_dealt(spark):
         expected[r[5]] = "rejected" if r[6] else "duplicate" if r[:3] in seen else "accepted"
         seen |= set() if r[6] else {r[:3]}
     assert {r.source_row: r.disposition for r in found} == expected
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def unsized(spark):
+    """Joins as for tables whose size Spark does not take for small."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_lines_stay_where_they_are(spark, tmp_path, unsized, monkeypatch):
+    """Files' places and lineage come to the lines, of either kind; with too many files for that, rows are the same."""
+    archive(tmp_path, "fd260107", [SECURITY_ROW, SECURITY_ROW], SECURITY_HEADER)
+    archive(tmp_path, "fu260107", [LOAN_ROW], LOAN_HEADER)
+    keep = lambda f: archives.stored(f, str(tmp_path / "kept"))
+    lines = keep(archives.zip_lines(spark, str(tmp_path)))
+    files = keep(archives.inventory(lines, contract()))
+    read = lambda kind: conformance.raw_rows(lines, files, kind, ALIASES[kind.name])
+    for kind, n in ((conformance.SECURITY, 2), (conformance.LOAN, 1)):
+        rows = read(kind)
+        top = plan_of(rows).split("BroadcastExchange")[0]
+        assert "BroadcastHashJoin" in top and "hashpartitioning" not in top and rows.count() == n
+        with monkeypatch.context() as m:
+            m.setattr(conformance, "FEW", 0)
+            assert sorted(map(str, read(kind).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_many_duplicates_of_few_keys(spark, tmp_path, unsized, monkeypatch):
+    """However many rows share a key, facts are not shuffled to mark them; many such keys give the same verdicts."""
+    rows = [("2020-01", f"L{i % 3 if i < 60 else i}", None if i % 3 == 0 else "S", "f", f"{i % 2}", 100 - i, None if i % 10 else "bad") for i in range(90)]
+    facts = spark.createDataFrame(rows, "report_period string, loan_id string, security_id string, source_family string, source_file string, source_row long, error string")
+    want, seen = {}, set()
+    for r in sorted(rows, key=lambda r: r[3:6]):
+        want[r[4:6]] = "rejected" if r[6] else "duplicate" if r[:3] in seen else "accepted"
+        seen |= set() if r[6] else {r[:3]}
+    assert list(want.values()).count("duplicate") > 40
+    for most, dealt in ((5, False), (2, True)):
+        monkeypatch.setattr(conformance, "FEW", most)
+        out = conformance.dispositions(facts, conformance.LOAN, lambda f: archives.stored(f, str(tmp_path / "kept")))
+        assert ("hashpartitioning" in plan_of(out)) == dealt
+        assert {(r.source_file, r.source_row): r.disposition for r in out.collect()} == want
