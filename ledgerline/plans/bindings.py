@@ -216,7 +216,10 @@ def archive_lines(spark: SparkSession, sf_dir: str, folder: str | None = None) -
         names = [c for c in columns if c not in ("file", "row_key")]
         # A slice holds the keys of a range of orders, and row keys ascend with them.
         part = F.floor(F.col(order) * F.lit(slices).cast("decimal(20,0)") / F.lit((last or 0) + 1)).cast("int").alias("slice")
-        rows = source.select(*(F.expr(spark_sql(e)).alias(n) for n, e in columns.items()), part)
+        # Rows are dealt as numbers, which are shorter than the text that is made of them.
+        needed = [c for c in source.columns if any(re.search(rf"\b{c}\b", e) for e in columns.values())]
+        dealt = source.select(*needed, F.expr(spark_sql(columns["file"])).alias("file"), part).repartition("file", "slice")
+        rows = dealt.select("file", "slice", *(F.expr(spark_sql(e)).alias(n) for n, e in columns.items() if n != "file"))
         own = Window.partitionBy("file", "slice").orderBy("row_key", "value")
         body = rows.select("file", "row_key", "slice", F.concat_ws("|", *(F.col(f"`{n}`") for n in names)).alias("value")).withColumn("own", F.row_number().over(own).cast("long"))
         kept = release.staged(body.select("file", "slice", "own", "value"), folder)

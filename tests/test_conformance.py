@@ -273,3 +273,17 @@ def test_many_duplicates_of_few_keys(spark, tmp_path, unsized, monkeypatch):
         out = conformance.dispositions(facts, conformance.LOAN, lambda f: archives.stored(f, str(tmp_path / "kept")))
         assert ("hashpartitioning" in plan_of(out)) == dealt
         assert {(r.source_file, r.source_row): r.disposition for r in out.collect()} == want
+
+
+def test_lines_are_dealt_as_numbers(spark, tmp_path, monkeypatch):
+    """The text of a line is made after rows were dealt to their slices."""
+    from ledgerline.plans import bindings
+
+    made, staged = [], bindings.release.staged
+    monkeypatch.setattr(bindings.release, "staged", lambda frame, folder: made.append(plan_of(frame)) or staged(frame, folder))
+    bindings.archive_lines(spark, "/root/testdata/sf0.001", str(tmp_path / "lines"))
+    lines = [p for p in made if "concat_ws" in p]
+    assert len(lines) == 2
+    for plan in lines:
+        above, below = plan.split("Exchange hashpartitioning(file", 1)
+        assert "concat_ws" in above and "concat_ws" not in below
