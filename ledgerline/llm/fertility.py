@@ -10,14 +10,16 @@ latter. Documents outside a band are rejected.
 
 Cases: null or empty text has no words, so it fails the base rule; a language or length with few documents has
 nearly the bands of its language or of all; repeated rows are measured each; ties don't matter to quantiles;
-very long texts are encoded in blocks of ``Vocabularies.BLOCK`` words; an empty table gives an empty result;
+words are encoded once each, in blocks of ``Vocabularies.BLOCK``, also those of very long texts; an empty table gives an empty result;
 other columns play no part.
 """
 
 from __future__ import annotations
 
 import base64
-from collections import Counter
+from array import array
+from collections import Counter, defaultdict
+from itertools import count, islice
 from pathlib import Path
 
 import numpy as np
@@ -36,12 +38,19 @@ LEAST = {"chars_per_token": 0.1, "byte_share": 0.02, "entropy": 0.1}
 #: Documents that the quantiles of all weigh in those of a language, or those of a language in those of a length.
 PRIOR = 30
 _SPACES, _SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
+#: What stands for a space in the pieces of the vocabulary with byte fallback.
+_MARK = "\u2581"
 
 
 class Vocabularies:
-    """Encodes running text: words joined by single spaces, a space before the first."""
+    """Encodes running text: words joined by single spaces, a space before the first.
+
+    No token crosses a space, so each distinct word is encoded once and what it becomes is kept, for about ``KEPT``
+    words or ``KEPT_BYTES`` bytes of them. Other white space at the ends of words, and the mark that stands for a space, can join
+    with a space beside them; texts with such words are encoded whole."""
 
     BLOCK = 4000
+    KEPT, KEPT_BYTES = 300_000, 1 << 25
 
     def __init__(self, path: str = VOCABULARIES):
         import public_tokenizers
@@ -50,24 +59,69 @@ class Vocabularies:
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, (Path(path) / "byte_bpe_50k.tiktoken").read_bytes().splitlines())}
         self.bpe = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.opens = np.zeros(max(ranks.values()) + 1, bool)
+        self.opens[[i for t, i in ranks.items() if t.startswith(b" ")]] = True
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=str(Path(path) / "piece_bpe_32k.model"))
-        self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
-
-    def counts(self, words: list[bytes]) -> tuple[np.ndarray, int, int]:
-        """How often each id of the byte-level BPE occurs; tokens under the other vocabulary; single bytes among these.
-
-        Words are encoded in blocks, as no token crosses a space."""
-        times, n, n_bytes = np.zeros(0, np.int64), 0, 0
+        ids = range(self.pieces.vocab_size())
+        self.is_byte = np.array([self.pieces.is_byte(i) for i in ids])
+        self.begins = np.array([self.pieces.id_to_piece(i).startswith(_MARK) for i in ids])
+        self.forget()
+
+    def forget(self) -> None:
+        self.number, self.held = defaultdict(count().__next__), 0
+        #: By number of a word: where its tokens end, its pieces, single bytes among these, whether it may join with a space.
+        self.tokens, self.ends, self.n_pieces, self.n_bytes, self.joins = array("i"), array("q", [0]), array("q"), array("q"), array("b")
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """A number for each word, equal for equal words; valid until the next call."""
+        if len(self.number) >= self.KEPT or self.held >= self.KEPT_BYTES:
+            self.forget()
+        known = len(self.number)
+        found = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        new = list(islice(reversed(self.number), len(self.number) - known))[::-1]
+        for i in range(0, len(new), self.BLOCK):
+            self._learn(new[i : i + self.BLOCK])
+        return found
+
+    def _learn(self, words: list[bytes]) -> None:
+        self.held += sum(map(len, words))
+        texts = b" ".join(words).decode("utf-8", "replace").split(" ")
+        joins = np.array([w[0].isspace() or w[-1].isspace() or _MARK in w for w in texts])
+        text = " ".join("x" if j else w for w, j in zip(texts, joins)) if joins.any() else " ".join(texts)
+        tokens, pieces = self.bpe.encode_to_numpy(" " + text), np.array(self.pieces.encode(text, num_threads=1))
+        at, first = np.flatnonzero(self.opens[tokens]), np.flatnonzero(self.begins[pieces])
+        if not len(at) == len(first) == len(words):
+            raise ValueError("a token crosses a space")
+        self.ends.frombytes((len(self.tokens) + np.append(at[1:], len(tokens))).astype(np.int64).tobytes())
+        self.tokens.frombytes(tokens.astype(np.int32).tobytes())
+        self.n_pieces.frombytes(np.diff(first, append=len(pieces)).astype(np.int64).tobytes())
+        self.n_bytes.frombytes(np.add.reduceat(self.is_byte[pieces], first, dtype=np.int64).tobytes())
+        self.joins.frombytes(joins.astype(np.int8).tobytes())
+
+    def counts(self, words: list[bytes], numbers: np.ndarray) -> tuple[np.ndarray, int, int]:
+        """How often each id of the byte-level BPE that occurs does, by id; tokens under the other vocabulary; single bytes among these.
+
+        ``numbers`` are those of ``words``."""
+        if not words:
+            return np.zeros(0, np.int64), 0, 0
+        if np.frombuffer(self.joins, np.int8)[numbers].any():
+            return self.whole(words)
+        ends = np.frombuffer(self.ends, np.int64)
+        lengths = ends[numbers + 1] - ends[numbers]
+        past = lengths.cumsum()
+        tokens = np.frombuffer(self.tokens, np.int32)[np.repeat(ends[numbers + 1] - past, lengths) + np.arange(past[-1])]
+        return np.unique(tokens, return_counts=True)[1], int(np.frombuffer(self.n_pieces, np.int64)[numbers].sum()), int(np.frombuffer(self.n_bytes, np.int64)[numbers].sum())
+
+    def whole(self, words: list[bytes]) -> tuple[np.ndarray, int, int]:
+        """``counts`` of running text, in blocks of words."""
+        times, n, n_bytes = np.zeros(len(self.opens), np.int64), 0, 0
         for i in range(0, len(words), self.BLOCK):
             text = b" ".join(words[i : i + self.BLOCK]).decode("utf-8", "replace")
-            found = np.bincount(self.bpe.encode_to_numpy(" " + text))
-            if len(found) > len(times):
-                times, found = found, times
-            times[: len(found)] += found
+            times += np.bincount(self.bpe.encode_to_numpy(" " + text), minlength=len(times))
             ids = self.pieces.encode(text, num_threads=1)
             n += len(ids)
             n_bytes += int(self.is_byte[ids].sum())
-        return times, n, n_bytes
+        return times[times > 0], n, n_bytes
 
 
 def repeated_words(ids: np.ndarray, width: int = 5) -> int:
@@ -127,11 +181,10 @@ def measure(text: bytes | None, vocabulary) -> tuple:
     text = text or b""
     ws = text.split()
     n_chars = len(text.translate(None, _SPACES).decode("utf-8", "replace"))
-    place = {w: i for i, w in enumerate(dict.fromkeys(ws))}
-    ids = np.fromiter(map(place.__getitem__, ws), np.int64, len(ws))
-    times, pieces, single = vocabulary.counts(ws)
+    ids = vocabulary.numbers(ws)
+    times, pieces, single = vocabulary.counts(ws, ids)
     tokens = int(times.sum())
-    p = times[times > 0] / max(1, tokens)
+    p = times / max(1, tokens)
     return (
         len(ws), n_chars, len(text) - len(text.translate(None, _SYMBOLS)), duplicate_lines(text), repeated_words(ids), tokens,
         n_chars / tokens if tokens else 0.0, single / pieces if pieces else 0.0, float(-(p * np.log2(p)).sum()) if len(p) else 0.0, script(text),

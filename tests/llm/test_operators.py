@@ -6,6 +6,7 @@ import math
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -347,6 +348,53 @@ def test_fertility_measures():
     assert fertility.script("\u043f\u0440\u0438\u0432\u0435\u0442 abc".encode()) == "cyrillic" and fertility.script(b"123") == "none"
 
 
+def running_text(v, words):
+    """Ids under both vocabularies of words joined by spaces, encoded as one."""
+    text = " ".join(words)
+    return sorted(Counter(v.bpe.encode_ordinary(" " + text)).items()), v.pieces.encode(text)
+
+
+def test_fertility_of_words_is_that_of_running_text():
+    """Also where white space or the mark of a space joins the space beside it, and after words are forgotten."""
+    v, rng = fertility.Vocabularies(), np.random.default_rng(8)
+    v.KEPT = 40
+    odd = ["a", "it's", "'s", "\u3000", "\u3000a", "a\u3000", "a\u2581", "\u2581a", "\u2581", "\x1c", "\x85b", "b\xa0", "a\xa0b", "\u0301", "\xb4x", "\u4e2d\u6587", "\U0001f600", "<s>", "12.5", "\x00", "x" * 99]
+    for k in range(400):
+        words = [odd[i] if i < len(odd) else "".join(chr(97 + x) for x in rng.integers(0, 26, 3)) for i in rng.integers(0, len(odd) if k % 2 else 60, int(rng.integers(1, 12)))]
+        if k % 4 == 0:
+            words = [w for w in words if not (w[0].isspace() or w[-1].isspace() or "\u2581" in w)]
+        raw = [w.encode() for w in words]
+        times, n, n_bytes = v.counts(raw, v.numbers(raw))
+        ids, pieces = running_text(v, words) if words else ([], [])
+        assert (times.tolist(), n, n_bytes) == ([c for _, c in ids], len(pieces), sum(map(v.pieces.is_byte, pieces))), words
+
+
+def test_fertility_encodes_each_word_once():
+    v, seen = fertility.Vocabularies(), []
+
+    class Counted:
+        def __init__(self, of):
+            self.of = of
+
+        def __getattr__(self, name):
+            return getattr(self.of, name)
+
+        def encode_to_numpy(self, text):
+            seen.append(len(text))
+            return self.of.encode_to_numpy(text)
+
+        def encode(self, text, **more):
+            seen.append(len(text))
+            return self.of.encode(text, **more)
+
+    v.bpe, v.pieces = Counted(v.bpe), Counted(v.pieces)
+    texts = [" ".join(f"word{(i * j) % 50}" for j in range(2000)).encode() for i in range(1, 20)]
+    plain = fertility.Vocabularies()
+    for t in texts:
+        assert fertility.measure(t, v) == fertility.measure(t, plain)
+    assert sum(seen) <= 2 * 50 * 8
+
+
 # ---- 4
 
 
