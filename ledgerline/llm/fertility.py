@@ -40,14 +40,21 @@ PRIOR = 30
 _SPACES, _SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 #: What stands for a space in the pieces of the vocabulary with byte fallback.
 _MARK = "\u2581"
+#: A word starts with white space (other than the spaces between words), ends with it, or has the mark.
+_STARTS, _ENDS, _HAS_MARK = 1, 2, 4
+
+
+def _join(joins: np.ndarray) -> np.ndarray:
+    """Whether each word but the last ends, and the next one starts, with white space."""
+    return ((joins[:-1] & _ENDS) > 0) & ((joins[1:] & _STARTS) > 0)
 
 
 class Vocabularies:
     """Encodes running text: words joined by single spaces, a space before the first.
 
     No token crosses a space, so each distinct word is encoded once and what it becomes is kept, for about ``KEPT``
-    words or ``KEPT_BYTES`` bytes of them. Other white space at the ends of words, and the mark that stands for a space, can join
-    with a space beside them; texts with such words are encoded whole."""
+    words or ``KEPT_BYTES`` bytes of them. But a space joins other white space on both its sides, and the mark that stands
+    for a space; texts with such words side by side, or with that mark, are encoded whole."""
 
     BLOCK = 4000
     KEPT, KEPT_BYTES = 300_000, 1 << 25
@@ -69,7 +76,7 @@ class Vocabularies:
 
     def forget(self) -> None:
         self.number, self.held = defaultdict(count().__next__), 0
-        #: By number of a word: where its tokens end, its pieces, single bytes among these, whether it may join with a space.
+        #: By number of a word: where its tokens end, its pieces, single bytes among these, what of it may join with a space.
         self.tokens, self.ends, self.n_pieces, self.n_bytes, self.joins = array("i"), array("q", [0]), array("q"), array("q"), array("b")
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
@@ -86,8 +93,14 @@ class Vocabularies:
     def _learn(self, words: list[bytes]) -> None:
         self.held += sum(map(len, words))
         texts = b" ".join(words).decode("utf-8", "replace").split(" ")
-        joins = np.array([w[0].isspace() or w[-1].isspace() or _MARK in w for w in texts])
-        text = " ".join("x" if j else w for w, j in zip(texts, joins)) if joins.any() else " ".join(texts)
+        joins = np.array([w[0].isspace() * _STARTS + w[-1].isspace() * _ENDS + (_MARK in w) * _HAS_MARK for w in texts], np.int8)
+        self.joins.frombytes(joins.tobytes())
+        cuts = [0, *(np.flatnonzero(_join(joins)) + 1).tolist(), len(texts)] if joins.any() else [0, len(texts)]
+        for i, j in zip(cuts, cuts[1:]):
+            self._encode(["x" if m else w for w, m in zip(texts[i:j], joins[i:j] & _HAS_MARK)] if joins.any() else texts)
+
+    def _encode(self, words: list[str]) -> None:
+        text = " ".join(words)
         tokens, pieces = self.bpe.encode_to_numpy(" " + text), np.array(self.pieces.encode(text, num_threads=1))
         at, first = np.flatnonzero(self.opens[tokens]), np.flatnonzero(self.begins[pieces])
         if not len(at) == len(first) == len(words):
@@ -96,7 +109,6 @@ class Vocabularies:
         self.tokens.frombytes(tokens.astype(np.int32).tobytes())
         self.n_pieces.frombytes(np.diff(first, append=len(pieces)).astype(np.int64).tobytes())
         self.n_bytes.frombytes(np.add.reduceat(self.is_byte[pieces], first, dtype=np.int64).tobytes())
-        self.joins.frombytes(joins.astype(np.int8).tobytes())
 
     def counts(self, words: list[bytes], numbers: np.ndarray) -> tuple[np.ndarray, int, int]:
         """How often each id of the byte-level BPE that occurs does, by id; tokens under the other vocabulary; single bytes among these.
@@ -104,7 +116,8 @@ class Vocabularies:
         ``numbers`` are those of ``words``."""
         if not words:
             return np.zeros(0, np.int64), 0, 0
-        if np.frombuffer(self.joins, np.int8)[numbers].any():
+        joins = np.frombuffer(self.joins, np.int8)[numbers]
+        if joins.any() and ((joins & _HAS_MARK).any() or _join(joins).any()):
             return self.whole(words)
         ends = np.frombuffer(self.ends, np.int64)
         lengths = ends[numbers + 1] - ends[numbers]

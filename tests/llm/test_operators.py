@@ -395,6 +395,20 @@ def test_fertility_encodes_each_word_once():
     assert sum(seen) <= 2 * 50 * 8
 
 
+def test_fertility_encodes_texts_whole_only_where_a_space_joins():
+    v = fertility.Vocabularies()
+    v.whole = lambda words: pytest.fail("encoded whole")
+    words = ["a\xa0", "b", "\u3000c", "d\u2003", "\x85"]
+    for own in (words[:4], words[2:3] * 2, words[:1] * 2):
+        raw = [w.encode() for w in own]
+        times, n, _ = v.counts(raw, v.numbers(raw))
+        ids, pieces = running_text(v, own)
+        assert (times.tolist(), n) == ([c for _, c in ids], len(pieces))
+    raw = [w.encode() for w in words]
+    with pytest.raises(pytest.fail.Exception):
+        v.counts(raw, v.numbers(raw))
+
+
 # ---- 4
 
 
