@@ -14,27 +14,30 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
-def parse_scaled(raw: Column, scale: int) -> Column:
-    """Exact decimal text as an integer times ten to the ``scale``; null for blank; ``is_scaled`` says what is valid.
+def parse_scaled(raw: Column, scale: int, sound: Column | None = None) -> Column:
+    """Exact decimal text as an integer times ten to the ``scale``; null for blank; ``is_scaled`` says what is valid
+    (``sound``, if that is known already).
 
     A leading point or a lone sign or point counts as zero before or after it; more digits than ``scale`` are invalid."""
     text = F.trim(raw)
-    digits = F.regexp_replace(text, r"^-", "")
-    whole = F.regexp_extract(digits, r"^([0-9]*)", 1)
-    fraction = F.rpad(F.regexp_extract(digits, r"\.([0-9]*)$", 1), scale, "0") if scale else F.lit("")
-    number = F.concat(F.when(whole == "", "0").otherwise(whole), fraction).try_cast("bigint")
-    return F.when(is_scaled(raw, scale) & (text != ""), F.when(text.startswith("-"), -number).otherwise(number))
+    fraction = F.rpad(F.regexp_extract(text, r"\.([0-9]*)$", 1), scale, "0") if scale else F.lit("")
+    # Whole numbers, which most are, need no pattern. A sign and no digit is zero.
+    whole = F.when(~text.contains("."), text.try_cast("bigint") * F.lit(10**scale))
+    number = F.coalesce(whole, F.concat(F.regexp_extract(text, r"^-?[0-9]*", 0), fraction).try_cast("bigint"), F.lit(0))
+    return F.when((is_scaled(raw, scale) if sound is None else sound) & (text != ""), number)
 
 
 def is_scaled(raw: Column, scale: int) -> Column:
     """Decimal text of at most ``scale`` places that fits a bigint once scaled (so at most 18 digits, leading zeros aside)."""
-    text = F.trim(raw)
-    return text.rlike(rf"^(-?[0-9]*(\.[0-9]{{0,{scale}}})?)?$") & text.rlike(rf"^-?0*[0-9]{{0,{18 - scale}}}(\.|$)")
+    return F.trim(raw).rlike(rf"^-?0*[0-9]{{0,{18 - scale}}}(\.[0-9]{{0,{scale}}})?$")
 
 
-def parse_integer(raw: Column) -> Column:
-    """Signed integer text, null for blank and for anything else (``is_integer`` tells them apart)."""
-    return F.when(F.trim(raw).rlike(r"^[+-]?[0-9]+$"), F.trim(raw).try_cast("bigint"))
+def parse_integer(raw: Column, sound: Column | None = None) -> Column:
+    """Signed integer text, null for blank and for anything else (``is_integer`` tells them apart; ``sound``, if that is known
+    already)."""
+    number = F.trim(raw).try_cast("bigint")
+    digits = F.trim(raw).rlike(r"^[+-]?[0-9]+$")
+    return F.when(digits, number) if sound is None else F.when(sound, number).when(digits, number)
 
 
 def is_integer(raw: Column) -> Column:

@@ -94,12 +94,29 @@ def validated(rule: Mapping[str, Any], raw: Column, row_class: Column | None = N
     return chain.otherwise(F.struct(F.lit("valid").alias("status"), value.alias("value"), F.lit(None).cast("string").alias("error")))
 
 
+def letter(status: Column) -> Column:
+    codes = F.create_map(*(F.lit(x) for k, v in STATUS_CODES.items() for x in (k, v)))
+    return F.coalesce(F.element_at(codes, status), F.lit("?"))
+
+
 def packed(fields: list[Column]) -> Column:
     """One letter for each field's status; a dash without fields."""
-    if not fields:
-        return F.lit("-")
-    codes = F.create_map(*(F.lit(x) for k, v in STATUS_CODES.items() for x in (k, v)))
-    return F.concat(*(F.coalesce(F.element_at(codes, f["status"]), F.lit("?")) for f in fields))
+    return F.concat(*(letter(f["status"]) for f in fields)) if fields else F.lit("-")
+
+
+def blank_letter(rule: Mapping[str, Any], row_class: Column | None = None, prohibited: Column | None = None) -> Column | None:
+    """The letter of ``validated`` for a blank cell, where a blank cell cannot be an error (None if it can)."""
+    validate_rule(rule)
+    if rule.get("presence") == "absent":
+        return F.lit(STATUS_CODES["not_applicable"])
+    if "" not in rule.get("null_tokens", [""]) or not rule.get("nullable", True):
+        return None
+    out = F.lit(STATUS_CODES["null"])
+    if prohibited is not None:
+        out = F.when(prohibited, STATUS_CODES["not_applicable"]).otherwise(out)
+    if rule.get("row_classes") and row_class is not None:
+        out = F.when(F.coalesce(row_class.isin(*rule["row_classes"]), F.lit(False)), out).otherwise(STATUS_CODES["not_applicable"])
+    return out
 
 
 def normalised(rule: Mapping[str, Any], value: Column) -> Column:

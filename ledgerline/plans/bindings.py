@@ -216,21 +216,23 @@ def archive_lines(spark: SparkSession, sf_dir: str, folder: str | None = None) -
         names = [c for c in columns if c not in ("file", "row_key")]
         # A slice holds the keys of a range of orders, and row keys ascend with them.
         part = F.floor(F.col(order) * F.lit(slices).cast("decimal(20,0)") / F.lit((last or 0) + 1)).cast("int").alias("slice")
-        # Rows are dealt as numbers, which are shorter than the text that is made of them.
-        needed = [c for c in source.columns if any(re.search(rf"\b{c}\b", e) for e in columns.values())]
-        dealt = source.select(*needed, F.expr(spark_sql(columns["file"])).alias("file"), part).repartition("file", "slice")
-        rows = dealt.select("file", "slice", *(F.expr(spark_sql(e)).alias(n) for n, e in columns.items() if n != "file"))
+        # A row's month is made once; rows are dealt as numbers, which are shorter than the text that is made of them.
+        own_sql = {n: spark_sql(e.replace("{ym:o_orderdate}", "month")) for n, e in columns.items()}
+        needed = [c for c in source.columns if any(re.search(rf"\b{c}\b", e) for e in own_sql.values())]
+        dated = source.select(*needed, F.expr(spark_sql("{ym:o_orderdate}")).alias("month"), part)
+        dealt = dated.select("*", F.expr(own_sql["file"]).alias("file")).repartition("file", "slice")
+        rows = dealt.select("file", "slice", *(F.expr(e).alias(n) for n, e in own_sql.items() if n != "file"))
         own = Window.partitionBy("file", "slice").orderBy("row_key", "value")
         body = rows.select("file", "row_key", "slice", F.concat_ws("|", *(F.col(f"`{n}`") for n in names)).alias("value")).withColumn("own", F.row_number().over(own).cast("long"))
-        kept = release.staged(body.select("file", "slice", "own", "value"), folder)
+        with release.compiled(spark):
+            kept = release.staged(body.select("file", "slice", "own", "value"), folder)
         before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         counts = kept.groupBy("file", "slice").agg(F.count("*").alias("n")).select(F.col("file").alias("of"), F.col("slice").alias("at"), before.alias("before"))
         counts = release.staged(counts, folder)
-        # The header goes before a file's first row where that one is numbered, so that the rows are made once.
-        placed = kept.join(F.broadcast(counts), (F.col("file") == F.col("of")) & (F.col("slice") == F.col("at"))).select("file", F.struct((F.col("before") + F.col("own") + 1).alias("line"), "value").alias("own"))
-        head = F.struct(F.lit(1).cast("long").alias("line"), F.lit("|".join(names)).alias("value"))
-        each = placed.select("file", F.explode(F.when(F.col("own.line") == 2, F.array(head, "own")).otherwise(F.array("own"))).alias("r"))
-        own = each.select(F.concat("file", F.lit(".zip")).alias("file"), F.concat("file", F.lit(".txt")).alias("member"), "r.line", "r.value", F.lit(None).cast("string").alias("error"))
+        placed = kept.join(F.broadcast(counts), (F.col("file") == F.col("of")) & (F.col("slice") == F.col("at"))).select("file", (F.col("before") + F.col("own") + 1).alias("line"), "value")
+        # A file's first slice has none before it, and stands for its header.
+        head = counts.where("before = 0").select(F.col("of").alias("file"), F.lit(1).cast("long").alias("line"), F.lit("|".join(names)).alias("value"))
+        own = placed.unionByName(head).select(F.concat("file", F.lit(".zip")).alias("file"), F.concat("file", F.lit(".txt")).alias("member"), "line", "value", F.lit(None).cast("string").alias("error"))
         out = own if out is None else out.unionByName(own)
     return out
 

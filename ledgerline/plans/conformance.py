@@ -70,6 +70,8 @@ SECURITY_STATUSES = ("A", "P", "C", "D")
 #: What the join reads of either kind.
 JOINING = ("security_status", "correction_indicator")
 LINEAGE = ("source_file", "source_row", "source_family", "schema_version", "publication_date", "as_of_timestamp")
+#: Of these, what is the same for all rows of a file and needs no place in stored facts: manifests have it.
+OF_FILE = ("schema_version", "publication_date", "as_of_timestamp")
 
 
 def known_targets(kind: Kind, aliases: Mapping[str, list[str]]) -> list[str]:
@@ -85,18 +87,20 @@ def few(frame: DataFrame) -> bool:
     return frame.limit(FEW + 1).count() <= FEW
 
 
-def raw_rows(lines: DataFrame, files: DataFrame, kind: Kind, aliases: Mapping[str, list[str]], keep=lambda frame: frame) -> DataFrame:
+def raw_rows(lines: DataFrame, files: DataFrame, kind: Kind, aliases: Mapping[str, list[str]], keep=lambda frame: frame, heads: DataFrame | None = None) -> DataFrame:
     """Lines with text of the usable files of one kind, with their cells, their file's width and lineage, and ``at``: for each
     of ``known_targets`` the place of its cell, found once for a file (-1 if the header has none of its names).
 
-    What is known of files comes to the lines, which stay where they are, unless there are too many files for that."""
+    What is known of files comes to the lines, which stay where they are, unless there are too many files for that.
+    ``heads``: ``archives.headers`` of the lines, if they are stored."""
     published = S.publication_date(F.col("member"))
     place = lambda t: F.coalesce(*(F.nullif(F.array_position("header", n), F.lit(0)) for n in aliases[t]), F.lit(0)).cast("int") - 1
-    heads = archives.headers(lines).select("file", F.size("header").alias("width"), F.array(*map(place, known_targets(kind, aliases))).cast("array<int>").alias("at"))
+    heads = archives.headers(lines) if heads is None else heads
+    heads = heads.select("file", F.size("header").alias("width"), F.array(*map(place, known_targets(kind, aliases))).cast("array<int>").alias("at"), published.alias("publication_date"), S.as_of_timestamp(published).alias("as_of_timestamp"))
     usable = keep(files.where("blocker is null").where(F.col("family").startswith(kind.prefix)).select("file", "family", "report_period", "schema_version").join(heads, "file"))
     body = lines.where("line > 1").where(F.trim("value") != "")
     out = body.join(F.broadcast(usable) if few(usable) else usable, "file").withColumn("cells", archives.cells(F.col("value")))
-    return out.select(F.col("file").alias("source_file"), F.col("line").alias("source_row"), F.col("family").alias("source_family"), "schema_version", published.alias("publication_date"), S.as_of_timestamp(published).alias("as_of_timestamp"), "report_period", "cells", "width", "at")
+    return out.select(F.col("file").alias("source_file"), F.col("line").alias("source_row"), F.col("family").alias("source_family"), "schema_version", "publication_date", "as_of_timestamp", "report_period", "cells", "width", "at")
 
 
 def typed(rows: DataFrame, kind: Kind, aliases: Mapping[str, list[str]], with_rules: bool = True) -> DataFrame:
@@ -104,48 +108,59 @@ def typed(rows: DataFrame, kind: Kind, aliases: Mapping[str, list[str]], with_ru
 
     ``aliases``: target -> header names, first match wins. Without rules their columns are null.
 
-    Cells, and later the rules' results, are top-level columns of projections of their own: fields of a struct would be put
-    in place of each of their uses, and computed again there."""
+    Cells, their trimmed text, what of them is sound and the rules' results are top-level columns of projections of their own:
+    fields of a struct would be put in place of each of their uses, and computed again there. Rules of cells that no header
+    has are known but for the row's class and cost no more than a letter."""
     known = known_targets(kind, aliases)
     at = {t: F.get("at", F.lit(i)) for i, t in enumerate(known)}
-    raw = rows.select(*LINEAGE, "report_period", (F.size("cells") != F.col("width")).alias("bad_width"), *(F.when(at[t] < 0, "").otherwise(F.get("cells", at[t])).alias(f"cell_{t}") for t in known), "at")
     cell = lambda t: F.col(f"cell_{t}") if t in known else F.lit("")
-    text = lambda t: F.trim(cell(t))
+    text = lambda t: F.col(f"text_{t}") if t in known else F.lit("")
+    raw = rows.select(*LINEAGE, "report_period", (F.size("cells") != F.col("width")).alias("bad_width"), *(F.when(at[t] < 0, "").otherwise(F.get("cells", at[t])).alias(f"cell_{t}") for t in known), "at")
+    raw = raw.select("*", *(F.trim(cell(t)).alias(f"text_{t}") for t in known))
     absent = F.lit(False)
     for t in kind.required:
         absent = absent | (at[t] < 0 if t in known else F.lit(True))
+    sound = {target: (S.is_integer(text(target)) if scale is None else S.is_scaled(text(target), scale)) if target in known else F.lit(True) for target, _, scale, _ in kind.numbers}
+    correction = text(kind.correction)
+    raw = raw.withColumns({f"sound_{t}": c for t, c in sound.items() if t in known} | {"row_class": provider_rules.row_class(text("prefix")), "bad_context": ~F.coalesce(correction.isin(*kind.corrections), F.lit(False))})
+    sound = {t: F.col(f"sound_{t}") if t in known else c for t, c in sound.items()}
     own = "security" if kind is SECURITY else "loan"
     key = ("prefix", "security_id") if kind is SECURITY else ("loan_id", "prefix")
     checks = [F.when(absent, f"{own} schema omits a required allowlisted field"), F.when(F.col("bad_width"), "row width does not match approved schema"), F.when((text(key[0]) == "") | (text(key[1]) == ""), f"{own} business key is incomplete")]
     if kind is SECURITY:
-        period = S.parse_factor_date(cell("security_factor_date"))
-        checks += [F.when(period.isNull(), "Security Factor Date is not MMCCYY"), F.when(period != F.col("report_period"), "Security Factor Date does not match publication period")]
-    checks.append(F.when(~text(kind.correction).isin(*kind.corrections), f"{kind.label} is invalid"))
+        raw = raw.withColumn("period", S.parse_factor_date(text("security_factor_date")))
+        checks += [F.when(F.col("period").isNull(), "Security Factor Date is not MMCCYY"), F.when(F.col("period") != F.col("report_period"), "Security Factor Date does not match publication period")]
+    checks.append(F.when(~correction.isin(*kind.corrections), f"{kind.label} is invalid"))
     if kind is SECURITY:
         checks.append(F.when(~text("security_status").isin(*SECURITY_STATUSES), "Security Status Indicator is invalid"))
     numbers = []
     for target, column, scale, label in kind.numbers:
-        parsed, sound, what = (S.parse_integer(cell(target)), S.is_integer(cell(target)), "integer") if scale is None else (S.parse_scaled(cell(target), scale), S.is_scaled(cell(target), scale), "decimal")
-        checks.append(F.when(~sound, f"{label} is not a valid {what}"))
+        parsed, what = (S.parse_integer(text(target), sound[target]), "integer") if scale is None else (S.parse_scaled(text(target), scale, sound[target]), "decimal")
+        checks.append(F.when(~sound[target], f"{label} is not a valid {what}"))
         numbers.append(parsed.alias(column))
-    raw = raw.withColumn("row_class", provider_rules.row_class(text("prefix"))).withColumn("correction", text(kind.correction))
-    row_class, correction = F.col("row_class"), F.col("correction")
-    checked = []
+    row_class, checked, letters = F.col("row_class"), {}, []
     for rule in kind.rules if with_rules else ():
-        classes = provider_rules.PROHIBITED[kind.name].get(rule["target"])
-        checked.append(fields.validated(rule | {"indicators": list(kind.corrections)}, cell(rule["target"]), row_class, correction, row_class.isin(*classes) if classes else None).alias(f"rule_{rule['target']}"))
-    identity = [text("security_id").alias("security_id"), text("prefix").alias("prefix"), text("security_status").alias("security_status")] if kind is SECURITY else [text("loan_id").alias("loan_id"), S.blank_to_null(cell("security_id")).alias("security_id"), text("prefix").alias("prefix")]
+        # Corrections are judged once for all rules: a row with a wrong one has failed the check above, before any rule.
+        classes, target = provider_rules.PROHIBITED[kind.name].get(rule["target"]), rule["target"]
+        prohibited = row_class.isin(*classes) if classes else None
+        letter = fields.blank_letter(rule, row_class, prohibited) if target not in known else None
+        if letter is None:
+            checked[target] = fields.validated(rule, text(target), row_class, None, prohibited).alias(f"rule_{target}")
+            letter = fields.letter(F.col(f"rule_{target}.status"))
+        letters.append(letter)
+    identity = [text("security_id").alias("security_id"), text("prefix").alias("prefix"), text("security_status").alias("security_status")] if kind is SECURITY else [text("loan_id").alias("loan_id"), S.blank_to_null(text("security_id")).alias("security_id"), text("prefix").alias("prefix")]
     hashed = S.record_hash(*(cell(t) for t in known))
-    out = raw.select(*LINEAGE, "report_period", *identity, text(kind.correction).alias("correction_indicator"), *numbers, *(S.blank_to_null(cell(t)).alias(t) for t in kind.texts), F.coalesce(*checks).alias("error"), hashed.alias("record_hash"), *checked)
+    out = raw.select(*LINEAGE, "report_period", *identity, correction.alias("correction_indicator"), *numbers, *(S.blank_to_null(text(t)).alias(t) for t in kind.texts), F.coalesce(*checks).alias("error"), hashed.alias("record_hash"), *checked.values(), "row_class", "bad_context")
+    own = [c for c in out.columns if not c.startswith("rule_") and c not in ("row_class", "bad_context")]
+    kinds = {"integer": "bigint", "decimal": "bigint"}
+    null = lambda rule: F.lit(None).cast(kinds.get(rule["type"], "string"))
     if with_rules:
-        named = [F.col(f"rule_{r['target']}") for r in kind.rules]
-        values = [F.when(n["status"] == "valid", fields.normalised(r, n["value"])).alias(stored_name(r)) for r, n in zip(kind.rules, named)]
-        own = [c for c in out.columns if not c.startswith("rule_") and c != "error"]
-        out = out.select(*own, *values, fields.packed(named).alias("v2_field_statuses"), F.coalesce("error", *(n["error"] for n in named)).alias("error"))
-    else:
-        kinds = {"integer": "bigint", "decimal": "bigint"}
-        out = out.select("*", *(F.lit(None).cast(kinds.get(r["type"], "string")).alias(stored_name(r)) for r in kind.rules), F.lit("-" * len(kind.rules)).alias("v2_field_statuses"))
-    return out
+        own.remove("error")
+        named = {t: F.col(f"rule_{t}") for t in checked}
+        values = [F.when(~F.col("bad_context") & (named[r["target"]]["status"] == "valid"), fields.normalised(r, named[r["target"]]["value"])) if r["target"] in named else null(r) for r in kind.rules]
+        wrong = F.concat(*(x if r.get("presence") == "absent" else F.lit(fields.STATUS_CODES["error"]) for r, x in zip(kind.rules, letters)))
+        return out.select(*own, *(v.alias(stored_name(r)) for r, v in zip(kind.rules, values)), F.when(F.col("bad_context"), wrong).otherwise(F.concat(*letters)).alias("v2_field_statuses"), F.coalesce("error", *(n["error"] for n in named.values())).alias("error"))
+    return out.select(*own, *(null(r).alias(stored_name(r)) for r in kind.rules), F.lit("-" * len(kind.rules)).alias("v2_field_statuses"))
 
 
 def dispositions(facts: DataFrame, kind: Kind, keep=lambda frame: frame) -> DataFrame:
@@ -186,22 +201,32 @@ class Conformed:
     join_counts: DataFrame
 
 
-def conform(lines: DataFrame, files: DataFrame, aliases: Mapping[str, Mapping[str, list[str]]], with_rules: bool = True, keep=lambda frame: frame, columns: Mapping[str, tuple[str, ...]] | None = None, loans_read_once: bool = False) -> Conformed:
+def conform(lines: DataFrame, files: DataFrame, aliases: Mapping[str, Mapping[str, list[str]]], with_rules: bool = True, keep=lambda frame: frame, columns: Mapping[str, tuple[str, ...]] | None = None, loans_read_once: bool = False, heads: DataFrame | None = None) -> Conformed:
     """Conforms the usable files of an inventory. ``aliases``: by kind, target -> header names. ``keep`` stores what is
     read several times (writes and reads again, or persists).
 
     ``columns``: by kind, the facts' columns that the caller reads, beside those that judging and joining need; by default
-    all. Every row is judged by every check either way. ``loans_read_once``: joined loans aren't stored."""
-    facts_of = {k: typed(raw_rows(lines, files, k, aliases[k.name], keep), k, aliases[k.name], with_rules) for k in (SECURITY, LOAN)}
+    all. Every row is judged by every check either way. ``loans_read_once``: joined loans aren't stored.
+    ``heads``: ``archives.headers`` of the lines, if they are stored."""
+    heads = keep(archives.headers(lines)) if heads is None else heads
+    facts_of = {k: typed(raw_rows(lines, files, k, aliases[k.name], keep, heads), k, aliases[k.name], with_rules) for k in (SECURITY, LOAN)}
     if columns is not None:
         facts_of = {k: f.select(*(c for c in f.columns if c in {*LINEAGE, *k.key, *JOINING, "error", *columns.get(k.name, ())})) for k, f in facts_of.items()}
-    judged = {k: dispositions(keep(f), k, keep) for k, f in facts_of.items()}
+    with release.compiled(lines.sparkSession):
+        kept = {k: keep(f.drop(*OF_FILE)) for k, f in facts_of.items()}
+    judged = {k: dispositions(f, k, keep) for k, f in kept.items()}
     counts = None
-    for k, d in judged.items():
-        own = d.select("source_file", "source_family", "report_period", "schema_version", "publication_date", "as_of_timestamp", "disposition")
+    for d in judged.values():
+        own = d.select("source_file", "disposition")
         counts = own if counts is None else counts.unionByName(own)
+    # Rows are counted by file alone; what else a manifest says is the same for all of a file.
     by = ["source_file", "source_family", "report_period", "schema_version", "publication_date", "as_of_timestamp"]
-    manifest = population.manifest(counts, by).withColumn("reason", F.lit("SOURCE_CONFORMANCE"))
+    published = S.publication_date(F.col("member"))
+    known = heads.select("file", published.alias("publication_date"), S.as_of_timestamp(published).alias("as_of_timestamp"))
+    known = files.select(F.col("file").alias("source_file"), F.col("family").alias("source_family"), "report_period", "schema_version").join(known.withColumnRenamed("file", "source_file"), "source_file")
+    counted = population.manifest(counts, ["source_file"])
+    manifest = counted.join(known, "source_file").select(*by, *(c for c in counted.columns if c != "source_file"))
+    manifest = manifest.withColumn("reason", F.lit("SOURCE_CONFORMANCE"))
     other = files.where("blocker is null").where(~F.col("family").startswith(SECURITY.prefix) & ~F.col("family").startswith(LOAN.prefix))
     zero, n = F.lit(0).cast("bigint"), F.col("lines").cast("bigint")
     supplemental = other.select(
@@ -209,8 +234,9 @@ def conform(lines: DataFrame, files: DataFrame, aliases: Mapping[str, Mapping[st
         n.alias("excluded_count"), zero.alias("rejected_count"), zero.alias("duplicate_count"), zero.alias("quarantined_count"), F.lit("pass").alias("quality_status"), zero.alias("published_count"), F.lit("SUPPLEMENTAL_NATIVE_GRAIN_M5_DEFERRED").alias("reason"),
     )
     manifest = keep(manifest.unionByName(supplemental))
-    passing = manifest.where("quality_status = 'pass'").select("source_file")
-    facts = {k: d.where("disposition = 'accepted'").drop("disposition", "error").join(passing, "source_file", "left_semi") for k, d in judged.items()}
+    passing = manifest.where("quality_status = 'pass'").select("source_file", *OF_FILE)
+    # All rows of a source that passes were accepted.
+    facts = {k: f.join(passing, "source_file").select(*(c for c in facts_of[k].columns if c != "error")) for k, f in kept.items()}
     loans = population.join_reason(facts[LOAN], facts[SECURITY])
     loans = loans if loans_read_once else keep(loans)
     issues = None

@@ -713,7 +713,8 @@ def conformed(spark, sf_dir, **columns: tuple[str, ...]) -> conformance.Conforme
         return archives.stored(frame, folder)
 
     lines, contract = bindings.archive_lines(spark, sf_dir, folder), bindings.archive_contract()
-    return conformance.conform(lines, keep(archives.inventory(lines, contract)), bindings.ARCHIVE_ALIASES, keep=keep, columns=columns, loans_read_once=True)
+    heads = keep(archives.headers(lines))
+    return conformance.conform(lines, keep(archives.inventory(lines, contract, heads=heads)), bindings.ARCHIVE_ALIASES, keep=keep, columns=columns, loans_read_once=True, heads=heads)
 
 
 CONFORMED_SECURITY = ("report_period", "security_id", "prefix", "security_status", "correction_indicator", "factor_e8", "current_upb_cents", "issue_date", "green_indicator", "v2_field_statuses", "publication_date", "source_file")

@@ -277,15 +277,18 @@ def matched(files: DataFrame, families) -> DataFrame:
     return files.withColumns({"family": family, "report_period": period, "matches": matches})
 
 
-def inventory(lines: DataFrame, contract: Mapping[str, Any], separator: str = "|") -> DataFrame:
+def inventory(lines: DataFrame, contract: Mapping[str, Any], separator: str = "|", heads: DataFrame | None = None) -> DataFrame:
     """One row for each file: family, report_period, schema_version, line counts and what blocks its use.
 
     Families match by file name, versions by header hash inside their window; a version without a header hash has a
-    layout (width of each record type) that all of the file's records must have. Anything but one match blocks."""
+    layout (width of each record type) that all of the file's records must have. Anything but one match blocks.
+    ``heads``: ``headers`` of the lines, if they are stored."""
     spark = lines.sparkSession
-    files = lines.groupBy("file").agg(F.count("value").alias("lines"), F.first("error", ignorenulls=True).alias("error"))
+    # Lines are counted by hash, errors as part of the key; of these few rows a file's error is taken.
+    files = lines.groupBy("file", "error").agg(F.count("value").alias("lines"))
+    files = files.groupBy("file").agg(F.sum("lines").alias("lines"), F.first("error", ignorenulls=True).alias("error"))
     files = matched(files, contract["families"])
-    heads = headers(lines, separator).select("file", "width", "header_sha256")
+    heads = (headers(lines, separator) if heads is None else heads).select("file", "width", "header_sha256")
     w = contracts.windows(spark, contract).withColumnRenamed("family", "of").withColumnRenamed("header_sha256", "known")
     joined = files.join(heads, "file", "left").join(F.broadcast(w), (F.col("family") == F.col("of")) & (F.col("known").isNull() | (F.col("known") == F.col("header_sha256"))) & F.col("report_period").between(F.coalesce("period_min", F.lit("")), F.coalesce("period_max", F.lit("9999-99"))), "left")
     if any(v.get("layouts") for f in contract["families"] for v in f["schema_versions"]):

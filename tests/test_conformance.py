@@ -287,3 +287,58 @@ def test_lines_are_dealt_as_numbers(spark, tmp_path, monkeypatch):
     for plan in lines:
         above, below = plan.split("Exchange hashpartitioning(file", 1)
         assert "concat_ws" in above and "concat_ws" not in below
+
+
+def test_checks_run_compiled(spark, tmp_path):
+    """Facts are stored by plans whose methods the JVM compiles, without what manifests know of a file; the session's own
+    setting stays, and published rows have all columns."""
+    archive(tmp_path, "fd260107", [SECURITY_ROW], SECURITY_HEADER)
+    archive(tmp_path, "fu260107", [LOAN_ROW, changed(LOAN_ROW, c0="GLOAN02", c3="GONE")], LOAN_HEADER)
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before, keep = spark.conf.get(name), lambda f: seen.append((f.columns, spark.conf.get(name))) or archives.stored(f, str(tmp_path / "kept"))
+    lines = keep(archives.zip_lines(spark, str(tmp_path)))
+    found = conformance.conform(lines, keep(archives.inventory(lines, contract())), ALIASES, keep=keep)
+    facts = [(columns, limit) for columns, limit in seen if {"source_row", "record_hash", "error"} <= set(columns)]
+    assert [limit for _, limit in facts] == ["8000"] * 2 and not any(set(conformance.OF_FILE) & set(columns) for columns, _ in facts)
+    assert spark.conf.get(name) == before and {limit for columns, limit in seen if "record_hash" not in columns} == {before}
+    assert set(conformance.LINEAGE) < set(found.loans.columns) & set(found.securities.columns)
+    assert {(r.loan_id, r.schema_version, r.publication_date, r.as_of_timestamp, r.join_reason) for r in found.loans.collect()} == {(i, "v1", "2026-01-07", "2026-01-07T23:59:59Z", reason) for i, reason in (("GLOAN01", "matched"), ("GLOAN02", "unmatched"))}
+
+
+def test_blank_cells_cost_a_letter(spark):
+    """Rules of cells that no header has: the letter that the whole rule gives, for every class of rows."""
+    classes = ["standard", "reperforming", *provider_rules.PREFIX_CLASSES]
+    df = spark.createDataFrame([(c,) for c in classes], "c string")
+    pairs = []
+    for kind in (conformance.SECURITY, conformance.LOAN):
+        for rule in kind.rules:
+            names = provider_rules.PROHIBITED[kind.name].get(rule["target"])
+            prohibited = F.col("c").isin(*names) if names else None
+            pairs.append(F.struct(fields.letter(fields.validated(rule, F.lit(""), F.col("c"), F.lit("N"), prohibited)["status"]).alias("a"), fields.blank_letter(rule, F.col("c"), prohibited).alias("b")))
+    rows = df.select(*pairs).collect()
+    assert len(rows) == 6 and all(p.a == p.b for r in rows for p in r) and {p.b for r in rows for p in r} == {"0", "A"}
+    assert fields.blank_letter(conformance.LOAN.rules[0] | {"nullable": False}) is None
+
+
+def test_wrong_corrections_spoil_all_statuses(spark, tmp_path):
+    """A row with a wrong correction has no sound field, and is rejected for the correction."""
+    archive(tmp_path, "fu260107", [LOAN_ROW, changed(LOAN_ROW, c1="Q")], LOAN_HEADER)
+    lines = archives.stored(archives.zip_lines(spark, str(tmp_path)), str(tmp_path / "lines"))
+    files = archives.inventory(lines, contract())
+    own = ALIASES["loan"] | {"original_interest_rate": ["Mortgage Loan Amount"]}
+    rows = conformance.typed(conformance.raw_rows(lines, files, conformance.LOAN, own), conformance.LOAN, own).orderBy("source_row").collect()
+    assert [r.error for r in rows] == [None, "Loan Correction Indicator is invalid"] and [r.original_interest_rate_milli_pct for r in rows] == [100000, None]
+    assert rows[0].v2_field_statuses[0] == "V" and rows[1].v2_field_statuses == "?" * 30 and "A" in rows[0].v2_field_statuses
+
+
+def test_scaled_text(spark):
+    """Odd forms of numbers, line ends that patterns let pass included, with and without knowing that they are sound."""
+    from ledgerline.functions import scalars as S
+
+    want = {"": None, "-": 0, ".": 0, "-.": 0, ".5": 50, "-.5": -50, "5.": 500, "-0": 0, "007.1": 710, " 12 ": 1200, "9" * 16: int("9" * 16 + "00"), "0" * 9 + "9" * 16 + ".99": int("9" * 18), "5\u0085": 500, "5.2\u0085": 520, "9" * 17: None, "1.234": None, "+5": None, "5 5": None, "x": None, None: None}
+    df = spark.createDataFrame([(t,) for t in want], "x string")
+    x = F.col("x")
+    assert {r.x: (r.a, r.b) for r in df.select("x", S.parse_scaled(x, 2).alias("a"), S.parse_scaled(x, 2, S.is_scaled(x, 2)).alias("b")).collect()} == {t: (v, v) for t, v in want.items()}
+    whole = {"": None, "+5": 5, "-5": -5, " 7 ": 7, "0" * 20 + "1": 1, "9" * 18: int("9" * 18), "1" * 19: int("1" * 19), "9" * 20: None, "5.": None, "5\u0085": None, "x": None, None: None}
+    df = spark.createDataFrame([(t,) for t in whole], "x string")
+    assert {r.x: (r.a, r.b) for r in df.select("x", S.parse_integer(x).alias("a"), S.parse_integer(x, S.is_integer(x)).alias("b")).collect()} == {t: (v, v) for t, v in whole.items()}
