@@ -101,7 +101,8 @@ def join_reason(loans: DataFrame, securities: DataFrame) -> DataFrame:
     # Loans without an id match nothing, so they need not meet in one task.
     names = [c for c in ("loan_id", "source_row") if c in loans.columns] or loans.columns  # hashing few columns keeps the scan pruned
     none = F.when(F.col("security_id").isNull(), 1 + F.pmod(F.xxhash64(*names), F.lit(SPREAD))).otherwise(0)
-    out = loans.withColumn("deal", none).join(by_id, (F.col("deal") == F.col("none")) & (F.col("security_id") == F.col("of")), "left")
+    # Ids come first: what is joined is sorted by the leading bytes of its first key, and nearly all rows are dealt alike.
+    out = loans.withColumn("deal", none).join(by_id, (F.col("security_id") == F.col("of")) & (F.col("deal") == F.col("none")), "left")
     out = out.withColumn("month", F.col("months")[F.col("report_period")])
     n = F.coalesce("month.matches", F.lit(0))
     reason = (

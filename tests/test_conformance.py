@@ -342,3 +342,12 @@ def test_scaled_text(spark):
     whole = {"": None, "+5": 5, "-5": -5, " 7 ": 7, "0" * 20 + "1": 1, "9" * 18: int("9" * 18), "1" * 19: int("1" * 19), "9" * 20: None, "5.": None, "5\u0085": None, "x": None, None: None}
     df = spark.createDataFrame([(t,) for t in whole], "x string")
     assert {r.x: (r.a, r.b) for r in df.select("x", S.parse_integer(x).alias("a"), S.parse_integer(x, S.is_integer(x)).alias("b")).collect()} == {t: (v, v) for t, v in whole.items()}
+
+
+def test_loans_are_sorted_by_their_ids(spark, unsized):
+    """The join sorts by ids before the places that loans without one are dealt to."""
+    loans = spark.createDataFrame([("L1", 1, "S1", "2020-01", "N"), ("L2", 2, None, "2020-01", "N"), ("L3", 3, "S1", "2020-02", "N"), ("L4", 4, "S2", "2020-01", "D")], "loan_id string, source_row long, security_id string, report_period string, correction_indicator string")
+    securities = spark.createDataFrame([("S1", "2020-01", "A"), ("S2", "2020-01", "A")], "security_id string, report_period string, security_status string")
+    out = population.join_reason(loans, securities)
+    assert "Sort [security_id" in plan_of(out) and "hashpartitioning(security_id" in plan_of(out)
+    assert {r.loan_id: r.join_reason for r in out.collect()} == {"L1": "matched", "L2": "ineligible", "L3": "unmatched", "L4": "terminated"}
